@@ -26,11 +26,16 @@ from riskflow.operators.validate import (
     parse_transactions,
     rejected_transactions,
 )
-from riskflow.plans.risk_flow import prepare_transactions, risk_from_transactions
+from riskflow.plans.risk_flow import prepare_transactions, risk_from_records, risk_from_transactions
 from riskflow.schemas import TRANSACTION_SCHEMA
-from riskflow.session import sf_table
+from riskflow.session import scratch_path, sf_table
+from riskflow.sinks.alerts import start_high_risk_alert_stream
+from riskflow.sinks.kafka import write_high_risk_transactions
+from riskflow.sinks.lake import persist_transactions_to_data_lake, with_event_date
 from riskflow.sources import fixtures
-from riskflow.sources.kafka import decode_envelope
+from riskflow.sources.kafka import decode_envelope, read_bronze
+from riskflow.streaming.replay import replay_stream, write_replay
+from riskflow.streaming.runner import drain
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 PARAMS = FIXTURE_PARAMS
@@ -46,6 +51,13 @@ RISK_MESSAGE_SCHEMA = StructType([
     StructField("total_amount", DecimalType(20, 2)),
 ])
 
+ALERT_TABLE_SCHEMA = StructType([
+    StructField("window", RISK_MESSAGE_SCHEMA["window"].dataType),
+    StructField("user_id", StringType()),
+    StructField("alert_text", StringType()),
+    StructField("batch_id", LongType()),
+])
+
 
 def _events(spark, sf_dir):
     return sf_table(spark, sf_dir, "events")
@@ -162,3 +174,84 @@ QUERIES: dict[str, QueryFn] = {
     "lake_messages": q_lake_messages,
     "alert_text": q_alert_text,
 }
+
+
+# --- W1-W10, K1, K3, K4, S3, C1: the same plans as streams -----------------
+# Each stream query replays the dirty records as files under the shared
+# checkpoint directory, drains the stream with an availableNow trigger and
+# returns the sink's committed output read back as a table.
+
+def _replay(spark, sf_dir, name, sentinel=True):
+    base = scratch_path(spark, name)
+    glob = write_replay(_records(spark, sf_dir), f"{base}/replay", sentinel=sentinel)
+    return base, replay_stream(spark, glob)
+
+
+def q_high_risk_stream(spark, sf_dir):
+    base, stream = _replay(spark, sf_dir, "high-risk-stream")
+    risk = risk_from_records(stream, PARAMS)
+    drain(persist_transactions_to_data_lake(
+        risk, output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
+    return flatten_window(spark.read.parquet(f"{base}/out"), utc=True)
+
+
+def q_risk_messages_stream(spark, sf_dir):
+    base, stream = _replay(spark, sf_dir, "risk-messages-stream")
+    risk = risk_from_records(stream, PARAMS)
+    drain(write_high_risk_transactions(
+        risk, fmt="parquet", path=f"{base}/out", checkpoint_path=f"{base}/ckpt",
+        available_now=True))
+    msgs = spark.read.parquet(f"{base}/out")
+    parsed = msgs.select("key", F.from_json("value", RISK_MESSAGE_SCHEMA).alias("v")).select("key", "v.*")
+    return flatten_window(parsed, utc=True)
+
+
+def q_alert_stream(spark, sf_dir):
+    base, stream = _replay(spark, sf_dir, "alert-stream")
+    risk = risk_from_records(stream, PARAMS)
+    drain(start_high_risk_alert_stream(
+        risk, checkpoint_path=f"{base}/ckpt", alerts_path=f"{base}/alerts",
+        log_limit=0, available_now=True))
+    alerts = spark.read.schema(ALERT_TABLE_SCHEMA).parquet(f"{base}/alerts")
+    return flatten_window(alerts.drop("batch_id"), utc=True)
+
+
+def q_lake_roundtrip(spark, sf_dir):
+    base, stream = _replay(spark, sf_dir, "lake-roundtrip", sentinel=False)
+    lake = with_event_date(prepare_transactions(stream, PARAMS))
+    drain(persist_transactions_to_data_lake(
+        lake, output_path=f"{base}/lake", checkpoint_path=f"{base}/ckpt",
+        partition_by=["event_date"], available_now=True))
+    return _utc_ts(spark.read.parquet(f"{base}/lake"))
+
+
+def q_dedup_stream(spark, sf_dir):
+    base, stream = _replay(spark, sf_dir, "dedup-stream", sentinel=False)
+    tx = prepare_transactions(stream, PARAMS, dedup=True)
+    drain(persist_transactions_to_data_lake(
+        tx, output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
+    return _utc_ts(spark.read.parquet(f"{base}/out"))
+
+
+def q_bronze_ingest(spark, sf_dir):
+    base, stream = _replay(spark, sf_dir, "bronze-ingest", sentinel=False)
+    drain(persist_transactions_to_data_lake(
+        read_bronze(spark, records=stream), output_path=f"{base}/bronze",
+        checkpoint_path=f"{base}/ckpt", partition_by=["ingest_date"], available_now=True))
+    bronze = spark.read.parquet(f"{base}/bronze")
+    return bronze.groupBy("topic", "partition").agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.min("offset").alias("min_offset"),
+        F.max("offset").alias("max_offset"),
+        F.sum(F.length("value")).cast("long").alias("value_bytes"),
+    )
+
+
+QUERIES.update({
+    "high_risk_stream": q_high_risk_stream,
+    "risk_messages_stream": q_risk_messages_stream,
+    "alert_stream": q_alert_stream,
+    "lake_roundtrip": q_lake_roundtrip,
+    "dedup_stream": q_dedup_stream,
+    "bronze_ingest": q_bronze_ingest,
+})

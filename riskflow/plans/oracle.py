@@ -151,3 +151,26 @@ SELECT window_start, window_end, user_id,
        || ' | Amount=' || CAST(total_amount AS VARCHAR) AS alert_text
 FROM risk""",
 }
+
+ORACLE.update({
+    "high_risk_stream": f"""
+WITH {DIRTY}, {PARSED}, {VALID}, {RISK_VALID}
+SELECT * FROM risk""",
+
+    "risk_messages_stream": ORACLE["risk_alert_messages"],
+
+    "alert_stream": ORACLE["alert_text"],
+
+    "lake_roundtrip": f"""
+WITH {DIRTY}, {PARSED}, {VALID}
+SELECT *, CAST("timestamp" AS DATE) AS event_date FROM valid""",
+
+    "dedup_stream": ORACLE["dedup_transactions"],
+
+    "bronze_ingest": f"""
+WITH {DIRTY}
+SELECT event_type AS topic, CAST(src_user_id % 4 AS INTEGER) AS "partition",
+       COUNT(*) AS n_records, MIN(event_id) AS min_offset, MAX(event_id) AS max_offset,
+       CAST(SUM(strlen({WIRE_JSON})) AS BIGINT) AS value_bytes
+FROM dirty GROUP BY 1, 2""",
+})

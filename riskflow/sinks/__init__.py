@@ -1,0 +1 @@
+"""Sinks: Kafka topics, parquet lake, per-batch alert table."""
