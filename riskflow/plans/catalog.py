@@ -17,6 +17,7 @@ from pyspark.sql.types import DecimalType, LongType, StringType, StructField, St
 
 from riskflow.config import FIXTURE_PARAMS
 from riskflow.functions.columns import flatten_window, utc_wall_clock
+from riskflow.operators import contracts
 from riskflow.operators.enrich import augment_with_profile, augment_with_self_profile
 from riskflow.operators.messages import alert_messages, to_kafka_messages
 from riskflow.operators.risk import detect_high_risk, window_totals
@@ -255,3 +256,45 @@ QUERIES.update({
     "dedup_stream": q_dedup_stream,
     "bronze_ingest": q_bronze_ingest,
 })
+
+
+# --- R2-R6, P12, X1, X2: schema contracts over observed payloads -----------
+# The catalog is derived from the data: payload rows of ``events`` -> observed
+# fields (R5) -> definitions in the registry format -> flattened again (R2).
+
+def _observed(spark, sf_dir):
+    return contracts.observed_schema(fixtures.schema_payloads(_events(spark, sf_dir)))
+
+
+def _catalog(spark, sf_dir):
+    return contracts.definitions_from_fields(_observed(spark, sf_dir))
+
+
+def q_observed_schema(spark, sf_dir):
+    return _observed(spark, sf_dir)
+
+
+def q_schema_fields(spark, sf_dir):
+    return contracts.flatten_definitions(_catalog(spark, sf_dir))
+
+
+def q_schema_fingerprint(spark, sf_dir):
+    return contracts.schema_fingerprints(contracts.flatten_definitions(_catalog(spark, sf_dir)))
+
+
+def q_schema_latest(spark, sf_dir):
+    return contracts.latest_versions(_catalog(spark, sf_dir))
+
+
+def q_schema_breaking_changes(spark, sf_dir):
+    catalog = _catalog(spark, sf_dir)
+    return contracts.breaking_changes(contracts.flatten_definitions(catalog), versions=catalog)
+
+
+QUERIES.update({
+    "observed_schema": q_observed_schema,
+    "schema_fields": q_schema_fields,
+    "schema_fingerprint": q_schema_fingerprint,
+    "schema_latest": q_schema_latest,
+    "schema_breaking_changes": q_schema_breaking_changes,
+})

@@ -174,3 +174,81 @@ SELECT event_type AS topic, CAST(src_user_id % 4 AS INTEGER) AS "partition",
        CAST(SUM(strlen({WIRE_JSON})) AS BIGINT) AS value_bytes
 FROM dirty GROUP BY 1, 2""",
 })
+
+# Payloads by version (same drift rule), then a recursive walk over the JSON.
+PAYLOADS = """payloads AS (
+  SELECT event_type AS topic,
+         CAST(floor(datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 7) + 1 AS INTEGER) AS version,
+         event_id, props, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type
+  FROM events
+), shaped AS (
+  SELECT topic, version,
+         CASE WHEN version <= 1 THEN props
+              WHEN version = 2 THEN json_object('k', k, 'src', json_object('app', event_type, 'rev', k % 3))
+              WHEN version = 3 THEN json_object('k', CAST(k AS VARCHAR), 'src', json_object('app', event_type, 'rev', k % 3))
+              ELSE json_object('k', CAST(k AS VARCHAR)) END AS payload
+  FROM payloads WHERE event_id % 23 <> 0
+)"""
+
+OBSERVED = """nodes(topic, version, field_path, j) AS (
+  SELECT topic, version, key, json_extract(payload, '$."' || key || '"')
+  FROM shaped, unnest(json_keys(payload)) AS t(key)
+  UNION ALL
+  SELECT topic, version, field_path || '.' || key, json_extract(j, '$."' || key || '"')
+  FROM nodes, unnest(json_keys(j)) AS t(key)
+  WHERE json_type(j) = 'OBJECT'
+), observed AS (
+  SELECT topic, version, field_path,
+         CASE WHEN bool_and(json_type(j) IN ('UBIGINT', 'BIGINT')) THEN 'BIGINT'
+              WHEN bool_and(json_type(j) = 'VARCHAR') THEN 'STRING'
+              WHEN bool_and(json_type(j) = 'BOOLEAN') THEN 'BOOLEAN'
+              ELSE 'VARIANT' END AS field_type,
+         COUNT(*) AS n_rows
+  FROM nodes WHERE json_type(j) <> 'OBJECT'
+  GROUP BY 1, 2, 3
+)"""
+
+ORACLE.update({
+    "observed_schema": f"""
+WITH RECURSIVE {PAYLOADS}, {OBSERVED}
+SELECT * FROM observed""",
+
+    "schema_fields": f"""
+WITH RECURSIVE {PAYLOADS}, {OBSERVED}
+SELECT topic, version, field_path, field_type FROM observed""",
+
+    "schema_fingerprint": f"""
+WITH RECURSIVE {PAYLOADS}, {OBSERVED}
+SELECT topic, version,
+       sha256(string_agg(field_path || ':' || field_type, chr(10)
+                         ORDER BY field_path || ':' || field_type)) AS fingerprint,
+       COUNT(*) AS n_fields
+FROM observed GROUP BY 1, 2""",
+
+    "schema_latest": f"""
+WITH RECURSIVE {PAYLOADS}, {OBSERVED}
+SELECT topic, MAX(version) AS latest_version, COUNT(DISTINCT version) AS n_versions,
+       MAX(version) + 1 AS next_version
+FROM observed GROUP BY 1""",
+
+    "schema_breaking_changes": f"""
+WITH RECURSIVE {PAYLOADS}, {OBSERVED},
+versions AS (SELECT DISTINCT topic, version FROM observed),
+pairs AS (
+  SELECT * FROM (
+    SELECT topic, LAG(version) OVER (PARTITION BY topic ORDER BY version) AS old_version,
+           version AS new_version FROM versions) p
+  WHERE old_version IS NOT NULL
+    AND EXISTS (SELECT 1 FROM observed o WHERE o.topic = p.topic AND o.version = p.old_version)
+),
+o AS (SELECT p.*, f.field_path, f.field_type AS old_type FROM pairs p
+      JOIN observed f ON f.topic = p.topic AND f.version = p.old_version),
+n AS (SELECT p.*, f.field_path, f.field_type AS new_type FROM pairs p
+      JOIN observed f ON f.topic = p.topic AND f.version = p.new_version)
+SELECT o.topic, o.old_version, o.new_version,
+       CASE WHEN n.field_path IS NULL THEN 'removed' ELSE 'type_changed' END AS change,
+       o.field_path, o.old_type, n.new_type
+FROM o LEFT JOIN n ON o.topic = n.topic AND o.old_version = n.old_version
+                  AND o.new_version = n.new_version AND o.field_path = n.field_path
+WHERE n.field_path IS NULL OR o.old_type IS DISTINCT FROM n.new_type""",
+})

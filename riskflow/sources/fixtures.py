@@ -99,3 +99,33 @@ def user_profiles(customer: DataFrame) -> DataFrame:
         F.col("c_custkey").cast("string").alias("user_id"),
         F.col("c_mktsegment").alias("risk_category"),
     )
+
+
+# --- fixed values: schema drift of events.props by week (FIXTURES.md C) ----
+DRIFT_EPOCH = "2024-01-01"
+# v1 {"k": n}; v2 adds src {app, rev}; v3 makes k a string; v4 drops src; v5+ as v4
+# ---------------------------------------------------------------------------
+
+
+def schema_version(ts_col="ts"):
+    """1 + whole weeks since the drift epoch."""
+    days = F.datediff(F.col(ts_col).cast("date"), F.lit(DRIFT_EPOCH).cast("date"))
+    return (F.floor(days / 7) + 1).cast("int")
+
+
+def schema_payloads(events: DataFrame) -> DataFrame:
+    """``(topic, version, payload)``: ``props`` rewritten per version so the
+    observed schema drifts; every 23rd event carries an unparsable payload."""
+    version = schema_version()
+    k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
+    src = F.struct(F.col("event_type").alias("app"), (k % 3).alias("rev")).alias("src")
+    payload = (
+        F.when(F.col("event_id") % MALFORMED_JSON_EVERY == 0,
+               F.concat(F.lit('{"k": '), k.cast("string")))
+        .when(version <= 1, F.col("props"))
+        .when(version == 2, F.to_json(F.struct(k.alias("k"), src)))
+        .when(version == 3, F.to_json(F.struct(k.cast("string").alias("k"), src)))
+        .otherwise(F.to_json(F.struct(k.cast("string").alias("k"))))
+    )
+    return events.select(F.col("event_type").alias("topic"), version.alias("version"),
+                         payload.alias("payload"))
