@@ -17,7 +17,8 @@ from pyspark.sql.types import DecimalType, LongType, StringType, StructField, St
 
 from riskflow.config import FIXTURE_PARAMS
 from riskflow.functions.columns import flatten_window, utc_wall_clock
-from riskflow.operators import contracts
+from riskflow.operators import cdc, contracts, lineage
+from riskflow.operators.storage_estimate import estimate_storage
 from riskflow.operators.enrich import augment_with_profile, augment_with_self_profile
 from riskflow.operators.messages import alert_messages, to_kafka_messages
 from riskflow.operators.risk import detect_high_risk, window_totals
@@ -298,3 +299,59 @@ QUERIES.update({
     "schema_latest": q_schema_latest,
     "schema_breaking_changes": q_schema_breaking_changes,
 })
+
+
+# --- R7-R9: lineage over the star-schema edge log --------------------------
+
+def _edges(spark, sf_dir):
+    log = fixtures.lineage_edge_log(sf_table(spark, sf_dir, "lineitem"),
+                                    sf_table(spark, sf_dir, "orders"),
+                                    sf_table(spark, sf_dir, "part"))
+    return lineage.latest_edges(log)
+
+
+def q_lineage_edges_latest(spark, sf_dir):
+    return _edges(spark, sf_dir)
+
+
+def q_lineage_upstream(spark, sf_dir):
+    """Upstream lineage of every customer node."""
+    targets = sf_table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("customer:"), F.col("c_custkey").cast("string")).alias("node"))
+    return lineage.upstream_lineage(_edges(spark, sf_dir), targets)
+
+
+def q_lineage_downstream(spark, sf_dir):
+    """Impact of every part node."""
+    origins = sf_table(spark, sf_dir, "part").select(
+        F.concat(F.lit("part:"), F.col("p_partkey").cast("string")).alias("node"))
+    return lineage.downstream_lineage(_edges(spark, sf_dir), origins)
+
+
+# --- S5: CDC fold; R1: storage estimate -------------------------------------
+
+def q_cdc_current_state(spark, sf_dir):
+    return cdc.current_state(fixtures.change_log(_events(spark, sf_dir)))
+
+
+def q_cdc_snapshot_stream(spark, sf_dir):
+    base = scratch_path(spark, "cdc-snapshot")
+    fixtures.change_log(_events(spark, sf_dir)).write.parquet(f"{base}/log")
+    schema = spark.read.parquet(f"{base}/log").schema
+    stream = spark.readStream.schema(schema).parquet(f"{base}/log")
+    drain(cdc.start_snapshot_stream(stream, f"{base}/snapshot", f"{base}/ckpt", available_now=True))
+    return cdc.read_snapshot(spark, f"{base}/snapshot")
+
+
+def q_estimate_storage(spark, sf_dir):
+    return estimate_storage(sf_table(spark, sf_dir, "lineitem"))
+
+
+QUERIES.update({
+    "lineage_edges_latest": q_lineage_edges_latest,
+    "lineage_upstream": q_lineage_upstream,
+    "lineage_downstream": q_lineage_downstream,
+    "cdc_current_state": q_cdc_current_state,
+    "cdc_snapshot_stream": q_cdc_snapshot_stream,
+    "estimate_storage": q_estimate_storage,
+})

@@ -252,3 +252,76 @@ FROM o LEFT JOIN n ON o.topic = n.topic AND o.old_version = n.old_version
                   AND o.new_version = n.new_version AND o.field_path = n.field_path
 WHERE n.field_path IS NULL OR o.old_type IS DISTINCT FROM n.new_type""",
 })
+
+EDGES = """edge_log AS (
+  SELECT 'supplier:' || l_suppkey AS source_id, 'part:' || l_partkey AS target_id,
+         'supply' AS transformation_type,
+         '{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber
+           || ',"l_quantity":' || l_quantity || '}' AS details,
+         l_shipdate AS ts, l_orderkey * 100 + l_linenumber AS seq
+  FROM lineitem
+  UNION ALL
+  SELECT 'part:' || l_partkey, 'order:' || l_orderkey, 'line',
+         '{"l_linenumber":' || l_linenumber || ',"l_extendedprice":' || l_extendedprice
+           || ',"l_discount":' || l_discount || '}',
+         l_shipdate, l_orderkey * 100 + l_linenumber
+  FROM lineitem
+  UNION ALL
+  SELECT 'order:' || o_orderkey, 'customer:' || o_custkey, 'purchase',
+         '{"o_orderstatus":"' || o_orderstatus || '","o_totalprice":' || o_totalprice || '}',
+         o_orderdate, o_orderkey
+  FROM orders
+  UNION ALL
+  SELECT 'customer:' || o_custkey, 'order:' || o_orderkey, 'reorder',
+         '{"o_orderpriority":"' || o_orderpriority || '"}', o_orderdate, o_orderkey
+  FROM orders
+  UNION ALL
+  SELECT 'part:' || p_partkey, 'part:' || p_partkey, 'revision',
+         '{"p_size":' || p_size || ',"p_retailprice":' || p_retailprice || '}',
+         TIMESTAMP '2000-01-01 00:00:00', p_partkey
+  FROM part
+), edges AS (
+  SELECT source_id, target_id, transformation_type, details, ts FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY source_id, target_id ORDER BY ts DESC, seq DESC) AS rn
+    FROM edge_log) x
+  WHERE rn = 1
+)"""
+
+# The oracle walks with UNION over (root, node, depth) and a depth bound of 12,
+# then keeps the minimum depth; the graph's longest shortest path is 4, so the
+# bound only stops the cycles from repeating forever. (Oracle only: the Spark
+# walk has no bound, it stops when no new node is reached.)
+_REACH = """reach(root, node, depth) AS (
+  SELECT root, root, 0 FROM roots
+  UNION
+  SELECT r.root, e.{far}, r.depth + 1 FROM reach r JOIN edges e ON e.{near} = r.node
+  WHERE r.depth < 12
+), reach_min AS (SELECT root, node, MIN(depth) AS depth FROM reach GROUP BY 1, 2)"""
+
+ORACLE.update({
+    "lineage_edges_latest": f"WITH {EDGES} SELECT * FROM edges",
+
+    "lineage_upstream": f"""
+WITH RECURSIVE {EDGES},
+roots AS (SELECT 'customer:' || c_custkey AS root FROM customer),
+{_REACH.format(far="source_id", near="target_id")}
+SELECT r.root AS target, e.source_id, e.target_id, r.depth, e.transformation_type, e.details
+FROM reach_min r JOIN edges e ON e.target_id = r.node""",
+
+    "lineage_downstream": f"""
+WITH RECURSIVE {EDGES},
+roots AS (SELECT 'part:' || p_partkey AS root FROM part),
+{_REACH.format(far="target_id", near="source_id")}
+SELECT r.root AS origin, e.source_id, e.target_id, r.depth, e.transformation_type, e.details
+FROM reach_min r JOIN edges e ON e.source_id = r.node""",
+
+    "cdc_current_state": """
+SELECT key, op, ts, seq, event_type, value, props FROM (
+  SELECT user_id AS key,
+         CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op,
+         ts, event_id AS seq, event_type, value, props,
+         ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) x
+WHERE rn = 1 AND op <> 'd'""",
+})
+ORACLE["cdc_snapshot_stream"] = ORACLE["cdc_current_state"]

@@ -129,3 +129,67 @@ def schema_payloads(events: DataFrame) -> DataFrame:
     )
     return events.select(F.col("event_type").alias("topic"), version.alias("version"),
                          payload.alias("payload"))
+
+
+# --- fixed values: lineage graph over the star schema (FIXTURES.md C) -------
+SELF_EDGE_TIME = "2000-01-01 00:00:00"
+# supplier:k -> part:k (supply), part:k -> order:k (line), order:k -> customer:k
+# (purchase), back edge customer:k -> order:k (reorder), self edge part:k -> part:k
+# ---------------------------------------------------------------------------
+
+
+def _node(kind: str, col: str):
+    return F.concat(F.lit(kind + ":"), F.col(col).cast("string"))
+
+
+def lineage_edge_log(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
+    """Edge log ``(source_id, target_id, transformation_type, details, ts, seq)``.
+
+    One record per line item for supplier -> part and part -> order (a pair
+    recorded again supersedes the earlier record), one per order for order ->
+    customer and its back edge (cycles), one self edge per part.
+    """
+    line_seq = F.col("l_orderkey") * 100 + F.col("l_linenumber")
+    supply = lineitem.select(
+        _node("supplier", "l_suppkey").alias("source_id"), _node("part", "l_partkey").alias("target_id"),
+        F.lit("supply").alias("transformation_type"),
+        F.to_json(F.struct("l_orderkey", "l_linenumber", "l_quantity")).alias("details"),
+        F.col("l_shipdate").alias("ts"), line_seq.alias("seq"))
+    line = lineitem.select(
+        _node("part", "l_partkey").alias("source_id"), _node("order", "l_orderkey").alias("target_id"),
+        F.lit("line").alias("transformation_type"),
+        F.to_json(F.struct("l_linenumber", "l_extendedprice", "l_discount")).alias("details"),
+        F.col("l_shipdate").alias("ts"), line_seq.alias("seq"))
+    purchase = orders.select(
+        _node("order", "o_orderkey").alias("source_id"), _node("customer", "o_custkey").alias("target_id"),
+        F.lit("purchase").alias("transformation_type"),
+        F.to_json(F.struct("o_orderstatus", "o_totalprice")).alias("details"),
+        F.col("o_orderdate").alias("ts"), F.col("o_orderkey").alias("seq"))
+    reorder = orders.select(
+        _node("customer", "o_custkey").alias("source_id"), _node("order", "o_orderkey").alias("target_id"),
+        F.lit("reorder").alias("transformation_type"),
+        F.to_json(F.struct("o_orderpriority")).alias("details"),
+        F.col("o_orderdate").alias("ts"), F.col("o_orderkey").alias("seq"))
+    revision = part.select(
+        _node("part", "p_partkey").alias("source_id"), _node("part", "p_partkey").alias("target_id"),
+        F.lit("revision").alias("transformation_type"),
+        F.to_json(F.struct("p_size", "p_retailprice")).alias("details"),
+        F.lit(SELF_EDGE_TIME).cast("timestamp_ntz").alias("ts"), F.col("p_partkey").alias("seq"))
+    return supply.unionByName(line).unionByName(purchase).unionByName(reorder).unionByName(revision)
+
+
+# --- fixed values: CDC operation per event type (FIXTURES.md C) -------------
+CDC_CREATE_TYPE = "signup"
+CDC_DELETE_TYPE = "error"
+# every other event type is an update
+# ---------------------------------------------------------------------------
+
+
+def change_log(events: DataFrame) -> DataFrame:
+    """Change log keyed by user: ``(key, op, ts, seq, after)``."""
+    op = (F.when(F.col("event_type") == CDC_CREATE_TYPE, F.lit("c"))
+          .when(F.col("event_type") == CDC_DELETE_TYPE, F.lit("d"))
+          .otherwise(F.lit("u")))
+    after = F.when(op != "d", F.struct("event_type", "value", "props"))
+    return events.select(F.col("user_id").alias("key"), op.alias("op"), F.col("ts"),
+                         F.col("event_id").alias("seq"), after.alias("after"))
