@@ -1,6 +1,6 @@
 """Parse, watermark, validate, audit and de-duplicate transactions.
 
-All of it is row-local (Project/Filter) except de-duplication, so it fuses into
+All of it is row-local (Generate/Project/Filter) except de-duplication, so it fuses into
 one whole-stage-codegen span right after the scan. ``from_json`` runs in the
 JVM; only the columns of the declared schema are materialised.
 """
@@ -31,8 +31,19 @@ def parse_transactions(raw: DataFrame, schema: StructType = TRANSACTION_SCHEMA,
     PERMISSIVE: malformed text, ``{}`` and arrays give all-NULL fields; a NULL
     value gives NULL fields. ``keep`` passes envelope columns through.
     """
-    parsed = F.from_json(F.col(value_col).cast("string"), schema).alias("data")
-    return raw.select(*keep, parsed).select(*keep, "data.*")
+    return raw.select(*keep, flatten_parsed(F.from_json(F.col(value_col).cast("string"), schema)))
+
+
+def flatten_parsed(struct_col: Column) -> Column:
+    """Spread a parsed struct into columns through a one-row generator.
+
+    With ``select("data.*")`` the optimizer pushes later filters on the fields
+    below the parse and rewrites each into its own ``from_json`` (one JSON
+    scan per predicate, plus the real one). A filter on generator output is
+    not pushed below the generator, so the JSON is parsed exactly once per
+    row; a NULL struct still gives one row of NULLs.
+    """
+    return F.inline(F.array(struct_col))
 
 
 def with_event_time_watermark(tx: DataFrame, params: RiskParams = RiskParams(),

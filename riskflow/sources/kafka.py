@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from riskflow.config import DEFAULT_BOOTSTRAP_SERVERS, DEFAULT_INPUT_TOPIC
+from riskflow.operators.validate import flatten_parsed
 from riskflow.schemas import KAFKA_RECORD_SCHEMA
 
 
@@ -72,9 +73,7 @@ def decode_envelope(records: DataFrame, value_schema: StructType | None = None,
     )
     if value_schema is None:
         return decoded
-    return (decoded
-            .select("key", *keep, F.from_json(F.col("value"), value_schema).alias("value"))
-            .select("key", *keep, "value.*"))
+    return decoded.select("key", *keep, flatten_parsed(F.from_json(F.col("value"), value_schema)))
 
 
 def read_raw_transactions(spark: SparkSession,
