@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskflow.session import checkpoint_root
+
 # --- leaf rule (fixed): a value is a leaf unless it is an object whose
 # ``type`` is missing or not a string --------------------------------------
 _IS_GROUP = ("(schema_of_variant({v}) LIKE 'OBJECT%' AND "
@@ -118,6 +120,8 @@ def definitions_from_fields(fields: DataFrame) -> DataFrame:
     Built bottom-up, one aggregation per nesting level, on the (small) field
     table; keys are sorted so equal schemas give equal text.
     """
+    checkpoint_root(fields.sparkSession)
+    fields = fields.checkpoint()  # small; read once per level below
     parts = fields.select("topic", "version", F.split("field_path", r"\.").alias("p"),
                           F.to_json(F.struct(F.col("field_type").alias("type"))).alias("j"))
     depth_row = parts.agg(F.max(F.size("p")).alias("d")).first()
@@ -211,7 +215,9 @@ def breaking_changes(fields: DataFrame, versions: DataFrame | None = None,
     no changes; an empty new one gives every old field as removed. Types are
     compared by name, NULL-safe; ``VOID`` (only NULLs seen) is not a change.
     """
-    pairs = version_pairs(versions if versions is not None else fields, strict_adjacent)
+    checkpoint_root(fields.sparkSession)
+    fields = fields.checkpoint()  # small; joined three times below
+    pairs = version_pairs(versions if versions is not None else fields, strict_adjacent).checkpoint()
     old_nonempty = fields.select("topic", F.col("version").alias("old_version")).distinct()
     pairs = pairs.join(old_nonempty, ["topic", "old_version"], "left_semi")
     f = fields.select("topic", F.col("version").cast("int").alias("version"), "field_path", "field_type")

@@ -37,27 +37,40 @@ def latest_edges(edge_log: DataFrame) -> DataFrame:
 
 
 def _closure(edges: DataFrame, roots: DataFrame, upstream: bool) -> DataFrame:
-    """``(root, node, depth)`` for every node reachable from each root."""
-    checkpoint_root(edges.sparkSession)
+    """``(root, node, depth)`` for every node reachable from each root that can
+    lead further (has an edge onward), plus the roots themselves.
+
+    Dead ends (nodes with no edge onward, e.g. pure sources upstream) are not
+    carried in the frontier or the visited set: they add no output row of
+    their own (their edges into reached nodes are still listed) and would
+    otherwise dominate the visited set.
+    """
+    spark = edges.sparkSession
+    checkpoint_root(spark)
     near, far = ("target_id", "source_id") if upstream else ("source_id", "target_id")
     hops = edges.select(F.col(near).alias("node"), F.col(far).alias("next")).distinct()
-    visited = roots.select(F.col("root"), F.col("root").alias("node"),
-                           F.lit(0).alias("depth")).distinct().checkpoint()
-    frontier = visited
+    onward = edges.select(F.col(near).alias("next")).distinct()
+    hops = hops.join(onward, "next", "left_semi").checkpoint()  # reused every round
+    frontier = roots.select("root", F.col("root").alias("node")).distinct().checkpoint()
+    levels = [frontier.withColumn("depth", F.lit(0))]
+    visited = frontier
     depth = 0
     while True:
         depth += 1
         step = (frontier.join(hops, "node")
                 .select("root", F.col("next").alias("node"))
                 .distinct()
-                .join(visited.select("root", "node"), ["root", "node"], "left_anti")
-                .withColumn("depth", F.lit(depth))
+                .join(visited, ["root", "node"], "left_anti")
                 .checkpoint())
         if step.isEmpty():
             break
-        visited = visited.unionByName(step).checkpoint()
+        levels.append(step.withColumn("depth", F.lit(depth)))
+        visited = visited.unionByName(step)
         frontier = step
-    return visited
+    out = levels[0]
+    for lv in levels[1:]:
+        out = out.unionByName(lv)
+    return out
 
 
 def _lineage(edges: DataFrame, targets: DataFrame, upstream: bool) -> DataFrame:
