@@ -56,7 +56,7 @@ def augment_with_profile(tx: DataFrame, profile: DataFrame,
         salt = F.pmod(F.xxhash64(F.col("transaction_id")), F.lit(salt_buckets))
         salted_tx = tx.withColumn("_salt", salt)
         salted_profile = profile.withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).cast("long"))
+            "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>")))
         joined = salted_tx.join(salted_profile, on=[key, "_salt"], how="left").drop("_salt")
     else:
         joined = tx.join(profile, on=key, how="left")

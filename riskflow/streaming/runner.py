@@ -14,10 +14,16 @@ def await_any_termination(queries: list[StreamingQuery], timeout: float | None =
     if not queries:
         return None
     spark = queries[0].sparkSession
-    if timeout is None:
-        spark.streams.awaitAnyTermination()
-    else:
-        spark.streams.awaitAnyTermination(int(timeout))
+    try:
+        if timeout is None:
+            spark.streams.awaitAnyTermination()
+        else:
+            spark.streams.awaitAnyTermination(int(timeout))
+    except Exception:
+        for other in queries:
+            if other.isActive:
+                other.stop()
+        raise
     for q in queries:
         if not q.isActive:
             err = q.exception()
