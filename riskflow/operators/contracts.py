@@ -78,7 +78,10 @@ def flatten_definitions(catalog: DataFrame) -> DataFrame:
     unparsable definitions give no rows.
     """
     spark: SparkSession = catalog.sparkSession
-    src = catalog.select("topic", F.col("version").cast("int").alias("version"), "definition")
+    checkpoint_root(spark)
+    # The recursive walk reads its anchor more than once: materialise the
+    # (schema-sized) catalog first so its upstream plan runs once.
+    src = catalog.select("topic", F.col("version").cast("int").alias("version"), "definition").checkpoint()
     return spark.sql(_FLATTEN_SQL, src=src)
 
 
@@ -107,7 +110,10 @@ def observed_schema(payloads: DataFrame, topic_col="topic", version_col="version
     number of payloads holding the path.
     """
     spark = payloads.sparkSession
-    shapes = payload_shapes(payloads, topic_col, version_col, payload_col)
+    checkpoint_root(spark)
+    # One row per (topic, version, shape): tiny, and the recursive walk reads
+    # its anchor more than once, so the scan of all payloads runs only here.
+    shapes = payload_shapes(payloads, topic_col, version_col, payload_col).checkpoint()
     leaves = spark.sql(_OBSERVED_SQL, src=shapes)
     return (leaves.groupBy("topic", "version", "field_path")
             .agg(F.expr("schema_of_variant_agg(v)").alias("field_type"),
