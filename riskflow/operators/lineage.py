@@ -23,6 +23,27 @@ from riskflow.session import checkpoint_root
 EDGE_COLUMNS = ("source_id", "target_id", "transformation_type", "details", "ts")
 
 
+def record_edges(edge_log: DataFrame, new_edges: DataFrame) -> DataFrame:
+    """Append transformation records to an edge log.
+
+    ``new_edges`` has ``source_id, target_id, transformation_type`` and
+    optionally ``details`` (any column, stored as JSON text), ``ts`` (default:
+    now) and ``seq`` (default: a per-record id, for ties within one ``ts``).
+    """
+    cols = {}
+    if "details" in new_edges.columns:
+        d = new_edges.schema["details"].dataType.simpleString()
+        cols["details"] = F.col("details") if d == "string" else F.to_json(F.col("details"))
+    else:
+        cols["details"] = F.lit(None).cast("string")
+    if "ts" not in new_edges.columns:
+        cols["ts"] = F.localtimestamp()
+    if "seq" not in new_edges.columns:
+        cols["seq"] = F.monotonically_increasing_id()
+    rows = new_edges.withColumns(cols).select(*edge_log.columns)
+    return edge_log.unionByName(rows)
+
+
 def latest_edges(edge_log: DataFrame) -> DataFrame:
     """One row per (source_id, target_id): the latest record by (ts, seq).
 

@@ -62,3 +62,11 @@ def estimate_storage(df: DataFrame, sample_size_rows: int = DEFAULT_ESTIMATE_SAM
             raise
         log.exception("storage estimate failed")
         return spark.createDataFrame([(None, None, None, -1)], RESULT_SCHEMA)
+
+
+def estimate_parquet_storage(df: DataFrame, sample_size_rows: int = DEFAULT_ESTIMATE_SAMPLE_ROWS,
+                             **kw) -> int:
+    """Estimated parquet bytes as an int; -1 on failure, 0 for an empty input."""
+    kw.setdefault("on_error", "minus_one")
+    row = estimate_storage(df, sample_size_rows, **kw).first()
+    return int(row["estimated_bytes"])

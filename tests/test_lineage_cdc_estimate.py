@@ -102,3 +102,19 @@ def test_estimate_storage(spark, scratch):
     assert empty["estimated_bytes"] == 0
     bad = estimate_storage(li, method="nope", on_error="minus_one").collect()[0]
     assert bad["estimated_bytes"] == -1
+
+
+def test_record_edges_then_latest(spark):
+    log = edge_log(spark, [("a", "b", "copy", {"v": 1})])
+    new = spark.createDataFrame([("a", "b", "copy", {"v": "2"}), ("b", "c", "agg", {"v": "3"})],
+                                "source_id string, target_id string, transformation_type string, details map<string,string>")
+    latest = {(r["source_id"], r["target_id"]): r["details"]
+              for r in lineage.latest_edges(lineage.record_edges(log, new)).collect()}
+    assert latest == {("a", "b"): '{"v":"2"}', ("b", "c"): '{"v":"3"}'}
+
+
+def test_estimate_int_wrapper(spark):
+    from riskflow.operators.storage_estimate import estimate_parquet_storage
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    assert estimate_parquet_storage(li) > 0
+    assert estimate_parquet_storage(li.where(F.lit(False))) == 0

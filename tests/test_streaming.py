@@ -192,3 +192,15 @@ def test_cdc_snapshot_stream_keeps_tombstones(spark, scratch):
     assert [(r["key"], r["v"]) for r in live] == [(2, "b2")]
     batch = cdc.current_state(spark.createDataFrame([r for b in batches for r in b], schema))
     assert [(r["key"], r["v"]) for r in batch.collect()] == [(2, "b2")]
+
+
+def test_stream_static_profile_join(spark, scratch):
+    glob = write_batches(spark, scratch, [[("a", "u1", 1, "00:00:10"), ("b", "u9", 2, "00:00:20")]])
+    profile = spark.createDataFrame([("u1", "RETAIL")], "user_id string, risk_category string")
+    tx = prepare_transactions(replay_stream(spark, glob), RiskParams(), profile=profile,
+                              default_category="UNKNOWN")
+    q = (tx.writeStream.format("memory").queryName("enriched_stream")
+         .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+    drain(q)
+    got = {r["transaction_id"]: r["risk_category"] for r in spark.table("enriched_stream").collect()}
+    assert got == {"a": "RETAIL", "b": "UNKNOWN"}
