@@ -96,6 +96,10 @@ def _closure(edges: DataFrame, roots: DataFrame, upstream: bool) -> DataFrame:
 
 def _lineage(edges: DataFrame, targets: DataFrame, upstream: bool) -> DataFrame:
     roots = targets.select(F.col(targets.columns[0]).alias("root"))
+    checkpoint_root(edges.sparkSession)
+    # Read twice (hop table, final join): materialise once instead of
+    # re-running the edge log's aggregation.
+    edges = edges.checkpoint()
     reach = _closure(edges, roots, upstream)
     key = "target_id" if upstream else "source_id"
     return (reach.join(edges, reach["node"] == edges[key])

@@ -33,3 +33,14 @@ def test_query_matches_oracle(spark, con, name):
         return
     info = compare(spark, SF_SMALL, name, QUERIES[name], ORACLE[name], con)
     assert info["ok"], info
+
+
+@pytest.mark.parametrize("name", ["kafka_typed_decode", "risk_alert_messages", "high_risk_stream", "lake_roundtrip"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        info = compare(spark, SF_SMALL, name, QUERIES[name], ORACLE[name], con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert info["ok"], info
