@@ -32,7 +32,7 @@ from riskflow.plans.risk_flow import prepare_transactions, risk_from_records, ri
 from riskflow.schemas import TRANSACTION_SCHEMA
 from riskflow.session import scratch_path, sf_table
 from riskflow.sinks.alerts import start_high_risk_alert_stream
-from riskflow.sinks.kafka import write_high_risk_transactions
+from riskflow.sinks.kafka import write_high_risk_transactions, write_lake_transactions_to_kafka
 from riskflow.sinks.lake import persist_transactions_to_data_lake, with_event_date
 from riskflow.sources import fixtures
 from riskflow.sources.kafka import decode_envelope, read_bronze
@@ -227,6 +227,18 @@ def q_lake_roundtrip(spark, sf_dir):
     return _utc_ts(spark.read.parquet(f"{base}/lake"))
 
 
+def q_lake_messages_stream(spark, sf_dir):
+    """Validated stream joined with the static profile, sent to the lake topic."""
+    base, stream = _replay(spark, sf_dir, "lake-messages-stream", sentinel=False)
+    profile = fixtures.user_profiles(sf_table(spark, sf_dir, "customer"))
+    tx = prepare_transactions(stream, PARAMS, profile=profile, default_category=UNKNOWN_CATEGORY)
+    drain(write_lake_transactions_to_kafka(
+        tx, fmt="parquet", path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
+    schema = StructType(TRANSACTION_SCHEMA.fields + [StructField("risk_category", StringType())])
+    msgs = spark.read.parquet(f"{base}/out")
+    return _utc_ts(msgs.select("key", F.from_json("value", schema).alias("v")).select("key", "v.*"))
+
+
 def q_dedup_stream(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "dedup-stream", sentinel=False)
     tx = prepare_transactions(stream, PARAMS, dedup=True)
@@ -254,6 +266,7 @@ QUERIES.update({
     "risk_messages_stream": q_risk_messages_stream,
     "alert_stream": q_alert_stream,
     "lake_roundtrip": q_lake_roundtrip,
+    "lake_messages_stream": q_lake_messages_stream,
     "dedup_stream": q_dedup_stream,
     "bronze_ingest": q_bronze_ingest,
 })

@@ -165,6 +165,8 @@ SELECT * FROM risk""",
 WITH {DIRTY}, {PARSED}, {VALID}
 SELECT *, CAST("timestamp" AS DATE) AS event_date FROM valid""",
 
+    "lake_messages_stream": ORACLE["lake_messages"],
+
     "dedup_stream": ORACLE["dedup_transactions"],
 
     "bronze_ingest": f"""
