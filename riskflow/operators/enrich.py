@@ -39,12 +39,14 @@ def augment_with_profile(tx: DataFrame, profile: DataFrame,
                          max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                          broadcast_profile: bool | None = None,
                          salt_buckets: int = 1,
-                         check_unique: bool = False,
+                         check_unique: bool = True,
                          key: str = "user_id") -> DataFrame:
     """Left outer join of transactions with ``profile(user_id, risk_category, ...)``.
 
     Unmatched transactions keep NULL profile columns, or ``default_category``
-    in ``risk_category`` when given.
+    in ``risk_category`` when given. ``check_unique`` (one aggregation job on
+    the dimension) refuses a profile with a repeated key, which would silently
+    duplicate transactions.
     """
     if check_unique and not profile_is_unique(profile, key):
         raise ProfileNotUniqueError(f"profile has repeated {key!r} values")

@@ -128,3 +128,14 @@ def test_observed_schema_and_definitions_round_trip(spark):
     back = {(r["version"], r["field_path"], r["field_type"])
             for r in contracts.flatten_definitions(defs).collect()}
     assert back == {(v, p, t) for v, p, t, _ in obs}
+
+
+def test_observed_types_merge_and_void_is_not_a_change(spark):
+    payloads = spark.createDataFrame([
+        ("t", 1, '{"k": 1, "n": null}'), ("t", 1, '{"k": 1.5, "n": null}'),
+        ("t", 2, '{"k": 2.5, "n": "x"}')], "topic string, version int, payload string")
+    obs = {(r["version"], r["field_path"]): r["field_type"]
+           for r in contracts.observed_schema(payloads).collect()}
+    assert obs[(1, "n")] == "VOID" and obs[(1, "k")].startswith("DECIMAL")
+    changes = contracts.breaking_changes(contracts.observed_schema(payloads)).collect()
+    assert all(r["field_path"] != "n" for r in changes)

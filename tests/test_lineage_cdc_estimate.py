@@ -118,3 +118,11 @@ def test_estimate_int_wrapper(spark):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     assert estimate_parquet_storage(li) > 0
     assert estimate_parquet_storage(li.where(F.lit(False))) == 0
+
+
+def test_estimate_scales_with_row_count(spark):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    one = estimate_storage(li, sample_size_rows=1000).first()
+    two = estimate_storage(li.unionByName(li), sample_size_rows=1000).first()
+    assert two["row_count"] == 2 * one["row_count"]
+    assert 1.5 < two["estimated_bytes"] / one["estimated_bytes"] < 2.5
