@@ -35,6 +35,7 @@ from riskflow.sinks.alerts import start_high_risk_alert_stream
 from riskflow.sinks.kafka import write_high_risk_transactions, write_lake_transactions_to_kafka
 from riskflow.sinks.lake import persist_transactions_to_data_lake, with_event_date
 from riskflow.sources import fixtures
+from riskflow.sources.cdc import decode_change_events
 from riskflow.sources.kafka import decode_envelope, read_bronze
 from riskflow.streaming.replay import replay_stream, write_replay
 from riskflow.streaming.runner import drain
@@ -347,6 +348,14 @@ def q_cdc_current_state(spark, sf_dir):
     return cdc.current_state(fixtures.change_log(_events(spark, sf_dir)))
 
 
+def q_cdc_change_events(spark, sf_dir):
+    """Change events of the captured table's topic decoded and folded."""
+    records = fixtures.change_event_records(_events(spark, sf_dir))
+    row = StructType.fromDDL("event_type string, value double, props string")
+    changes = decode_change_events(records, row, StructType.fromDDL("user_id bigint"), key_field="user_id")
+    return cdc.current_state(changes.drop("before"))
+
+
 def q_cdc_snapshot_stream(spark, sf_dir):
     base = scratch_path(spark, "cdc-snapshot")
     fixtures.change_log(_events(spark, sf_dir)).write.parquet(f"{base}/log")
@@ -365,6 +374,7 @@ QUERIES.update({
     "lineage_upstream": q_lineage_upstream,
     "lineage_downstream": q_lineage_downstream,
     "cdc_current_state": q_cdc_current_state,
+    "cdc_change_events": q_cdc_change_events,
     "cdc_snapshot_stream": q_cdc_snapshot_stream,
     "estimate_storage": q_estimate_storage,
 })

@@ -327,3 +327,14 @@ SELECT key, op, ts, seq, event_type, value, props FROM (
 WHERE rn = 1 AND op <> 'd'""",
 })
 ORACLE["cdc_snapshot_stream"] = ORACLE["cdc_current_state"]
+
+# Change events carry epoch milliseconds: the fold orders by (ts_ms, offset),
+# offset = 2 * event_id (+1 for tombstones), so the same rows win.
+ORACLE["cdc_change_events"] = """
+SELECT key, op, date_trunc('millisecond', ts) AS ts, 2 * seq AS seq, event_type, value, props FROM (
+  SELECT user_id AS key,
+         CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op,
+         ts, event_id AS seq, event_type, value, props,
+         ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY date_trunc('millisecond', ts) DESC, event_id DESC) AS rn
+  FROM events) x
+WHERE rn = 1 AND op <> 'd'"""

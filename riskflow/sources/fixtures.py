@@ -193,3 +193,33 @@ def change_log(events: DataFrame) -> DataFrame:
     after = F.when(op != "d", F.struct("event_type", "value", "props"))
     return events.select(F.col("user_id").alias("key"), op.alias("op"), F.col("ts"),
                          F.col("event_id").alias("seq"), after.alias("after"))
+
+
+# --- fixed values: CDC connector naming (topic prefix, captured table) -------
+CDC_CONNECTOR = {"topic.prefix": "myapp", "table.include.list": "inventory.customers"}
+# ---------------------------------------------------------------------------
+
+
+def change_event_records(events: DataFrame) -> DataFrame:
+    """The change log as connector rows of the captured table's topic: JSON key
+    ``{"user_id": n}``, envelope value with ``after`` (NULL for deletes),
+    ``op``, ``ts_ms``; every delete is followed by a tombstone (NULL value)."""
+    from riskflow.sources.cdc import cdc_topics
+
+    topic = cdc_topics(CDC_CONNECTOR)[0]
+    log = change_log(events)
+    ts_ms = F.unix_millis(as_utc_instant(F.col("ts")))
+    envelope = F.to_json(F.struct(
+        F.col("after"), F.col("op"), ts_ms.alias("ts_ms"),
+        F.struct(F.lit(CDC_CONNECTOR["table.include.list"]).alias("table")).alias("source")))
+    copies = F.explode(F.when(F.col("op") == "d", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    rows = log.select("*", copies.alias("copy"))
+    return rows.select(
+        F.to_json(F.struct(F.col("key").alias("user_id"))).cast("binary").alias("key"),
+        F.when(F.col("copy") == 0, envelope).cast("binary").alias("value"),
+        F.lit(topic).alias("topic"),
+        (F.col("key") % KAFKA_PARTITIONS).cast("int").alias("partition"),
+        (F.col("seq") * 2 + F.col("copy")).alias("offset"),
+        as_utc_instant(F.col("ts")).alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )

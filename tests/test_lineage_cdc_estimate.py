@@ -126,3 +126,18 @@ def test_estimate_scales_with_row_count(spark):
     two = estimate_storage(li.unionByName(li), sample_size_rows=1000).first()
     assert two["row_count"] == 2 * one["row_count"]
     assert 1.5 < two["estimated_bytes"] / one["estimated_bytes"] < 2.5
+
+
+def test_cdc_topics_and_change_event_decode(spark):
+    from pyspark.sql.types import StructType
+    from riskflow.sources.cdc import cdc_topics, decode_change_events
+    assert cdc_topics({"topic.prefix": "app", "table.include.list": "db.a, db.b"}) == ["app.db.a", "app.db.b"]
+    rows = [(b'{"id": 1}', b'{"after": {"v": "x"}, "op": "c", "ts_ms": 1000}', 0),
+            (b'{"id": 1}', b'{"before": {"v": "x"}, "op": "d", "ts_ms": 2000}', 1),
+            (b'{"id": 1}', None, 2),                                              # tombstone
+            (b'{"id": 2}', b'{"after": {"v": "y"}, "op": "r", "ts_ms": 1500}', 3)]
+    rec = spark.createDataFrame(rows, "key binary, value binary, offset long")
+    changes = decode_change_events(rec, StructType.fromDDL("v string"), StructType.fromDDL("id long"), "id")
+    assert changes.count() == 3
+    live = [(r["key"], r["op"], r["v"], r["ts"]) for r in cdc.current_state(changes.drop("before")).collect()]
+    assert live == [(2, "r", "y", dt.datetime(1970, 1, 1, 0, 0, 1, 500000))]
