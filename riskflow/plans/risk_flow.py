@@ -98,3 +98,52 @@ def start_risk_flow(open_records, params: RiskParams = RiskParams(), *,
         handles.queries["alerts"] = alert_sink(
             risk_from_records(open_records(), params, **prepare_kw))
     return handles
+
+
+def start_default_flow(spark, checkpoint_dir: str, params: RiskParams = RiskParams(), *,
+                       profile: DataFrame | None = None,
+                       bootstrap_servers: str | None = None, input_topic: str | None = None,
+                       starting_offsets: str = "latest",
+                       max_offsets_per_trigger: int | None = None,
+                       lake_topic: str = "transactions_lake", risk_topic: str | None = None,
+                       alerts_path: str | None = None,
+                       open_records=None, sink_format: str = "kafka", sink_dir: str | None = None,
+                       available_now: bool = False) -> RiskFlowHandles:
+    """The complete job with the default settings: Kafka transactions ->
+    validated, enriched rows to the lake topic; high-risk windows to the alert
+    sink (and to ``risk_topic`` when given). Each query checkpoints under
+    ``checkpoint_dir``; ``open_records``/``sink_format``/``sink_dir`` replace the
+    broker (tests, replays). Await with ``handles.await_any()``.
+    """
+    from riskflow.config import DEFAULT_BOOTSTRAP_SERVERS, DEFAULT_INPUT_TOPIC
+    from riskflow.sinks.alerts import start_high_risk_alert_stream
+    from riskflow.sinks.kafka import write_high_risk_transactions, write_lake_transactions_to_kafka
+    from riskflow.sources.kafka import kafka_source_options, open_kafka_stream
+
+    servers = bootstrap_servers or DEFAULT_BOOTSTRAP_SERVERS
+    if open_records is None:
+        opts = kafka_source_options(servers, input_topic or DEFAULT_INPUT_TOPIC, starting_offsets,
+                                    max_offsets_per_trigger)
+
+        def open_records():
+            return open_kafka_stream(spark, opts)
+
+    def sink_kw(name):
+        kw = {"bootstrap_servers": servers, "checkpoint_path": f"{checkpoint_dir}/{name}",
+              "fmt": sink_format, "available_now": available_now}
+        if sink_format != "kafka":
+            kw["path"] = f"{sink_dir}/{name}"
+        return kw
+
+    risk_sink = None
+    if risk_topic is not None:
+        def risk_sink(df):
+            return write_high_risk_transactions(df, output_topic=risk_topic, **sink_kw("risk"))
+
+    return start_risk_flow(
+        open_records, params, profile=profile,
+        lake_sink=lambda df: write_lake_transactions_to_kafka(df, output_topic=lake_topic, **sink_kw("lake")),
+        risk_sink=risk_sink,
+        alert_sink=lambda df: start_high_risk_alert_stream(
+            df, f"{checkpoint_dir}/alerts", alerts_path=alerts_path, available_now=available_now),
+    )

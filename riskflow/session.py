@@ -71,3 +71,30 @@ def local_fs_path(path: str) -> str:
 
 def sf_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def cluster_conf(shuffle_bytes: int, partition_bytes: int = 256 << 20,
+                 min_partitions: int = 200) -> dict[str, str]:
+    """Settings for a large cluster, sized from the expected shuffle volume.
+
+    Shuffle partitions are fixed for stateful streaming queries (they are kept
+    in the checkpoint), so they are sized up front from the data volume, about
+    ``partition_bytes`` each; AQE coalesces small ones and splits skewed ones
+    in batch jobs. Pass the result to ``SparkSession.builder.config(map=...)``.
+    """
+    parts = max(min_partitions, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.dynamicAllocation.enabled": "true",
+    }

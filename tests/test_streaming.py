@@ -29,7 +29,7 @@ def records(spark, rows):
     for i, (tid, uid, amount, hms) in enumerate(rows):
         value = json.dumps({"transaction_id": tid, "user_id": uid, "amount": amount,
                             "timestamp": f"2024-01-01T{hms}Z"})
-        out.append((uid.encode(), value.encode(), "t", 0, i, None, 0))
+        out.append((uid.encode() if uid else None, value.encode(), "t", 0, i, None, 0))
     return spark.createDataFrame(out, KAFKA_RECORD_SCHEMA)
 
 
@@ -204,3 +204,30 @@ def test_stream_static_profile_join(spark, scratch):
     drain(q)
     got = {r["transaction_id"]: r["risk_category"] for r in spark.table("enriched_stream").collect()}
     assert got == {"a": "RETAIL", "b": "UNKNOWN"}
+
+
+def test_default_flow_wiring(spark, scratch):
+    from riskflow.plans.risk_flow import start_default_flow
+    glob = write_batches(spark, scratch, [
+        [("a", "u", 200, "00:00:10"), ("b", "u", 200, "00:00:20"), ("x", None, 5, "00:00:30")],
+        [("s", "s", 0, "02:00:00")]])
+    params = RiskParams(window_duration="1 minute", amount_threshold=Decimal("300"))
+    handles = start_default_flow(
+        spark, f"{scratch}/ck", params, risk_topic="risk",
+        open_records=lambda: replay_stream(spark, glob, max_files_per_trigger=1),
+        sink_format="parquet", sink_dir=f"{scratch}/sinks", alerts_path=f"{scratch}/alerts",
+        available_now=True)
+    assert set(handles.queries) == {"lake", "risk", "alerts"}
+    for q in handles.queries.values():
+        drain(q)
+    assert spark.read.parquet(f"{scratch}/sinks/lake").count() == 3      # the NULL user is rejected
+    risk = spark.read.parquet(f"{scratch}/sinks/risk").collect()
+    assert [r["key"] for r in risk] == ["u"]
+    assert spark.read.parquet(f"{scratch}/alerts").count() == 1
+
+
+def test_cluster_conf_sizes_partitions():
+    from riskflow.session import cluster_conf
+    conf = cluster_conf(100 << 40)   # 100 TiB of shuffle
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
