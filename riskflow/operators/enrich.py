@@ -48,10 +48,16 @@ def augment_with_profile(tx: DataFrame, profile: DataFrame,
     the dimension) refuses a profile with a repeated key, which would silently
     duplicate transactions.
     """
-    if check_unique and not profile_is_unique(profile, key):
-        raise ProfileNotUniqueError(f"profile has repeated {key!r} values")
-    if broadcast_profile is None:
-        broadcast_profile = profile.count() <= max_broadcast_rows
+    if check_unique or broadcast_profile is None:
+        # one aggregation job on the dimension gives both its size and whether
+        # a key repeats
+        stats = (profile.groupBy(key).count()
+                 .agg(F.sum("count").alias("rows"), F.max("count").alias("max_per_key")).first())
+        rows, max_per_key = int(stats["rows"] or 0), int(stats["max_per_key"] or 0)
+        if check_unique and max_per_key > 1:
+            raise ProfileNotUniqueError(f"profile has repeated {key!r} values")
+        if broadcast_profile is None:
+            broadcast_profile = rows <= max_broadcast_rows
     if broadcast_profile:
         joined = tx.join(F.broadcast(profile), on=key, how="left")
     elif salt_buckets > 1:

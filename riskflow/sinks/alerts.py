@@ -25,13 +25,20 @@ def alert_batch_writer(alerts_path: str | None, log_limit: int = 20):
 
     def on_batch(batch_df: DataFrame, batch_id: int) -> None:
         alerts = alert_messages(batch_df).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        if alerts_path is not None:
+        if alerts_path is None:
+            shown = alerts.select("alert_text").take(log_limit) if log_limit > 0 else []
+        else:
             (alerts.write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(alerts_path))
-        if log_limit > 0:
-            for row in alerts.select("alert_text").take(log_limit):
-                log.warning(row["alert_text"])
+            shown = []
+            if log_limit > 0:
+                # read back the written partition: the batch plan runs once
+                written = (batch_df.sparkSession.read.schema(alerts.schema).parquet(alerts_path)
+                           .where(F.col("batch_id") == batch_id))
+                shown = written.select("alert_text").take(log_limit)
+        for row in shown:
+            log.warning(row["alert_text"])
 
     return on_batch
 

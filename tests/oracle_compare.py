@@ -78,7 +78,13 @@ def main(argv):
     from riskflow.session import local_session
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = local_session(8)
+    if os.environ.get("PLAIN_SESSION"):
+        # as a driver might: Spark defaults only (200 shuffle partitions)
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session(8)
     con = duck(sf_dir)
     qs, os_ = queries(), oracle_sql()
     bad = 0
