@@ -182,7 +182,7 @@ def register_versions(catalog: DataFrame, new: DataFrame,
     order = F.col(order_col) if order_col else F.monotonically_increasing_id()
     w = Window.partitionBy("topic", F.col("version").isNull()).orderBy(order)
     numbered = (new.withColumn("_ord", F.row_number().over(w))
-                .join(F.broadcast(latest), "topic", "left")
+                .join(latest, "topic", "left")
                 .withColumn("version", F.coalesce(
                     F.col("version").cast("int"),
                     (F.coalesce(F.col("latest_version"), F.lit(0)) + F.col("_ord")).cast("int")))
