@@ -38,9 +38,23 @@ def kafka_source_options(bootstrap_servers: str = DEFAULT_BOOTSTRAP_SERVERS,
     return opts
 
 
+KAFKA_PACKAGE_HINT = ("the Kafka source needs the Spark Kafka connector on the classpath, e.g. "
+                      "--packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>")
+
+
+class KafkaConnectorMissing(RuntimeError):
+    """The Kafka data source is not available in this Spark installation."""
+
+
 def open_kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """Raw connector rows of a Kafka subscription (needs the Kafka connector)."""
-    return spark.readStream.format("kafka").options(**options).load()
+    try:
+        return spark.readStream.format("kafka").options(**options).load()
+    except Exception as err:  # AnalysisException: DATA_SOURCE_NOT_FOUND
+        text = str(err).lower()
+        if "kafka" in text and ("failed to find data source" in text or "data_source_not_found" in text):
+            raise KafkaConnectorMissing(KAFKA_PACKAGE_HINT) from err
+        raise
 
 
 def open_kafka_layout_files(spark: SparkSession, path: str, streaming: bool = True,

@@ -105,3 +105,12 @@ def test_envelope_decode_and_options(spark):
     assert opts == {"kafka.bootstrap.servers": "b:1", "subscribe": "topic",
                     "startingOffsets": "earliest", "maxOffsetsPerTrigger": "10"}
     assert kafka_source_options()["startingOffsets"] == "latest"
+
+
+def test_missing_kafka_connector_is_explained(spark):
+    from riskflow.sources.kafka import KafkaConnectorMissing, open_kafka_stream
+    try:
+        open_kafka_stream(spark, kafka_source_options())
+    except KafkaConnectorMissing as err:
+        assert "spark-sql-kafka" in str(err)
+    # with the connector installed load() is lazy and succeeds: nothing to check
