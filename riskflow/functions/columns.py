@@ -41,6 +41,14 @@ def utc_wall_clock(ltz) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _col(ltz).cast("timestamp_ntz"))
 
 
+def utc_wall_clock_of(df, col_name: str) -> Column:
+    """UTC wall clock of a column of ``df``: TIMESTAMP (an instant) is
+    converted, TIMESTAMP_NTZ is taken as a UTC wall clock already."""
+    if df.schema[col_name].dataType.typeName() == "timestamp_ntz":
+        return F.col(col_name)
+    return utc_wall_clock(F.col(col_name))
+
+
 def wire_timestamp_text(ntz_utc) -> Column:
     """UTC wall clock (TIMESTAMP_NTZ) -> wire text with a literal ``Z``."""
     return F.date_format(_col(ntz_utc), WIRE_TS_FORMAT)

@@ -61,7 +61,10 @@ def augment_with_profile(tx: DataFrame, profile: DataFrame,
     if broadcast_profile:
         joined = tx.join(F.broadcast(profile), on=key, how="left")
     elif salt_buckets > 1:
-        salt = F.pmod(F.xxhash64(F.col("transaction_id")), F.lit(salt_buckets))
+        # deterministic (retry-safe) salt: the transaction id, else the whole row
+        salt_src = ([F.col("transaction_id")] if "transaction_id" in tx.columns
+                    else [F.col(c) for c in tx.columns])
+        salt = F.pmod(F.xxhash64(*salt_src), F.lit(salt_buckets))
         salted_tx = tx.withColumn("_salt", salt)
         salted_profile = profile.withColumn(
             "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>")))

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskflow.config import DEFAULT_CHECKPOINT_LAKE, DEFAULT_DATA_LAKE_PATH, DEFAULT_LAKE_TRIGGER
-from riskflow.functions.columns import utc_wall_clock
+from riskflow.functions.columns import utc_wall_clock_of
 
 
 def with_event_date(df: DataFrame, time_col: str = "timestamp", name: str = "event_date") -> DataFrame:
     """UTC calendar date of the event time: the lake's partition column, so
     date-bounded reads prune whole directories."""
-    return df.withColumn(name, F.to_date(utc_wall_clock(F.col(time_col))))
+    return df.withColumn(name, F.to_date(utc_wall_clock_of(df, time_col)))
 
 
 def persist_transactions_to_data_lake(df: DataFrame,

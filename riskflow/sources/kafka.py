@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from riskflow.config import DEFAULT_BOOTSTRAP_SERVERS, DEFAULT_INPUT_TOPIC
+from riskflow.functions.columns import utc_wall_clock_of
 from riskflow.operators.validate import flatten_parsed
 from riskflow.schemas import KAFKA_RECORD_SCHEMA
 
@@ -110,8 +111,8 @@ def read_bronze(spark: SparkSession,
                 starting_offsets: str = "earliest",
                 records: DataFrame | None = None) -> DataFrame:
     """Bronze ingest: connector rows unprojected (binary key/value, metadata)
-    plus the ingest date for partition pruning downstream."""
+    plus the UTC ingest date for partition pruning downstream."""
     if records is None:
         records = open_kafka_stream(
             spark, kafka_source_options(bootstrap_servers, topic, starting_offsets))
-    return records.withColumn("ingest_date", F.to_date(F.col("timestamp")))
+    return records.withColumn("ingest_date", F.to_date(utc_wall_clock_of(records, "timestamp")))

@@ -104,3 +104,16 @@ def test_kafka_messages_and_alert_text(spark):
     assert text == "[ALERT] High-risk transaction detected: User=u1 | Count=2 | Amount=301.00"
     nulls = spark.createDataFrame([(None, None, None)], "user_id string, tx_count long, total_amount decimal(20,2)")
     assert alert_messages(nulls).collect()[0]["alert_text"].endswith("User=None | Count=None | Amount=None")
+
+
+def test_event_date_for_instants_and_wall_clocks(spark):
+    from riskflow.sinks.lake import with_event_date
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        ntz = spark.createDataFrame([(dt.datetime(2024, 1, 1, 23, 30),)], "t timestamp_ntz")
+        ltz = ntz.select(F.to_utc_timestamp(F.col("t").cast("timestamp"), "Asia/Tokyo").alias("t"))
+        for df in (ntz, ltz):
+            assert with_event_date(df, "t").first()["event_date"] == dt.date(2024, 1, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
