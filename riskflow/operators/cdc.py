@@ -10,7 +10,10 @@ so a key changed a billion times ships one row per map task.
 Stream: each micro-batch is folded into a parquet snapshot (tombstones kept, so
 a late older change cannot resurrect a deleted row); batch ``N`` writes
 snapshot ``batch_id=N`` from ``N-1`` plus the batch, which makes a replayed
-batch rewrite the same output (idempotent).
+batch rewrite the same output (idempotent). Each version is a full copy (plain
+parquet has no MERGE), so the trigger interval trades freshness against
+rewrite volume, and versions older than the newest two can be dropped by the
+table's retention job.
 """
 
 from __future__ import annotations

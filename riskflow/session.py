@@ -64,11 +64,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/riskflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must touch a local path."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def sf_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
