@@ -9,8 +9,9 @@ cast to DECIMAL(20,2) (DuckDB widens to 38 digits), windows of one day are
 
 from __future__ import annotations
 
-# Dirty records, one row per delivered copy (FIXTURES.md C rules).
-_DIRTY_ONE = """
+# Dirty records, one row per delivered copy (FIXTURES.md C rules): every
+# event is delivered once, every 31st twice.
+DIRTY = """dirty AS (
   SELECT event_id, event_type, user_id AS src_user_id, ts AS src_ts,
          CAST(event_id AS VARCHAR) AS transaction_id,
          CASE WHEN event_id % 19 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id,
@@ -18,12 +19,7 @@ _DIRTY_ONE = """
               ELSE CAST(value AS DECIMAL(10,2)) END AS amount,
          CASE WHEN event_id % 29 <> 0 THEN ts END AS ts_utc,
          event_id % 23 = 0 AS malformed
-  FROM events"""
-
-DIRTY = f"""dirty AS (
-  {_DIRTY_ONE}
-  UNION ALL
-  SELECT * FROM ({_DIRTY_ONE}) WHERE event_id % 31 = 0
+  FROM events, unnest(range(CASE WHEN event_id % 31 = 0 THEN 2 ELSE 1 END)) AS copies(copy)
 )"""
 
 # Parsed view of the dirty records: malformed rows parse to all NULLs.
@@ -43,7 +39,7 @@ VALID = """valid AS (
 
 PROFILE = """profile AS (
   SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_mktsegment AS risk_category
-  FROM customer WHERE c_custkey % 7 <> 0
+  FROM customer WHERE c_acctbal >= 0
 )"""
 
 RISK_VALID = """risk AS (
@@ -184,17 +180,24 @@ PAYLOADS = """payloads AS (
          event_id, props, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type
   FROM events
 ), shaped AS (
-  SELECT topic, version,
+  SELECT topic, version, event_id, k,
          CASE WHEN version <= 1 THEN props
               WHEN version = 2 THEN json_object('k', k, 'src', json_object('app', event_type, 'rev', k % 3))
               WHEN version = 3 THEN json_object('k', CAST(k AS VARCHAR), 'src', json_object('app', event_type, 'rev', k % 3))
               ELSE json_object('k', CAST(k AS VARCHAR)) END AS payload
-  FROM payloads WHERE event_id % 23 <> 0
+  FROM payloads
+), parsed_payloads AS (
+  SELECT topic, version,
+         CASE WHEN event_id % 23 = 0 THEN '{"k": ' || k ELSE CAST(payload AS VARCHAR) END AS payload
+  FROM shaped
+), valid_payloads AS (
+  SELECT topic, version, CASE WHEN json_valid(payload) THEN payload END AS payload
+  FROM parsed_payloads
 )"""
 
 OBSERVED = """nodes(topic, version, field_path, j) AS (
   SELECT topic, version, key, json_extract(payload, '$."' || key || '"')
-  FROM shaped, unnest(json_keys(payload)) AS t(key)
+  FROM valid_payloads, unnest(json_keys(payload)) AS t(key)
   UNION ALL
   SELECT topic, version, field_path || '.' || key, json_extract(j, '$."' || key || '"')
   FROM nodes, unnest(json_keys(j)) AS t(key)
