@@ -223,9 +223,10 @@ def breaking_changes(fields: DataFrame, versions: DataFrame | None = None,
     """
     checkpoint_root(fields.sparkSession)
     fields = fields.checkpoint()  # small; joined three times below
-    pairs = version_pairs(versions if versions is not None else fields, strict_adjacent).checkpoint()
     old_nonempty = fields.select("topic", F.col("version").alias("old_version")).distinct()
-    pairs = pairs.join(old_nonempty, ["topic", "old_version"], "left_semi")
+    pairs = (version_pairs(versions if versions is not None else fields, strict_adjacent)
+             .join(old_nonempty, ["topic", "old_version"], "left_semi")
+             .checkpoint())  # small; joined twice below
     f = fields.select("topic", F.col("version").cast("int").alias("version"), "field_path", "field_type")
     old = pairs.join(f.select("topic", F.col("version").alias("old_version"), "field_path",
                               F.col("field_type").alias("old_type"), F.lit(True).alias("_in_old")),
