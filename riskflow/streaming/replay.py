@@ -17,6 +17,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskflow.functions.columns import as_utc_instant
 from riskflow.schemas import KAFKA_RECORD_SCHEMA
 from riskflow.sources.kafka import open_kafka_layout_files
 
@@ -44,12 +45,24 @@ def write_replay(records: DataFrame, path: str, sentinel: bool = True) -> str:
 
 def write_ordered_replay(records: DataFrame, path: str, bounds: list[str],
                          time_col: str = "timestamp") -> str:
-    """Write one directory per event-time slice ``[bounds[i], bounds[i+1])`` in
-    order (test replays of late data); returns the glob to stream from."""
-    for i, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])):
-        part = records.where((F.col(time_col) >= F.lit(lo).cast("timestamp"))
-                             & (F.col(time_col) < F.lit(hi).cast("timestamp")))
-        part.coalesce(1).write.mode("overwrite").parquet(f"{path}/slice_{i:05d}")
+    """Write one directory per event-time slice ``[bounds[i], bounds[i+1])``
+    (UTC), one after another, so a stream with ``maxFilesPerTrigger=1`` reads
+    them in event-time order (tests of multi-batch replays and late data).
+
+    The first and last slices are open-ended, so every row is replayed; rows
+    without a time go to the first slice. Returns the glob to stream from.
+    """
+    t = F.col(time_col)
+    n = len(bounds) - 1
+    for i in range(n):
+        cond = F.lit(True)
+        if i > 0:
+            cond = cond & (t >= as_utc_instant(F.lit(bounds[i]).cast("timestamp_ntz")))
+        if i < n - 1:
+            cond = cond & (t < as_utc_instant(F.lit(bounds[i + 1]).cast("timestamp_ntz")))
+        if i == 0:
+            cond = cond | t.isNull()
+        records.where(cond).coalesce(1).write.mode("overwrite").parquet(f"{path}/slice_{i:05d}")
     return f"{path}/*"
 
 

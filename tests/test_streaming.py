@@ -56,6 +56,7 @@ def test_stream_equals_batch_on_ordered_replay(spark, scratch):
     got = spark.read.parquet(f"{scratch}/out")
     want = risk_from_records(recs, FIXTURE_PARAMS)
     assert len(q.recentProgress) > 10  # really many micro-batches
+    assert spark.read.parquet(f"{scratch}/replay/slice_*").count() == recs.count()  # nothing left out
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert dropped_by_watermark(q) == 0
