@@ -46,7 +46,13 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint directory of the session, set only when unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, the server owns the setting
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
