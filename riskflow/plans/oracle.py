@@ -151,6 +151,10 @@ FROM risk""",
 ORACLE.update({
     "high_risk_stream": f"""
 WITH {DIRTY}, {PARSED}, {VALID}, {RISK_VALID}
+SELECT * FROM risk""",
+
+    "high_risk_incremental": f"""
+WITH {DIRTY}, {PARSED}, {VALID}, {RISK_VALID}
 SELECT * FROM risk""",
 
     "risk_messages_stream": ORACLE["risk_alert_messages"],
