@@ -30,7 +30,7 @@ from riskflow.operators.validate import (
 )
 from riskflow.plans.risk_flow import prepare_transactions, risk_from_records, risk_from_transactions
 from riskflow.schemas import TRANSACTION_SCHEMA
-from riskflow.session import scratch_path, sf_table
+from riskflow.session import scratch_path, sf_table, stream_state_partitions
 from riskflow.sinks.alerts import start_high_risk_alert_stream
 from riskflow.sinks.kafka import write_high_risk_transactions, write_lake_transactions_to_kafka
 from riskflow.sinks.lake import persist_transactions_to_data_lake, with_event_date
@@ -193,8 +193,9 @@ def _replay(spark, sf_dir, name, sentinel=True):
 def q_high_risk_stream(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "high-risk-stream")
     risk = risk_from_records(stream, PARAMS)
-    drain(persist_transactions_to_data_lake(
-        risk, output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
+    with stream_state_partitions(spark):
+        drain(persist_transactions_to_data_lake(
+            risk, output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
     return flatten_window(spark.read.parquet(f"{base}/out"), utc=True)
 
 
@@ -210,8 +211,9 @@ def q_high_risk_incremental(spark, sf_dir):
 
     def run():
         risk = risk_from_records(replay_stream(spark, f"{base}/replay/*"), PARAMS)
-        drain(persist_transactions_to_data_lake(
-            risk, output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
+        with stream_state_partitions(spark):
+            drain(persist_transactions_to_data_lake(
+                risk, output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
 
     for i, (start, end) in enumerate(zip(bounds[:-1], bounds[1:])):
         week = events.where((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end)))
@@ -237,9 +239,10 @@ def week_bounds(lo, hi):
 def q_risk_messages_stream(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "risk-messages-stream")
     risk = risk_from_records(stream, PARAMS)
-    drain(write_high_risk_transactions(
-        risk, fmt="parquet", path=f"{base}/out", checkpoint_path=f"{base}/ckpt",
-        available_now=True))
+    with stream_state_partitions(spark):
+        drain(write_high_risk_transactions(
+            risk, fmt="parquet", path=f"{base}/out", checkpoint_path=f"{base}/ckpt",
+            available_now=True))
     msgs = spark.read.parquet(f"{base}/out")
     parsed = msgs.select("key", F.from_json("value", RISK_MESSAGE_SCHEMA).alias("v")).select("key", "v.*")
     return flatten_window(parsed, utc=True)
@@ -248,9 +251,10 @@ def q_risk_messages_stream(spark, sf_dir):
 def q_alert_stream(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "alert-stream")
     risk = risk_from_records(stream, PARAMS)
-    drain(start_high_risk_alert_stream(
-        risk, checkpoint_path=f"{base}/ckpt", alerts_path=f"{base}/alerts",
-        log_limit=0, available_now=True))
+    with stream_state_partitions(spark):
+        drain(start_high_risk_alert_stream(
+            risk, checkpoint_path=f"{base}/ckpt", alerts_path=f"{base}/alerts",
+            log_limit=0, available_now=True))
     alerts = spark.read.schema(ALERT_TABLE_SCHEMA).parquet(f"{base}/alerts")
     return flatten_window(alerts.drop("batch_id"), utc=True)
 
@@ -258,9 +262,10 @@ def q_alert_stream(spark, sf_dir):
 def q_lake_roundtrip(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "lake-roundtrip", sentinel=False)
     lake = with_event_date(prepare_transactions(stream, PARAMS))
-    drain(persist_transactions_to_data_lake(
-        lake, output_path=f"{base}/lake", checkpoint_path=f"{base}/ckpt",
-        partition_by=["event_date"], available_now=True))
+    with stream_state_partitions(spark):
+        drain(persist_transactions_to_data_lake(
+            lake, output_path=f"{base}/lake", checkpoint_path=f"{base}/ckpt",
+            partition_by=["event_date"], available_now=True))
     return _utc_ts(spark.read.parquet(f"{base}/lake"))
 
 
@@ -269,8 +274,9 @@ def q_lake_messages_stream(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "lake-messages-stream", sentinel=False)
     profile = fixtures.user_profiles(sf_table(spark, sf_dir, "customer"))
     tx = prepare_transactions(stream, PARAMS, profile=profile, default_category=UNKNOWN_CATEGORY)
-    drain(write_lake_transactions_to_kafka(
-        tx, fmt="parquet", path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
+    with stream_state_partitions(spark):
+        drain(write_lake_transactions_to_kafka(
+            tx, fmt="parquet", path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
     schema = StructType(TRANSACTION_SCHEMA.fields + [StructField("risk_category", StringType())])
     msgs = spark.read.parquet(f"{base}/out")
     return _utc_ts(msgs.select("key", F.from_json("value", schema).alias("v")).select("key", "v.*"))
@@ -279,16 +285,18 @@ def q_lake_messages_stream(spark, sf_dir):
 def q_dedup_stream(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "dedup-stream", sentinel=False)
     tx = prepare_transactions(stream, PARAMS, dedup=True)
-    drain(persist_transactions_to_data_lake(
-        tx, output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
+    with stream_state_partitions(spark):
+        drain(persist_transactions_to_data_lake(
+            tx, output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
     return _utc_ts(spark.read.parquet(f"{base}/out"))
 
 
 def q_bronze_ingest(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "bronze-ingest", sentinel=False)
-    drain(persist_transactions_to_data_lake(
-        read_bronze(spark, records=stream), output_path=f"{base}/bronze",
-        checkpoint_path=f"{base}/ckpt", partition_by=["ingest_date"], available_now=True))
+    with stream_state_partitions(spark):
+        drain(persist_transactions_to_data_lake(
+            read_bronze(spark, records=stream), output_path=f"{base}/bronze",
+            checkpoint_path=f"{base}/ckpt", partition_by=["ingest_date"], available_now=True))
     bronze = spark.read.parquet(f"{base}/bronze")
     return bronze.groupBy("topic", "partition").agg(
         F.count(F.lit(1)).alias("n_records"),
@@ -398,7 +406,8 @@ def q_cdc_snapshot_stream(spark, sf_dir):
     fixtures.change_log(_events(spark, sf_dir)).write.parquet(f"{base}/log")
     schema = spark.read.parquet(f"{base}/log").schema
     stream = spark.readStream.schema(schema).parquet(f"{base}/log")
-    drain(cdc.start_snapshot_stream(stream, f"{base}/snapshot", f"{base}/ckpt", available_now=True))
+    with stream_state_partitions(spark):
+        drain(cdc.start_snapshot_stream(stream, f"{base}/snapshot", f"{base}/ckpt", available_now=True))
     return cdc.read_snapshot(spark, f"{base}/snapshot")
 
 

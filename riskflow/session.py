@@ -12,6 +12,7 @@ temporary folder would be invisible to the executors.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -99,3 +100,26 @@ def cluster_conf(shuffle_bytes: int, partition_bytes: int = 256 << 20,
         "spark.sql.session.timeZone": "UTC",
         "spark.dynamicAllocation.enabled": "true",
     }
+
+
+@contextlib.contextmanager
+def stream_state_partitions(spark: SparkSession):
+    """Run a stateful stream with at most one state partition per core.
+
+    A stateful query fixes its partition count at its first start (it is kept
+    in the checkpoint). Spark's default of 200 suits large batch shuffles, but
+    a stream pays per state partition on every micro-batch. Within the block
+    the count is ``min(spark.sql.shuffle.partitions, default parallelism)``,
+    which on a cluster is the total core count. The setting is restored after.
+    """
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect
+        cores = int(old)
+    spark.conf.set(key, str(max(1, min(int(old), int(cores)))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
