@@ -108,7 +108,8 @@ def start_default_flow(spark, checkpoint_dir: str, params: RiskParams = RiskPara
                        lake_topic: str = "transactions_lake", risk_topic: str | None = None,
                        alerts_path: str | None = None,
                        open_records=None, sink_format: str = "kafka", sink_dir: str | None = None,
-                       available_now: bool = False) -> RiskFlowHandles:
+                       available_now: bool = False,
+                       trigger_interval: str | None = None) -> RiskFlowHandles:
     """The complete job with the default settings: Kafka transactions ->
     validated, enriched rows to the lake topic; high-risk windows to the alert
     sink (and to ``risk_topic`` when given). Each query checkpoints under
@@ -130,7 +131,8 @@ def start_default_flow(spark, checkpoint_dir: str, params: RiskParams = RiskPara
 
     def sink_kw(name):
         kw = {"bootstrap_servers": servers, "checkpoint_path": f"{checkpoint_dir}/{name}",
-              "fmt": sink_format, "available_now": available_now}
+              "fmt": sink_format, "available_now": available_now,
+              "trigger_interval": trigger_interval}
         if sink_format != "kafka":
             kw["path"] = f"{sink_dir}/{name}"
         return kw
@@ -145,5 +147,6 @@ def start_default_flow(spark, checkpoint_dir: str, params: RiskParams = RiskPara
         lake_sink=lambda df: write_lake_transactions_to_kafka(df, output_topic=lake_topic, **sink_kw("lake")),
         risk_sink=risk_sink,
         alert_sink=lambda df: start_high_risk_alert_stream(
-            df, f"{checkpoint_dir}/alerts", alerts_path=alerts_path, available_now=available_now),
+            df, f"{checkpoint_dir}/alerts", alerts_path=alerts_path, available_now=available_now,
+            trigger_interval=trigger_interval),
     )
