@@ -198,6 +198,19 @@ def register_versions(catalog: DataFrame, new: DataFrame,
     return catalog.unionByName(numbered.withColumns(extra).select(*cols))
 
 
+def register_schema(catalog: DataFrame, topic: str, definition: dict | str,
+                    version: int | None = None) -> DataFrame:
+    """Register one definition (a dict in the registry format, or its JSON)
+    for ``topic``: the next version when ``version`` is None; an existing
+    version raises ``DuplicateVersionError``."""
+    import json
+
+    text = definition if isinstance(definition, str) else json.dumps(definition, sort_keys=True)
+    new = catalog.sparkSession.createDataFrame(
+        [(topic, version, text)], "topic string, version int, definition string")
+    return register_versions(catalog, new)
+
+
 def version_pairs(versions: DataFrame, strict_adjacent: bool = False) -> DataFrame:
     """Each version with its predecessor per topic (previous existing version;
     with ``strict_adjacent`` only ``version - 1`` counts)."""

@@ -139,3 +139,13 @@ def test_observed_types_merge_and_void_is_not_a_change(spark):
     assert obs[(1, "n")] == "VOID" and obs[(1, "k")].startswith("DECIMAL")
     changes = contracts.breaking_changes(contracts.observed_schema(payloads)).collect()
     assert all(r["field_path"] != "n" for r in changes)
+
+
+def test_register_schema_one_definition(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    cat = contracts.register_schema(empty, "user_events", USER_EVENTS_V1, version=1)
+    cat = contracts.register_schema(cat, "user_events", USER_EVENTS_V2)          # next version
+    assert sorted(r["version"] for r in cat.collect()) == [1, 2]
+    with pytest.raises(contracts.DuplicateVersionError):
+        contracts.register_schema(cat, "user_events", USER_EVENTS_V1, version=2)
+    assert contracts.breaking_changes(contracts.flatten_definitions(cat), versions=cat).count() == 0
