@@ -126,3 +126,21 @@ def downstream_lineage(edges: DataFrame, origins: DataFrame) -> DataFrame:
     distance of ``source_id`` from the origin.
     """
     return _lineage(edges, origins, upstream=False)
+
+
+def track_transformation(edge_log: DataFrame, source_id: str, target_id: str,
+                         transformation_type: str, details: dict | None = None) -> DataFrame:
+    """Record one transformation (now) in the edge log; same pair again
+    supersedes the earlier record on read (``latest_edges``)."""
+    import json
+
+    new = edge_log.sparkSession.createDataFrame(
+        [(source_id, target_id, transformation_type, json.dumps(details or {}))],
+        "source_id string, target_id string, transformation_type string, details string")
+    return record_edges(edge_log, new)
+
+
+def get_upstream_lineage(edges: DataFrame, target_id: str) -> DataFrame:
+    """Upstream lineage rows of one target (``upstream_lineage`` for one node)."""
+    targets = edges.sparkSession.createDataFrame([(target_id,)], "node string")
+    return upstream_lineage(edges, targets)

@@ -141,3 +141,11 @@ def test_cdc_topics_and_change_event_decode(spark):
     assert changes.count() == 3
     live = [(r["key"], r["op"], r["v"], r["ts"]) for r in cdc.current_state(changes.drop("before")).collect()]
     assert live == [(2, "r", "y", dt.datetime(1970, 1, 1, 0, 0, 1, 500000))]
+
+
+def test_track_transformation_and_single_target(spark):
+    log = spark.createDataFrame([], EDGE_SCHEMA)
+    log = lineage.track_transformation(log, "raw_events", "cleaned_events", "cleanup", {"filters": ["x"]})
+    log = lineage.track_transformation(log, "cleaned_events", "aggregated_metrics", "aggregation")
+    rows = lineage.get_upstream_lineage(lineage.latest_edges(log), "aggregated_metrics").collect()
+    assert sorted((r["source_id"], r["depth"]) for r in rows) == [("cleaned_events", 0), ("raw_events", 1)]
