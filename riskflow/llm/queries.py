@@ -1,9 +1,13 @@
 """Registered queries of the training-data operators, and SQL for those that SQL can express."""
 
 from riskflow.llm.ngram_jaccard import op1_ngram_jaccard
+from riskflow.llm.secret_scan import op10_secret_scan
+from riskflow.llm.source_mixing import op4_source_mixing
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op4_source_mixing": op4_source_mixing,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE: dict[str, str] = {}
