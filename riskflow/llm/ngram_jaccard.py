@@ -6,8 +6,9 @@ their symmetric difference D by (|A| + |B|)(100 - p)/(100 + p).
 
 Two parity sketches are built by XOR-ing hashed tokens:
 
-* a bit sketch of 1024 bits, one bit flipped per token. Its Hamming distance is
-  at most D, so a larger distance rules a pair out without its sets;
+* a bit sketch of 1024 bits, one bit flipped per token, and one of 8192 bits for
+  sets of more than ``LARGE`` tokens. Their Hamming distances are at most D, so
+  a larger distance rules a pair out without its sets;
 * a word sketch per size band: tokens fall into blocks, and a block's word is
   the XOR of the 64-bit hashes of its tokens. One differing token changes one
   word, so two sets that link differ in at most k = max D words, and a set with
@@ -22,9 +23,12 @@ Blocks that many different sets share ("hot") are not expanded into pairs:
    ones and still meets every partner in one that both keep.
 2. The sets of a hot block that is kept are compared with the block's first
    set, and the links found give components.
-3. Only sets outside the largest component of such a block are compared with
-   the block's sets of other components, behind the bit sketch. Every pair of
-   different components of a block is then compared or already joined.
+3. Neighbours within such a block that are not joined yet are compared.
+4. Then only sets outside the largest component of such a block are compared
+   with the block's sets of other components, behind the bit sketches. Where
+   more such pairs are left than there are sets, each set first meets a few of
+   about its size, then, over the components that this leaves, ever more; in
+   the end no such pair is left uncompared.
 
 So components are exact, and no group is expanded into its pairs. Every pair
 is verified on its whole sets. Shuffles carry each block as 5 bytes in columns
@@ -39,7 +43,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.llm import _text
@@ -49,7 +53,7 @@ from riskflow.llm._tables import buckets, saved
 WIDTH = 5
 PERCENT = 80
 HOT = 8
-SKETCH_LONGS = 16
+SKETCH_LONGS, WIDE_LONGS, LARGE = 16, 128, 1500
 BAND = 1.7
 U64 = np.uint64
 
@@ -127,13 +131,23 @@ class Shingler:
         return n, _text.mix(hi ^ n.astype(U64)), _text.mix(lo + n.astype(U64))
 
 
-def bit_sketches(d, h, n_docs) -> np.ndarray:
-    """One flipped bit a token: SKETCH_LONGS longs a document."""
-    bit = (_text.mix(h ^ U64(0x3C)) >> U64(32)).astype(np.int64) % (64 * SKETCH_LONGS)
-    odd = np.bincount(d * (64 * SKETCH_LONGS) + bit, minlength=n_docs * 64 * SKETCH_LONGS) & 1
+def bit_sketches(d, h, n_docs, longs=SKETCH_LONGS) -> np.ndarray:
+    """One flipped bit a token: ``longs`` longs a document."""
+    bit = (_text.mix(h ^ U64(0x3C)) >> U64(32)).astype(np.int64) % (64 * longs)
+    odd = np.bincount(d * (64 * longs) + bit, minlength=n_docs * 64 * longs) & 1
     return np.packbits(odd.astype(np.uint8).reshape(n_docs, -1), axis=1).view(">i8").astype(np.int64)
 
 
+def wide_sketches(d, h, n) -> pa.Array:
+    """The wide bit sketches of the large sets; null for others."""
+    large = n > LARGE
+    number = np.cumsum(large) - 1
+    pick = large[d]
+    sk = bit_sketches(number[d[pick]], h[pick], int(large.sum()), WIDE_LONGS) if large.any() else np.empty(0, np.int64)
+    at = np.concatenate(([0], np.cumsum(large))) * WIDE_LONGS
+    return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(sk.reshape(-1)), mask=pa.array(~large))
+
+
 def blocks(d, h, n, tops):
     """Word sketches: (document, key, band tag, droppable blocks) of every occupied block.
 
@@ -212,8 +226,9 @@ def _signatures(width: int):
                 node = _text.fixed_binary(hi, lo)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(first, len(n)), pa.array(n), node,
-                     pa.ListArray.from_arrays(np.arange(0, sk.size + 1, SKETCH_LONGS, dtype=np.int32), pa.array(sk.reshape(-1)))],
-                    ["doc_id", "n", "node", "sketch"])
+                     pa.ListArray.from_arrays(np.arange(0, sk.size + 1, SKETCH_LONGS, dtype=np.int32), pa.array(sk.reshape(-1))),
+                     wide_sketches(d, h, n)],
+                    ["doc_id", "n", "node", "sketch", "wide"])
     return run
 
 
@@ -335,14 +350,15 @@ def _leave_out(n_buckets: int):
 
 
 def _lead(key, tab):
-    """(block, set, first set of the block)."""
+    """(block, set, first set of the block, next smaller set of the block)."""
     r = np.frombuffer(b"".join(tab.column("kept").to_pylist()), KEPT)
     r = r[np.lexsort((r["lo"], r["hi"], r["key"]))]
     cut = _text.bounds(r["key"])
     first = np.repeat(cut[:-1], np.diff(cut))
+    before = np.maximum(np.arange(len(r)) - 1, first)
     return pa.Table.from_arrays(
-        [pa.array(r["key"].astype(np.int64)), _text.fixed_binary(r["hi"], r["lo"]),
-         _text.fixed_binary(r["hi"][first], r["lo"][first])], ["block", "node", "lead"])
+        [pa.array(r["key"].astype(np.int64))] + [_text.fixed_binary(r["hi"][i], r["lo"][i]) for i in (np.arange(len(r)), first, before)],
+        ["block", "node", "lead", "prior"])
 
 
 def _sets_of(width: int):
@@ -359,29 +375,74 @@ def _sets_of(width: int):
     return run
 
 
-def _near(a: str, b: str):
+def _apart(x: str, y: str):
+    """Hamming distance of the bit sketches of two aliases."""
+    return sum((F.bit_count(F.col(f"{x}.sketch")[i].bitwiseXOR(F.col(f"{y}.sketch")[i])) for i in range(SKETCH_LONGS)), F.lit(0))
+
+
+def _near(x: str, y: str):
     """Sizes and bit sketches allow the pair."""
-    apart = sum((F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(SKETCH_LONGS)), F.lit(0))
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return ((F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT)
-            & (apart * (100 + PERCENT) <= (na + nb) * (100 - PERCENT)))
-
-
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """The pairs (a, b) of sets that link, by whole shingle sets; ``nodes`` has n, sketch and a document of each set."""
-    near = pairs.alias("p").join(nodes.alias("x"), F.col("p.a") == F.col("x.node")).join(
-        nodes.alias("y"), F.col("p.b") == F.col("y.node")).filter(_near("x", "y"))
-    near = saved(near.select("p.a", "p.b", F.col("x.rep").alias("a_rep"), F.col("y.rep").alias("b_rep")), "near-pairs")
-    need = near.select(F.col("a").alias("node"), F.col("a_rep").alias("rep")).unionByName(
-        near.select(F.col("b").alias("node"), F.col("b_rep").alias("rep"))).distinct()
-    texts = docs.join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
-    sets = texts.mapInArrow(_sets_of(width), "node binary, found binary, shingles array<bigint>")
-    sets = saved(sets.filter("node = found").select("node", "shingles").dropDuplicates(["node"]), "near-sets")
-    both = near.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-    same = F.size(F.array_intersect("sa", "sb"))
-    both = both.select("a", "b", same.alias("same"), (F.size("sa") + F.size("sb")).alias("total"))
-    return saved(both.filter(F.col("same") * 100 >= (F.col("total") - F.col("same")) * PERCENT).select("a", "b"), "near-links")
+    nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
+    return ((F.least(nx, ny) * 100 >= F.greatest(nx, ny) * PERCENT)
+            & (_apart(x, y) * (100 + PERCENT) <= (nx + ny) * (100 - PERCENT)))
+
+
+def _near_wide(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b, n_a, n_b, ...) whose wide sketches, where both have one, allow them."""
+    large = pairs.filter((F.col("n_a") > LARGE) & (F.col("n_b") > LARGE))
+    wide = nodes.filter("wide IS NOT NULL").select("node", "wide")
+    apart = F.aggregate(F.zip_with("x.wide", "y.wide", lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, v: s + v)
+    large = large.alias("p").join(wide.alias("x"), F.col("p.a") == F.col("x.node")).join(wide.alias("y"), F.col("p.b") == F.col("y.node"))
+    large = large.filter(apart * (100 + PERCENT) <= (F.col("n_a") + F.col("n_b")) * (100 - PERCENT)).select("p.*")
+    return pairs.filter((F.col("n_a") <= LARGE) | (F.col("n_b") <= LARGE)).unionByName(large)
+
+
+class Verifier:
+    """Links of candidate pairs (a, b) of sets, by whole shingle sets of one document each."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, width: int):
+        self.docs, self.nodes, self.width = docs, nodes, width
+
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that sizes and sketches allow, with n and a document of each set."""
+        small = self.nodes.select("node", "n", "rep", "sketch")
+        near = pairs.alias("p").join(small.alias("x"), F.col("p.a") == F.col("x.node")).join(
+            small.alias("y"), F.col("p.b") == F.col("y.node")).filter(_near("x", "y"))
+        near = near.select("p.a", "p.b", F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"),
+                           F.col("x.rep").alias("rep_a"), F.col("y.rep").alias("rep_b"))
+        return saved(_near_wide(saved(near, "near-narrow"), self.nodes), "near-pairs")
+
+    def links(self, near: DataFrame) -> DataFrame:
+        """The pairs of ``near`` that link."""
+        need = near.select(F.col("a").alias("node"), F.col("rep_a").alias("rep")).unionByName(
+            near.select(F.col("b").alias("node"), F.col("rep_b").alias("rep"))).distinct()
+        need = saved(need, "needed")  # a table of known size: broadcast by Spark where it is small
+        texts = self.docs.join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
+        sets = texts.mapInArrow(_sets_of(self.width), "node binary, found binary, shingles array<bigint>")
+        sets = saved(sets.filter("node = found").select("node", "shingles").dropDuplicates(["node"]), "near-sets")
+        both = near.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
+            sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+        both = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("same"), (F.size("sa") + F.size("sb")).alias("total"))
+        return saved(both.filter(F.col("same") * 100 >= (F.col("total") - F.col("same")) * PERCENT).select("a", "b"), "near-links")
+
+
+def _across(hot: DataFrame, comp: DataFrame, nodes: DataFrame, tested: DataFrame, verify: Verifier) -> DataFrame:
+    """Untested pairs of one hot block and different components that sizes and sketches allow."""
+    held = saved(hot.join(comp, "node", "left").select("block", "node", F.coalesce("root", "node").alias("root")), "held")
+    sizes = held.groupBy("block", "root").agg(F.count("*").alias("size"))
+    main = saved(sizes.groupBy("block").agg(F.max(F.struct("size", "root")).alias("m"), F.count("*").alias("parts"))
+                 .filter("parts > 1").select("block", F.col("m.root").alias("main")), "main-parts")
+    longs = range(SKETCH_LONGS)
+    mixed = held.join(main, "block").join(nodes.select("node", "n", *[F.col("sketch")[i].alias(f"s{i}") for i in longs]), "node")
+    mixed = saved(mixed.withColumn("minor", F.col("root") != F.col("main")), "mixed-blocks")
+    x, y = mixed.filter("minor").alias("x"), mixed.alias("y")
+    apart = sum((F.bit_count(F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))) for i in longs), F.lit(0))
+    may = ((F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * PERCENT)
+           & (apart * (100 + PERCENT) <= (F.col("x.n") + F.col("y.n")) * (100 - PERCENT)))
+    rest = x.join(y, (F.col("x.block") == F.col("y.block")) & (F.col("x.root") != F.col("y.root"))
+                  & (~F.col("y.minor") | (F.col("x.node") < F.col("y.node"))) & may)
+    rest = saved(rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "rest")
+    return verify.near(rest.join(tested, ["a", "b"], "left_anti"))
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -391,7 +452,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sig = saved(docs.mapInArrow(_signatures(width), "doc_id bigint, n bigint, node binary, sketch array<bigint>"), "signatures")
+    sig = saved(docs.mapInArrow(_signatures(width), "doc_id bigint, n bigint, node binary, sketch array<bigint>, wide array<bigint>"), "signatures")
     total, largest = sig.agg(F.sum("n"), F.max("n")).first()
     if not total:
         return sig.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
@@ -401,31 +462,40 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     met = saved(rows.groupBy("bucket").applyInArrow(_meet(n_buckets), "bucket int, held binary, a binary, b binary"), "met")
     kept = met.filter("held IS NOT NULL").select("bucket", "held").groupBy("bucket").applyInArrow(
         _leave_out(n_buckets), "bucket int, kept binary")
-    hot = saved(kept.groupBy("bucket").applyInArrow(_lead, "block bigint, node binary, lead binary"), "hot-blocks")
+    hot = saved(kept.groupBy("bucket").applyInArrow(_lead, "block bigint, node binary, lead binary, prior binary"), "hot-blocks")
 
     nodes = saved(sig.filter("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")), "nodes")
     pairs = met.filter("a IS NOT NULL").select("a", "b").unionByName(
         hot.filter("lead < node").select(F.col("lead").alias("a"), F.col("node").alias("b"))).distinct()
-    links = verified(pairs, nodes, docs, width)
+    verify = Verifier(docs, nodes, width)
+    near = verify.near(pairs)
+    links = verify.links(near)
     comp = saved(components(links), "components")
 
-    # sets outside the largest component of a hot block against the block's other components
-    held = hot.join(comp, "node", "left").select("block", "node", F.coalesce("root", "node").alias("root"))
-    held = saved(held, "held")
-    sizes = held.groupBy("block", "root").agg(F.count("*").alias("size"))
-    main = saved(sizes.groupBy("block").agg(F.max(F.struct("size", "root")).alias("m"), F.count("*").alias("parts"))
-                 .filter("parts > 1").select("block", F.col("m.root").alias("main")), "main-parts")
-    mixed = saved(held.join(main, "block").join(nodes, "node").select(
-        "block", "node", "root", "n", "sketch", (F.col("root") != F.col("main")).alias("minor")), "mixed-blocks")
-    x, y = mixed.filter("minor").alias("x"), mixed.alias("y")
-    rest = x.join(y, (F.col("x.block") == F.col("y.block")) & (F.col("x.root") != F.col("y.root"))
-                  & (~F.col("y.minor") | (F.col("x.node") < F.col("y.node"))) & _near("x", "y"))
-    rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    rest = saved(rest.join(pairs, ["a", "b"], "left_anti"), "rest-pairs")
-    if not rest.isEmpty():
-        more = verified(rest, nodes, docs, width)
-        comp = saved(components(links.unionByName(more)), "components")
+    both_ways = lambda t: t.select("a", "b").unionByName(t.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    tested = both_ways(near)
+
+    # neighbours in a hot block that are not joined yet
+    root = lambda of, name: comp.select(F.col("node").alias(of), F.col("root").alias(name))
+    ring = hot.select("node", "prior").filter("prior < node").distinct().join(root("node", "r"), "node", "left")
+    ring = saved(ring, "ring").join(root("prior", "q"), "prior", "left")
+    ring = ring.filter(F.coalesce("r", "node") != F.coalesce("q", "prior")).select(F.col("prior").alias("a"), F.col("node").alias("b"))
+    now = verify.near(ring.join(tested, ["a", "b"], "left_anti"))
+    nearest, few = 2, nodes.count()
+    while True:
+        if not now.isEmpty():
+            links = links.unionByName(verify.links(now))
+            comp = saved(components(links), "components")
+            tested = saved(tested.unionByName(both_ways(now)), "tested")
+        now = rest = _across(hot, comp, nodes, tested, verify)
+        left = rest.count()
+        if not left:
+            break
+        if left > few:  # some first: the components that they join leave fewer pairs
+            place = F.row_number().over(Window.partitionBy("a").orderBy(F.abs(F.col("n_a") - F.col("n_b")), "b"))
+            now = saved(rest.withColumn("place", place).filter(F.col("place") <= nearest).drop("place"), "now-pairs")
+            nearest *= 8
 
     of = sig.select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
     of = of.join(comp, "node", "left").select("doc_id", "n", "node", F.coalesce("root", "node").alias("root"))
