@@ -1,12 +1,16 @@
 """Registered queries of the training-data operators, and SQL for those that SQL can express."""
 
+from riskflow.llm.language_id import op5_language_id
 from riskflow.llm.ngram_jaccard import op1_ngram_jaccard
+from riskflow.llm.packing import op3_best_fit_packing
 from riskflow.llm.secret_scan import op10_secret_scan
 from riskflow.llm.source_mixing import op4_source_mixing
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_source_mixing": op4_source_mixing,
+    "op5_language_id": op5_language_id,
     "op10_secret_scan": op10_secret_scan,
 }
 
