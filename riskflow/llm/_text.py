@@ -117,6 +117,6 @@ def bounds(keys: np.ndarray) -> np.ndarray:
 
 def fixed_binary(*cols: np.ndarray) -> pa.Array:
     """Big-endian 64-bit columns side by side as one binary value a row (ordered as the numbers are)."""
-    raw = np.stack([c.astype(">u8") for c in cols], axis=1).tobytes() if len(cols[0]) else b""
+    raw = np.stack(cols, axis=1).astype(">u8").tobytes() if len(cols[0]) else b""
     width = 8 * len(cols)
     return pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(cols[0]), [None, pa.py_buffer(raw)]).cast(pa.binary())
