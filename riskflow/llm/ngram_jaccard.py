@@ -19,8 +19,9 @@ Two parity sketches are built by XOR-ing hashed tokens:
 
 Blocks that many different sets share ("hot") are not expanded into pairs:
 
-1. A set with c guaranteed common blocks may leave out its c - 1 most frequent
-   ones and still meets every partner in one that both keep.
+1. A set with c guaranteed common blocks may leave out its c - q most frequent
+   ones, and still has q in common with every partner that both keep: either
+   one of them is hot, or the pair shows q blocks that are not (q = c / 2).
 2. The sets of a hot block that is kept are compared with the block's first
    set, and the links found give components.
 3. Neighbours within such a block that are not joined yet are compared.
@@ -149,10 +150,7 @@ def wide_sketches(d, h, n) -> pa.Array:
 
 
 def blocks(d, h, n, tops):
-    """Word sketches: (document, key, band tag, droppable blocks) of every occupied block.
-
-    ``droppable`` is the guaranteed number of common blocks less one.
-    """
+    """Word sketches: (document, key, band tag, guaranteed common blocks) of every occupied block."""
     band = np.searchsorted(tops, n)
     top_of = tops[band]
     reach = (n * 100) // PERCENT
@@ -177,20 +175,25 @@ def blocks(d, h, n, tops):
         full = np.bincount(kd, minlength=len(n))
         k = ((n + np.minimum(top, reach)) * (100 - PERCENT)) // (100 + PERCENT)
         sure = full - k
-        out.append((kd, key, (tag[kd] * 2).astype(np.uint16), np.maximum(sure[kd] - 1, 0).astype(np.uint32)))
+        out.append((kd, key, (tag[kd] * 2).astype(np.uint16), np.maximum(sure[kd], 0).astype(np.uint32)))
         weak = (sure < 1) & used
         pick = weak[dd]
         if pick.any():
             wd, wh = dd[pick], hh[pick]
             shared = -(-n * PERCENT // 100)
             out.append((wd, _text.mix(wh ^ _text.mix((tag[wd].astype(U64) << U64(41)) + U64(7))),
-                        (tag[wd] * 2 + 1).astype(np.uint16), np.maximum(shared[wd] - 1, 0).astype(np.uint32)))
+                        (tag[wd] * 2 + 1).astype(np.uint16), shared[wd].astype(np.uint32)))
     if not out:
         e = np.empty(0, np.int64)
         return e, e.astype(U64), e.astype(np.uint16), e.astype(np.uint32)
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def needed(sure: np.ndarray) -> np.ndarray:
+    """How many common blocks of few sets a pair must show: half of the guaranteed ones (the other half may be left out as hot)."""
+    return np.maximum(sure // 2, 1)
+
+
 def _five_bytes(key: np.ndarray) -> bytes:
     return key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
 
@@ -201,8 +204,8 @@ def _from_five(raw: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(U64)
 
 
-OWNER = np.dtype([("hi", "<u8"), ("lo", "<u8"), ("tag", "<u2"), ("drop", "<u4")])
-HELD = np.dtype([("hi", "<u8"), ("lo", "<u8"), ("tag", "<u2"), ("drop", "<u4"), ("key", "<u8"), ("bucket", "<u4"), ("freq", "<u4")])
+OWNER = np.dtype([("hi", "<u8"), ("lo", "<u8"), ("tag", "<u2"), ("sure", "<u4")])
+HELD = np.dtype([("hi", "<u8"), ("lo", "<u8"), ("tag", "<u2"), ("sure", "<u4"), ("key", "<u8"), ("bucket", "<u4"), ("freq", "<u4")])
 KEPT = np.dtype([("key", "<u8"), ("hi", "<u8"), ("lo", "<u8")])
 
 
@@ -248,9 +251,9 @@ def _block_rows(width: int, n_buckets: int, largest: int):
                         new[i] = True
                 pick = new[d]
                 d, h = d[pick], h[pick]
-                kd, key, tag, drop = blocks(d, h, np.where(new, n, 0), tops)
+                kd, key, tag, sure = blocks(d, h, np.where(new, n, 0), tops)
                 own = np.zeros(len(kd), OWNER)
-                own["hi"], own["lo"], own["tag"], own["drop"] = hi[kd], lo[kd], tag, drop
+                own["hi"], own["lo"], own["tag"], own["sure"] = hi[kd], lo[kd], tag, sure
                 held.append((((key >> U64(32)) % U64(n_buckets)).astype(np.int32), key, own))
             if not held:
                 continue
@@ -314,17 +317,20 @@ def _meet(n_buckets: int):
         out = []
         if left:
             a, b = np.concatenate(left), np.concatenate(right)
-            pair = np.zeros(len(a), [("ah", "<u8"), ("al", "<u8"), ("bh", "<u8"), ("bl", "<u8")])
+            pair = np.zeros(len(a), [("ah", "<u8"), ("al", "<u8"), ("bh", "<u8"), ("bl", "<u8"), ("tag", "<u2"), ("need", "<u4")])
             pair["ah"], pair["al"], pair["bh"], pair["bl"] = o["hi"][a], o["lo"][a], o["hi"][b], o["lo"][b]
-            pair = np.unique(pair)
+            pair["tag"], pair["need"] = o["tag"][a], needed(np.maximum(o["sure"][a], o["sure"][b]))
+            pair, times = np.unique(pair, return_counts=True)
             out.append([pa.nulls(len(pair), pa.int32()), pa.nulls(len(pair), pa.binary()),
-                        _text.fixed_binary(pair["ah"], pair["al"]), _text.fixed_binary(pair["bh"], pair["bl"])])
+                        _text.fixed_binary(pair["ah"], pair["al"]), _text.fixed_binary(pair["bh"], pair["bl"]),
+                        pa.array(pair["tag"].astype(np.int32)), pa.array(times.astype(np.int32)), pa.array(pair["need"].astype(np.int32))])
         if len(hot):
             to, raw = _dealt(hot, (hot["hi"] % U64(n_buckets)).astype(np.int32))
-            out.append([to, raw, pa.nulls(len(to), pa.binary()), pa.nulls(len(to), pa.binary())])
+            out.append([to, raw] + [pa.nulls(len(to), t) for t in (pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32())])
         if not out:
-            out.append([pa.array([], pa.int32()), empty, empty, empty])
-        names = ["bucket", "held", "a", "b"]
+            none = pa.array([], pa.int32())
+            out.append([none, empty, empty, empty, none, none, none])
+        names = ["bucket", "held", "a", "b", "tag", "times", "need"]
         return pa.concat_tables([pa.Table.from_arrays(x, names) for x in out])
     return run
 
@@ -340,7 +346,7 @@ def _leave_out(n_buckets: int):
         group[1:] = (r["hi"][1:] != r["hi"][:-1]) | (r["lo"][1:] != r["lo"][:-1]) | (r["tag"][1:] != r["tag"][:-1])
         first = np.flatnonzero(group)
         place = np.arange(len(r)) - np.repeat(first, np.diff(np.append(first, len(r))))
-        r = r[place >= r["drop"]]
+        r = r[place >= r["sure"] - np.minimum(r["sure"], needed(r["sure"]))]
         kept = np.zeros(len(r), KEPT)
         kept["key"] = (r["bucket"].astype(U64) << U64(40)) | r["key"]
         kept["hi"], kept["lo"] = r["hi"], r["lo"]
@@ -416,8 +422,8 @@ class Verifier:
         """The pairs of ``near`` that link."""
         need = near.select(F.col("a").alias("node"), F.col("rep_a").alias("rep")).unionByName(
             near.select(F.col("b").alias("node"), F.col("rep_b").alias("rep"))).distinct()
-        need = saved(need, "needed")  # a table of known size: broadcast by Spark where it is small
-        texts = self.docs.join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
+        # the same plan at every size: texts are dealt once, and no id list is broadcast
+        texts = self.docs.join(need.hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
         sets = texts.mapInArrow(_sets_of(self.width), "node binary, found binary, shingles array<bigint>")
         sets = saved(sets.filter("node = found").select("node", "shingles").dropDuplicates(["node"]), "near-sets")
         both = near.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
@@ -459,14 +465,15 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                           F.lit(None).cast("binary").alias("node"))
     n_buckets = buckets(spark, total * 2 // 3)
     rows = docs.mapInArrow(_block_rows(width, n_buckets, int(largest)), "bucket int, keys binary, owners binary, counts binary")
-    met = saved(rows.groupBy("bucket").applyInArrow(_meet(n_buckets), "bucket int, held binary, a binary, b binary"), "met")
+    met = saved(rows.groupBy("bucket").applyInArrow(_meet(n_buckets), "bucket int, held binary, a binary, b binary, tag int, times int, need int"), "met")
     kept = met.filter("held IS NOT NULL").select("bucket", "held").groupBy("bucket").applyInArrow(
         _leave_out(n_buckets), "bucket int, kept binary")
     hot = saved(kept.groupBy("bucket").applyInArrow(_lead, "block bigint, node binary, lead binary, prior binary"), "hot-blocks")
 
     nodes = saved(sig.filter("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")), "nodes")
-    pairs = met.filter("a IS NOT NULL").select("a", "b").unionByName(
+    pairs = met.filter("a IS NOT NULL").groupBy("a", "b", "tag").agg(F.sum("times").alias("times"), F.max("need").alias("need"))
+    pairs = pairs.filter("times >= need").select("a", "b").unionByName(
         hot.filter("lead < node").select(F.col("lead").alias("a"), F.col("node").alias("b"))).distinct()
     verify = Verifier(docs, nodes, width)
     near = verify.near(pairs)

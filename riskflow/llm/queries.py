@@ -1,16 +1,24 @@
 """Registered queries of the training-data operators, and SQL for those that SQL can express."""
 
 from riskflow.llm.language_id import op5_language_id
+from riskflow.llm.learned_partitions import op2_learned_partitions
+from riskflow.llm.metric_join import op9_metric_join
 from riskflow.llm.ngram_jaccard import op1_ngram_jaccard
 from riskflow.llm.packing import op3_best_fit_packing
+from riskflow.llm.quality_classifier import op7_quality_classifier
 from riskflow.llm.secret_scan import op10_secret_scan
 from riskflow.llm.source_mixing import op4_source_mixing
+from riskflow.llm.suffix_dedup import op6_suffix_dedup
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_learned_partitions": op2_learned_partitions,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_source_mixing": op4_source_mixing,
     "op5_language_id": op5_language_id,
+    "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op9_metric_join": op9_metric_join,
     "op10_secret_scan": op10_secret_scan,
 }
 
