@@ -29,5 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def column_or_null(df: DataFrame, name: str, kind: str):
-    return F.col(f"`{name}`").cast(kind) if name in df.columns else F.lit(None).cast(kind)
+def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written with a number for each row, and that column's name, which no other column has."""
+    column = "_row"
+    while column in df.columns:
+        column = "_" + column
+    return saved(df.withColumn(column, F.monotonically_increasing_id()), name), column

@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm import _text
 from riskflow.llm._components import components
-from riskflow.llm._tables import buckets, saved
+from riskflow.llm._tables import buckets, numbered, saved
 
 WIDTH = 5
 PERCENT = 80
@@ -512,6 +512,19 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "node")
 
 
+def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``docs`` with one row of each group: the one with the least doc_id (nulls last); all columns stay.
+
+    Rows with empty sets stay.
+    """
+    rows, number = numbered(docs, "numbered")
+    near = near_duplicates(rows.select(F.col(number).alias("doc_id"), "text"), width)
+    named = rows.select(F.col(number).alias("row"), "doc_id").join(near.select(F.col("doc_id").alias("row"), "component_id"), "row")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
+    stay = saved(named.groupBy("component_id").agg(best).select(F.col("best.row").alias(number)), "stay")
+    return rows.join(stay, number, "left_semi").drop(number)
+
+
 def op1_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     from riskflow.llm._tables import table
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")

@@ -1,5 +1,6 @@
 """Registered queries of the training-data operators, and SQL for those that SQL can express."""
 
+import corpus_pipeline
 from riskflow.llm.language_id import op5_language_id
 from riskflow.llm.learned_partitions import op2_learned_partitions
 from riskflow.llm.metric_join import op9_metric_join
@@ -9,6 +10,7 @@ from riskflow.llm.quality_classifier import op7_quality_classifier
 from riskflow.llm.secret_scan import op10_secret_scan
 from riskflow.llm.source_mixing import op4_source_mixing
 from riskflow.llm.suffix_dedup import op6_suffix_dedup
+from riskflow.llm.token_counts import op8_token_counts
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
@@ -18,8 +20,10 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_token_counts": op8_token_counts,
     "op9_metric_join": op9_metric_join,
     "op10_secret_scan": op10_secret_scan,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {}

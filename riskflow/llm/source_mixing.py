@@ -36,12 +36,12 @@ SEED = 20240229
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def document_sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, u): one row per row of ``docs``; u in (0, 1) is a hash of the row."""
+def document_sizes(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, source, size, u) and ``keep``: one row per row of ``docs``; u in (0, 1) is a hash of the row."""
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "doc_id", "source", "text"), 11) + 0.5) / float(1 << 53)
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"), u.alias("u"))
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"), u.alias("u"), *keep)
 
 
 def with_keys(sizes: DataFrame, quality: DataFrame | None) -> DataFrame:
@@ -51,7 +51,7 @@ def with_keys(sizes: DataFrame, quality: DataFrame | None) -> DataFrame:
     of = sizes.join(quality.select(F.col("doc_id").alias("rated"), "weight"), F.col("doc_id") == F.col("rated"), "left")
     weight = F.coalesce(F.col("weight").cast("double"), F.lit(1.0))
     weight = F.when((weight > 0) & (weight < float("inf")), weight).otherwise(1e-9)
-    return of.select("doc_id", "source", "size", (-F.log("u") / weight).alias("key"))
+    return of.withColumn("key", -F.log("u") / weight).drop("u", "rated", "weight")
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: Fraction = Fraction(1), max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -80,14 +80,14 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: Fraction = Fraction
 
 
 def mixed(docs: DataFrame, quality: DataFrame | None = None, weights=WEIGHTS, share: Fraction = Fraction(1),
-          max_epochs: int = MAX_EPOCHS, whole: bool = False) -> DataFrame:
-    """(doc_id, source, size, key, source_size, target, taken): one row per row of ``docs``.
+          max_epochs: int = MAX_EPOCHS, whole: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, source, size, key, source_size, target, taken) and the columns ``keep``: one row per row of ``docs``.
 
     ``taken`` counts words over all repeats. The document in which a source's
     budget ends gives the words that are left; with ``whole`` it is taken if at
     least half of it fits, and else left out.
     """
-    sizes = saved(with_keys(document_sizes(docs), quality), "sizes")
+    sizes = saved(with_keys(document_sizes(docs, keep), quality), "sizes")
     targets = source_targets(sizes, weights, share, max_epochs)
     size = F.col("source_size")
     epochs = F.when(size > 0, F.least(F.floor(F.col("target") / size), F.lit(max_epochs))).otherwise(0).cast("bigint")
@@ -117,7 +117,7 @@ def mixed(docs: DataFrame, quality: DataFrame | None = None, weights=WEIGHTS, sh
     fits = F.when(F.col("left") * 2 >= F.col("size"), F.col("size")).otherwise(0) if whole else F.least("left", "size")
     last = last.withColumn("more", F.when(F.col("left") > 0, fits).otherwise(0)).drop("left")
     return full.unionByName(last).select(
-        "doc_id", "source", "size", "key", "source_size", "target",
+        "doc_id", "source", "size", "key", "source_size", "target", *keep,
         (F.col("epochs") * F.col("size") + F.col("more")).cast("bigint").alias("taken"))
 
 
