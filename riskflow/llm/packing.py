@@ -151,12 +151,12 @@ class BestFit:
         return number, self.length - free
 
 
-def _pack(length: int, most: int):
-    """Adds (bin, offset, open): the task's own bin numbers; open bins may be joined with others'."""
+def _pack(length: int, most: int, turn: int):
+    """Adds (bin, offset, open_fill): bin numbers of this round and task; open bins may be joined with others'."""
     def run(batches):
         from pyspark import TaskContext
 
-        task = TaskContext.get().partitionId()
+        base = (turn << 56) + (TaskContext.get().partitionId() << 32)
         fit, held = BestFit(length, most), []
         for batch in batches:
             size = batch.column("length").to_pylist()
@@ -166,16 +166,16 @@ def _pack(length: int, most: int):
         fill = {b: length - free for free, group in enumerate(fit.bins) for b in group}
         for batch, put in held:
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([(task << 32) + b for b, _ in put], pa.int64()), pa.array([o for _, o in put], pa.int64()),
+                [*batch.columns, pa.array([base + b for b, _ in put], pa.int64()), pa.array([o for _, o in put], pa.int64()),
                  pa.array([fill[b] if b in still else None for b, _ in put], pa.int64())],
                 [*batch.schema.names, "bin", "offset", "open_fill"])
     return run
 
 
-def _packed_once(rows: DataFrame, key: list[str], length: int, most: int, tasks: int) -> DataFrame:
+def _packed_once(rows: DataFrame, key: list[str], length: int, most: int, tasks: int, turn: int) -> DataFrame:
     schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes) + ", bin bigint, offset bigint, open_fill bigint"
     dealt = rows.repartition(tasks, F.xxhash64(F.lit(17), *key)).sortWithinPartitions(F.xxhash64(F.lit(3), *key), *key)
-    return saved(dealt.mapInArrow(_pack(length, most), schema), "packed")
+    return saved(dealt.mapInArrow(_pack(length, most, turn), schema), "packed")
 
 
 def document_pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
@@ -193,13 +193,15 @@ def packed(pieces: DataFrame, length: int = LENGTH, most: int = OPEN) -> DataFra
     key = ["doc_id", "piece", "start", "ids_crc32"]
     count = pieces.count()
     tasks = max(1, -(-count // PIECES_PER_TASK))
-    now = _packed_once(pieces, key, length, most, tasks)
+    turn = 0
+    now = _packed_once(pieces, key, length, most, tasks, turn)
     now = now.select(*pieces.columns, F.col("bin").alias("sequence_id"), "offset", "open_fill")
     while tasks > 1:
         tasks = max(1, -(-tasks * most // PIECES_PER_TASK)) if tasks * most > PIECES_PER_TASK else 1
         again = now.filter("open_fill IS NOT NULL").select("sequence_id", F.col("open_fill").alias("length")).distinct()
-        again = _packed_once(again, ["sequence_id"], length, most, tasks)
-        moved = again.select(F.col("sequence_id").alias("was"), (-1 - F.col("bin")).alias("now_id"),
+        turn += 1
+        again = _packed_once(again, ["sequence_id"], length, most, tasks, turn)
+        moved = again.select(F.col("sequence_id").alias("was"), F.col("bin").alias("now_id"),
                              F.col("offset").alias("shift"), F.col("open_fill").alias("now_open"))
         left = now.filter("open_fill IS NOT NULL").join(moved, F.col("sequence_id") == F.col("was"))
         left = left.select(*pieces.columns, F.col("now_id").alias("sequence_id"), (F.col("offset") + F.col("shift")).alias("offset"),

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from riskflow.llm import _text
 
 MIN_BITS = 36.0
+LENGTH_BITS = 4.0  # for the length of a repeat or sequence
 MASK = "[SECRET]"
 KINDS = ("assign", "access", "hex", "guess")
 
@@ -88,38 +89,31 @@ class GuessCost:
         return math.log2(365 * 120) + (2 if re.search(r"\D", s) else 0)
 
     def bits(self, value: str) -> float:
-        n = len(value)
-        each = self._class_bits(value)
+        n, each = len(value), self._class_bits(value)
         low = value.lower()
-        plain = low.translate(LOOKS)
+        plain = low.translate(LOOKS) if len(low) == n else low
+        if len(low) != n:  # a letter whose lower case is longer
+            low = plain = value
         best = [0.0] * (n + 1)
-        repeat = walk = step = 0  # start of the run that ends here
+        # runs by (cost of the first character, of each further one): repeat, keyboard walk, up, down
+        start = (1 + each + LENGTH_BITS, 1 + math.log2(47), 2 + each + LENGTH_BITS, 2 + each + LENGTH_BITS)
+        step = (0.0, 1.5, 0.0, 0.0)
+        runs = [[math.inf] * 3 for _ in start]  # the least cost with a run of 1, 2, 3 or more characters that ends here
         for j in range(1, n + 1):
             i = j - 1
-            if i and value[i] != value[i - 1]:
-                repeat = i
-            if i and low[i] not in self.near.get(low[i - 1], ()):
-                walk = i
             if i:
                 diff = ord(low[i]) - ord(low[i - 1])
-                if diff not in (1, -1) or (i - 1 > step and diff != ord(low[i - 1]) - ord(low[i - 2])):
-                    step = i - 1 if diff in (1, -1) else i
+                goes_on = (value[i] == value[i - 1], low[i] in self.near.get(low[i - 1], ()), diff == 1, diff == -1)
+            else:
+                goes_on = (False,) * 4
             cost = best[i] + each
-            if j - repeat >= 3:
-                cost = min(cost, best[repeat] + 1 + each + math.log2(j - repeat))
-            if j - walk >= 3:
-                cost = min(cost, best[walk] + 1 + math.log2(47) + 1.5 * (j - walk - 1))
-            if j - step >= 3:
-                cost = min(cost, best[step] + 1 + each + 1 + math.log2(j - step))
+            for run, on, s, t in zip(runs, goes_on, start, step):
+                run[:] = [best[i] + s, run[0] + t, min(run[1:]) + t] if on else [best[i] + s, math.inf, math.inf]
+                cost = min(cost, run[2])
             for k in range(3, min(self.longest, j) + 1):
-                r = self.rank.get(low[j - k:j])
-                seen = value[j - k:j]
-                extra = 0.0 if seen == low[j - k:j] else 1.0 if seen[0].isupper() and seen[1:].islower() or seen.isupper() else k / 2
-                if r is None:
-                    r = self.rank.get(plain[j - k:j])
-                    extra += 2.0
-                if r is not None:
-                    cost = min(cost, best[j - k] + 1 + math.log2(r) + extra)
+                bits = self._word_bits(value[j - k:j], low[j - k:j], plain[j - k:j])
+                if bits is not None:
+                    cost = min(cost, best[j - k] + bits)
             if "0" <= value[i] <= "9":
                 for k in (6, 8, 10):
                     if j >= k and (date := self._date_bits(value[j - k:j])) is not None:
@@ -127,6 +121,17 @@ class GuessCost:
             best[j] = cost
         return best[n]
 
+    def _word_bits(self, seen: str, low: str, plain: str) -> float | None:
+        if (r := self.rank.get(low)) is not None:
+            extra = 0.0
+        elif (r := self.rank.get(plain)) is not None:
+            extra = 2.0
+        else:
+            return None
+        if seen != low:
+            extra += 1.0 if seen[0].isupper() and seen[1:] == low[1:] or seen.isupper() else len(seen) / 2
+        return 1 + math.log2(r) + extra
+
 
 class Scanner:
     """Spans of one document's bytes."""
