@@ -8,18 +8,25 @@ from pyspark.sql import functions as F
 from riskflow.session import scratch_path
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
     """``df`` written under spark.checkpoint.dir and read again.
 
     Cuts the lineage at files that outlive any executor; several readers then
-    share one computation.
+    share one computation. ``parts`` bounds the number of tasks and files: pass
+    ``parts_for(rows)`` for tables of few narrow rows, which hundreds of small
+    files would slow down.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df if parts is None else df.coalesce(parts)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def parts_for(rows: int, per_part: int = 20_000, least: int = 6) -> int:
+    """Tasks for a table of ``rows`` narrow rows; grows with them."""
+    return max(least, -(-int(rows) // per_part))
+
+
 def buckets(spark: SparkSession, entries: int, per_bucket: int = 1 << 20) -> int:
     """How many buckets hold ``entries`` entries at about ``per_bucket`` each."""
     return max(1, -(-int(entries) // per_bucket), min(16, int(spark.conf.get("spark.sql.shuffle.partitions"))))

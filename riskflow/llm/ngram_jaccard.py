@@ -23,9 +23,8 @@ Blocks that many different sets share ("hot") are not expanded into pairs:
    ones, and still has q in common with every partner that both keep: either
    one of them is hot, or the pair shows q blocks that are not (q = c / 2).
 2. The sets of a hot block that is kept are compared with the block's first
-   set, and the links found give components.
-3. Neighbours within such a block that are not joined yet are compared.
-4. Then only sets outside the largest component of such a block are compared
+   set and with their neighbour in the block, and the links found give components.
+3. Then only sets outside the largest component of such a block are compared
    with the block's sets of other components, behind the bit sketches. Where
    more such pairs are left than there are sets, each set first meets a few of
    about its size, then, over the components that this leaves, ever more; in
@@ -49,7 +48,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm import _text
 from riskflow.llm._components import components
-from riskflow.llm._tables import buckets, numbered, saved
+from riskflow.llm._tables import buckets, numbered, parts_for, saved
 
 WIDTH = 5
 PERCENT = 80
@@ -406,8 +405,8 @@ def _near_wide(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 class Verifier:
     """Links of candidate pairs (a, b) of sets, by whole shingle sets of one document each."""
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame, width: int):
-        self.docs, self.nodes, self.width = docs, nodes, width
+    def __init__(self, docs: DataFrame, nodes: DataFrame, width: int, parts: int):
+        self.docs, self.nodes, self.width, self.parts = docs, nodes, width, parts
 
     def near(self, pairs: DataFrame) -> DataFrame:
         """The pairs that sizes and sketches allow, with n and a document of each set."""
@@ -416,7 +415,7 @@ class Verifier:
             small.alias("y"), F.col("p.b") == F.col("y.node")).filter(_near("x", "y"))
         near = near.select("p.a", "p.b", F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"),
                            F.col("x.rep").alias("rep_a"), F.col("y.rep").alias("rep_b"))
-        return saved(_near_wide(saved(near, "near-narrow"), self.nodes), "near-pairs")
+        return saved(_near_wide(saved(near, "near-narrow", self.parts), self.nodes), "near-pairs", self.parts)
 
     def links(self, near: DataFrame) -> DataFrame:
         """The pairs of ``near`` that link."""
@@ -425,29 +424,29 @@ class Verifier:
         # the same plan at every size: texts are dealt once, and no id list is broadcast
         texts = self.docs.join(need.hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
         sets = texts.mapInArrow(_sets_of(self.width), "node binary, found binary, shingles array<bigint>")
-        sets = saved(sets.filter("node = found").select("node", "shingles").dropDuplicates(["node"]), "near-sets")
+        sets = saved(sets.filter("node = found").select("node", "shingles").dropDuplicates(["node"]), "near-sets", self.parts)
         both = near.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
             sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
         both = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("same"), (F.size("sa") + F.size("sb")).alias("total"))
-        return saved(both.filter(F.col("same") * 100 >= (F.col("total") - F.col("same")) * PERCENT).select("a", "b"), "near-links")
+        return saved(both.filter(F.col("same") * 100 >= (F.col("total") - F.col("same")) * PERCENT).select("a", "b"), "near-links", self.parts)
 
 
 def _across(hot: DataFrame, comp: DataFrame, nodes: DataFrame, tested: DataFrame, verify: Verifier) -> DataFrame:
     """Untested pairs of one hot block and different components that sizes and sketches allow."""
-    held = saved(hot.join(comp, "node", "left").select("block", "node", F.coalesce("root", "node").alias("root")), "held")
+    held = saved(hot.join(comp, "node", "left").select("block", "node", F.coalesce("root", "node").alias("root")), "held", verify.parts)
     sizes = held.groupBy("block", "root").agg(F.count("*").alias("size"))
     main = saved(sizes.groupBy("block").agg(F.max(F.struct("size", "root")).alias("m"), F.count("*").alias("parts"))
-                 .filter("parts > 1").select("block", F.col("m.root").alias("main")), "main-parts")
+                 .filter("parts > 1").select("block", F.col("m.root").alias("main")), "main-parts", verify.parts)
     longs = range(SKETCH_LONGS)
     mixed = held.join(main, "block").join(nodes.select("node", "n", *[F.col("sketch")[i].alias(f"s{i}") for i in longs]), "node")
-    mixed = saved(mixed.withColumn("minor", F.col("root") != F.col("main")), "mixed-blocks")
+    mixed = saved(mixed.withColumn("minor", F.col("root") != F.col("main")), "mixed-blocks", verify.parts)
     x, y = mixed.filter("minor").alias("x"), mixed.alias("y")
     apart = sum((F.bit_count(F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))) for i in longs), F.lit(0))
     may = ((F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * PERCENT)
            & (apart * (100 + PERCENT) <= (F.col("x.n") + F.col("y.n")) * (100 - PERCENT)))
     rest = x.join(y, (F.col("x.block") == F.col("y.block")) & (F.col("x.root") != F.col("y.root"))
                   & (~F.col("y.minor") | (F.col("x.node") < F.col("y.node"))) & may)
-    rest = saved(rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "rest")
+    rest = saved(rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "rest", verify.parts)
     return verify.near(rest.join(tested, ["a", "b"], "left_anti"))
 
 
@@ -459,54 +458,51 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sig = saved(docs.mapInArrow(_signatures(width), "doc_id bigint, n bigint, node binary, sketch array<bigint>, wide array<bigint>"), "signatures")
-    total, largest = sig.agg(F.sum("n"), F.max("n")).first()
+    total, largest, rows = sig.agg(F.sum("n"), F.max("n"), F.count("*")).first()
+    parts = parts_for(rows)
     if not total:
         return sig.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
                           F.lit(None).cast("binary").alias("node"))
     n_buckets = buckets(spark, total * 2 // 3)
-    rows = docs.mapInArrow(_block_rows(width, n_buckets, int(largest)), "bucket int, keys binary, owners binary, counts binary")
-    met = saved(rows.groupBy("bucket").applyInArrow(_meet(n_buckets), "bucket int, held binary, a binary, b binary, tag int, times int, need int"), "met")
+    sent = docs.mapInArrow(_block_rows(width, n_buckets, int(largest)), "bucket int, keys binary, owners binary, counts binary")
+    met = saved(sent.groupBy("bucket").applyInArrow(_meet(n_buckets), "bucket int, held binary, a binary, b binary, tag int, times int, need int"), "met")
     kept = met.filter("held IS NOT NULL").select("bucket", "held").groupBy("bucket").applyInArrow(
         _leave_out(n_buckets), "bucket int, kept binary")
-    hot = saved(kept.groupBy("bucket").applyInArrow(_lead, "block bigint, node binary, lead binary, prior binary"), "hot-blocks")
+    hot = saved(kept.groupBy("bucket").applyInArrow(_lead, "block bigint, node binary, lead binary, prior binary"), "hot-blocks", parts)
 
     nodes = saved(sig.filter("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")), "nodes")
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")), "nodes", parts)
     pairs = met.filter("a IS NOT NULL").groupBy("a", "b", "tag").agg(F.sum("times").alias("times"), F.max("need").alias("need"))
-    pairs = pairs.filter("times >= need").select("a", "b").unionByName(
-        hot.filter("lead < node").select(F.col("lead").alias("a"), F.col("node").alias("b"))).distinct()
-    verify = Verifier(docs, nodes, width)
-    near = verify.near(pairs)
-    links = verify.links(near)
-    comp = saved(components(links), "components")
+    pairs = pairs.filter("times >= need").select("a", "b")
+    for other in ("lead", "prior"):
+        pairs = pairs.unionByName(hot.filter(f"{other} < node").select(F.col(other).alias("a"), F.col("node").alias("b")))
+    verify = Verifier(docs, nodes, width, parts)
+    now = verify.near(pairs.distinct())
+    links = verify.links(now)
+    comp = saved(components(links), "components", parts)
 
     both_ways = lambda t: t.select("a", "b").unionByName(t.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    tested = both_ways(near)
-
-    # neighbours in a hot block that are not joined yet
-    root = lambda of, name: comp.select(F.col("node").alias(of), F.col("root").alias(name))
-    ring = hot.select("node", "prior").filter("prior < node").distinct().join(root("node", "r"), "node", "left")
-    ring = saved(ring, "ring").join(root("prior", "q"), "prior", "left")
-    ring = ring.filter(F.coalesce("r", "node") != F.coalesce("q", "prior")).select(F.col("prior").alias("a"), F.col("node").alias("b"))
-    now = verify.near(ring.join(tested, ["a", "b"], "left_anti"))
-    nearest, few = 2, nodes.count()
+    tested, nearest, few = both_ways(now), 2, rows
     while True:
-        if not now.isEmpty():
-            links = links.unionByName(verify.links(now))
-            comp = saved(components(links), "components")
-            tested = saved(tested.unionByName(both_ways(now)), "tested")
-        now = rest = _across(hot, comp, nodes, tested, verify)
-        left = rest.count()
+        now = _across(hot, comp, nodes, tested, verify)
+        left = now.count()
         if not left:
             break
         if left > few:  # some first: the components that they join leave fewer pairs
             place = F.row_number().over(Window.partitionBy("a").orderBy(F.abs(F.col("n_a") - F.col("n_b")), "b"))
-            now = saved(rest.withColumn("place", place).filter(F.col("place") <= nearest).drop("place"), "now-pairs")
+            now = saved(now.withColumn("place", place).filter(F.col("place") <= nearest).drop("place"), "now-pairs", parts)
             nearest *= 8
+        more = verify.links(now)
+        # the components so far stand for the links so far
+        links = comp.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more)
+        comp = saved(components(links), "components", parts)
+        if left <= few:
+            break
+        tested = saved(tested.unionByName(both_ways(now)), "tested", parts)
 
     of = sig.select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
     of = of.join(comp, "node", "left").select("doc_id", "n", "node", F.coalesce("root", "node").alias("root"))
-    least = saved(of.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
+    least = saved(of.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")), "least", parts)
     return of.join(least, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "node")
