@@ -8,9 +8,10 @@ bitset. When all are in use and none has room, the fullest closes. Sequences
 still open at the end of a task are packed again, as wholes, by fewer tasks, so
 that the number of part-filled sequences does not grow with the tasks.
 
-Tokenizing looks up each distinct blank-separated word of a chunk once: the
-tokenizer drops white space and never joins across it, so a text's ids are its
-words' ids in order.
+Tokenizing looks up each distinct word of a chunk once: the tokenizer drops
+white space, never joins across it nor from an ASCII letter to an ASCII sign,
+and lower-cases, so a text's ids are the ids of these parts in order. Chunks in
+which a special token might stand are cut at blanks only, with their case.
 
 Null and empty texts have the one token 0. Rows that repeat a doc_id are
 documents of their own; null doc_ids pack like others.
@@ -43,6 +44,13 @@ class WordTokens:
         self.hasher = _text.SpanHasher()
         # bytes that end a word: ASCII blanks, which the tokenizer drops too
         self.space = _text.space_table()
+        self.lower = _text.lower_table()
+        code = np.arange(256)
+        self.letter = (code >= 97) & (code <= 122)
+        self.sign = (code < 128) & ~self.space & ~self.letter & ~((code >= 48) & (code <= 57)) & ~((code >= 65) & (code <= 90))
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
         self.keep = keep
         self._forget()
 
@@ -52,21 +60,56 @@ class WordTokens:
         self.flat = np.empty(0, np.uint32)
         self.first = np.zeros(1, np.int64)
 
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of each)."""
+        # a word of letters is one unit, whose last id is marked as an end: many words go in one text
+        plain = [w.isalpha() for w in words]
+        units = [w for w, p in zip(words, plain) if p]
+        texts = [" ".join(units[i:i + 1000]) for i in range(0, len(units), 1000)]
+        ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate(ids) if ids else np.empty(0, np.uint32)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(units):  # a letter that changes kind in lower case
+            plain, ends, ids = [False] * len(words), ends[:0], ids[:0]
+        rest = [e.ids for e in self.tokenizer.encode_batch_fast([w for w, p in zip(words, plain) if not p], add_special_tokens=False)]
+        sizes = np.empty(len(words), np.int64)
+        mark = np.array(plain, bool)
+        sizes[mark], sizes[~mark] = np.diff(ends, prepend=0), [len(r) for r in rest]
+        out = np.empty(int(sizes.sum()), np.uint32)
+        of_plain = np.repeat(mark, sizes)
+        out[of_plain], out[~of_plain] = ids, np.fromiter((i for r in rest for i in r), np.uint32)
+        return out, sizes
+
     def _learn(self, keys, words):
-        codes = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        ids, sizes = self._encode(words)
         at = len(self.first) - 1
-        sizes = np.fromiter(map(len, codes), np.int64, len(codes))
-        self.flat = np.concatenate([self.flat, np.fromiter((i for c in codes for i in c), np.uint32, int(sizes.sum()))])
+        self.flat = np.concatenate([self.flat, ids])
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
         known = np.concatenate([self.known, keys])
         place = np.concatenate([self.place, at + np.arange(len(keys))])
         order = np.argsort(known, kind="stable")
         self.known, self.place = known[order], place[order]
 
+    def _words(self, buf, offs):
+        """The bytes to look up (as array and bytes), and start and end of each part."""
+        raw = buf.tobytes()
+        s, e, _ = _text.word_spans(buf, offs, self.space)
+        if b"<|" in raw:
+            return buf, raw, s, e
+        low = self.lower[buf]
+        cut = np.flatnonzero(self.letter[low[:-1]] & self.sign[low[1:]]) + 1
+        edge = np.zeros(len(buf) + 1, bool)
+        edge[offs] = True
+        cut = cut[~edge[cut]]
+        # each cut lies within a word: it ends one part and starts another
+        return low, low.tobytes(), np.sort(np.concatenate([s, cut])), np.sort(np.concatenate([e, cut]))
+
     def chunk(self, buf, offs):
         """(ids, offsets) of the documents of a chunk."""
-        s, e, d = _text.word_spans(buf, offs, self.space)
         n = len(offs) - 1
+        if not len(buf):
+            return np.empty(0, np.uint32), np.zeros(n + 1, np.int64)
+        buf, raw, s, e = self._words(buf, offs)
         if not len(s):
             return np.empty(0, np.uint32), np.zeros(n + 1, np.int64)
         h = self.hasher.spans(self.hasher.prefix(buf), s, e)
@@ -78,15 +121,14 @@ class WordTokens:
         inside = at < len(self.known)
         new[inside] = self.known[at[inside]] != keys[inside]
         if new.any():
-            raw = buf.tobytes()
-            self._learn(keys[new], [raw[s[i]:e[i]].decode("utf-8", "replace") for i in one[new].tolist()])
+            one = one[new]
+            self._learn(keys[new], [raw[a:b].decode("utf-8", "replace") for a, b in zip(s[one].tolist(), e[one].tolist())])
             at = np.searchsorted(self.known, keys)
         row = self.place[at][which]
         size = self.first[row + 1] - self.first[row]
         ends = np.cumsum(size)
         gather = np.repeat(self.first[row] - (ends - size), size) + np.arange(ends[-1])
-        offsets = np.concatenate(([0], ends))[np.searchsorted(d, np.arange(n + 1))]
-        return self.flat[gather], offsets
+        return self.flat[gather], np.concatenate(([0], ends))[np.searchsorted(s, offs)]
 
 
 def _pieces(path: str, length: int):
