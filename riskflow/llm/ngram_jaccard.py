@@ -234,12 +234,29 @@ def _signatures(width: int):
     return run
 
 
-def _block_rows(width: int, n_buckets: int, largest: int):
+def _dealt_blocks(held):
+    """One row a bucket: block keys, and the sets that own them, each with its number of keys."""
+    to, key, own = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(to, kind="stable")
+    to, key, own = to[order], key[order], own[order]
+    cut = _text.bounds(to)
+    rows = []
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        o = own[a:b]
+        new = np.ones(b - a, bool)
+        new[1:] = o[1:] != o[:-1]
+        at = np.flatnonzero(new)
+        rows.append((int(to[a]), _five_bytes(key[a:b]), o[at].tobytes(), np.diff(np.append(at, b - a)).astype("<u4").tobytes()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int32())] + [pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)],
+        ["bucket", "keys", "owners", "counts"])
+
+
+def _block_rows(width: int, n_buckets: int, largest: int, hold: int = 400_000):
     def run(batches):
         sh, tops = Shingler(width), band_tops(largest)
         for batch in batches:
-            seen = set()
-            held = []
+            seen, held, size = set(), [], 0
             for _, buf, offs in _text.text_chunks(batch.column("text")):
                 d, h = sh.sets(buf, offs)
                 n, hi, lo = sh.nodes(d, h, len(offs) - 1)
@@ -251,26 +268,17 @@ def _block_rows(width: int, n_buckets: int, largest: int):
                 pick = new[d]
                 d, h = d[pick], h[pick]
                 kd, key, tag, sure = blocks(d, h, np.where(new, n, 0), tops)
+                if not len(kd):
+                    continue
                 own = np.zeros(len(kd), OWNER)
                 own["hi"], own["lo"], own["tag"], own["sure"] = hi[kd], lo[kd], tag, sure
                 held.append((((key >> U64(32)) % U64(n_buckets)).astype(np.int32), key, own))
-            if not held:
-                continue
-            to, key, own = (np.concatenate(x) for x in zip(*held))
-            order = np.argsort(to, kind="stable")
-            to, key, own = to[order], key[order], own[order]
-            cut = _text.bounds(to)
-            rows = []
-            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-                o = own[a:b]
-                new = np.ones(b - a, bool)
-                new[1:] = o[1:] != o[:-1]
-                at = np.flatnonzero(new)
-                rows.append((int(to[a]), _five_bytes(key[a:b]), o[at].tobytes(),
-                             np.diff(np.append(at, b - a)).astype("<u4").tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32())] + [pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)],
-                ["bucket", "keys", "owners", "counts"])
+                size += len(kd)
+                if size > hold:  # a task's memory holds this many keys, however large the batch
+                    yield _dealt_blocks(held)
+                    held, size = [], 0
+            if held:
+                yield _dealt_blocks(held)
     return run
 
 
