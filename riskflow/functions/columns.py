@@ -84,10 +84,11 @@ def alert_text(user_col="user_id", count_col="tx_count", amount_col="total_amoun
     )
 
 
-def schema_fingerprint(path_col="field_path", type_col="field_type") -> Column:
-    """Aggregate expression: SHA-256 over the sorted ``path:type`` lines.
+def schema_fingerprint(path_col="field_path", definition_col="field_definition") -> Column:
+    """Aggregate expression: SHA-256 over the sorted pairs of path and leaf
+    definition, each written as a JSON array of two strings.
 
     Independent of field order; an empty group hashes the empty string.
     """
-    line = F.concat_ws(":", _col(path_col), F.coalesce(_col(type_col), F.lit("")))
-    return F.sha2(F.array_join(F.sort_array(F.collect_list(line)), "\n"), 256)
+    pair = F.to_json(F.array(_col(path_col), F.coalesce(_col(definition_col), F.lit(""))))
+    return F.sha2(F.array_join(F.sort_array(F.collect_list(pair)), "\n"), 256)

@@ -2,18 +2,20 @@
 
 A change log has rows ``(key, op, ts, seq, after)`` with ``op`` in ``c``
 (create), ``u`` (update), ``d`` (delete) and ``after`` the row image (NULL for
-deletes). The current state keeps the last change per key by ``(ts, seq)`` and
-drops keys whose last change is a delete.
+deletes). The current state keeps the last change per key by ``seq``, the log's
+own order (a connector's offset; clocks may step back), and drops keys whose
+last change is a delete.
 
 Batch: one ``max_by`` aggregation per key, partial-aggregated on the map side,
 so a key changed a billion times ships one row per map task.
-Stream: each micro-batch is folded into a parquet snapshot (tombstones kept, so
-a late older change cannot resurrect a deleted row); batch ``N`` writes
-snapshot ``batch_id=N`` from ``N-1`` plus the batch, which makes a replayed
-batch rewrite the same output (idempotent). Each version is a full copy (plain
-parquet has no MERGE), so the trigger interval trades freshness against
-rewrite volume, and versions older than the newest two can be dropped by the
-table's retention job.
+Stream: the snapshot is a parquet folder hash-bucketed by key. Each micro-batch
+is folded into the buckets that it touches (tombstones kept, so a late older
+change cannot resurrect a deleted row): batch ``N`` writes version
+``batch_id=N`` of such a bucket from the bucket's newest version below ``N``, so
+a replayed batch rewrites the same output (idempotent) and untouched buckets
+cost nothing. Versions older than the newest two of a bucket can be dropped by
+the table's retention job. Any read error ends the stream; only a folder that
+does not exist means that there is no earlier version.
 """
 
 from __future__ import annotations
@@ -22,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-CDC_OPS = {"c": "create", "u": "update", "d": "delete", "r": "snapshot read"}
+SNAPSHOT_BUCKETS = 32
 
 
 def fold_latest(changes: DataFrame, key: str = "key") -> DataFrame:
     """Last change per key, tombstones included (``op = 'd'``)."""
     cols = [c for c in changes.columns if c != key]
-    last = F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(F.col("ts"), F.col("seq")))
+    last = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("seq"))
     return changes.groupBy(key).agg(last.alias("_last")).select(key, "_last.*")
 
 
@@ -40,36 +42,65 @@ def current_state(changes: DataFrame, key: str = "key", flatten_after: bool = Tr
     return live
 
 
-def _snapshot_batch_writer(snapshot_path: str, key: str):
+def _versions(spark, snapshot_path: str) -> dict[int, list[int]]:
+    """Versions of each bucket of a snapshot, from its folder names; none if it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(snapshot_path)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found: dict[int, list[int]] = {}
+    if not fs.exists(path):
+        return found
+    for bucket in fs.listStatus(path):
+        name = bucket.getPath().getName()
+        if name.startswith("bucket="):
+            versions = [v.getPath().getName() for v in fs.listStatus(bucket.getPath())]
+            found[int(name[7:])] = [int(v[9:]) for v in versions if v.startswith("batch_id=")]
+    return found
+
+
+def _newest(spark, snapshot_path: str, below: int | None = None, buckets: set[int] | None = None) -> list[str]:
+    """Folders of the newest version (below ``below``) of each bucket."""
+    out = []
+    for bucket, versions in sorted(_versions(spark, snapshot_path).items()):
+        fitting = [v for v in versions if below is None or v < below]
+        if fitting and (buckets is None or bucket in buckets):
+            out.append(f"{snapshot_path}/bucket={bucket}/batch_id={max(fitting)}")
+    return out
+
+
+def _snapshot_batch_writer(snapshot_path: str, key: str, n_buckets: int):
     def on_batch(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        prev = None
-        if batch_id > 0:
-            try:
-                prev = (spark.read.parquet(snapshot_path)
-                        .where(F.col("batch_id") == batch_id - 1).drop("batch_id"))
-            except Exception:  # no snapshot yet (earlier batches were empty)
-                prev = None
-        merged = batch_df if prev is None else prev.unionByName(batch_df)
-        (fold_latest(merged, key).withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(snapshot_path))
+        bucket = F.pmod(F.xxhash64(key), F.lit(n_buckets)).cast("int")
+        batch_df.persist()
+        try:
+            touched = {r[0] for r in batch_df.select(bucket).distinct().collect()}  # at most n_buckets
+            if not touched:
+                return
+            merged = batch_df
+            old = _newest(spark, snapshot_path, batch_id, touched)
+            if old:
+                merged = spark.read.schema(batch_df.schema).parquet(*old).unionByName(batch_df)
+            (fold_latest(merged, key).withColumns({"bucket": bucket, "batch_id": F.lit(batch_id).cast("long")})
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("bucket", "batch_id").parquet(snapshot_path))
+        finally:
+            batch_df.unpersist()
 
     return on_batch
 
 
 def start_snapshot_stream(changes: DataFrame, snapshot_path: str, checkpoint_path: str,
-                          key: str = "key", available_now: bool = False) -> StreamingQuery:
-    """Fold a change-log stream into versioned parquet snapshots."""
+                          key: str = "key", available_now: bool = False,
+                          n_buckets: int = SNAPSHOT_BUCKETS) -> StreamingQuery:
+    """Fold a change-log stream into versioned parquet snapshots. ``n_buckets``
+    is the snapshot's for life."""
     writer = (changes.writeStream.option("checkpointLocation", checkpoint_path)
-              .foreachBatch(_snapshot_batch_writer(snapshot_path, key)))
+              .foreachBatch(_snapshot_batch_writer(snapshot_path, key, n_buckets)))
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
 def read_snapshot(spark, snapshot_path: str, key: str = "key") -> DataFrame:
-    """Live rows of the newest snapshot version."""
-    snaps = spark.read.parquet(snapshot_path)
-    newest = snaps.agg(F.max("batch_id")).first()[0]
-    return current_state(snaps.where(F.col("batch_id") == newest).drop("batch_id"), key)
+    """Live rows of each bucket's newest version."""
+    return current_state(spark.read.parquet(*_newest(spark, snapshot_path)), key)

@@ -5,84 +5,112 @@ JSON document in the registry format: a field is a leaf ``{"type": "..."}`` or
 a shorthand ``"string"``; an object without a string ``type`` is a group of
 fields. Flattened fields are rows ``(topic, version, field_path, field_type)``.
 
+A path is its field names joined by dots; a dot or percent sign within a name is
+written ``%2E`` or ``%25``, an empty name ``%``. A path that is both a leaf and
+a group (``"src": null`` in one payload, ``"src": {...}`` in another) keeps both:
+in a definition the group has a member with the empty name for its own type.
+
 Scale notes
 -----------
-- Flattening walks nesting levels with a recursive CTE: each level is a
-  narrow explode of the previous one; the number of levels is the nesting
-  depth, not the data size.
+- Flattening walks nesting levels, one narrow explode and one checkpoint a
+  level; the number of levels is the nesting depth, not the data size, and
+  neither depth nor rows are bounded.
 - Observed schemas from payload rows first reduce the rows to one per
   (topic, version, shape) with map-side partial aggregation, so a topic with a
-  third of all rows ships one row per shape and map task; the recursive walk
-  then runs on that tiny table only.
+  third of all rows ships one row per shape and map task; the level walk
+  then runs on that table only.
 - Per-version work (fingerprints, version pairs) groups by (topic, version):
   the group size is the schema width, bounded by the schema, not by the data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.session import checkpoint_root
 
 # --- leaf rule (fixed): a value is a leaf unless it is an object whose
 # ``type`` is missing or not a string --------------------------------------
-_IS_GROUP = ("(schema_of_variant({v}) LIKE 'OBJECT%' AND "
-             "coalesce(schema_of_variant(try_variant_get({v}, '$.type', 'variant')) <> 'STRING', true))")
-_LEAF_TYPE = ("CASE WHEN schema_of_variant({v}) LIKE 'OBJECT%' "
-              "THEN try_variant_get({v}, '$.type', 'string') "
-              "ELSE cast({v} AS string) END")
-
-_FLATTEN_SQL = """
-WITH RECURSIVE nodes(topic, version, field_path, v) AS (
-  SELECT c.topic, c.version, e.key, e.value
-  FROM {{src}} c, LATERAL variant_explode(try_parse_json(c.definition)) e
-  UNION ALL
-  SELECT n.topic, n.version, concat(n.field_path, '.', e.key), e.value
-  FROM nodes n, LATERAL variant_explode(n.v) e
-  WHERE {is_group_n}
-)
-SELECT topic, version, field_path, {leaf_type} AS field_type
-FROM nodes WHERE NOT {is_group}
-""".format(is_group_n=_IS_GROUP.format(v="n.v"), is_group=_IS_GROUP.format(v="v"),
-           leaf_type=_LEAF_TYPE.format(v="v"))
-
-# Observed payloads: same walk, every object is a group, leaves carry values.
-_OBSERVED_SQL = """
-WITH RECURSIVE nodes(topic, version, n_rows, field_path, v) AS (
-  SELECT s.topic, s.version, s.n_rows, e.key, e.value
-  FROM {src} s, LATERAL variant_explode(s.sample) e
-  UNION ALL
-  SELECT n.topic, n.version, n.n_rows, concat(n.field_path, '.', e.key), e.value
-  FROM nodes n, LATERAL variant_explode(n.v) e
-  WHERE schema_of_variant(n.v) LIKE 'OBJECT%'
-)
-SELECT topic, version, field_path, v, n_rows
-FROM nodes WHERE NOT schema_of_variant(v) LIKE 'OBJECT%'
-"""
+_IS_OBJECT = "schema_of_variant(v) LIKE 'OBJECT%'"
+_IS_GROUP = (f"({_IS_OBJECT} AND "
+             "coalesce(schema_of_variant(try_variant_get(v, '$.type', 'variant')) <> 'STRING', true))")
+_LEAF_TYPE = (f"CASE WHEN {_IS_OBJECT} THEN try_variant_get(v, '$.type', 'string') "
+              "ELSE cast(v AS string) END")
+_LEAF_JSON = f"CASE WHEN {_IS_OBJECT} THEN to_json(v) ELSE to_json(named_struct('type', cast(v AS string))) END"
+
+
+def _encoded(name):
+    """A field name as a path step (see the module text)."""
+    dots = F.replace(F.replace(name, F.lit("%"), F.lit("%25")), F.lit("."), F.lit("%2E"))
+    return F.when(name == "", F.lit("%")).otherwise(dots)
+
+
+def _decoded(step):
+    plain = F.replace(F.replace(step, F.lit("%2E"), F.lit(".")), F.lit("%25"), F.lit("%"))
+    return F.when(step == "%", F.lit("")).otherwise(plain)
 
 
 def _json_string(c):
     """A string column as a JSON string literal (quoted, escaped)."""
-    return F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
+    return F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
+
+
+def _walk(rows: DataFrame, is_group: str, self_member: bool) -> DataFrame:
+    """Leaves below the objects ``v`` of ``rows``: all other columns, ``field_path`` and the leaf's ``v``.
+
+    One explode and one checkpoint per nesting level, until no groups are left.
+    """
+    checkpoint_root(rows.sparkSession)
+    keep = [c for c in rows.columns if c != "v"]
+    level = rows.withColumn("field_path", F.lit(None).cast("string"))
+    leaves = None
+    while True:
+        member = level.sparkSession.sql(
+            "SELECT s.* EXCEPT (v), e.key AS _name, e.value AS v FROM {level} s, LATERAL variant_explode(s.v) e", level=level)
+        step = F.concat_ws(".", "field_path", _encoded(F.col("_name")))
+        if self_member:  # the empty name stands for the group itself
+            step = F.when((F.col("_name") == "") & F.col("field_path").isNotNull(), F.col("field_path")).otherwise(step)
+        member = member.select(*keep, step.alias("field_path"), "v").withColumn("_group", F.expr(is_group)).checkpoint()
+        here = member.where("NOT _group").drop("_group")
+        leaves = here if leaves is None else leaves.unionByName(here)
+        level = member.where("_group").drop("_group")
+        if level.isEmpty():
+            return leaves
+
+
+class InvalidDefinitionError(ValueError):
+    """A definition is not a JSON object in the registry format."""
 
 
 class DuplicateVersionError(ValueError):
     """A registered (topic, version) would be overwritten."""
 
 
-def flatten_definitions(catalog: DataFrame) -> DataFrame:
-    """Catalog rows -> ``(topic, version, field_path, field_type)``.
+def invalid_definitions(catalog: DataFrame) -> DataFrame:
+    """Catalog rows whose definition is no JSON object (or repeats a key)."""
+    return catalog.where(~F.coalesce(F.expr("schema_of_variant(try_parse_json(definition)) LIKE 'OBJECT%'"), F.lit(False)))
+
 
-    Shorthand leaves give their string as the type; empty groups give no row;
-    unparsable definitions give no rows.
+def flatten_definitions(catalog: DataFrame, on_invalid: str = "raise") -> DataFrame:
+    """Catalog rows -> ``(topic, version, field_path, field_type, field_definition)``.
+
+    Shorthand leaves give their string as the type; ``field_definition`` is the
+    whole leaf as JSON with sorted keys. Empty groups give no row. A definition
+    that is no JSON object raises ``InvalidDefinitionError``; with
+    ``on_invalid='skip'`` it gives no rows (``invalid_definitions`` lists them).
     """
-    spark: SparkSession = catalog.sparkSession
-    checkpoint_root(spark)
-    # The recursive walk reads its anchor more than once: materialise the
-    # (schema-sized) catalog first so its upstream plan runs once.
+    if on_invalid not in ("raise", "skip"):
+        raise ValueError(f"on_invalid must be 'raise' or 'skip', got {on_invalid!r}")
+    checkpoint_root(catalog.sparkSession)
     src = catalog.select("topic", F.col("version").cast("int").alias("version"), "definition").checkpoint()
-    return spark.sql(_FLATTEN_SQL, src=src)
+    if on_invalid == "raise":
+        bad = invalid_definitions(src).select("topic", "version").take(5)
+        if bad:
+            raise InvalidDefinitionError(f"unparsable definitions, among them {[tuple(r) for r in bad]}")
+    src = src.withColumn("v", F.expr("try_parse_json(definition)")).drop("definition").where(_IS_OBJECT)
+    return _walk(src, _IS_GROUP, True).select(
+        "topic", "version", "field_path", F.expr(_LEAF_TYPE).alias("field_type"), F.expr(_LEAF_JSON).alias("field_definition"))
 
 
 def payload_shapes(payloads: DataFrame, topic_col="topic", version_col="version",
@@ -109,12 +137,10 @@ def observed_schema(payloads: DataFrame, topic_col="topic", version_col="version
     merge of the leaf types seen (``schema_of_variant_agg``), ``n_rows`` the
     number of payloads holding the path.
     """
-    spark = payloads.sparkSession
-    checkpoint_root(spark)
-    # One row per (topic, version, shape): tiny, and the recursive walk reads
-    # its anchor more than once, so the scan of all payloads runs only here.
+    checkpoint_root(payloads.sparkSession)
+    # one row per (topic, version, shape): the scan of all payloads runs only here
     shapes = payload_shapes(payloads, topic_col, version_col, payload_col).checkpoint()
-    leaves = spark.sql(_OBSERVED_SQL, src=shapes)
+    leaves = _walk(shapes.select("topic", "version", "n_rows", F.col("sample").alias("v")), _IS_OBJECT, False)
     return (leaves.groupBy("topic", "version", "field_path")
             .agg(F.expr("schema_of_variant_agg(v)").alias("field_type"),
                  F.sum("n_rows").cast("long").alias("n_rows")))
@@ -128,8 +154,14 @@ def definitions_from_fields(fields: DataFrame) -> DataFrame:
     """
     checkpoint_root(fields.sparkSession)
     fields = fields.checkpoint()  # small; read once per level below
-    parts = fields.select("topic", "version", F.split("field_path", r"\.").alias("p"),
+    parts = fields.select("topic", "version", F.transform(F.split("field_path", r"\."), _decoded).alias("p"),
                           F.to_json(F.struct(F.col("field_type").alias("type"))).alias("j"))
+    # leaves that are also groups become a member with the empty name
+    above = (parts.where(F.size("p") > 1)
+             .select("topic", "version", F.explode(F.transform(F.sequence(F.lit(1), F.size("p") - 1), lambda n: F.slice("p", 1, n))).alias("p"))
+             .distinct().withColumn("_above", F.lit(True)))
+    parts = (parts.join(above, ["topic", "version", "p"], "left")
+             .withColumn("p", F.when(F.col("_above"), F.concat("p", F.array(F.lit("")))).otherwise(F.col("p"))).drop("_above")).checkpoint()
     depth_row = parts.agg(F.max(F.size("p")).alias("d")).first()
     depth = int(depth_row["d"] or 0)
     # level nodes: (topic, version, prefix array, name, json text)
@@ -153,13 +185,43 @@ def definitions_from_fields(fields: DataFrame) -> DataFrame:
     return fields.sparkSession.createDataFrame([], "topic string, version int, definition string")
 
 
-def schema_fingerprints(fields: DataFrame) -> DataFrame:
-    """SHA-256 per (topic, version) over sorted ``path:type`` lines; independent
-    of field order in the definition."""
+def schema_fingerprints(fields: DataFrame, versions: DataFrame | None = None) -> DataFrame:
+    """SHA-256 per (topic, version) over the sorted pairs of path and whole leaf
+    definition, each pair a JSON array; independent of the field order.
+
+    With ``versions`` (the catalog) versions without fields have a row as well:
+    the hash of the empty string.
+    """
     from riskflow.functions.columns import schema_fingerprint
-    return (fields.groupBy("topic", "version")
-            .agg(schema_fingerprint().alias("fingerprint"),
-                 F.count(F.lit(1)).alias("n_fields")))
+    out = (fields.groupBy("topic", "version")
+           .agg(schema_fingerprint().alias("fingerprint"), F.count(F.lit(1)).alias("n_fields")))
+    if versions is None:
+        return out
+    all_of = versions.select("topic", F.col("version").cast("int").alias("version")).distinct()
+    return all_of.join(out, ["topic", "version"], "left").select(
+        "topic", "version", F.coalesce("fingerprint", F.sha2(F.lit(""), 256)).alias("fingerprint"),
+        F.coalesce("n_fields", F.lit(0)).cast("long").alias("n_fields"))
+
+
+def registration_records(catalog: DataFrame) -> DataFrame:
+    """The registry's record of each version: ``(topic, version, definition, created_at,
+    fingerprint, n_fields, breaking)``.
+
+    ``breaking`` holds one sorted line per breaking change against the previous
+    version (``removed <path>`` or ``type_changed <path>: <old> -> <new>``).
+    ``created_at`` is NULL where the catalog has none.
+    """
+    fields = flatten_definitions(catalog).checkpoint()
+    changes = breaking_changes(fields, versions=catalog)
+    line = F.when(F.col("change") == "removed", F.concat(F.lit("removed "), "field_path")).otherwise(
+        F.concat(F.lit("type_changed "), "field_path", F.lit(": "), "old_type", F.lit(" -> "), "new_type"))
+    broken = (changes.groupBy("topic", F.col("new_version").alias("version"))
+              .agg(F.sort_array(F.collect_list(line)).alias("breaking")))
+    created = F.col("created_at") if "created_at" in catalog.columns else F.lit(None).cast("timestamp")
+    rows = catalog.select("topic", F.col("version").cast("int").alias("version"), "definition", created.alias("created_at"))
+    return (rows.join(schema_fingerprints(fields, catalog), ["topic", "version"])
+            .join(broken, ["topic", "version"], "left")
+            .withColumn("breaking", F.coalesce("breaking", F.array().cast("array<string>"))))
 
 
 def latest_versions(catalog: DataFrame) -> DataFrame:
@@ -174,20 +236,27 @@ def register_versions(catalog: DataFrame, new: DataFrame,
                       order_col: str | None = None) -> DataFrame:
     """Append ``new`` (topic, version or NULL, definition) to ``catalog``.
 
-    NULL versions are numbered after the highest version of the topic, in
-    ``order_col`` order within the batch. A (topic, version) already present,
-    or repeated in the batch, refuses the whole batch.
+    NULL versions are numbered after the topic's highest version in catalog and
+    batch, in ``order_col`` order within the batch. A (topic, version) already
+    present, or repeated in the batch, refuses the whole batch. The result is a
+    new table: a second writer that starts from the same catalog is not seen, so
+    writers of one catalog must take turns.
     """
-    latest = latest_versions(catalog).select("topic", "latest_version")
+    checkpoint_root(catalog.sparkSession)
     order = F.col(order_col) if order_col else F.monotonically_increasing_id()
-    w = Window.partitionBy("topic", F.col("version").isNull()).orderBy(order)
-    numbered = (new.withColumn("_ord", F.row_number().over(w))
-                .join(latest, "topic", "left")
+    # numbered once: the checks and the result read the same rows
+    new = new.withColumn("_order", order).checkpoint()
+    highest = (catalog.select("topic", F.col("version").cast("int").alias("version"))
+               .unionByName(new.where("version IS NOT NULL").select("topic", F.col("version").cast("int").alias("version")))
+               .groupBy("topic").agg(F.max("version").alias("_highest")))
+    w = Window.partitionBy("topic", F.col("version").isNull()).orderBy("_order", "definition")
+    numbered = (new.withColumn("_place", F.row_number().over(w))
+                .join(highest, "topic", "left")
                 .withColumn("version", F.coalesce(
                     F.col("version").cast("int"),
-                    (F.coalesce(F.col("latest_version"), F.lit(0)) + F.col("_ord")).cast("int")))
-                .drop("_ord", "latest_version"))
-    clash_old = numbered.join(catalog.select("topic", "version"), ["topic", "version"], "left_semi")
+                    (F.coalesce(F.col("_highest"), F.lit(0)) + F.col("_place")).cast("int")))
+                .drop("_place", "_highest", "_order")).checkpoint()
+    clash_old = numbered.join(catalog.select("topic", F.col("version").cast("int").alias("version")), ["topic", "version"], "left_semi")
     clash_new = numbered.groupBy("topic", "version").count().where(F.col("count") > 1)
     if not clash_old.isEmpty() or not clash_new.isEmpty():
         raise DuplicateVersionError("version already exists for a topic in the batch")
@@ -224,7 +293,8 @@ def version_pairs(versions: DataFrame, strict_adjacent: bool = False) -> DataFra
 
 
 def breaking_changes(fields: DataFrame, versions: DataFrame | None = None,
-                     include_added: bool = False, strict_adjacent: bool = False) -> DataFrame:
+                     include_added: bool = False, strict_adjacent: bool = False,
+                     void: str = "last") -> DataFrame:
     """Removed fields and type changes between consecutive versions.
 
     Rows ``(topic, old_version, new_version, change, field_path, old_type,
@@ -232,27 +302,44 @@ def breaking_changes(fields: DataFrame, versions: DataFrame | None = None,
     with ``include_added``). Versions come from ``versions`` (the catalog) when
     given, so a version without fields still counts. An empty old schema gives
     no changes; an empty new one gives every old field as removed. Types are
-    compared by name, NULL-safe; ``VOID`` (only NULLs seen) is not a change.
+    compared by name, NULL-safe. ``VOID`` means that only NULLs were seen: with
+    ``void='last'`` it is no change by itself, and a later type is compared with
+    the field's last other type; ``'plain'`` compares it like any type.
     """
+    if void not in ("last", "plain"):
+        raise ValueError(f"void must be 'last' or 'plain', got {void!r}")
     checkpoint_root(fields.sparkSession)
-    fields = fields.checkpoint()  # small; joined three times below
-    old_nonempty = fields.select("topic", F.col("version").alias("old_version")).distinct()
-    pairs = (version_pairs(versions if versions is not None else fields, strict_adjacent)
+    listed = versions if versions is not None else fields
+    f = fields.select("topic", F.col("version").cast("int").alias("version"), "field_path", "field_type")
+    place = F.row_number().over(Window.partitionBy("topic").orderBy("version"))
+    places = listed.select("topic", F.col("version").cast("int").alias("version")).distinct().withColumn("_place", place)
+    f = f.join(places, ["topic", "version"], "left")
+    # a field's versions without a gap; within them its last type other than VOID
+    along = Window.partitionBy("topic", "field_path").orderBy("version")
+    f = f.withColumn("_run", F.col("_place") - F.row_number().over(along))
+    is_void = F.upper("field_type").eqNullSafe("VOID")
+    known = F.last(F.when(~is_void, F.col("field_type")), ignorenulls=True).over(
+        Window.partitionBy("topic", "field_path", "_run").orderBy("version"))
+    f = f.withColumn("last_type", F.coalesce(known, "field_type") if void == "last" else F.col("field_type"))
+    f = f.drop("_place", "_run").checkpoint()  # small; joined three times below
+    old_nonempty = f.select("topic", F.col("version").alias("old_version")).distinct()
+    pairs = (version_pairs(listed, strict_adjacent)
              .join(old_nonempty, ["topic", "old_version"], "left_semi")
              .checkpoint())  # small; joined twice below
-    f = fields.select("topic", F.col("version").cast("int").alias("version"), "field_path", "field_type")
     old = pairs.join(f.select("topic", F.col("version").alias("old_version"), "field_path",
-                              F.col("field_type").alias("old_type"), F.lit(True).alias("_in_old")),
+                              F.col("last_type").alias("old_type"), F.lit(True).alias("_in_old")),
                      ["topic", "old_version"])
     new = pairs.join(f.select("topic", F.col("version").alias("new_version"), "field_path",
                               F.col("field_type").alias("new_type"), F.lit(True).alias("_in_new")),
                      ["topic", "new_version"])
     keys = ["topic", "old_version", "new_version", "field_path"]
     both = old.join(new, keys, "full_outer")
-    void = F.upper(F.col("old_type")).eqNullSafe("VOID") | F.upper(F.col("new_type")).eqNullSafe("VOID")
+    silent = F.lit(False)
+    if void == "last":  # nothing is known of the new or of all old types
+        silent = F.upper("new_type").eqNullSafe("VOID") | F.upper("old_type").eqNullSafe("VOID")
     change = (F.when(F.col("_in_new").isNull(), F.lit("removed"))
               .when(F.col("_in_old").isNull(), F.lit("added"))
-              .when(~F.col("old_type").eqNullSafe(F.col("new_type")) & ~void, F.lit("type_changed")))
+              .when(~F.col("old_type").eqNullSafe(F.col("new_type")) & ~silent, F.lit("type_changed")))
     out = (both.withColumn("change", change).where(F.col("change").isNotNull())
            .select("topic", "old_version", "new_version", "change", "field_path", "old_type", "new_type"))
     if not include_added:

@@ -4,9 +4,10 @@ The profile is a static DataFrame (a batch read of parquet/JDBC), joined with
 batch or streaming transactions by a left outer equi-join on ``user_id``.
 
 Join strategy:
-- broadcast hash join when the profile is proven small: its row count is
-  measured (one cheap job on the dimension) and must be at most
-  ``max_broadcast_rows``. No shuffle of the transactions, no state.
+- broadcast hash join when the profile is proven small: its size in bytes is
+  measured (one job on the dimension adds up its rows' lengths, so wide rows
+  count) and must be at most ``max_broadcast_bytes``. No shuffle of the
+  transactions, no state.
 - otherwise the planner's shuffle join. Batch queries get AQE's skew-join
   split for a hot user; for streams ``salt_buckets`` spreads a hot user over
   several reducers by a deterministic salt of the transaction id (retry-safe)
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from riskflow.config import DEFAULT_PROFILE_CATEGORY
 
-# Profile rows that may be broadcast: ~100 bytes a row -> ~200 MB at most.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Bytes of profile that may be broadcast.
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
 class ProfileNotUniqueError(ValueError):
@@ -36,8 +37,7 @@ def profile_is_unique(profile: DataFrame, key: str = "user_id") -> bool:
 
 def augment_with_profile(tx: DataFrame, profile: DataFrame,
                          default_category: str | None = None,
-                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                         broadcast_profile: bool | None = None,
+                         max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                          salt_buckets: int = 1,
                          check_unique: bool = True,
                          key: str = "user_id") -> DataFrame:
@@ -48,16 +48,14 @@ def augment_with_profile(tx: DataFrame, profile: DataFrame,
     the dimension) refuses a profile with a repeated key, which would silently
     duplicate transactions.
     """
-    if check_unique or broadcast_profile is None:
-        # one aggregation job on the dimension gives both its size and whether
-        # a key repeats
-        stats = (profile.groupBy(key).count()
-                 .agg(F.sum("count").alias("rows"), F.max("count").alias("max_per_key")).first())
-        rows, max_per_key = int(stats["rows"] or 0), int(stats["max_per_key"] or 0)
-        if check_unique and max_per_key > 1:
-            raise ProfileNotUniqueError(f"profile has repeated {key!r} values")
-        if broadcast_profile is None:
-            broadcast_profile = rows <= max_broadcast_rows
+    # one aggregation job on the dimension gives both its size and whether a
+    # key repeats; 16 bytes a value stand for a row's fixed part
+    width = F.length(F.to_json(F.struct(*profile.columns))) + 16 * len(profile.columns)
+    stats = (profile.groupBy(key).agg(F.count("*").alias("count"), F.sum(width).alias("bytes"))
+             .agg(F.sum("bytes").alias("bytes"), F.max("count").alias("max_per_key")).first())
+    if check_unique and int(stats["max_per_key"] or 0) > 1:
+        raise ProfileNotUniqueError(f"profile has repeated {key!r} values")
+    broadcast_profile = int(stats["bytes"] or 0) <= max_broadcast_bytes
     if broadcast_profile:
         joined = tx.join(F.broadcast(profile), on=key, how="left")
     elif salt_buckets > 1:

@@ -105,14 +105,14 @@ def _lineage(edges: DataFrame, targets: DataFrame, upstream: bool) -> DataFrame:
     return (reach.join(edges, reach["node"] == edges[key])
             .select(F.col("root").alias("target" if upstream else "origin"),
                     "source_id", "target_id", "depth",
-                    "transformation_type", "details"))
+                    "transformation_type", "details", "ts"))
 
 
 def upstream_lineage(edges: DataFrame, targets: DataFrame) -> DataFrame:
     """Every edge into a node upstream of each target (the target included).
 
     Rows ``(target, source_id, target_id, depth, transformation_type,
-    details)`` where ``depth`` is the distance of ``target_id`` from the
+    details, ts)`` where ``depth`` is the distance of ``target_id`` from the
     target. An unknown target gives no rows; a self edge is listed once and
     not followed.
     """

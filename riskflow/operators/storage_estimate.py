@@ -1,10 +1,14 @@
-"""Parquet storage estimate: bytes of a written sample, scaled to all rows.
+"""Parquet storage estimate: bytes per row of a written sample, scaled to all rows.
 
-One ``count`` of the input, a seeded random sample (spread over all
-partitions, unlike ``limit``) written as parquet under the shared checkpoint
-directory, the data files' sizes summed by Spark (``binaryFile`` lengths, the
-file contents are not read), and the sample's row count read from parquet
-footers. Nothing depends on a driver-local disk.
+One ``count`` of the input and a seeded random sample of at most about
+``sample_size_rows`` rows (a bound by parameter, so one task may hold it), which
+is written as a single parquet file; a file with the same columns and no rows
+gives the fixed cost of a file (header and footer). The estimate is the rest per
+row times the row count, plus one such fixed cost, so it does not depend on how
+many partitions the input happens to have. Dictionaries serve a small sample
+less well than a large file, so small samples estimate too much (a larger
+``sample_size_rows`` is closer). Sizes are ``binaryFile`` lengths read
+by Spark; nothing depends on a driver-local disk.
 """
 
 from __future__ import annotations
@@ -52,10 +56,15 @@ def estimate_storage(df: DataFrame, sample_size_rows: int = DEFAULT_ESTIMATE_SAM
         else:
             raise ValueError(f"method must be 'sample' or 'limit', got {method!r}")
         out = path or scratch_path(spark, "storage-estimate")
-        sample.write.mode("overwrite").parquet(out)
-        sample_rows = spark.read.parquet(out).count()
-        sample_bytes = parquet_data_bytes(spark, out)
-        est = int(sample_bytes / sample_rows * n) if sample_rows else 0
+        sample.repartition(1).write.mode("overwrite").parquet(f"{out}/sample")
+        sample_rows = spark.read.parquet(f"{out}/sample").count()
+        if not sample_rows:  # an unlucky draw from few rows
+            df.limit(k).repartition(1).write.mode("overwrite").parquet(f"{out}/sample")
+            sample_rows = spark.read.parquet(f"{out}/sample").count()
+        spark.createDataFrame([], df.schema).repartition(1).write.mode("overwrite").parquet(f"{out}/empty")
+        fixed = parquet_data_bytes(spark, f"{out}/empty")
+        sample_bytes = parquet_data_bytes(spark, f"{out}/sample")
+        est = int(max(sample_bytes - fixed, 0) / sample_rows * n) + fixed
         return spark.createDataFrame([(n, sample_rows, sample_bytes, est)], RESULT_SCHEMA)
     except Exception:
         if on_error != "minus_one":

@@ -95,12 +95,17 @@ def dedup_transactions(tx: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Drop repeated deliveries of the same transaction id.
 
     Streaming: ``dropDuplicatesWithinWatermark`` keeps state only until the
-    watermark passes, so it stays bounded. Batch: ``dropDuplicates``; the
-    shuffle is on the high-cardinality id, so it spreads evenly.
+    watermark passes, so it stays bounded; the first delivery to arrive stays.
+    Batch: the delivery with the earliest timestamp (nulls last), then the least
+    of the other columns in their order, so that runs agree where copies
+    differ; combined on the map side, and shuffled on the high-cardinality id.
     """
     if tx.isStreaming:
         return tx.dropDuplicatesWithinWatermark([key])
-    return tx.dropDuplicates([key])
+    others = [c for c in tx.columns if c != key]
+    first = [F.col("timestamp").isNull().alias("_late"), "timestamp"] if "timestamp" in others else []
+    row = F.struct(*first, *[c for c in others if c != "timestamp"])
+    return tx.groupBy(key).agg(F.min(row).alias("_row")).select(*[key if c == key else F.col(f"_row.{c}") for c in tx.columns])
 
 
 def distinct_users(tx: DataFrame) -> DataFrame:

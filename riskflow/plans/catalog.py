@@ -18,7 +18,7 @@ from pyspark.sql.types import DecimalType, LongType, StringType, StructField, St
 from riskflow.config import FIXTURE_PARAMS
 from riskflow.functions.columns import flatten_window, utc_wall_clock
 from riskflow.operators import cdc, contracts, lineage
-from riskflow.operators.storage_estimate import estimate_storage
+from riskflow.operators.storage_estimate import estimate_storage, parquet_data_bytes
 from riskflow.operators.enrich import augment_with_profile, augment_with_self_profile
 from riskflow.operators.messages import alert_messages, to_kafka_messages
 from riskflow.operators.risk import detect_high_risk, window_totals
@@ -28,16 +28,16 @@ from riskflow.operators.validate import (
     parse_transactions,
     rejected_transactions,
 )
-from riskflow.plans.risk_flow import prepare_transactions, risk_from_records, risk_from_transactions
+from riskflow.plans.risk_flow import prepare_transactions, risk_from_records, risk_from_transactions, start_default_flow
 from riskflow.schemas import TRANSACTION_SCHEMA
-from riskflow.session import scratch_path, sf_table, stream_state_partitions
+from riskflow.session import scratch_path, sf_table, state_partitions
 from riskflow.sinks.alerts import start_high_risk_alert_stream
 from riskflow.sinks.kafka import write_high_risk_transactions, write_lake_transactions_to_kafka
 from riskflow.sinks.lake import persist_transactions_to_data_lake, with_event_date
 from riskflow.sources import fixtures
 from riskflow.sources.cdc import decode_change_events
 from riskflow.sources.kafka import decode_envelope, read_bronze
-from riskflow.streaming.replay import replay_stream, sentinel_records, write_replay
+from riskflow.streaming.replay import SENTINEL_ID, replay_stream, write_ordered_replay, write_replay, write_sentinel, write_slice
 from riskflow.streaming.runner import drain
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -190,56 +190,127 @@ def _replay(spark, sf_dir, name, sentinel=True):
     return base, replay_stream(spark, glob)
 
 
+def _sized(spark, base):
+    """State partitions for the volume of the files under ``base``."""
+    return state_partitions(spark, parquet_data_bytes(spark, base))
+
+
 def q_high_risk_stream(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "high-risk-stream")
     risk = risk_from_records(stream, PARAMS)
-    with stream_state_partitions(spark):
+    with _sized(spark, base):
         drain(persist_transactions_to_data_lake(
             risk, output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
     return flatten_window(spark.read.parquet(f"{base}/out"), utc=True)
 
 
+def _slices(spark, sf_dir, n=3):
+    """Bounds of ``n`` event-time slices of equal length, as text."""
+    lo, hi = _events(spark, sf_dir).agg(F.min("ts"), F.max("ts")).first()
+    if lo is None:
+        return []
+    return [str(lo + (hi - lo) * i / n) for i in range(n + 1)]
+
+
 def q_high_risk_incremental(spark, sf_dir):
-    """Incremental runs: each week of events arrives as new files and the same
-    stream is re-run with ``availableNow`` on one checkpoint, so open windows,
-    their state and the watermark carry over from run to run. Week slices are
-    cut on the raw ``ts`` column (pushed into the parquet scan)."""
+    """Incremental runs: event-time slices arrive one after another as new files
+    and the same stream is re-run with ``availableNow`` on one checkpoint, so
+    open windows, their state and the watermark carry over the restarts. The
+    number of slices is fixed; rows without a time come with the first."""
     base = scratch_path(spark, "high-risk-incremental")
+    bounds = _slices(spark, sf_dir)
+    records = fixtures.kafka_records(_events(spark, sf_dir))
+    with state_partitions(spark, parquet_data_bytes(spark, f"{sf_dir}/events.parquet")):
+        for i in range(len(bounds) - 1):
+            write_slice(records, f"{base}/arrivals", bounds, i)
+            _risk_run(spark, base)
+        write_sentinel(records, f"{base}/arrivals")
+        _risk_run(spark, base)
+    return flatten_window(spark.read.parquet(f"{base}/out"), utc=True)
+
+
+def _risk_run(spark, base):
+    """One run of the risk stream over the arrivals that its checkpoint has not seen."""
+    risk = risk_from_records(replay_stream(spark, f"{base}/arrivals/*"), PARAMS)
+    drain(persist_transactions_to_data_lake(
+        risk, output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
+
+
+LATE_EVERY = 37  # every 37th event arrives after all others
+
+
+def q_late_rows_stream(spark, sf_dir):
+    """Late data: every 37th event arrives in a second run, after the watermark
+    has reached the end of the others; rows whose window has closed are dropped."""
+    base = scratch_path(spark, "late-rows")
     events = _events(spark, sf_dir)
-    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
-    bounds = week_bounds(lo, hi)
+    late = F.col("event_id") % LATE_EVERY == 0
+    on_time = fixtures.kafka_records(events.where(~late), dirty=True)
+    on_time.write.parquet(f"{base}/arrivals/a_on_time")
+    with _sized(spark, f"{base}/arrivals"):
+        _risk_run(spark, base)
+        fixtures.kafka_records(events.where(late), dirty=True).write.parquet(f"{base}/arrivals/b_late")
+        _risk_run(spark, base)
+        write_sentinel(on_time, f"{base}/arrivals")
+        _risk_run(spark, base)
+    return flatten_window(spark.read.parquet(f"{base}/out"), utc=True)
+
+
+def q_risk_update_stream(spark, sf_dir):
+    """Update mode over several micro-batches: a group is sent whenever it
+    changes; the last message of each (window, user) is the batch answer."""
+    base = scratch_path(spark, "risk-update")
+    glob = write_ordered_replay(_records(spark, sf_dir), f"{base}/replay", _slices(spark, sf_dir))
+    stream = replay_stream(spark, glob, max_files_per_trigger=1)
+    with _sized(spark, f"{base}/replay"):
+        drain(start_high_risk_alert_stream(
+            risk_from_records(stream, PARAMS), checkpoint_path=f"{base}/ckpt", alerts_path=f"{base}/alerts",
+            output_mode="update", log_limit=0, available_now=True))
+    alerts = spark.read.schema(ALERT_TABLE_SCHEMA).parquet(f"{base}/alerts")
+    last = alerts.groupBy("window", "user_id").agg(F.max_by("alert_text", "batch_id").alias("alert_text"))
+    return flatten_window(last, utc=True)
+
+
+def q_risk_flow_fanout(spark, sf_dir):
+    """Lake, risk messages and alerts from one flow, with a restart of all three
+    before the last windows close."""
+    base = scratch_path(spark, "fanout")
+    records = _records(spark, sf_dir)
+    write_replay(records, f"{base}/replay", sentinel=False)
 
     def run():
-        risk = risk_from_records(replay_stream(spark, f"{base}/replay/*"), PARAMS)
-        with stream_state_partitions(spark):
-            drain(persist_transactions_to_data_lake(
-                risk, output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
-
-    for i, (start, end) in enumerate(zip(bounds[:-1], bounds[1:])):
-        week = events.where((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end)))
-        fixtures.kafka_records(week).write.parquet(f"{base}/replay/week_{i:05d}")
+        flow = start_default_flow(
+            spark, f"{base}/ckpt", PARAMS, risk_topic="risk", sink_format="parquet", sink_dir=f"{base}/sinks",
+            alerts_path=f"{base}/alerts", available_now=True,
+            open_records=lambda: replay_stream(spark, f"{base}/replay/*"))
+        for query in flow.queries.values():
+            drain(query)
+
+    with _sized(spark, f"{base}/replay"):
+        run()
+        write_sentinel(records, f"{base}/replay")
         run()
-    sentinel_records(spark).write.parquet(f"{base}/replay/zz_sentinel")
-    run()
-    return flatten_window(spark.read.parquet(f"{base}/out"), utc=True)
-
 
-def week_bounds(lo, hi):
-    """Monday-aligned week starts covering [lo, hi] (UTC wall clocks)."""
-    import datetime as dt
-    if lo is None:
-        return []
-    start = dt.datetime.combine(lo.date() - dt.timedelta(days=lo.weekday()), dt.time())
-    out = [start]
-    while out[-1] <= hi:
-        out.append(out[-1] + dt.timedelta(days=7))
+    tx = spark.read.parquet(f"{base}/sinks/lake").select(F.from_json("value", TRANSACTION_SCHEMA).alias("v")).select("v.*")
+    lake = tx.where(F.col("transaction_id") != SENTINEL_ID).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("tx_count"), F.sum("amount").alias("total_amount"))
+    risk = spark.read.parquet(f"{base}/sinks/risk").select(F.from_json("value", RISK_MESSAGE_SCHEMA).alias("v")).select("v.*")
+    alerts = spark.read.schema(ALERT_TABLE_SCHEMA).parquet(f"{base}/alerts").drop("batch_id")
+    parts = {"lake": lake, "risk": flatten_window(risk, utc=True), "alerts": flatten_window(alerts, utc=True)}
+    types = {"window_start": "timestamp_ntz", "window_end": "timestamp_ntz", "user_id": "string", "tx_count": "bigint",
+             "total_amount": "decimal(20,2)", "alert_text": "string"}
+    out = None
+    for branch, rows in parts.items():
+        cols = [(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in types.items()]
+        rows = rows.select(F.lit(branch).alias("branch"), *cols)
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
 def q_risk_messages_stream(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "risk-messages-stream")
     risk = risk_from_records(stream, PARAMS)
-    with stream_state_partitions(spark):
+    with _sized(spark, base):
         drain(write_high_risk_transactions(
             risk, fmt="parquet", path=f"{base}/out", checkpoint_path=f"{base}/ckpt",
             available_now=True))
@@ -251,7 +322,7 @@ def q_risk_messages_stream(spark, sf_dir):
 def q_alert_stream(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "alert-stream")
     risk = risk_from_records(stream, PARAMS)
-    with stream_state_partitions(spark):
+    with _sized(spark, base):
         drain(start_high_risk_alert_stream(
             risk, checkpoint_path=f"{base}/ckpt", alerts_path=f"{base}/alerts",
             log_limit=0, available_now=True))
@@ -262,7 +333,7 @@ def q_alert_stream(spark, sf_dir):
 def q_lake_roundtrip(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "lake-roundtrip", sentinel=False)
     lake = with_event_date(prepare_transactions(stream, PARAMS))
-    with stream_state_partitions(spark):
+    with _sized(spark, base):
         drain(persist_transactions_to_data_lake(
             lake, output_path=f"{base}/lake", checkpoint_path=f"{base}/ckpt",
             partition_by=["event_date"], available_now=True))
@@ -274,7 +345,7 @@ def q_lake_messages_stream(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "lake-messages-stream", sentinel=False)
     profile = fixtures.user_profiles(sf_table(spark, sf_dir, "customer"))
     tx = prepare_transactions(stream, PARAMS, profile=profile, default_category=UNKNOWN_CATEGORY)
-    with stream_state_partitions(spark):
+    with _sized(spark, base):
         drain(write_lake_transactions_to_kafka(
             tx, fmt="parquet", path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
     schema = StructType(TRANSACTION_SCHEMA.fields + [StructField("risk_category", StringType())])
@@ -285,7 +356,7 @@ def q_lake_messages_stream(spark, sf_dir):
 def q_dedup_stream(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "dedup-stream", sentinel=False)
     tx = prepare_transactions(stream, PARAMS, dedup=True)
-    with stream_state_partitions(spark):
+    with _sized(spark, base):
         drain(persist_transactions_to_data_lake(
             tx, output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
     return _utc_ts(spark.read.parquet(f"{base}/out"))
@@ -293,7 +364,7 @@ def q_dedup_stream(spark, sf_dir):
 
 def q_bronze_ingest(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "bronze-ingest", sentinel=False)
-    with stream_state_partitions(spark):
+    with _sized(spark, base):
         drain(persist_transactions_to_data_lake(
             read_bronze(spark, records=stream), output_path=f"{base}/bronze",
             checkpoint_path=f"{base}/ckpt", partition_by=["ingest_date"], available_now=True))
@@ -309,6 +380,9 @@ def q_bronze_ingest(spark, sf_dir):
 QUERIES.update({
     "high_risk_stream": q_high_risk_stream,
     "high_risk_incremental": q_high_risk_incremental,
+    "late_rows_stream": q_late_rows_stream,
+    "risk_update_stream": q_risk_update_stream,
+    "risk_flow_fanout": q_risk_flow_fanout,
     "risk_messages_stream": q_risk_messages_stream,
     "alert_stream": q_alert_stream,
     "lake_roundtrip": q_lake_roundtrip,
@@ -327,7 +401,10 @@ def _observed(spark, sf_dir):
 
 
 def _catalog(spark, sf_dir):
-    return contracts.definitions_from_fields(_observed(spark, sf_dir))
+    """Definitions of the observed schemas; even versions write string leaves in the short form."""
+    catalog = contracts.definitions_from_fields(_observed(spark, sf_dir))
+    short = F.replace("definition", F.lit('{"type":"STRING"}'), F.lit('"STRING"'))
+    return catalog.withColumn("definition", F.when(F.col("version") % 2 == 0, short).otherwise(F.col("definition")))
 
 
 def q_observed_schema(spark, sf_dir):
@@ -335,11 +412,23 @@ def q_observed_schema(spark, sf_dir):
 
 
 def q_schema_fields(spark, sf_dir):
-    return contracts.flatten_definitions(_catalog(spark, sf_dir))
+    return contracts.flatten_definitions(_catalog(spark, sf_dir)).drop("field_definition")
 
 
 def q_schema_fingerprint(spark, sf_dir):
-    return contracts.schema_fingerprints(contracts.flatten_definitions(_catalog(spark, sf_dir)))
+    catalog = _catalog(spark, sf_dir)
+    return contracts.schema_fingerprints(contracts.flatten_definitions(catalog), catalog)
+
+
+def q_schema_register(spark, sf_dir):
+    """The first two versions of each topic as they are, the later ones registered
+    without a number; the registry's record of each."""
+    catalog = _catalog(spark, sf_dir)
+    new = catalog.where("version > 2").select("topic", F.lit(None).cast("int").alias("version"), "definition",
+                                              F.col("version").alias("place"))
+    out = contracts.register_versions(catalog.where("version <= 2"), new, order_col="place")
+    return contracts.registration_records(out).select(
+        "topic", "version", "fingerprint", "n_fields", F.array_join("breaking", "\n").alias("breaking"))
 
 
 def q_schema_latest(spark, sf_dir):
@@ -355,6 +444,7 @@ QUERIES.update({
     "observed_schema": q_observed_schema,
     "schema_fields": q_schema_fields,
     "schema_fingerprint": q_schema_fingerprint,
+    "schema_register": q_schema_register,
     "schema_latest": q_schema_latest,
     "schema_breaking_changes": q_schema_breaking_changes,
 })
@@ -374,16 +464,16 @@ def q_lineage_edges_latest(spark, sf_dir):
 
 
 def q_lineage_upstream(spark, sf_dir):
-    """Upstream lineage of every customer node."""
-    targets = sf_table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("customer:"), F.col("c_custkey").cast("string")).alias("node"))
+    """Upstream lineage of one customer of each nation, over all edges."""
+    first = sf_table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.min("c_custkey").alias("k"))
+    targets = first.select(F.concat(F.lit("customer:"), F.col("k").cast("string")).alias("node"))
     return lineage.upstream_lineage(_edges(spark, sf_dir), targets)
 
 
 def q_lineage_downstream(spark, sf_dir):
-    """Impact of every part node."""
-    origins = sf_table(spark, sf_dir, "part").select(
-        F.concat(F.lit("part:"), F.col("p_partkey").cast("string")).alias("node"))
+    """Impact of one part of each size, over all edges."""
+    first = sf_table(spark, sf_dir, "part").groupBy("p_size").agg(F.min("p_partkey").alias("k"))
+    origins = first.select(F.concat(F.lit("part:"), F.col("k").cast("string")).alias("node"))
     return lineage.downstream_lineage(_edges(spark, sf_dir), origins)
 
 
@@ -402,17 +492,28 @@ def q_cdc_change_events(spark, sf_dir):
 
 
 def q_cdc_snapshot_stream(spark, sf_dir):
+    """The change log in several micro-batches, folded into a bucketed snapshot."""
     base = scratch_path(spark, "cdc-snapshot")
-    fixtures.change_log(_events(spark, sf_dir)).write.parquet(f"{base}/log")
+    fixtures.change_log(_events(spark, sf_dir)).repartition(4, "seq").write.parquet(f"{base}/log")
     schema = spark.read.parquet(f"{base}/log").schema
-    stream = spark.readStream.schema(schema).parquet(f"{base}/log")
-    with stream_state_partitions(spark):
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/log")
+    with _sized(spark, base):
         drain(cdc.start_snapshot_stream(stream, f"{base}/snapshot", f"{base}/ckpt", available_now=True))
     return cdc.read_snapshot(spark, f"{base}/snapshot")
 
 
 def q_estimate_storage(spark, sf_dir):
-    return estimate_storage(sf_table(spark, sf_dir, "lineitem"))
+    """Row counts of the estimator, the first-rows form, and whether the estimate
+    from 20,000 rows is within 0.6 and 1.6 times the size of the table written
+    as one file."""
+    lineitem = sf_table(spark, sf_dir, "lineitem")
+    estimate = estimate_storage(lineitem, sample_size_rows=20_000)
+    first = estimate_storage(lineitem, sample_size_rows=100, method="limit").select(F.col("sample_rows").alias("first_rows"))
+    path = scratch_path(spark, "estimate-real")
+    lineitem.coalesce(1).write.parquet(path)
+    real = parquet_data_bytes(spark, path)
+    return estimate.crossJoin(first).select(
+        "row_count", "first_rows", F.col("estimated_bytes").between(real * 0.6, real * 1.6).alias("within_bounds"))
 
 
 QUERIES.update({

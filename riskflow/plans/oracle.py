@@ -124,9 +124,9 @@ FROM valid v LEFT JOIN profile p ON v.user_id = p.user_id""",
 
     "augment_self_profile": f"""
 WITH {DIRTY}, {PARSED}
-SELECT transaction_id, user_id, amount, "timestamp",
-       CASE WHEN user_id IS NOT NULL THEN 'HIGH' END AS risk_category
-FROM parsed""",
+SELECT t.transaction_id, t.user_id, t.amount, t."timestamp", p.risk_category
+FROM parsed t LEFT JOIN (SELECT DISTINCT user_id, 'HIGH' AS risk_category FROM parsed) p
+  ON t.user_id = p.user_id""",
 
     "risk_alert_messages": f"""
 WITH {DIRTY}, {PARSED}, {VALID}, {RISK_VALID}
@@ -157,6 +157,34 @@ SELECT * FROM risk""",
 WITH {DIRTY}, {PARSED}, {VALID}, {RISK_VALID}
 SELECT * FROM risk""",
 
+    "late_rows_stream": f"""
+WITH {DIRTY}, late_parsed AS (
+  SELECT event_id % 37 = 0 AS late, p.* FROM (
+    SELECT event_id, CASE WHEN NOT malformed THEN transaction_id END AS transaction_id,
+           CASE WHEN NOT malformed THEN user_id END AS user_id, CASE WHEN NOT malformed THEN amount END AS amount,
+           CASE WHEN NOT malformed THEN ts_utc END AS "timestamp" FROM dirty) p
+), mark AS (
+  SELECT MAX("timestamp") - INTERVAL 5 MINUTE AS watermark FROM late_parsed WHERE NOT late
+), valid AS (
+  SELECT transaction_id, user_id, amount, "timestamp" FROM late_parsed, mark
+  WHERE amount >= 0 AND transaction_id IS NOT NULL AND user_id IS NOT NULL
+    AND (NOT late OR date_trunc('day', "timestamp") + INTERVAL 1 DAY > watermark)
+), {RISK_VALID}
+SELECT * FROM risk""",
+
+    "risk_update_stream": ORACLE["alert_text"],
+
+    "risk_flow_fanout": f"""
+WITH {DIRTY}, {PARSED}, {VALID}, {RISK_VALID}
+SELECT 'lake' AS branch, CAST(NULL AS TIMESTAMP) AS window_start, CAST(NULL AS TIMESTAMP) AS window_end,
+       user_id, COUNT(*) AS tx_count, CAST(SUM(amount) AS DECIMAL(20,2)) AS total_amount, CAST(NULL AS VARCHAR) AS alert_text
+FROM valid GROUP BY user_id
+UNION ALL
+SELECT 'risk', window_start, window_end, user_id, tx_count, total_amount, NULL FROM risk
+UNION ALL
+SELECT 'alerts', window_start, window_end, user_id, NULL, NULL, alert_text
+FROM ({ORACLE["alert_text"].split("FROM risk")[0][ORACLE["alert_text"].index("SELECT window_start"):]} FROM risk) a""",
+
     "risk_messages_stream": ORACLE["risk_alert_messages"],
 
     "alert_stream": ORACLE["alert_text"],
@@ -186,9 +214,13 @@ PAYLOADS = """payloads AS (
 ), shaped AS (
   SELECT topic, version, event_id, k,
          CASE WHEN version <= 1 THEN props
-              WHEN version = 2 THEN json_object('k', k, 'src', json_object('app', event_type, 'rev', k % 3))
-              WHEN version = 3 THEN json_object('k', CAST(k AS VARCHAR), 'src', json_object('app', event_type, 'rev', k % 3))
-              ELSE json_object('k', CAST(k AS VARCHAR)) END AS payload
+              WHEN version = 2 THEN json_object('k', k, 'w', k, 'src',
+                CASE WHEN event_id % 5 <> 0 THEN json_object('app', event_type, 'rev', k % 3) END)
+              WHEN version = 3 THEN json_object('k', CAST(k AS VARCHAR), 'w', NULL,
+                'src', json_object('app', event_type, 'rev', k % 3),
+                'ctx', json_object('geo', json_object('cc', event_type)),
+                'type', json_object('name', event_type), 'a.b', k)
+              ELSE json_object('k', CAST(k AS VARCHAR), 'w', CAST(k AS VARCHAR)) END AS payload
   FROM payloads
 ), parsed_payloads AS (
   SELECT topic, version,
@@ -200,17 +232,18 @@ PAYLOADS = """payloads AS (
 )"""
 
 OBSERVED = """nodes(topic, version, field_path, j) AS (
-  SELECT topic, version, key, json_extract(payload, '$."' || key || '"')
+  SELECT topic, version, replace(replace(key, '%', '%25'), '.', '%2E'), json_extract(payload, '$."' || key || '"')
   FROM valid_payloads, unnest(json_keys(payload)) AS t(key)
   UNION ALL
-  SELECT topic, version, field_path || '.' || key, json_extract(j, '$."' || key || '"')
+  SELECT topic, version, field_path || '.' || replace(replace(key, '%', '%25'), '.', '%2E'), json_extract(j, '$."' || key || '"')
   FROM nodes, unnest(json_keys(j)) AS t(key)
   WHERE json_type(j) = 'OBJECT'
 ), observed AS (
   SELECT topic, version, field_path,
-         CASE WHEN bool_and(json_type(j) IN ('UBIGINT', 'BIGINT')) THEN 'BIGINT'
-              WHEN bool_and(json_type(j) = 'VARCHAR') THEN 'STRING'
-              WHEN bool_and(json_type(j) = 'BOOLEAN') THEN 'BOOLEAN'
+         CASE WHEN bool_and(json_type(j) = 'NULL') THEN 'VOID'
+              WHEN bool_and(json_type(j) IN ('UBIGINT', 'BIGINT', 'NULL')) THEN 'BIGINT'
+              WHEN bool_and(json_type(j) IN ('VARCHAR', 'NULL')) THEN 'STRING'
+              WHEN bool_and(json_type(j) IN ('BOOLEAN', 'NULL')) THEN 'BOOLEAN'
               ELSE 'VARIANT' END AS field_type,
          COUNT(*) AS n_rows
   FROM nodes WHERE json_type(j) <> 'OBJECT'
@@ -226,40 +259,57 @@ SELECT * FROM observed""",
 WITH RECURSIVE {PAYLOADS}, {OBSERVED}
 SELECT topic, version, field_path, field_type FROM observed""",
 
-    "schema_fingerprint": f"""
-WITH RECURSIVE {PAYLOADS}, {OBSERVED}
-SELECT topic, version,
-       sha256(string_agg(field_path || ':' || field_type, chr(10)
-                         ORDER BY field_path || ':' || field_type)) AS fingerprint,
-       COUNT(*) AS n_fields
-FROM observed GROUP BY 1, 2""",
-
     "schema_latest": f"""
 WITH RECURSIVE {PAYLOADS}, {OBSERVED}
 SELECT topic, MAX(version) AS latest_version, COUNT(DISTINCT version) AS n_versions,
        MAX(version) + 1 AS next_version
 FROM observed GROUP BY 1""",
+})
 
+PRINTS = """prints AS (
+  SELECT topic, version, sha256(string_agg(pair, chr(10) ORDER BY pair)) AS fingerprint, COUNT(*) AS n_fields
+  FROM (SELECT *, CAST(to_json([field_path, '{"type":"' || field_type || '"}']) AS VARCHAR) AS pair FROM observed)
+  GROUP BY 1, 2
+)"""
+ORACLE["schema_fingerprint"] = f"WITH RECURSIVE {PAYLOADS}, {OBSERVED}, {PRINTS} SELECT * FROM prints"
+
+# Types of the old version: the last one other than VOID over versions without a gap.
+CHANGES = """versions AS (
+  SELECT topic, version, ROW_NUMBER() OVER (PARTITION BY topic ORDER BY version) AS place,
+         LAG(version) OVER (PARTITION BY topic ORDER BY version) AS old_version
+  FROM (SELECT DISTINCT topic, version FROM observed)
+), runs AS (
+  SELECT o.*, place - ROW_NUMBER() OVER (PARTITION BY topic, field_path ORDER BY version) AS run
+  FROM observed o JOIN versions USING (topic, version)
+), typed AS (
+  SELECT *, COALESCE(LAST_VALUE(NULLIF(field_type, 'VOID') IGNORE NULLS) OVER (
+    PARTITION BY topic, field_path, run ORDER BY version ROWS UNBOUNDED PRECEDING), field_type) AS last_type
+  FROM runs
+), changes AS (
+  SELECT v.topic, v.old_version, v.version AS new_version,
+         CASE WHEN n.field_path IS NULL THEN 'removed' ELSE 'type_changed' END AS change,
+         o.field_path, o.last_type AS old_type, n.field_type AS new_type
+  FROM versions v JOIN typed o ON o.topic = v.topic AND o.version = v.old_version
+  LEFT JOIN typed n ON n.topic = v.topic AND n.version = v.version AND n.field_path = o.field_path
+  WHERE n.field_path IS NULL
+     OR (o.last_type <> n.field_type AND o.last_type <> 'VOID' AND n.field_type <> 'VOID')
+)"""
+
+ORACLE.update({
     "schema_breaking_changes": f"""
-WITH RECURSIVE {PAYLOADS}, {OBSERVED},
-versions AS (SELECT DISTINCT topic, version FROM observed),
-pairs AS (
-  SELECT * FROM (
-    SELECT topic, LAG(version) OVER (PARTITION BY topic ORDER BY version) AS old_version,
-           version AS new_version FROM versions) p
-  WHERE old_version IS NOT NULL
-    AND EXISTS (SELECT 1 FROM observed o WHERE o.topic = p.topic AND o.version = p.old_version)
-),
-o AS (SELECT p.*, f.field_path, f.field_type AS old_type FROM pairs p
-      JOIN observed f ON f.topic = p.topic AND f.version = p.old_version),
-n AS (SELECT p.*, f.field_path, f.field_type AS new_type FROM pairs p
-      JOIN observed f ON f.topic = p.topic AND f.version = p.new_version)
-SELECT o.topic, o.old_version, o.new_version,
-       CASE WHEN n.field_path IS NULL THEN 'removed' ELSE 'type_changed' END AS change,
-       o.field_path, o.old_type, n.new_type
-FROM o LEFT JOIN n ON o.topic = n.topic AND o.old_version = n.old_version
-                  AND o.new_version = n.new_version AND o.field_path = n.field_path
-WHERE n.field_path IS NULL OR o.old_type IS DISTINCT FROM n.new_type""",
+WITH RECURSIVE {PAYLOADS}, {OBSERVED}, {CHANGES}
+SELECT * FROM changes""",
+
+    "schema_register": f"""
+WITH RECURSIVE {PAYLOADS}, {OBSERVED}, {CHANGES},
+broken AS (
+  SELECT topic, new_version AS version, string_agg(line, chr(10) ORDER BY line) AS breaking
+  FROM (SELECT *, CASE WHEN change = 'removed' THEN 'removed ' || field_path
+                       ELSE 'type_changed ' || field_path || ': ' || old_type || ' -> ' || new_type END AS line
+        FROM changes) GROUP BY 1, 2
+), {PRINTS}
+SELECT topic, version, fingerprint, n_fields, COALESCE(breaking, '') AS breaking
+FROM prints LEFT JOIN broken USING (topic, version)""",
 })
 
 EDGES = """edge_log AS (
@@ -296,10 +346,9 @@ EDGES = """edge_log AS (
   WHERE rn = 1
 )"""
 
-# The oracle walks with UNION over (root, node, depth) and a depth bound of 12,
-# then keeps the minimum depth; the graph's longest shortest path is 4, so the
-# bound only stops the cycles from repeating forever. (Oracle only: the Spark
-# walk has no bound, it stops when no new node is reached.)
+# The oracle walks with UNION over (root, node, depth) and keeps the minimum
+# depth; the depth bound of 12 only stops the cycles from repeating forever (the
+# longest shortest path of this graph has 4 edges; the Spark walk has no bound).
 _REACH = """reach(root, node, depth) AS (
   SELECT root, root, 0 FROM roots
   UNION
@@ -312,16 +361,16 @@ ORACLE.update({
 
     "lineage_upstream": f"""
 WITH RECURSIVE {EDGES},
-roots AS (SELECT 'customer:' || c_custkey AS root FROM customer),
+roots AS (SELECT 'customer:' || MIN(c_custkey) AS root FROM customer GROUP BY c_nationkey),
 {_REACH.format(far="source_id", near="target_id")}
-SELECT r.root AS target, e.source_id, e.target_id, r.depth, e.transformation_type, e.details
+SELECT r.root AS target, e.source_id, e.target_id, r.depth, e.transformation_type, e.details, e.ts
 FROM reach_min r JOIN edges e ON e.target_id = r.node""",
 
     "lineage_downstream": f"""
 WITH RECURSIVE {EDGES},
-roots AS (SELECT 'part:' || p_partkey AS root FROM part),
+roots AS (SELECT 'part:' || MIN(p_partkey) AS root FROM part GROUP BY p_size),
 {_REACH.format(far="target_id", near="source_id")}
-SELECT r.root AS origin, e.source_id, e.target_id, r.depth, e.transformation_type, e.details
+SELECT r.root AS origin, e.source_id, e.target_id, r.depth, e.transformation_type, e.details, e.ts
 FROM reach_min r JOIN edges e ON e.source_id = r.node""",
 
     "cdc_current_state": """
@@ -329,19 +378,22 @@ SELECT key, op, ts, seq, event_type, value, props FROM (
   SELECT user_id AS key,
          CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op,
          ts, event_id AS seq, event_type, value, props,
-         ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+         ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
   FROM events) x
 WHERE rn = 1 AND op <> 'd'""",
 })
 ORACLE["cdc_snapshot_stream"] = ORACLE["cdc_current_state"]
 
-# Change events carry epoch milliseconds: the fold orders by (ts_ms, offset),
-# offset = 2 * event_id (+1 for tombstones), so the same rows win.
+# Change events carry epoch milliseconds; the fold orders by offset
+# = 2 * event_id (+1 for tombstones), so the same rows win.
 ORACLE["cdc_change_events"] = """
 SELECT key, op, date_trunc('millisecond', ts) AS ts, 2 * seq AS seq, event_type, value, props FROM (
   SELECT user_id AS key,
          CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op,
          ts, event_id AS seq, event_type, value, props,
-         ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY date_trunc('millisecond', ts) DESC, event_id DESC) AS rn
+         ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
   FROM events) x
 WHERE rn = 1 AND op <> 'd'"""
+
+ORACLE["estimate_storage"] = """
+SELECT COUNT(*) AS row_count, LEAST(COUNT(*), 100) AS first_rows, TRUE AS within_bounds FROM lineitem"""

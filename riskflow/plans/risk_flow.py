@@ -30,8 +30,13 @@ def prepare_transactions(records: DataFrame, params: RiskParams = RiskParams(),
                          self_profile: bool = False,
                          default_category: str | None = None,
                          dedup: bool = False,
-                         require_timestamp: bool = False) -> DataFrame:
-    """Connector rows -> parsed, watermarked, validated (and enriched) rows."""
+                         require_timestamp: bool = False,
+                         salt_buckets: int = 1) -> DataFrame:
+    """Connector rows -> parsed, watermarked, validated (and enriched) rows.
+
+    ``salt_buckets`` spreads a hot user of a profile too large to broadcast over
+    so many reducers (streams have no adaptive skew split).
+    """
     decoded = decode_envelope(records)
     parsed = parse_transactions(decoded)
     if require_timestamp:
@@ -42,7 +47,7 @@ def prepare_transactions(records: DataFrame, params: RiskParams = RiskParams(),
     if dedup:
         tx = dedup_transactions(tx)
     if profile is not None:
-        tx = augment_with_profile(tx, profile, default_category=default_category)
+        tx = augment_with_profile(tx, profile, default_category=default_category, salt_buckets=salt_buckets)
     elif self_profile:
         tx = augment_with_self_profile(tx)
     return tx

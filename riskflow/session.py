@@ -5,9 +5,9 @@ is for tests and the bench only.
 
 Scratch data (stream checkpoints, replay files, estimator samples, lineage
 rounds) lives under the cluster's shared ``spark.checkpoint.dir``. Only when the
-session has none (a bare local run) is a fresh directory created and
-registered, so the same code is correct on a cluster where a machine-local
-temporary folder would be invisible to the executors.
+session has none and its master is ``local`` is a fresh directory created and
+registered; on a cluster, where executors would not see it, a missing setting
+is an error.
 """
 
 from __future__ import annotations
@@ -57,9 +57,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Bare local run (tests): no cluster folder is named, so make one.
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # a bare local run (tests): one process, so a folder of its own is shared
         configured = tempfile.mkdtemp(prefix="riskflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -99,26 +101,22 @@ def cluster_conf(shuffle_bytes: int, partition_bytes: int = 256 << 20,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.dynamicAllocation.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
 @contextlib.contextmanager
-def stream_state_partitions(spark: SparkSession):
-    """Run a stateful stream with at most one state partition per core.
-
-    A stateful query fixes its partition count at its first start (it is kept
-    in the checkpoint). Spark's default of 200 suits large batch shuffles, but
-    a stream pays per state partition on every micro-batch. Within the block
-    the count is ``min(spark.sql.shuffle.partitions, default parallelism)``,
-    which on a cluster is the total core count. The setting is restored after.
+def state_partitions(spark: SparkSession, input_bytes: int, partition_bytes: int = 32 << 20, least: int = 4):
+    """Start stateful streams with a partition count taken from the volume to come.
+
+    A stateful query keeps the count of its first start for life, so it must
+    follow the data expected, not the cores that happen to be registered: one
+    partition per ``partition_bytes`` of (compressed) input. The session's
+    setting is restored after the block.
     """
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect
-        cores = int(old)
-    spark.conf.set(key, str(max(1, min(int(old), int(cores)))))
+    spark.conf.set(key, str(max(least, -(-int(input_bytes) // partition_bytes))))
     try:
         yield
     finally:

@@ -4,7 +4,9 @@ Alert lines are computed on the executors (``operators.messages``) and written
 as a table partitioned by ``batch_id``. The write overwrites only its own
 batch's partition, so a batch replayed after a failure replaces its earlier
 output instead of duplicating it (idempotent, effectively exactly-once). The
-driver sees at most ``log_limit`` lines per batch, for logging.
+write is the only action on the batch's plan and always runs every partition,
+so stateful plans commit all their state. For the log, at most ``log_limit``
+lines are read back from the written partition; the table has them all.
 """
 
 from __future__ import annotations
@@ -20,25 +22,19 @@ from riskflow.operators.messages import alert_messages
 log = logging.getLogger(__name__)
 
 
-def alert_batch_writer(alerts_path: str | None, log_limit: int = 20):
-    """``foreachBatch`` callback writing alert lines of each batch."""
+def alert_batch_writer(alerts_path: str, log_limit: int = 20):
+    """``foreachBatch`` callback writing all alert lines of each batch."""
 
     def on_batch(batch_df: DataFrame, batch_id: int) -> None:
         alerts = alert_messages(batch_df).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        if alerts_path is None:
-            shown = alerts.select("alert_text").take(log_limit) if log_limit > 0 else []
-        else:
-            (alerts.write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(alerts_path))
-            shown = []
-            if log_limit > 0:
-                # read back the written partition: the batch plan runs once
-                written = (batch_df.sparkSession.read.schema(alerts.schema).parquet(alerts_path)
-                           .where(F.col("batch_id") == batch_id))
-                shown = written.select("alert_text").take(log_limit)
-        for row in shown:
-            log.warning(row["alert_text"])
+        (alerts.write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(alerts_path))
+        if log_limit > 0:
+            written = (batch_df.sparkSession.read.schema(alerts.schema).parquet(alerts_path)
+                       .where(F.col("batch_id") == batch_id))
+            for row in written.select("alert_text").take(log_limit):
+                log.warning(row["alert_text"])
 
     return on_batch
 
@@ -50,7 +46,9 @@ def start_high_risk_alert_stream(risk_df: DataFrame, checkpoint_path: str,
                                  available_now: bool = False,
                                  trigger_interval: str | None = None) -> StreamingQuery:
     """Start the alert stream. ``checkpoint_path`` is required: without it a
-    restart would re-read from the source's start or lose open windows."""
+    restart would re-read from the source's start or lose open windows. Alerts
+    go to ``alerts_path``, by default the folder ``<checkpoint_path>-alerts``."""
+    alerts_path = alerts_path or f"{checkpoint_path.rstrip('/')}-alerts"
     writer = (risk_df.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint_path)
               .foreachBatch(alert_batch_writer(alerts_path, log_limit)))

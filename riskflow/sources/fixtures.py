@@ -104,7 +104,10 @@ def user_profiles(customer: DataFrame) -> DataFrame:
 
 # --- fixed values: schema drift of events.props by week (FIXTURES.md C) ----
 DRIFT_EPOCH = "2024-01-01"
-# v1 {"k": n}; v2 adds src {app, rev}; v3 makes k a string; v4 drops src; v5+ as v4
+# v1 {"k": n}; v2 adds w (a number) and src {app, rev}, NULL for every 5th event;
+# v3 makes k a string, w NULL, adds ctx {geo {cc}}, a group named type {name} and
+# a field named a.b; v4 drops all but k and w, a string now; v5+ as v4
+NULL_GROUP_EVERY = 5
 # ---------------------------------------------------------------------------
 
 
@@ -119,14 +122,20 @@ def schema_payloads(events: DataFrame) -> DataFrame:
     observed schema drifts; every 23rd event carries an unparsable payload."""
     version = schema_version()
     k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
-    src = F.struct(F.col("event_type").alias("app"), (k % 3).alias("rev")).alias("src")
+    text = k.cast("string")
+    src = F.struct(F.col("event_type").alias("app"), (k % 3).alias("rev"))
+    some_src = F.when(F.col("event_id") % NULL_GROUP_EVERY != 0, src).alias("src")
+    ctx = F.struct(F.struct(F.col("event_type").alias("cc")).alias("geo")).alias("ctx")
+    named = F.struct(F.col("event_type").alias("name")).alias("type")
+    nulls = {"ignoreNullFields": "false"}
     payload = (
         F.when(F.col("event_id") % MALFORMED_JSON_EVERY == 0,
-               F.concat(F.lit('{"k": '), k.cast("string")))
+               F.concat(F.lit('{"k": '), text))
         .when(version <= 1, F.col("props"))
-        .when(version == 2, F.to_json(F.struct(k.alias("k"), src)))
-        .when(version == 3, F.to_json(F.struct(k.cast("string").alias("k"), src)))
-        .otherwise(F.to_json(F.struct(k.cast("string").alias("k"))))
+        .when(version == 2, F.to_json(F.struct(k.alias("k"), k.alias("w"), some_src), nulls))
+        .when(version == 3, F.to_json(F.struct(text.alias("k"), F.lit(None).cast("string").alias("w"), src.alias("src"),
+                                               ctx, named, k.alias("a.b")), nulls))
+        .otherwise(F.to_json(F.struct(text.alias("k"), text.alias("w"))))
     )
     return events.select(F.col("event_type").alias("topic"), version.alias("version"),
                          payload.alias("payload"))

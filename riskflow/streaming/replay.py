@@ -17,17 +17,17 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.functions.columns import as_utc_instant
+from riskflow.functions.columns import as_utc_instant, utc_wall_clock_of
 from riskflow.schemas import KAFKA_RECORD_SCHEMA
 from riskflow.sources.kafka import open_kafka_layout_files
 
 SENTINEL_ID = "sentinel"
-SENTINEL_TIME = dt.datetime(2100, 1, 1)
+SENTINEL_AFTER = dt.timedelta(days=30)  # longer than any window and watermark delay
 
 
-def sentinel_records(spark: SparkSession, when: dt.datetime = SENTINEL_TIME,
+def sentinel_records(spark: SparkSession, when: dt.datetime,
                      topic: str = SENTINEL_ID) -> DataFrame:
-    """One valid connector row at ``when`` (UTC) that closes all earlier windows."""
+    """One valid connector row at ``when`` (UTC) that closes all windows that end before it."""
     ts_text = when.strftime("%Y-%m-%dT%H:%M:%S.%f") + "Z"  # the wire format
     value = json.dumps({"transaction_id": SENTINEL_ID, "user_id": SENTINEL_ID,
                         "amount": 0, "timestamp": ts_text}, separators=(",", ":"))
@@ -35,11 +35,18 @@ def sentinel_records(spark: SparkSession, when: dt.datetime = SENTINEL_TIME,
     return spark.createDataFrame(row, KAFKA_RECORD_SCHEMA)
 
 
+def write_sentinel(records: DataFrame, path: str, time_col: str = "timestamp") -> None:
+    """A sentinel ``SENTINEL_AFTER`` the latest of ``records`` (none without a time)."""
+    last = records.agg(F.max(utc_wall_clock_of(records, time_col))).first()[0]
+    if last is not None:
+        sentinel_records(records.sparkSession, last + SENTINEL_AFTER).write.mode("overwrite").parquet(f"{path}/zz_sentinel")
+
+
 def write_replay(records: DataFrame, path: str, sentinel: bool = True) -> str:
     """Write ``records`` then a sentinel; returns the glob to stream from."""
     records.write.mode("overwrite").parquet(f"{path}/data")
     if sentinel:
-        sentinel_records(records.sparkSession).write.mode("overwrite").parquet(f"{path}/zz_sentinel")
+        write_sentinel(records.sparkSession.read.schema(records.schema).parquet(f"{path}/data"), path)
     return f"{path}/*"
 
 
@@ -52,20 +59,24 @@ def write_ordered_replay(records: DataFrame, path: str, bounds: list[str],
     The first and last slices are open-ended, so every row is replayed; rows
     without a time go to the first slice. Returns the glob to stream from.
     """
-    t = F.col(time_col)
-    n = len(bounds) - 1
-    for i in range(n):
-        cond = F.lit(True)
-        if i > 0:
-            cond = cond & (t >= as_utc_instant(F.lit(bounds[i]).cast("timestamp_ntz")))
-        if i < n - 1:
-            cond = cond & (t < as_utc_instant(F.lit(bounds[i + 1]).cast("timestamp_ntz")))
-        if i == 0:
-            cond = cond | t.isNull()
-        records.where(cond).coalesce(1).write.mode("overwrite").parquet(f"{path}/slice_{i:05d}")
+    for i in range(len(bounds) - 1):
+        write_slice(records, path, bounds, i, time_col)
     return f"{path}/*"
 
 
+def write_slice(records: DataFrame, path: str, bounds: list[str], i: int, time_col: str = "timestamp") -> None:
+    """Write slice ``i`` of ``write_ordered_replay``."""
+    t, last = F.col(time_col), len(bounds) - 2
+    cond = F.lit(True)
+    if i > 0:
+        cond = cond & (t >= as_utc_instant(F.lit(bounds[i]).cast("timestamp_ntz")))
+    if i < last:
+        cond = cond & (t < as_utc_instant(F.lit(bounds[i + 1]).cast("timestamp_ntz")))
+    if i == 0:
+        cond = cond | t.isNull()
+    records.where(cond).coalesce(1).write.mode("overwrite").parquet(f"{path}/slice_{i:05d}")
+
+
 def replay_stream(spark: SparkSession, glob: str,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     return open_kafka_layout_files(spark, glob, streaming=True,

@@ -2,30 +2,25 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql.streaming import StreamingQuery
 
 
-def await_any_termination(queries: list[StreamingQuery], timeout: float | None = None):
-    """Block until any of ``queries`` ends; re-raise its failure, if any.
+def await_any_termination(queries: list[StreamingQuery], timeout: float | None = None,
+                          poll_seconds: float = 0.5):
+    """Block until any of ``queries`` ends and return it; re-raise its failure, if any.
 
-    Watching all queries (not just one) means a failed lake writer is noticed
-    while the alert stream keeps running.
+    Only the given queries count, not others of the session, and all of them
+    are watched, so a failed lake writer is noticed while the alert stream
+    keeps running. On a failure the others are stopped. Returns None when
+    ``timeout`` seconds pass first.
     """
-    if not queries:
-        return None
-    spark = queries[0].sparkSession
-    try:
-        if timeout is None:
-            spark.streams.awaitAnyTermination()
-        else:
-            spark.streams.awaitAnyTermination(int(timeout))
-    except Exception:
-        for other in queries:
-            if other.isActive:
-                other.stop()
-        raise
-    for q in queries:
-        if not q.isActive:
+    end = None if timeout is None else time.monotonic() + timeout
+    while queries:
+        for q in queries:
+            if q.isActive:
+                continue
             err = q.exception()
             if err is not None:
                 for other in queries:
@@ -33,6 +28,10 @@ def await_any_termination(queries: list[StreamingQuery], timeout: float | None =
                         other.stop()
                 raise err
             return q
+        left = poll_seconds if end is None else min(poll_seconds, end - time.monotonic())
+        if left <= 0:
+            return None
+        time.sleep(left)
     return None
 
 

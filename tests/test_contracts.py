@@ -1,5 +1,4 @@
-"""Schema contracts on declared definitions (the reference's demo schemas and
-edge cases) and on observed payloads."""
+"""Schema contracts on declared definitions and on observed payloads."""
 
 import json
 import random
@@ -10,18 +9,13 @@ from hypothesis import strategies as st
 
 from riskflow.operators import contracts
 
-# Demo schemas of the reference's registry example (topic user_events).
-USER_EVENTS_V1 = {
-    "user_id": {"type": "string"},
-    "timestamp": {"type": "timestamp"},
-    "event_type": {"type": "string"},
-    "metadata": {"source": {"type": "string"}, "version": {"type": "integer"}},
-}
-USER_EVENTS_V2 = {
-    **USER_EVENTS_V1,
-    "metadata": {"source": {"type": "string"}, "version": {"type": "integer"},
-                 "environment": {"type": "string"}},
+ORDERS_V1 = {
+    "order": {"type": "long", "nullable": False},
+    "placed": {"type": "timestamp"},
+    "channel": "string",
+    "ship": {"carrier": {"type": "string"}, "box": {"weight": {"type": "double"}}},
 }
+ORDERS_V2 = {**ORDERS_V1, "ship": {**ORDERS_V1["ship"], "zone": {"type": "string"}}}
 
 SCHEMA = "topic string, version int, definition string"
 
@@ -34,22 +28,22 @@ def fields_of(df):
     return {(r["topic"], r["version"], r["field_path"], r["field_type"]) for r in df.collect()}
 
 
-def test_flatten_demo_schemas(spark):
-    cat = catalog(spark, [("user_events", 1, USER_EVENTS_V1), ("user_events", 2, USER_EVENTS_V2)])
+def test_flatten_three_levels(spark):
+    cat = catalog(spark, [("orders", 1, ORDERS_V1), ("orders", 2, ORDERS_V2)])
     got = fields_of(contracts.flatten_definitions(cat))
-    v1 = {("user_events", 1, p, t) for p, t in [
-        ("user_id", "string"), ("timestamp", "timestamp"), ("event_type", "string"),
-        ("metadata.source", "string"), ("metadata.version", "integer")]}
+    v1 = {("orders", 1, p, t) for p, t in [
+        ("order", "long"), ("placed", "timestamp"), ("channel", "string"),
+        ("ship.carrier", "string"), ("ship.box.weight", "double")]}
     assert v1 <= got and len(got) == 5 + 6
-    assert ("user_events", 2, "metadata.environment", "string") in got
+    assert ("orders", 2, "ship.zone", "string") in got
 
 
-def test_demo_v2_has_no_breaking_change(spark):
-    cat = catalog(spark, [("user_events", 1, USER_EVENTS_V1), ("user_events", 2, USER_EVENTS_V2)])
+def test_added_field_is_no_breaking_change(spark):
+    cat = catalog(spark, [("orders", 1, ORDERS_V1), ("orders", 2, ORDERS_V2)])
     f = contracts.flatten_definitions(cat)
     assert contracts.breaking_changes(f, versions=cat).count() == 0
     added = contracts.breaking_changes(f, versions=cat, include_added=True).collect()
-    assert [(r["change"], r["field_path"]) for r in added] == [("added", "metadata.environment")]
+    assert [(r["change"], r["field_path"]) for r in added] == [("added", "ship.zone")]
 
 
 def test_leaf_rules(spark):
@@ -59,8 +53,43 @@ def test_leaf_rules(spark):
          "typed": {"type": "long", "nullable": True}}     # leaf with extra attributes
     got = fields_of(contracts.flatten_definitions(catalog(spark, [("t", 1, d)])))
     assert got == {("t", 1, "a", "string"), ("t", 1, "grp.type.inner", "int"), ("t", 1, "typed", "long")}
-    bad = spark.createDataFrame([("t", 1, "not json")], SCHEMA)
-    assert contracts.flatten_definitions(bad).count() == 0
+
+
+def test_definitions_that_do_not_parse_are_never_lost_silently(spark):
+    bad = spark.createDataFrame([("t", 1, "not json"), ("t", 2, '{"a": "int", "a": "long"}'), ("t", 3, "[1]"), ("t", 4, None),
+                                 ("t", 5, '{"a": "int"}')], SCHEMA)
+    with pytest.raises(contracts.InvalidDefinitionError):
+        contracts.flatten_definitions(bad)
+    assert fields_of(contracts.flatten_definitions(bad, on_invalid="skip")) == {("t", 5, "a", "int")}
+    assert sorted(r["version"] for r in contracts.invalid_definitions(bad).collect()) == [1, 2, 3, 4]
+
+
+def test_paths_that_are_leaf_and_group_and_names_with_dots(spark):
+    payloads = spark.createDataFrame([
+        ("t", 1, '{"src": null, "a.b": 1, "p%": "x", "": 2}'), ("t", 1, '{"src": {"app": "x", "deep": {"er": 1}}, "a.b": 1}'),
+        ("t", 1, '{"src": {"deep": 5}}')], "topic string, version int, payload string")
+    obs = contracts.observed_schema(payloads)
+    want = {("src", "VOID"), ("src.app", "STRING"), ("src.deep", "BIGINT"), ("src.deep.er", "BIGINT"), ("a%2Eb", "BIGINT"),
+            ("p%25", "STRING"), ("%", "BIGINT")}
+    assert {(r["field_path"], r["field_type"]) for r in obs.collect()} == want
+    defs = contracts.definitions_from_fields(obs)
+    text = json.loads(defs.first()["definition"])
+    assert text["a.b"] == {"type": "BIGINT"} and text["src"][""] == {"type": "VOID"} and text["src"]["deep"][""] == {"type": "BIGINT"}
+    back = {(r["field_path"], r["field_type"]) for r in contracts.flatten_definitions(defs).collect()}
+    assert back == want
+
+
+def test_many_definitions_have_no_row_limit(spark):
+    from pyspark.sql import functions as F
+    n = 300_000
+    cat = spark.range(n).select(F.lit("t").alias("topic"), F.col("id").cast("int").alias("version"),
+                                F.lit('{"a":"int","b":{"c":"int","d":"int"},"e":"int"}').alias("definition"))
+    assert contracts.flatten_definitions(cat).count() == 4 * n
+    deep = "x"
+    for i in range(130):
+        deep = {f"n{i}": deep}
+    (row,) = contracts.flatten_definitions(catalog(spark, [("t", 1, deep)])).collect()
+    assert row["field_path"].count(".") == 129
 
 
 def test_removed_retyped_gap_and_empty(spark):
@@ -106,12 +135,12 @@ def _shuffled(d, rnd):
 @given(seed=st.integers(0, 10_000))
 def test_fingerprint_ignores_field_order(spark, seed):
     rnd = random.Random(seed)
-    a = catalog(spark, [("t", 1, USER_EVENTS_V2)])
-    b = catalog(spark, [("t", 1, _shuffled(USER_EVENTS_V2, rnd))])
+    a = catalog(spark, [("t", 1, ORDERS_V2)])
+    b = catalog(spark, [("t", 1, _shuffled(ORDERS_V2, rnd))])
     fa = contracts.schema_fingerprints(contracts.flatten_definitions(a)).collect()[0]["fingerprint"]
     fb = contracts.schema_fingerprints(contracts.flatten_definitions(b)).collect()[0]["fingerprint"]
     assert fa == fb and len(fa) == 64
-    c = catalog(spark, [("t", 1, USER_EVENTS_V1)])
+    c = catalog(spark, [("t", 1, ORDERS_V1)])
     assert contracts.schema_fingerprints(contracts.flatten_definitions(c)).collect()[0]["fingerprint"] != fa
 
 
@@ -141,11 +170,43 @@ def test_observed_types_merge_and_void_is_not_a_change(spark):
     assert all(r["field_path"] != "n" for r in changes)
 
 
+def test_a_change_across_void_versions_is_reported(spark):
+    f = spark.createDataFrame([("t", 1, "a", "BIGINT"), ("t", 2, "a", "VOID"), ("t", 3, "a", "STRING"),
+                               ("t", 1, "b", "VOID"), ("t", 2, "b", "INT"), ("t", 3, "b", "INT"),
+                               ("t", 1, "c", "INT"), ("t", 3, "c", "VOID"), ("t", 4, "c", "LONG"), ("t", 4, "a", "STRING"), ("t", 4, "b", "INT")],
+                              "topic string, version int, field_path string, field_type string")
+    got = {(r["old_version"], r["new_version"], r["change"], r["field_path"], r["old_type"], r["new_type"])
+           for r in contracts.breaking_changes(f).collect()}
+    assert got == {(2, 3, "type_changed", "a", "BIGINT", "STRING"), (1, 2, "removed", "c", "INT", None)}
+    plain = {(r["old_version"], r["field_path"]) for r in contracts.breaking_changes(f, void="plain").collect()}
+    assert plain == {(1, "a"), (2, "a"), (1, "b"), (1, "c"), (3, "c")}
+
+
+def test_fingerprints_tell_paths_types_and_attributes_apart(spark):
+    defs = [{"a:b": "c"}, {"a": "b:c"}, {"a": {"type": "int", "nullable": True}}, {"a": {"type": "int", "nullable": False}},
+            {"a": {"type": "int"}}, {"a": "int"}, {}]
+    cat = catalog(spark, [("t", i, d) for i, d in enumerate(defs)])
+    out = {r["version"]: (r["fingerprint"], r["n_fields"]) for r in contracts.schema_fingerprints(contracts.flatten_definitions(cat), cat).collect()}
+    assert len(out) == len(defs) and out[4] == out[5]
+    assert len({v[0] for v in out.values()}) == len(defs) - 1
+    assert out[6] == ("e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855", 0)
+
+
+def test_registration_record(spark):
+    empty = spark.createDataFrame([], SCHEMA + ", created_at timestamp")
+    cat = contracts.register_versions(empty, spark.createDataFrame(
+        [("t", 3, '{"a":"int","b":"int"}'), ("t", None, '{"a":"long"}')], SCHEMA))
+    rows = {r["version"]: r for r in contracts.registration_records(cat).collect()}
+    assert set(rows) == {3, 4}  # numbered after the batch's own highest version
+    assert rows[4]["breaking"] == ["removed b", "type_changed a: int -> long"] and rows[3]["breaking"] == []
+    assert rows[4]["created_at"] is not None and len(rows[4]["fingerprint"]) == 64 and rows[4]["n_fields"] == 1
+
+
 def test_register_schema_one_definition(spark):
     empty = spark.createDataFrame([], SCHEMA)
-    cat = contracts.register_schema(empty, "user_events", USER_EVENTS_V1, version=1)
-    cat = contracts.register_schema(cat, "user_events", USER_EVENTS_V2)          # next version
+    cat = contracts.register_schema(empty, "orders", ORDERS_V1, version=1)
+    cat = contracts.register_schema(cat, "orders", ORDERS_V2)          # next version
     assert sorted(r["version"] for r in cat.collect()) == [1, 2]
     with pytest.raises(contracts.DuplicateVersionError):
-        contracts.register_schema(cat, "user_events", USER_EVENTS_V1, version=2)
+        contracts.register_schema(cat, "orders", ORDERS_V1, version=2)
     assert contracts.breaking_changes(contracts.flatten_definitions(cat), versions=cat).count() == 0

@@ -73,8 +73,8 @@ def test_profile_left_join_broadcast_and_default(spark, profile):
 def test_profile_large_path_and_salting_agree(spark, profile):
     df = tx(spark, [(str(i), "u1" if i % 3 else "u2", "1", T0) for i in range(60)])
     base = sorted(augment_with_profile(df, profile).collect())
-    shuffled = augment_with_profile(df, profile, max_broadcast_rows=0)
-    salted = augment_with_profile(df, profile, broadcast_profile=False, salt_buckets=4)
+    shuffled = augment_with_profile(df, profile, max_broadcast_bytes=0)
+    salted = augment_with_profile(df, profile, max_broadcast_bytes=0, salt_buckets=4)
     assert sorted(shuffled.collect()) == base
     assert sorted(salted.select(*base[0].__fields__).collect()) == base
 

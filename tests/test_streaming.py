@@ -17,7 +17,7 @@ from riskflow.sinks.alerts import alert_batch_writer, start_high_risk_alert_stre
 from riskflow.sinks.kafka import write_to_kafka
 from riskflow.sinks.lake import persist_transactions_to_data_lake
 from riskflow.sources import fixtures
-from riskflow.streaming.replay import replay_stream, sentinel_records, write_ordered_replay
+from riskflow.streaming.replay import replay_stream, write_ordered_replay, write_sentinel
 from riskflow.streaming.runner import await_any_termination, drain, dropped_by_watermark
 
 from conftest import SF_SMALL
@@ -48,7 +48,7 @@ def test_stream_equals_batch_on_ordered_replay(spark, scratch):
     days = [f"2024-01-{d:02d}" for d in range(1, 32)]
     write_ordered_replay(recs, f"{scratch}/replay", days)
     time.sleep(0.05)
-    sentinel_records(spark).write.parquet(f"{scratch}/replay/zz_sentinel")
+    write_sentinel(recs, f"{scratch}/replay")
     stream = replay_stream(spark, f"{scratch}/replay/*", max_files_per_trigger=1)
     risk = risk_from_records(stream, FIXTURE_PARAMS)
     q = persist_transactions_to_data_lake(risk, f"{scratch}/out", f"{scratch}/ckpt", available_now=True)
@@ -164,25 +164,73 @@ def test_alert_writer_is_idempotent_per_batch(spark, scratch):
         (7, 1), (8, 1)]
 
 
-def test_await_any_reraises_failure(spark, scratch):
-    glob = write_batches(spark, scratch, [[("a", "u", 1, "00:00:10")]])
+def boom(df, batch_id):
+    raise RuntimeError("sink failed")
 
-    def boom(df, batch_id):
-        raise RuntimeError("sink failed")
 
+def test_await_any_reraises_the_sinks_own_failure(spark, scratch):
+    glob = write_batches(spark, scratch, [[("a", "u", 1, "00:00:10")]])
+    idle = replay_stream(spark, glob).writeStream.format("noop").option("checkpointLocation", f"{scratch}/ck0").start()
     failing = (replay_stream(spark, glob).writeStream.foreachBatch(boom)
                .option("checkpointLocation", f"{scratch}/ck").start())
+    with pytest.raises(Exception, match="sink failed"):
+        await_any_termination([idle, failing], timeout=120)
+    assert not idle.isActive  # the others are stopped
+
+
+def test_await_any_ignores_other_queries_of_the_session(spark, scratch):
+    glob = write_batches(spark, scratch, [[("a", "u", 1, "00:00:10")]])
+    ended = replay_stream(spark, glob).writeStream.foreachBatch(boom).option("checkpointLocation", f"{scratch}/ck0").start()
     with pytest.raises(Exception):
-        await_any_termination([failing], timeout=120)
+        ended.awaitTermination(120)
+    mine = (replay_stream(spark, glob).writeStream.format("noop").trigger(processingTime="1 second")
+            .option("checkpointLocation", f"{scratch}/ck").start())
+    try:
+        started = time.monotonic()
+        assert await_any_termination([mine], timeout=0.7) is None
+        assert time.monotonic() - started >= 0.6 and mine.isActive
+    finally:
+        mine.stop()
+    assert await_any_termination([mine], timeout=60) is mine
+    spark.streams.resetTerminated()
+
+
+def test_default_alert_sink_keeps_all_alerts_over_a_restart(spark, scratch):
+    """More alerts than the log shows, several state partitions, no alerts path."""
+    users = [f"u{i}" for i in range(60)]
+    write_batches(spark, scratch, [[(f"a{u}", u, 400, "00:00:10") for u in users]])
+    params = RiskParams(window_duration="1 minute", amount_threshold=Decimal("300"))
+
+    def run():
+        risk = risk_from_records(replay_stream(spark, f"{scratch}/src/*"), params)
+        drain(start_high_risk_alert_stream(risk, f"{scratch}/ck_alert", available_now=True))
+
+    run()
+    time.sleep(0.05)
+    records(spark, [(f"b{u}", u, 500, "00:30:10") for u in users] + [("s", "s", 0, "02:00:00")]).write.parquet(f"{scratch}/src/later")
+    run()
+    alerts = spark.read.parquet(f"{scratch}/ck_alert-alerts")
+    assert alerts.count() == 120 and alerts.select("alert_text").distinct().count() == 120
+
+
+def test_lake_sink_with_a_processing_time_trigger(spark, scratch):
+    glob = write_batches(spark, scratch, [[("a", "u", 1, "00:00:10")]])
+    query = persist_transactions_to_data_lake(prepare_transactions(replay_stream(spark, glob), RiskParams()), f"{scratch}/lake",
+                                              f"{scratch}/ck", trigger_interval="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(f"{scratch}/lake").count() == 1
 
 
 def test_cdc_snapshot_stream_keeps_tombstones(spark, scratch):
     schema = "key long, op string, ts timestamp_ntz, seq long, after struct<v:string>"
     t = lambda h: dt.datetime(2024, 1, 1, h)
     batches = [
-        [(1, "c", t(1), 1, ("a",)), (2, "c", t(1), 2, ("b",))],
+        [(1, "c", t(1), 1, ("a",)), (2, "c", t(1), 1, ("b",))],
         [(1, "d", t(3), 3, None), (2, "u", t(3), 4, ("b2",))],
-        [(1, "u", t(2), 5, ("late",))],          # older than the delete: ignored
+        [(1, "u", t(4), 2, ("late",))],          # before the delete in the log's order: ignored
     ]
     for i, rows in enumerate(batches):
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{scratch}/log/b{i}")
