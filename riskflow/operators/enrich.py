@@ -29,12 +29,6 @@ class ProfileNotUniqueError(ValueError):
     """The profile has more than one row for a user: the join would inflate counts."""
 
 
-def profile_is_unique(profile: DataFrame, key: str = "user_id") -> bool:
-    """True when no key appears twice (one aggregation job on the dimension)."""
-    dup = profile.groupBy(key).count().where(F.col("count") > 1).limit(1)
-    return dup.isEmpty()
-
-
 def augment_with_profile(tx: DataFrame, profile: DataFrame,
                          default_category: str | None = None,
                          max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,

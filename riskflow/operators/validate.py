@@ -1,8 +1,8 @@
 """Parse, watermark, validate, audit and de-duplicate transactions.
 
-All of it is row-local (Generate/Project/Filter) except de-duplication, so it fuses into
-one whole-stage-codegen span right after the scan. ``from_json`` runs in the
-JVM; only the columns of the declared schema are materialised.
+All of it is row-local (Generate/Project/Filter, no shuffle) except
+de-duplication. ``from_json`` runs in the JVM; only the columns of the declared
+schema are materialised.
 """
 
 from __future__ import annotations

@@ -21,12 +21,6 @@ TRANSACTION_SCHEMA = StructType([
     StructField("timestamp", TimestampType(), True),
 ])
 
-# Kafka record after CAST(key/value AS STRING).
-KAFKA_DECODED_SCHEMA = StructType([
-    StructField("key", StringType(), True),
-    StructField("value", StringType(), True),
-])
-
 # Kafka connector row layout (bronze, uncast).
 KAFKA_RECORD_SCHEMA = StructType([
     StructField("key", BinaryType(), True),
@@ -38,11 +32,5 @@ KAFKA_RECORD_SCHEMA = StructType([
     StructField("timestampType", IntegerType(), True),
 ])
 
-# User-profile dimension.
-PROFILE_SCHEMA = StructType([
-    StructField("user_id", StringType(), True),
-    StructField("risk_category", StringType(), True),
-])
-
 # Sum of DECIMAL(10,2) widens by 10 digits of precision.
 AMOUNT_SUM_TYPE = DecimalType(20, 2)
