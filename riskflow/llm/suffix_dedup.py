@@ -406,19 +406,16 @@ def repeated_removed(docs: DataFrame, with_text: bool = False) -> DataFrame:
     same = sig.join(copies.withColumn("copied", F.lit(True)), "md5", "left").join(marks.select("of"), F.col("md5") == F.col("of"), "left_anti")
     all_of = F.coalesce("copied", F.lit(False))
     same = same.select("doc_id", "n_bytes", F.when(all_of, F.col("n_bytes")).otherwise(0).alias("n_removed"),
-                       F.when(all_of, 1).otherwise(0).cast("bigint").alias("n_spans"), F.when(all_of, nothing).otherwise(F.col("sha")).alias("kept_sha256"))
+                       F.when(all_of, 1).otherwise(0).cast("bigint").alias("n_spans"),
+                       F.when(all_of, nothing).otherwise(F.col("sha")).alias("kept_sha256"), "md5")
+    if with_text:
+        texts = docs.select(md5.alias("of_text"), F.col("text").alias("kept")).dropDuplicates(["of_text"])
+        same = same.join(texts, F.col("md5") == F.col("of_text")).drop("of_text")
+        same = same.withColumn("kept", F.when(F.col("n_removed") > 0, "").otherwise(F.col("kept")))
     cut = read.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), "text", md5.alias("md5")).join(marks, F.col("md5") == F.col("of"))
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     cut = cut.select("doc_id", "n_bytes", "text", "pos", "kind", "start", "end").mapInArrow(_cut(with_text), schema + ", kept string" * with_text)
-    if with_text:
-        text = docs.select(md5.alias("of2"), F.col("text").alias("kept")).dropDuplicates(["of2"])
-        same = same.join(sig.select("doc_id", "md5").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id2"), F.col("doc_id").eqNullSafe(F.col("id2")))
-        same = same.join(text, F.col("md5") == F.col("of2")).select(*schema_names(schema), F.when(F.col("n_removed") > 0, "").otherwise(F.col("kept")).alias("kept"))
-    return same.unionByName(cut)
-
-
-def schema_names(schema: str) -> list[str]:
-    return [x.split()[0] for x in schema.split(", ")]
+    return same.drop("md5").unionByName(cut)
 
 
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:

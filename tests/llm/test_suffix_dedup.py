@@ -68,6 +68,12 @@ def test_odd_rows(spark):
     assert repeated_removed(df.limit(0)).count() == 0
 
 
+def test_kept_texts(spark):
+    rows = passages(24) + [(None, "short"), (3, "same id")]
+    for r in repeated_removed(documents(spark, rows), with_text=True).collect():
+        assert "\ufffd" in r["kept"] or hashlib.sha256(r["kept"].encode()).hexdigest() == r["kept_sha256"]
+
+
 def test_merged_spans():
     s, e = merged(np.array([5, 0, 3, 20]), np.array([9, 4, 6, 21]))
     assert s.tolist() == [0, 20] and e.tolist() == [9, 21]
