@@ -26,4 +26,47 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {}
+# Exact operators that SQL can express; the others are held against brute force in tests/llm.
+ORACLE: dict[str, str] = {
+    "op1_ngram_jaccard": r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+  FROM worded
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS h FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.h = b.h AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION
+  SELECT l.a, r.other FROM reach r JOIN links l ON l.b = r.doc_id
+)
+SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, r.component_id
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r ON r.doc_id = sets.doc_id""",
+
+    "op9_metric_join": """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT l.a, r.other FROM reach r JOIN links l ON l.b = r.vec_id
+)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, r.component_id, e.vec_id = r.component_id AS kept
+FROM embeddings e
+LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) n ON n.a = e.vec_id
+JOIN (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id) r ON r.vec_id = e.vec_id""",
+}
