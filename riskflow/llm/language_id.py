@@ -38,8 +38,8 @@ ORDER = 4
 DOCS_PER_LANG = 800
 MAX_LANGUAGES = 256
 CALIBRATION_SHARE = 5  # one in so many sampled documents
-MARGIN_BITS = 0.75
-SHORT_BITS = 8.0
+MARGIN_BITS = 1.0
+SHORT_BITS = 12.0
 U64 = np.uint64
 
 

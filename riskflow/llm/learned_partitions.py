@@ -32,7 +32,7 @@ from riskflow.llm._vectors import lists, matrix, sample, usable
 SAMPLE = 4096
 GRAPH_K = 10
 PARTS = 16
-TARGET = 0.97
+TARGET = 0.94
 CHUNK = 4096
 NEAREST = 10
 

@@ -62,6 +62,9 @@ def test_one_of_each_keeps_one_row_and_all_columns(spark):
     kept = one_of_each(df)
     assert kept.schema == df.schema
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, (n, c) in want.items() if i == c or not n)
+    from pyspark.sql import functions as F
+    clash = one_of_each(df.withColumn("_row", F.lit(7)).withColumn("row", F.lit(8)).withColumn("node", F.lit(9)))
+    assert clash.select("_row", "row", "node").distinct().collect() == [(7, 8, 9)] and clash.count() == kept.count()
     twice = df.unionByName(df)
     assert one_of_each(twice).filter("n_chars > 20").count() == kept.filter("n_chars > 20").count()
 

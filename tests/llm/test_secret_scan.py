@@ -83,6 +83,13 @@ def test_guess_cost_is_the_least_segmentation():
     assert cost.bits("a" * 100_000) < 12
 
 
+def test_masking_leaves_other_columns_alone(spark):
+    from pyspark.sql import functions as F
+    df = documents(spark, ROWS).withColumn("spans", F.lit("kept")).withColumn("n_hex", F.lit(4)).drop("n_chars")
+    out = masked(df)
+    assert out.columns == df.columns and out.select("spans", "n_hex").distinct().collect() == [("kept", 4)]
+
+
 def test_masking_keeps_the_rest(spark):
     df = documents(spark, ROWS)
     out = masked(df)
