@@ -526,7 +526,7 @@ def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     named = rows.select(F.col(number).alias("row"), "doc_id").join(near.select(F.col("doc_id").alias("row"), "component_id"), "row")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
     stay = saved(named.groupBy("component_id").agg(best).select(F.col("best.row").alias(number)), "stay")
-    return rows.join(stay, number, "left_semi").drop(number)
+    return rows.join(stay.hint("merge"), number, "left_semi").drop(number)  # one plan at every size
 
 
 def op1_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
