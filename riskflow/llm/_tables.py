@@ -2,13 +2,34 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.session import scratch_path
 
 
-def saved(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
+_written: list[list[str]] = []  # folders of the open ``passing_tables`` blocks
+
+
+@contextlib.contextmanager
+def passing_tables(spark: SparkSession):
+    """Remove the tables that ``saved`` writes within the block when it ends.
+
+    For results that are written in full before the block ends, elsewhere or
+    with ``keep=True``.
+    """
+    _written.append([])
+    try:
+        yield
+    finally:
+        for folder in _written.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def saved(df: DataFrame, name: str, parts: int | None = None, keep: bool = False) -> DataFrame:
     """``df`` written under spark.checkpoint.dir and read again.
 
     Cuts the lineage at files that outlive any executor; several readers then
@@ -18,6 +39,8 @@ def saved(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _written and not keep:
+        _written[-1].append(path)
     (df if parts is None else df.coalesce(parts)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

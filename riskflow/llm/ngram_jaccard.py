@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm import _text
 from riskflow.llm._components import components
-from riskflow.llm._tables import buckets, numbered, parts_for, saved
+from riskflow.llm._tables import buckets, numbered, parts_for, passing_tables, saved
 
 WIDTH = 5
 PERCENT = 80
@@ -522,10 +522,12 @@ def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     Rows with empty sets stay.
     """
     rows, number = numbered(docs, "numbered")
-    near = near_duplicates(rows.select(F.col(number).alias("doc_id"), "text"), width)
-    named = rows.select(F.col(number).alias("row"), "doc_id").join(near.select(F.col("doc_id").alias("row"), "component_id"), "row")
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
-    stay = saved(named.groupBy("component_id").agg(best).select(F.col("best.row").alias(number)), "stay")
+    with passing_tables(docs.sparkSession):
+        near = near_duplicates(rows.select(F.col(number).alias("doc_id"), "text"), width)
+        named = rows.select(F.col(number).alias("row"), "doc_id").join(near.select(F.col("doc_id").alias("row"), "component_id"), "row")
+        best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
+        stay = named.groupBy("component_id").agg(best).select(F.col("best.row").alias(number))
+        stay = saved(stay, "stay", keep=True)
     return rows.join(stay.hint("merge"), number, "left_semi").drop(number)  # one plan at every size
 
 
