@@ -81,7 +81,7 @@ def main(argv):
     if os.environ.get("PLAIN_SESSION"):
         # as a driver might: Spark defaults only (200 shuffle partitions)
         from pyspark.sql import SparkSession
-        spark = SparkSession.builder.master("local[8]").getOrCreate()
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
         spark.sparkContext.setLogLevel("ERROR")
     else:
         spark = local_session(8)
