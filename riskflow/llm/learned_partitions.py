@@ -151,7 +151,9 @@ def learn_router(m: np.ndarray, parts: int = PARTS, k: int = GRAPH_K, target: fl
 
 def _route(shared, visits: int):
     def run(batches):
-        router = shared.value
+        state = shared.value
+        router = Router(state["parts"])
+        router.__dict__.update(state)
         for batch in batches:
             m = matrix(batch.column("v"))
             if not len(m):
@@ -205,7 +207,7 @@ def nearest(vectors: DataFrame, is_query, k: int = NEAREST, parts: int = PARTS,
     if len(m) < 64:
         m = matrix(rows.limit(64).toArrow().column("v"))
     router, visits = learn_router(m, parts, target=target)
-    shared = spark.sparkContext.broadcast(router)
+    shared = spark.sparkContext.broadcast(vars(router))  # arrays only: tasks need no module to read it
     schema = "vec_id bigint, part int, v array<double>"
     index = saved(rows.mapInArrow(_route(shared, 1), schema), "index")
     sizes = index.groupBy("part").count().collect()  # at most ``parts`` rows
