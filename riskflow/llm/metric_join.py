@@ -10,9 +10,11 @@ sent to those q > p. Cells then join on their own.
 
 Within r/2 of a pivot any two vectors link: such a core is counted, not
 compared with itself, so that a spot which holds a large part of the table costs
-no pairs. Other home vectors and visitors are compared with the cell's home
-vectors, which are dealt over chunks of ``CHUNK``. Tasks return counts and a
-spanning forest of the links found, never the pairs.
+no pairs. Other home vectors and visitors (the movers) are compared with the
+cell's home vectors. Both sides are dealt over chunks of ``CHUNK``, and a task
+joins one chunk of movers with one of home vectors. It adds each block of
+movers to counts and to a spanning forest of the links found, and never holds
+or returns the pairs of more than a block.
 
 In many dimensions vectors without near neighbours are about equally far from
 all pivots, and visitors then go to most cells: the join stays exact, and its
@@ -107,31 +109,35 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
             return label
 
 
+def _is_link(x: np.ndarray, h: np.ndarray, i: np.ndarray, j: np.ndarray, cosine: float, most: int = 1 << 15) -> np.ndarray:
+    """Whether the rows i of ``x`` and j of ``h`` link, pair by pair."""
+    out = np.empty(len(i), bool)
+    for s in range(0, len(i), most):
+        out[s:s + most] = np.einsum("ij,ij->i", x[i[s:s + most]], h[j[s:s + most]]) >= cosine
+    return out
+
+
 def _join_cell(cosine: float, block: int = 512):
     def run(key, moving, home):
         hr, hk, h = np.asarray(home.column("rid")), np.asarray(home.column("kind")), matrix(home.column("u"))
         ar, ak, x = np.asarray(moving.column("rid")), np.asarray(moving.column("kind")), matrix(moving.column("u"))
-        count = np.zeros(len(ar) + len(hr), np.int64)
-        left, right = [], []
+        rid = np.concatenate([ar, hr])
+        count, hit, label = np.zeros(len(rid), np.int64), np.zeros(len(rid), bool), np.arange(len(rid))
         for s in range(0, len(ar) if len(hr) else 0, block):
-            near = x[s:s + block] @ h.T >= cosine - SLACK
-            i, j = np.nonzero(near)
-            exact = np.einsum("ij,ij->i", x[s + i], h[j]) >= cosine
-            i, j = s + i[exact], j[exact]
-            other = ar[i] != hr[j]
-            i, j = i[other], j[other]
-            count += np.bincount(i, minlength=len(count))
+            dot = x[s:s + block] @ h.T
+            i, j = np.nonzero(dot >= cosine - SLACK)
+            link = dot[i, j] >= cosine + SLACK
+            close = np.flatnonzero(~link)  # rounding may decide
+            link[close] = _is_link(x, h, s + i[close], j[close], cosine)
+            link &= ar[s + i] != hr[j]
+            i, j = s + i[link], j[link]
+            count += np.bincount(i, minlength=len(rid))
             both = (ak[i] == 2) | (hk[j] == 0)  # else the home vector moves to this one's chunk itself
-            count += np.bincount(len(ar) + j[both], minlength=len(count))
-            left.append(i)
-            right.append(len(ar) + j)
-        rid = np.concatenate([ar, hr])
-        if not left:
-            return pa.table({"rid": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
-        label = _forest(np.concatenate(left), np.concatenate(right), len(rid))
-        hit = count > 0
-        hit |= np.bincount(np.concatenate(left + right), minlength=len(rid)) > 0
-        return pa.table({"rid": pa.array(rid[hit]), "links": pa.array(count[hit]), "root": pa.array(rid[label[hit]])})
+            count += np.bincount(len(ar) + j[both], minlength=len(rid))
+            j += len(ar)
+            hit[i] = hit[j] = True
+            label = _forest(label[i], label[j], len(rid))[label]
+        return pa.table({"rid": pa.array(rid[hit], pa.int64()), "links": pa.array(count[hit]), "root": pa.array(rid[label[hit]], pa.int64())})
     return run
 
 
@@ -155,18 +161,19 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_
     shared = spark.sparkContext.broadcast(pivots)
 
     dealt = saved(rows.mapInArrow(_assign(shared, r), "rid bigint, cell int, kind int, u array<double>"), "cells")
-    sizes = dealt.filter("kind < 2").groupBy("cell").agg(
-        F.count("*").alias("size"), F.sum(F.when(F.col("kind") == 0, 1).otherwise(0)).alias("core")).collect()  # at most MOST_PIVOTS rows
-    chunks = F.create_map(*[F.lit(x) for s in sizes for x in (s["cell"], -(-s["size"] // CHUNK))])
-    cores = F.create_map(*[F.lit(x) for s in sizes for x in (s["cell"], s["core"])])
-    home = dealt.filter("kind < 2").withColumn("chunk", F.pmod(F.xxhash64("rid"), chunks[F.col("cell")]).cast("int"))
-    moving = dealt.filter("kind > 0").filter(chunks[F.col("cell")].isNotNull()).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), (chunks[F.col("cell")] - 1).cast("int"))))
-    found = moving.groupBy("cell", "chunk").cogroup(home.groupBy("cell", "chunk")).applyInArrow(
-        _join_cell(cosine), "rid bigint, links bigint, root bigint")
+    sizes = dealt.groupBy("cell").agg(F.sum(F.when(F.col("kind") < 2, 1).otherwise(0)).alias("size"), F.sum(F.when(F.col("kind") == 0, 1).otherwise(0)).alias("core"),
+                                      F.sum(F.when(F.col("kind") > 0, 1).otherwise(0)).alias("movers")).collect()  # at most MOST_PIVOTS rows
+    of_cell = lambda f: F.create_map(*[F.lit(x) for s in sizes for x in (s["cell"], f(s))])[F.col("cell")]
+    chunks, mover_chunks = of_cell(lambda s: -(-s["size"] // CHUNK)), of_cell(lambda s: -(-s["movers"] // CHUNK))
+    every = lambda n: F.explode(F.sequence(F.lit(0), (n - 1).cast("int")))
+    joined = dealt.filter((chunks > 0) & (mover_chunks > 0))
+    home = joined.filter("kind < 2").withColumn("chunk", F.pmod(F.xxhash64("rid"), chunks).cast("int")).withColumn("mover_chunk", every(mover_chunks))
+    moving = joined.filter("kind > 0").withColumn("mover_chunk", F.pmod(F.xxhash64("rid"), mover_chunks).cast("int")).withColumn("chunk", every(chunks))
+    keys = ["cell", "chunk", "mover_chunk"]
+    found = moving.groupBy(*keys).cogroup(home.groupBy(*keys)).applyInArrow(_join_cell(cosine), "rid bigint, links bigint, root bigint")
     found = saved(found, "found")
 
-    core = dealt.filter("kind = 0").select("rid", (cores[F.col("cell")] - 1).alias("links"), (-1 - F.col("cell")).cast("bigint").alias("root"))
+    core = dealt.filter("kind = 0").select("rid", (of_cell(lambda s: s["core"]) - 1).alias("links"), (-1 - F.col("cell")).cast("bigint").alias("root"))
     core = core.filter("links > 0")
     everything = saved(found.unionByName(core), "found-all")
     links = everything.groupBy("rid").agg(F.sum("links").alias("links"))

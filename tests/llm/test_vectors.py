@@ -1,6 +1,8 @@
 import math
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from helpers import Union
 from riskflow.llm import learned_partitions as lp
 from riskflow.llm import metric_join as mj
 from riskflow.llm.learned_partitions import balanced_parts, nearest, neighbour_graph
+from riskflow.llm._vectors import lists
 from riskflow.llm.metric_join import near_vectors
 
 
@@ -48,6 +51,38 @@ def test_links_and_components_equal_brute_force(spark, monkeypatch, seed, chunk,
     assert out == brute(m, [int(i) for i in ids])
 
 
+def test_both_sides_of_a_cell_are_dealt_over_chunks(spark, monkeypatch):
+    join_cell, chunk = mj._join_cell, 50
+
+    def watched(cosine):
+        run = join_cell(cosine)
+
+        def checked(key, moving, home):
+            assert max(len(moving), len(home)) <= 2 * chunk, (len(moving), len(home))
+            return run(key, moving, home)
+        return checked
+
+    monkeypatch.setattr(mj, "CHUNK", chunk)
+    monkeypatch.setattr(mj, "_join_cell", watched)
+    rng = np.random.default_rng(6)  # links within the cluster, most of it further than r/2 from every pivot
+    m = np.vstack([rng.standard_normal(24) + 0.17 * rng.standard_normal((400, 24)), rng.standard_normal((200, 24))]).astype(np.float32)
+    out = sorted(tuple(r) for r in near_vectors(table(spark, m)).collect())
+    assert out == brute(m, list(range(len(m))))
+
+
+def test_a_task_of_the_join_holds_no_more_than_a_block_of_pairs():
+    rng = np.random.default_rng(7)
+    u = 1 + 0.05 * rng.standard_normal((4000, 8))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    side = lambda first, kind: pa.table({"rid": np.arange(first, first + len(u)), "kind": np.full(len(u), kind, np.int32), "u": lists(u)})
+    tracemalloc.start()
+    out = mj._join_cell(0.95)(None, side(10000, 2), side(0, 1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.num_rows == 8000 and set(out.column("links").to_pylist()) == {4000} and len(set(out.column("root").to_pylist())) == 1
+    assert peak < 250 << 20
+
+
 def test_vectors_that_take_no_part(spark):
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (2, [1.0, 0.01]), (3, None), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]), (6, [1.0, None]),
             (7, [float("inf"), 1.0]), (8, [1.0, 0.0, 0.0]), (9, []), (None, [1.0, 0.0])]
