@@ -11,7 +11,7 @@ nearest neighbours.
 
 Parts are dealt over chunks of ``CHUNK`` vectors, so that a part that holds a
 large share of the table is searched by many tasks. Each returns a query's
-nearest only.
+nearest only: of each id its nearest row, so that repeated rows take no places.
 
 Nearness is Euclidean distance in doubles; ties go to the smaller id. Vectors
 that are null, zero, hold null or non-finite components or have another length
@@ -171,6 +171,9 @@ def _search(k: int, block: int = 256):
         ri, r = np.asarray(rows.column("vec_id")), matrix(rows.column("v"))
         out = [[], [], []]
         if len(q) and len(r):
+            by_id = np.argsort(ri, kind="stable")
+            ri, r = ri[by_id], r[by_id]
+            first = np.flatnonzero(np.concatenate([[True], ri[1:] != ri[:-1]]))
             sq = (r ** 2).sum(axis=1)
             # the squared form only picks candidates; this much it may be off
             off = 1e-11 * (sq.max() + (q ** 2).sum(axis=1).max() + 1e-300)
@@ -178,11 +181,15 @@ def _search(k: int, block: int = 256):
                 b = q[s:s + block]
                 d = (b ** 2).sum(axis=1)[:, None] - 2 * b @ r.T + sq[None, :]
                 d[qi[s:s + block][:, None] == ri[None, :]] = np.inf
-                reach = np.partition(d, min(k, len(r)) - 1, axis=1)[:, min(k, len(r)) - 1] + 2 * off
+                each = np.minimum.reduceat(d, first, axis=1)  # of every id, its nearest row
+                last = min(k, len(first)) - 1
+                reach = np.partition(each, last, axis=1)[:, last] + 2 * off
                 for i in range(len(b)):
                     near = np.flatnonzero((d[i] <= reach[i]) & np.isfinite(d[i]))
                     score = np.sqrt(((r[near] - b[i]) ** 2).sum(axis=1))
-                    best = np.lexsort((ri[near], score))[:k]
+                    order = np.lexsort((score, ri[near]))
+                    order = order[np.diff(ri[near[order]], prepend=ri[near[order[:1]]] - 1) != 0]  # the nearest row of each id
+                    best = order[np.lexsort((ri[near[order]], score[order]))[:k]]
                     out[0].append(np.full(len(best), qi[s + i]))
                     out[1].append(ri[near[best]])
                     out[2].append(score[best])
@@ -213,8 +220,9 @@ def nearest(vectors: DataFrame, is_query, k: int = NEAREST, parts: int = PARTS,
     sizes = index.groupBy("part").count().collect()  # at most ``parts`` rows
     chunks = F.create_map(*[F.lit(x) for s in sizes for x in (s["part"], -(-s["count"] // CHUNK))])
     index = index.withColumn("chunk", F.pmod(F.xxhash64("vec_id", "v"), chunks[F.col("part")]).cast("int"))
-    # where the parts visited hold fewer than k vectors, all parts are visited
-    least = sorted(s["count"] for s in sizes)[:visits]
+    # where the parts visited may hold no more than k ids, each id counted in one of its parts, all parts are visited
+    ids = index.groupBy("vec_id").agg(F.min("part").alias("part")).groupBy("part").count().collect()  # at most ``parts`` rows
+    least = sorted([0] * (router.parts - len(ids)) + [s["count"] for s in ids])[:visits]
     if sum(least) <= k or n <= CHUNK // 8:
         visits = router.parts
     queries = rows.filter(is_query).dropDuplicates(["vec_id"]).mapInArrow(_route(shared, visits), schema)

@@ -118,6 +118,48 @@ def test_nearest_is_sorted_scored_and_found(spark, monkeypatch):
     assert hit / total >= 0.9
 
 
+@pytest.mark.parametrize("times", [2, 13])
+def test_repeated_rows_take_no_places(spark, monkeypatch, times):
+    rng = np.random.default_rng(8)
+    m = rng.standard_normal((60, 6)).astype(np.float32)
+    monkeypatch.setattr(lp, "CHUNK", 1000 * times)
+    rows = table(spark, np.vstack([m] * times), list(range(len(m))) * times)
+    odd = table(spark, np.vstack([m[:20] + 0.01, m[:20] + 5]), list(range(20)) * 2)  # ids with several vectors
+    found = {}
+    for r in nearest(rows.unionByName(odd), F.col("vec_id") >= 50).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    x = m.astype(np.float64)
+    near = (m[:20] + np.float32(0.01)).astype(np.float64)
+    far = (m[:20] + np.float32(5)).astype(np.float64)
+    assert set(found) == set(range(50, 60))
+    for q, got in found.items():
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        for other in (near, far):
+            d[:20] = np.minimum(d[:20], np.sqrt(((other - x[q]) ** 2).sum(axis=1)))
+        d[q] = np.inf
+        want = np.lexsort((np.arange(60), d))[:10]
+        assert [v for _, v, _ in sorted(got)] == want.tolist()
+        assert np.allclose([s for _, _, s in sorted(got)], d[want], rtol=1e-12)
+
+
+def test_repeated_rows_do_not_hide_that_a_part_holds_few_ids(spark, monkeypatch):
+    class Halves:
+        def __init__(self):
+            self.parts = 2
+
+        def order(self, m):
+            return np.where(m[:, :1] < 0, [[0, 1]], [[1, 0]])
+
+    monkeypatch.setattr(lp, "CHUNK", 160)
+    monkeypatch.setattr(lp, "Router", lambda parts: Halves())
+    monkeypatch.setattr(lp, "learn_router", lambda m, parts, target: (Halves(), 1))
+    rng = np.random.default_rng(10)
+    m = rng.standard_normal((60, 4)).astype(np.float32)
+    m[:, 0] = np.where(np.arange(60) < 8, -1, 1)  # eight ids in a part, each many times
+    out = nearest(table(spark, np.vstack([m] * 5), list(range(60)) * 5), F.col("vec_id") < 8).collect()
+    assert len(out) == 8 * lp.NEAREST
+
+
 def test_parts_are_balanced_and_cut_few_edges():
     rng = np.random.default_rng(4)
     m = rng.standard_normal((8, 6))[rng.integers(0, 8, 800)] * 4 + rng.standard_normal((800, 6)) * 0.3
