@@ -146,7 +146,8 @@ class Scanner:
         """Documents of a chunk that can hold a span."""
         raw = buf.tobytes()
         hits = [np.flatnonzero((buf == 0x3A) | (buf == 0x3D))]
-        hits.append(np.array([m.start() for m in re.finditer(rb"AKIA", raw)], np.int64))
+        # matches may overlap: one that runs over a border must not hide the next document's
+        hits.append(np.array([m.start() for m in re.finditer(rb"(?=AKIA)", raw)], np.int64))
         docs = [np.searchsorted(offs, np.concatenate(hits), "right") - 1]
         for m in self.hex.finditer(raw):  # may run over a border: all documents that it touches
             docs.append(np.arange(np.searchsorted(offs, m.start(), "right") - 1, np.searchsorted(offs, m.end() - 1, "right")))

@@ -3,8 +3,9 @@ import math
 import random
 import re
 
+import numpy as np
 from helpers import corpus, documents
-from riskflow.llm.secret_scan import LENGTH_BITS, LOOKS, MASK, GuessCost, masked, secret_spans
+from riskflow.llm.secret_scan import LENGTH_BITS, LOOKS, MASK, GuessCost, Scanner, masked, secret_spans
 
 ROWS = [
     (1, "x password=hunter2hunter and token : 'abcdef12345'"), (2, "PassWord = \"S3cr.et/+=_-x\" é api-key=1234"),
@@ -41,6 +42,12 @@ def test_base_spans_equal_the_patterns(spark):
     assert secret_spans(documents(spark, rows).limit(0)).count() == 0
 
 
+def test_a_match_over_a_border_hides_no_key():
+    texts = [b"ends in AKI", b"AKIA1234567890AB", b"AKI", b"AKIA1234567890AB in the text", b"none"]
+    offs = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    assert {1, 3} <= set(Scanner().candidates(np.frombuffer(b"".join(texts), np.uint8), offs).tolist())
+
+
 def test_guess_spans(spark):
     by = {r["doc_id"]: [s.split(":") for s in r["spans"].split(",") if s] for r in secret_spans(documents(spark, ROWS)).collect()}
     text = dict(ROWS)
