@@ -21,8 +21,8 @@ all pivots, and visitors then go to most cells: the join stays exact, and its
 comparisons grow with the square of the distinct spots.
 
 Vectors that are null, zero or hold null or non-finite components link with
-nothing, as do those of another length than the table's usual one. Rows that
-repeat a vec_id are vectors of their own.
+nothing. Vectors of different lengths do not link: each length has pivots and
+cells of its own. Rows that repeat a vec_id are vectors of their own.
 """
 
 from __future__ import annotations
@@ -31,12 +31,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.llm._components import components
 from riskflow.llm._tables import saved, table
-from riskflow.llm._vectors import lists, matrix, sample, usable
+from riskflow.llm._vectors import lists, matrix, sample, samples, usable
 
 COSINE = 0.95
 SAMPLE = 2048
@@ -72,28 +73,48 @@ def choose_pivots(units: np.ndarray, wanted: int, r: float) -> np.ndarray:
     return units[chosen]
 
 
+def _units(m: np.ndarray) -> np.ndarray:
+    u = m / np.abs(m).max(axis=1, keepdims=True)  # no overflow in the norm
+    return u / np.linalg.norm(u, axis=1, keepdims=True)
+
+
+def _pivots(rows: DataFrame, r: float) -> dict[int, tuple[int, np.ndarray]]:
+    """By length of the vectors: the first pivot's cell, and the pivots."""
+    counts = {x["size"]: x["n"] for x in rows.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n")).collect()}
+    usual = min(counts, key=lambda size: (-counts[size], size))
+    found = {usual: sample(rows.filter(F.size("v") == usual), SAMPLE, 3)}
+    if len(counts) > 1:  # the other lengths share a sample
+        found |= samples(rows.filter(F.size("v") != usual), sum(counts.values()) - counts[usual], SAMPLE, 3)
+    out, first = {}, 0
+    for size in sorted(counts):
+        m = found.get(size, ())
+        units = _units(m) if len(m) else np.eye(1, size)  # any unit vector may be a pivot
+        out[size] = first, choose_pivots(units, min(MOST_PIVOTS, max(4, -(-counts[size] // CELL))), r)
+        first += len(out[size][1])
+    return out
+
+
 def _assign(shared, r: float):
     def run(batches):
-        pivots = shared.value
-        between = _distances(pivots, pivots)
         for batch in batches:
-            m = matrix(batch.column("v"))
-            if not len(m):
-                continue
-            u = m / np.abs(m).max(axis=1, keepdims=True)  # no overflow in the norm
-            u = u / np.linalg.norm(u, axis=1, keepdims=True)
-            d = _distances(u, pivots)
-            home = np.argmin(d, axis=1)
-            own = d[np.arange(len(u)), home]
-            visit = (d <= own[:, None] + 2 * r + SLACK) & (d ** 2 - own[:, None] ** 2 <= 2 * r * between[home] + SLACK)
-            visit &= np.arange(len(pivots))[None, :] > home[:, None]
-            who, cell = np.nonzero(visit)
-            rid = np.asarray(batch.column("rid"))
-            kind = np.where(own <= r / 2 - SLACK, 0, 1)  # core, other home vector, visitor
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([rid, rid[who]])), pa.array(np.concatenate([home, cell]).astype(np.int32)),
-                 pa.array(np.concatenate([kind, np.full(len(who), 2)]).astype(np.int32)), lists(np.concatenate([u, u[who]]))],
-                ["rid", "cell", "kind", "u"])
+            lengths = pc.list_value_length(batch.column("v"))
+            for size in pc.unique(lengths).to_pylist():
+                some = batch.filter(pc.equal(lengths, size))
+                first, pivots = shared.value[size]
+                between = _distances(pivots, pivots)
+                u = _units(matrix(some.column("v")))
+                d = _distances(u, pivots)
+                home = np.argmin(d, axis=1)
+                own = d[np.arange(len(u)), home]
+                visit = (d <= own[:, None] + 2 * r + SLACK) & (d ** 2 - own[:, None] ** 2 <= 2 * r * between[home] + SLACK)
+                visit &= np.arange(len(pivots))[None, :] > home[:, None]
+                who, cell = np.nonzero(visit)
+                rid = np.asarray(some.column("rid"))
+                kind = np.where(own <= r / 2 - SLACK, 0, 1)  # core, other home vector, visitor
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([rid, rid[who]])), pa.array((first + np.concatenate([home, cell])).astype(np.int32)),
+                     pa.array(np.concatenate([kind, np.full(len(who), 2)]).astype(np.int32)), lists(np.concatenate([u, u[who]]))],
+                    ["rid", "cell", "kind", "u"])
     return run
 
 
@@ -145,35 +166,30 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_
     """(vec_id, n_links, component_id, kept): one row per row of ``vectors``; other columns are ignored."""
     spark = vectors.sparkSession
     r = math.sqrt(2 - 2 * cosine)
-    rows = usable(vectors, id_col, column)
-    n = rows.count()
+    rows = usable(vectors, id_col, column, every_length=True)
     ids = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"))
     alone = lambda t: t.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"),
                                F.col("vec_id").isNotNull().alias("kept"))
-    if not n:
+    if rows.isEmpty():
         return alone(ids)
-    m = sample(rows, SAMPLE, 3)
-    if not len(m):
-        m = matrix(rows.limit(1).toArrow().column("v"))
-    units = m / np.abs(m).max(axis=1, keepdims=True)
-    units = units / np.linalg.norm(units, axis=1, keepdims=True)
-    pivots = choose_pivots(units, min(MOST_PIVOTS, max(4, -(-n // CELL))), r)
-    shared = spark.sparkContext.broadcast(pivots)
+    shared = spark.sparkContext.broadcast(_pivots(rows, r))
 
     dealt = saved(rows.mapInArrow(_assign(shared, r), "rid bigint, cell int, kind int, u array<double>"), "cells")
-    sizes = dealt.groupBy("cell").agg(F.sum(F.when(F.col("kind") < 2, 1).otherwise(0)).alias("size"), F.sum(F.when(F.col("kind") == 0, 1).otherwise(0)).alias("core"),
-                                      F.sum(F.when(F.col("kind") > 0, 1).otherwise(0)).alias("movers")).collect()  # at most MOST_PIVOTS rows
-    of_cell = lambda f: F.create_map(*[F.lit(x) for s in sizes for x in (s["cell"], f(s))])[F.col("cell")]
-    chunks, mover_chunks = of_cell(lambda s: -(-s["size"] // CHUNK)), of_cell(lambda s: -(-s["movers"] // CHUNK))
-    every = lambda n: F.explode(F.sequence(F.lit(0), (n - 1).cast("int")))
-    joined = dealt.filter((chunks > 0) & (mover_chunks > 0))
-    home = joined.filter("kind < 2").withColumn("chunk", F.pmod(F.xxhash64("rid"), chunks).cast("int")).withColumn("mover_chunk", every(mover_chunks))
-    moving = joined.filter("kind > 0").withColumn("mover_chunk", F.pmod(F.xxhash64("rid"), mover_chunks).cast("int")).withColumn("chunk", every(chunks))
+    amount = lambda kinds: F.sum(F.when(F.col("kind").isin(kinds), 1).otherwise(0))
+    sizes = dealt.groupBy("cell").agg(amount([0]).alias("core"), F.ceil(amount([0, 1]) / CHUNK).cast("int").alias("chunks"),
+                                      F.ceil(amount([1, 2]) / CHUNK).cast("int").alias("mover_chunks"))
+    sizes = F.broadcast(saved(sizes, "sizes"))  # a row for each pivot
+    joined = dealt.join(sizes, "cell").filter("chunks > 0 and mover_chunks > 0")
+    dealt_to = lambda n: F.pmod(F.xxhash64("rid"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = [F.col(c).alias(c) for c in ("rid", "cell", "kind", "u")]  # as new ones, so that the sides are told apart
+    home = joined.filter("kind < 2").select(*columns, dealt_to("chunks").alias("chunk"), every("mover_chunks").alias("mover_chunk"))
+    moving = joined.filter("kind > 0").select(*columns, dealt_to("mover_chunks").alias("mover_chunk"), every("chunks").alias("chunk"))
     keys = ["cell", "chunk", "mover_chunk"]
     found = moving.groupBy(*keys).cogroup(home.groupBy(*keys)).applyInArrow(_join_cell(cosine), "rid bigint, links bigint, root bigint")
     found = saved(found, "found")
 
-    core = dealt.filter("kind = 0").select("rid", (of_cell(lambda s: s["core"]) - 1).alias("links"), (-1 - F.col("cell")).cast("bigint").alias("root"))
+    core = dealt.filter("kind = 0").join(sizes, "cell").select("rid", (F.col("core") - 1).alias("links"), (-1 - F.col("cell")).cast("bigint").alias("root"))
     core = core.filter("links > 0")
     everything = saved(found.unionByName(core), "found-all")
     links = everything.groupBy("rid").agg(F.sum("links").alias("links"))

@@ -51,6 +51,20 @@ def test_links_and_components_equal_brute_force(spark, monkeypatch, seed, chunk,
     assert out == brute(m, [int(i) for i in ids])
 
 
+def test_every_length_is_joined(spark, monkeypatch):
+    monkeypatch.setattr(mj, "CHUNK", 40)
+    monkeypatch.setattr(mj, "SAMPLE", 60)  # some lengths without a sampled vector
+    ms = [clustered(seed, n=n, dim=dim) for seed, n, dim in ((1, 200, 16), (2, 90, 15), (3, 30, 3))]
+    ms += [np.array([[2.0], [-1.0], [5.0]], np.float32), np.array([[1, 0], [1, 0.01]], np.float32), np.ones((1, 5), np.float32)]
+    first, want, rows = 0, [], None
+    for m in ms:
+        ids = list(range(first, first + len(m)))
+        want += brute(m, ids)
+        rows = table(spark, m, ids) if rows is None else rows.unionByName(table(spark, m, ids))
+        first += len(m)
+    assert sorted(tuple(r) for r in near_vectors(rows).collect()) == sorted(want)
+
+
 def test_both_sides_of_a_cell_are_dealt_over_chunks(spark, monkeypatch):
     join_cell, chunk = mj._join_cell, 50
 
