@@ -14,9 +14,11 @@ limit, calibrated on texts that the counts did not see: their 99th percentile,
 plus a margin that shrinks with the root of the text's length. ``score`` (0 to
 1) is at least 0.5 for accepted texts.
 
-Learning takes about ``DOCS_PER_LANG`` whole labelled documents of each of the
-``MAX_LANGUAGES`` most frequent languages, chosen by a hash of doc_id; every
-document is scored in full. Null or letterless texts, and all texts where
+Learning takes about ``DOCS_PER_LANG`` whole labelled documents of each
+language, chosen by a hash of doc_id; every document is scored in full. Models
+hold ``TOGETHER`` languages each, so that their size grows in proportion to the
+languages. A language that would have no documents left for counting gives none
+to calibration. Null or letterless texts, and all texts where
 nothing was learned, give ``und`` with score 0. Null doc_ids are not learned
 from and not held out. Repeated rows give repeated rows.
 """
@@ -36,7 +38,7 @@ from riskflow.llm._tables import table
 
 ORDER = 4
 DOCS_PER_LANG = 800
-MAX_LANGUAGES = 256
+TOGETHER = 256
 CALIBRATION_SHARE = 5  # one in so many sampled documents
 MARGIN_BITS = 1.0
 SHORT_BITS = 12.0
@@ -96,8 +98,11 @@ def _counts(batches):
                     ["lang", "gram", "n"])
 
 
-def kneser_ney(counts: dict[str, dict[str, int]]) -> dict:
-    """Model arrays from the ORDER-gram counts of each language (general in the languages' number)."""
+def kneser_ney(counts: dict[str, dict[str, int]], vocabulary: int | None = None) -> dict:
+    """Model arrays from the ORDER-gram counts of each language (general in the languages' number).
+
+    ``vocabulary`` is the number of symbols and one more, by default those of these languages.
+    """
     langs = sorted(counts)
     by_order = []  # by order: per language {gram: count}
     for lang in langs:
@@ -106,7 +111,7 @@ def kneser_ney(counts: dict[str, dict[str, int]]) -> dict:
         for n in range(ORDER - 1, 0, -1):
             orders[n] = Counter(g[1:] for g in orders[n + 1])  # distinct left neighbours
         by_order.append(orders)
-    vocabulary = len({g for o in by_order for g in o[1]}) + 1
+    vocabulary = vocabulary or len({g for o in by_order for g in o[1]}) + 1
     weights = []  # by language, order: (discount, {context: (total, lambda)})
     for o in by_order:
         of = {}
@@ -211,11 +216,12 @@ def _groups(texts, most=1 << 20):
 def _predict(shared):
     def run(batches):
         model = shared.value
-        ident, limits = Identifier(model), model.get("limits")
+        idents, limits = [Identifier(m) for m in model["models"]], model.get("limits")
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for a, b in _groups(texts):
-                h, n, letters = ident.entropies(texts[a:b])
+                h, n, letters = zip(*(ident.entropies(texts[a:b]) for ident in idents))
+                h, n, letters = np.concatenate(h, axis=1), n[0], letters[0]
                 best = np.argmin(h, axis=1)
                 bits = h[np.arange(b - a), best]
                 root = np.sqrt(np.maximum(n, 1))
@@ -242,21 +248,30 @@ def learn(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> dict | None:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = rows.groupBy("lang").count().collect()  # a row for each language
     if not sizes:
         return None
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, docs_per_lang / r["count"]))])
+    share = spark.createDataFrame([(r["lang"], min(1.0, docs_per_lang / r["count"])) for r in sizes], "lang string, share double")
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(5), "doc_id"), 11) / float(1 << 53)
-    sample = rows.filter((draw < share[F.col("lang")]) & F.col("text").isNotNull())
+    sample = rows.join(F.broadcast(share), "lang").filter((draw < F.col("share")) & F.col("text").isNotNull())
     check = F.pmod(F.xxhash64(F.lit(6), "doc_id"), F.lit(CALIBRATION_SHARE)) == 0
-    grams = sample.filter(~check).select("lang", "text").mapInArrow(_counts, "lang string, gram string, n bigint")
-    got = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     counts: dict[str, dict[str, int]] = {}
-    for lang, gram, n in zip(*(got.column(c).to_pylist() for c in ("lang", "gram", "n"))):
-        counts.setdefault(lang, {})[gram] = n
+
+    def count(some: DataFrame):
+        grams = some.select("lang", "text").mapInArrow(_counts, "lang string, gram string, n bigint")
+        got = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+        for lang, gram, n in zip(*(got.column(c).to_pylist() for c in ("lang", "gram", "n"))):
+            counts.setdefault(lang, {})[gram] = n
+
+    count(sample.filter(~check))
+    # languages with nothing outside the calibration texts are counted from all their texts
+    if left := sorted({r["lang"] for r in sizes} - counts.keys()):
+        count(sample.filter(F.col("lang").isin(left)))
+        check &= ~F.col("lang").isin(left)
     if not counts:
         return None
-    model = kneser_ney(counts)
+    langs, vocabulary = sorted(counts), len({g[-1] for of in counts.values() for g in of}) + 1
+    model = {"langs": langs, "models": [kneser_ney({g: counts[g] for g in langs[i:i + TOGETHER]}, vocabulary) for i in range(0, len(langs), TOGETHER)]}
     shared = spark.sparkContext.broadcast(model)
     seen = sample.filter(check).select("doc_id", "text").mapInArrow(_predict(shared), OUT).filter("symbols > 0")
     seen = seen.groupBy("lang_pred").agg(F.percentile_approx(F.col("bits") - SHORT_BITS / F.sqrt("symbols"), 0.99, 10000).alias("high")).collect()

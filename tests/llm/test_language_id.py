@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from helpers import documents
 from riskflow.llm import language_id as li
@@ -84,6 +85,39 @@ def test_probabilities_sum_to_one_and_match_the_definition(spark):
     assert math.isclose(high, max(c[g] - d, 0) / total + d * kinds / total * low, rel_tol=1e-4)
 
 
+def test_every_language_is_learned(spark):
+    rows, known = [], {}
+    for i in range(300):
+        a, b, c = (chr(0x4E00 + 3 * i + j) for j in range(3))
+        ids = [j for j in range(20 * i, 20 * i + 20) if zlib.crc32(str(j).encode()) % 4 != 2][:2 + (i < 100)]
+        rows += [(j, f"{a}{b}{c} {c}{b}", f"lang{i}") for j in ids]
+        rows.append((10000 + i, f"{c}{b} {a}{b}{c}", None))
+        known[10000 + i] = f"lang{i}"
+    df = documents(spark, rows)
+    out = {r["doc_id"]: r["lang_pred"] for r in li.identified(df, li.learn(df)).collect()}
+    assert {i: out[i] for i in known} == known
+
+
+def test_a_language_of_calibration_texts_only_is_learned(spark):
+    check = spark.range(2000, 3000).selectExpr("id as doc_id").filter(F.pmod(F.xxhash64(F.lit(6), "doc_id"), F.lit(li.CALIBRATION_SHARE)) == 0)
+    ids = sorted(r["doc_id"] for r in check.filter(~li.held_out()).collect())[:3]
+    df = documents(spark, labelled() + [(i, "жук дом кот жук", "rare") for i in ids] + [(9000, "дом кот жук", None)])
+    model = li.learn(df)
+    assert model["langs"] == [*sorted(ALPHABETS), "rare"]
+    out = {r["doc_id"]: r for r in li.identified(df, model).collect()}
+    assert out[9000]["lang_pred"] == "rare" and out[9000]["score"] >= 0.5
+
+
+def test_models_of_some_languages_each_agree_with_one_of_all(spark, monkeypatch):
+    df = documents(spark, labelled())
+    want = sorted(li.identified(df, li.learn(df)).collect())
+    monkeypatch.setattr(li, "TOGETHER", 1)
+    model = li.learn(df)
+    out = sorted(li.identified(df, model).collect())
+    assert len(model["models"]) == 3 and [r["lang_pred"] for r in out] == [r["lang_pred"] for r in want]
+    assert np.allclose([(r["score"], r["bits"]) for r in out], [(r["score"], r["bits"]) for r in want], atol=1e-4)
+
+
 def test_nothing_to_learn(spark):
     df = documents(spark, [(1, "abc", None), (2, None, "aa")])
     assert [r["lang_pred"] for r in li.identified(df, li.learn(df)).collect()] == ["und", "und"]
