@@ -11,6 +11,7 @@ from riskflow.llm.secret_scan import op10_secret_scan
 from riskflow.llm.source_mixing import op4_source_mixing
 from riskflow.llm.suffix_dedup import op6_suffix_dedup
 from riskflow.llm.token_counts import op8_token_counts
+from riskflow.llm.topk_search import op13_topk_search
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_metric_join": op9_metric_join,
     "op10_secret_scan": op10_secret_scan,
+    "op13_topk_search": op13_topk_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -69,4 +71,18 @@ SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, r.component_id, e.vec_id = r
 FROM embeddings e
 LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) n ON n.a = e.vec_id
 JOIN (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id) r ON r.vec_id = e.vec_id""",
+
+    "op13_topk_search": """
+WITH usable AS (
+  SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(1024 * x)) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_inner_product(q.w, c.w) AS BIGINT)) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+  GROUP BY q.vec_id, c.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 10""",
 }
