@@ -1,6 +1,7 @@
 """Registered queries of the training-data operators, and SQL for those that SQL can express."""
 
 import corpus_pipeline
+from riskflow.llm.conversation_repair import op12_conversation_repair
 from riskflow.llm.language_id import op5_language_id
 from riskflow.llm.learned_partitions import op2_learned_partitions
 from riskflow.llm.metric_join import op9_metric_join
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_metric_join": op9_metric_join,
     "op10_secret_scan": op10_secret_scan,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_topk_search": op13_topk_search,
     "pipeline": corpus_pipeline.run,
 }
