@@ -9,6 +9,7 @@ from riskflow.llm.ngram_jaccard import op1_ngram_jaccard
 from riskflow.llm.packing import op3_best_fit_packing
 from riskflow.llm.quality_classifier import op7_quality_classifier
 from riskflow.llm.secret_scan import op10_secret_scan
+from riskflow.llm.spelling_variants import op11_spelling_variants
 from riskflow.llm.source_mixing import op4_source_mixing
 from riskflow.llm.suffix_dedup import op6_suffix_dedup
 from riskflow.llm.token_counts import op8_token_counts
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_metric_join": op9_metric_join,
     "op10_secret_scan": op10_secret_scan,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_topk_search": op13_topk_search,
     "pipeline": corpus_pipeline.run,
@@ -87,4 +89,53 @@ WITH usable AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 10""",
+
+    # crc32 byte by byte over distinct (document, run) pairs; near words by the word with one letter left out or masked
+    "op11_spelling_variants": r"""
+WITH RECURSIVE table_of AS (
+  SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM (SELECT unnest(range(256)) AS b)
+), runs AS (
+  SELECT doc_id, run, count(*) AS n, length(run) AS size FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)
+  GROUP BY doc_id, run HAVING length(run) >= 6
+), bytes AS (
+  SELECT *, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || run, ''),
+                                   lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [195, unicode(x) - 64] END)) AS l
+  FROM runs
+), crc(doc_id, run, n, size, l, i, c) AS (
+  SELECT doc_id, run, n, size, l, CAST(1 AS BIGINT), CAST(4294967295 AS BIGINT) FROM bytes
+  UNION ALL
+  SELECT doc_id, run, n, size, l, i + 1, xor(c >> 8, v) FROM crc JOIN table_of ON b = xor(c, CAST(l[i] AS BIGINT)) & 255 WHERE i <= len(l)
+), hashed AS (
+  SELECT run, n, size, xor(c, 4294967295) AS h FROM crc WHERE i > len(l)
+), vocab AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % size) || substr(run, h % size + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), places AS (
+  SELECT word, unnest(range(1, length(word) + 1)) AS i FROM vocab
+), pairs AS (
+  SELECT a.word, b.word AS other
+  FROM (SELECT word, i, substr(word, 1, i - 1) || '_' || substr(word, i + 1) AS m FROM places) a
+  JOIN (SELECT word, i, substr(word, 1, i - 1) || '_' || substr(word, i + 1) AS m FROM places) b ON a.m = b.m AND a.word <> b.word
+  UNION
+  SELECT p.word, v.word FROM places p JOIN vocab v ON v.word = substr(p.word, 1, p.i - 1) || substr(p.word, p.i + 1)
+  UNION
+  SELECT v.word, p.word FROM places p JOIN vocab v ON v.word = substr(p.word, 1, p.i - 1) || substr(p.word, p.i + 1)
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY o.n DESC, other) AS top, max(o.n) AS top_n
+  FROM pairs JOIN (SELECT word AS other, n FROM vocab) o USING (other) GROUP BY word
+), formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 5 * v.n THEN top END AS form,
+         CASE WHEN top_n >= 5 * v.n THEN top_n END AS form_n
+  FROM vocab v LEFT JOIN best USING (word)
+), follow(word, tip) AS (
+  SELECT word, word FROM formed
+  UNION ALL
+  SELECT f.word, g.form FROM follow f JOIN formed g ON g.word = f.tip WHERE g.form IS NOT NULL
+)
+SELECT word, form, tip AS root, n, n_near, form_n
+FROM formed JOIN (SELECT f.word, f.tip FROM follow f JOIN formed g ON g.word = f.tip WHERE g.form IS NULL) USING (word)""",
 }
