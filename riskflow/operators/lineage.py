@@ -4,13 +4,24 @@ An edge log has rows ``(source_id, target_id, transformation_type, details,
 ts, seq)``; recording the same source -> target again supersedes the earlier
 row (latest by ``(ts, seq)``).
 
-Closure is a breadth-first walk for many start nodes at once: each round
-joins the frontier with the edges (shuffle on the node id), removes what each
-start node has already reached (left anti join on ``(root, node)``) and stops
-when the frontier is empty. Cycles end because a node is expanded only at its
-first visit; depth is the shortest distance. Every round is cut from the plan
-with a reliable ``checkpoint()`` into ``spark.checkpoint.dir`` so the plan does
-not grow with the rounds and a lost executor recomputes one round at most.
+Closure runs for many start nodes at once. It begins as a breadth-first walk:
+each round joins the frontier with the edges (shuffle on the node id), removes
+what each start node has already reached and stops when the frontier is empty.
+Real graphs mostly end there. Where the frontier is still not empty after a few
+rounds the graph is deep, and the walk goes on by path doubling: a table of jumps
+of 1, 2, 4, ... hops is joined with itself to the next power, and every power
+takes the nodes reached so far that much further, so rounds grow with the
+logarithm of the depth. Jumps of nodes with very many are thinned by a hash, so
+that a table of jumps has a bounded number of rows for each node. A last phase
+follows single edges from every row that it improves until none is left: it
+finds nothing where jumps were complete, and makes the result exact where they
+were thinned. A cycle needs no special case: no shortest path is longer than
+the number of nodes, where doubling ends. (Cycles are not condensed to one
+node, because depths are distances inside of them as well.)
+
+Every round is cut from the plan with a reliable ``checkpoint()`` into
+``spark.checkpoint.dir`` so the plan does not grow with the rounds and a lost
+executor recomputes one round at most.
 """
 
 from __future__ import annotations
@@ -57,41 +68,88 @@ def latest_edges(edge_log: DataFrame) -> DataFrame:
             .select("source_id", "target_id", "e.*"))
 
 
-def _closure(edges: DataFrame, roots: DataFrame, upstream: bool) -> DataFrame:
-    """``(root, node, depth)`` for every node reachable from each root that can
-    lead further (has an edge onward), plus the roots themselves.
+#: Rows of a table of jumps that need no thinning, and the jumps that a node then keeps at least.
+JUMP_ROWS, LEAST_JUMPS = 4_000_000, 8
+#: Rounds of the plain walk before doubling: few while complete tables of jumps are cheap.
+PLAIN_ROUNDS, PLAIN_ROUNDS_LARGE = 4, 32
+
 
-    Dead ends (nodes with no edge onward, e.g. pure sources upstream) are not
-    carried in the frontier or the visited set: they add no output row of
+def _hops(edges: DataFrame, upstream: bool) -> DataFrame:
+    """``(node, next)`` without dead ends.
+
+    Nodes with no edge onward (e.g. pure sources upstream) add no output row of
     their own (their edges into reached nodes are still listed) and would
     otherwise dominate the visited set.
     """
-    spark = edges.sparkSession
-    checkpoint_root(spark)
     near, far = ("target_id", "source_id") if upstream else ("source_id", "target_id")
-    hops = edges.select(F.col(near).alias("node"), F.col(far).alias("next")).distinct()
+    hops = edges.select(F.col(near).alias("node"), F.col(far).alias("next")).where("node <> next").distinct()
     onward = edges.select(F.col(near).alias("next")).distinct()
-    hops = hops.join(onward, "next", "left_semi").checkpoint()  # reused every round
-    frontier = roots.select("root", F.col("root").alias("node")).distinct().checkpoint()
-    levels = [frontier.withColumn("depth", F.lit(0))]
-    visited = frontier
-    depth = 0
-    while True:
-        depth += 1
-        step = (frontier.join(hops, "node")
-                .select("root", F.col("next").alias("node"))
-                .distinct()
-                .join(visited, ["root", "node"], "left_anti")
-                .checkpoint())
-        if step.isEmpty():
+    return hops.join(onward, "next", "left_semi").select("node", "next")
+
+
+def _least(reach: DataFrame) -> DataFrame:
+    return reach.groupBy("root", "node").agg(F.min("depth").alias("depth"))
+
+
+def _thinned(jumps: DataFrame, rows: int, nodes: int) -> DataFrame:
+    """About ``JUMP_ROWS`` jumps, at least ``LEAST_JUMPS`` a node, kept by a hash of both ends."""
+    if rows <= JUMP_ROWS:
+        return jumps
+    most = max(LEAST_JUMPS, JUMP_ROWS // nodes)
+    degree = jumps.groupBy("node").agg(F.count("*").alias("n"))
+    chance = F.shiftrightunsigned(F.xxhash64("node", "next"), 11) / float(1 << 53)
+    return jumps.join(degree, "node").where(chance * F.col("n") < most).select("node", "next").checkpoint()
+
+
+def _doubled(reach: DataFrame, hops: DataFrame, rows: int, on_round) -> DataFrame:
+    """``reach`` (root, node, depth) taken along jumps of 1, 2, 4, ... hops."""
+    nodes = hops.select("node").distinct().count()
+    jumps, length = hops, 1
+    while rows:
+        on_round()
+        jumps = _thinned(jumps, rows, nodes)
+        further = reach.join(jumps, "node").select("root", F.col("next").alias("node"), (F.col("depth") + length).alias("depth"))
+        reach = _least(reach.unionByName(further)).checkpoint()
+        length *= 2
+        if length >= nodes:
             break
-        levels.append(step.withColumn("depth", F.lit(depth)))
-        visited = visited.unionByName(step)
-        frontier = step
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+        second = jumps.select(F.col("node").alias("next"), F.col("next").alias("end"))
+        jumps = jumps.join(second, "next").select("node", F.col("end").alias("next")).where("node <> next").distinct().checkpoint()
+        rows = jumps.count()
+    return reach
+
+
+def _relaxed(reach: DataFrame, hops: DataFrame, on_round) -> DataFrame:
+    """``reach`` followed along single edges until no depth falls and no node is new."""
+    frontier = reach
+    while True:
+        on_round()
+        step = _least(frontier.join(hops, "node").select("root", F.col("next").alias("node"), (F.col("depth") + 1).alias("depth")))
+        known = reach.withColumnRenamed("depth", "known")
+        frontier = step.join(known, ["root", "node"], "left").where("known IS NULL OR depth < known").drop("known").checkpoint()
+        if frontier.isEmpty():
+            return reach
+        reach = _least(reach.unionByName(frontier)).checkpoint()
+
+
+def _closure(edges: DataFrame, roots: DataFrame, upstream: bool, on_round=lambda: None) -> DataFrame:
+    """``(root, node, depth)`` for every node reachable from each root that can
+    lead further (has an edge onward), plus the roots themselves; ``depth`` is
+    the shortest distance. ``on_round`` is called once a round."""
+    checkpoint_root(edges.sparkSession)
+    hops = _hops(edges, upstream).checkpoint()  # reused every round
+    rows = hops.count()
+    plain = PLAIN_ROUNDS if rows <= JUMP_ROWS else PLAIN_ROUNDS_LARGE
+    frontier = roots.select("root", F.col("root").alias("node")).distinct().checkpoint()
+    reach = frontier.withColumn("depth", F.lit(0))
+    for depth in range(1, plain + 1):
+        on_round()
+        frontier = (frontier.join(hops, "node").select("root", F.col("next").alias("node")).distinct()
+                    .join(reach, ["root", "node"], "left_anti").checkpoint())
+        if frontier.isEmpty():
+            return reach
+        reach = reach.unionByName(frontier.withColumn("depth", F.lit(depth)))
+    return _relaxed(_doubled(reach.checkpoint(), hops, rows, on_round), hops, on_round)
 
 
 def _lineage(edges: DataFrame, targets: DataFrame, upstream: bool) -> DataFrame:

@@ -477,6 +477,17 @@ def q_lineage_downstream(spark, sf_dir):
     return lineage.downstream_lineage(_edges(spark, sf_dir), origins)
 
 
+def q_lineage_deep(spark, sf_dir):
+    """Upstream lineage of the middle event of each of fifty long rings: as deep as the table is long."""
+    events = _events(spark, sf_dir)
+    edges = lineage.latest_edges(fixtures.deep_edge_log(events))
+    top = events.agg(F.max("event_id").alias("top"))
+    middle = (F.floor(F.col("top") / (2 * fixtures.DEEP_CHAINS)) * fixtures.DEEP_CHAINS + F.col("chain")).cast("string")
+    targets = top.select("top", F.explode(F.sequence(F.lit(0), F.lit(fixtures.DEEP_CHAINS - 1))).alias("chain"))
+    targets = targets.where("top IS NOT NULL").select(F.concat(F.lit("event:"), middle).alias("node"))
+    return lineage.upstream_lineage(edges, targets)
+
+
 # --- S5: CDC fold; R1: storage estimate -------------------------------------
 
 def q_cdc_current_state(spark, sf_dir):
@@ -520,6 +531,7 @@ QUERIES.update({
     "lineage_edges_latest": q_lineage_edges_latest,
     "lineage_upstream": q_lineage_upstream,
     "lineage_downstream": q_lineage_downstream,
+    "lineage_deep": q_lineage_deep,
     "cdc_current_state": q_cdc_current_state,
     "cdc_change_events": q_cdc_change_events,
     "cdc_snapshot_stream": q_cdc_snapshot_stream,

@@ -373,6 +373,29 @@ roots AS (SELECT 'part:' || MIN(p_partkey) AS root FROM part GROUP BY p_size),
 SELECT r.root AS origin, e.source_id, e.target_id, r.depth, e.transformation_type, e.details, e.ts
 FROM reach_min r JOIN edges e ON e.source_id = r.node""",
 
+    # every shortest path is shorter than its ring; UNION drops repeated (node, depth) pairs
+    "lineage_deep": """
+WITH RECURSIVE edges AS (
+  SELECT 'event:' || (event_id - 50) AS source_id, 'event:' || event_id AS target_id, 'next' AS transformation_type, ts
+  FROM events WHERE event_id >= 50
+  UNION ALL
+  SELECT 'event:' || (event_id - 350), 'event:' || event_id, 'skip', ts FROM events WHERE event_id % 997 = 0 AND event_id >= 350
+  UNION ALL
+  SELECT 'event:' || MAX(event_id), 'event:' || MIN(event_id), 'loop', MAX(ts) FROM events GROUP BY event_id % 50
+  UNION ALL
+  SELECT 'raw:' || event_id, 'event:' || event_id, 'load', ts FROM events
+), size AS (
+  SELECT MAX(event_id) AS top, COUNT(*) // 50 + 1 AS longest FROM events
+), reach(root, node, depth) AS (
+  SELECT 'event:' || (top // 100 * 50 + chain), 'event:' || (top // 100 * 50 + chain), 0
+  FROM size, (SELECT unnest(range(50)) AS chain)
+  UNION
+  SELECT r.root, e.source_id, r.depth + 1 FROM reach r JOIN edges e ON e.target_id = r.node, size
+  WHERE r.depth < size.longest AND e.transformation_type <> 'load'
+), reach_min AS (SELECT root, node, MIN(depth) AS depth FROM reach GROUP BY 1, 2)
+SELECT r.root AS target, e.source_id, e.target_id, r.depth, e.transformation_type, CAST(NULL AS VARCHAR) AS details, e.ts
+FROM reach_min r JOIN edges e ON e.target_id = r.node""",
+
     "cdc_current_state": """
 SELECT key, op, ts, seq, event_type, value, props FROM (
   SELECT user_id AS key,

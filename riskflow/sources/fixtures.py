@@ -188,6 +188,31 @@ def lineage_edge_log(lineitem: DataFrame, orders: DataFrame, part: DataFrame) ->
     return supply.unionByName(line).unionByName(purchase).unionByName(reorder).unionByName(revision)
 
 
+# --- fixed values: deep lineage over event ids (FIXTURES.md C) --------------
+DEEP_CHAINS = 50  # event:k -> event:k+50 (next)
+DEEP_SKIP_EVERY, DEEP_SKIP = 997, 7  # event:k-350 -> event:k (skip) for every 997th event
+# the last event of a chain -> its first one (loop); raw:k -> event:k (load), a dead end upstream
+# ---------------------------------------------------------------------------
+
+
+def deep_edge_log(events: DataFrame) -> DataFrame:
+    """Edges of ``DEEP_CHAINS`` rings over the events, as long as the table has events for each."""
+    e = F.col("event_id")
+    ids = events.select(e, F.col("ts"))
+    ends = ids.groupBy((e % DEEP_CHAINS).alias("chain")).agg(F.min(e).alias("first"), F.max(e).alias("last"), F.max("ts").alias("ts"))
+
+    def edges(rows, source, target, kind, where=F.lit(True)):
+        return rows.where(where).select(
+            F.concat(F.lit("event:"), source.cast("string")).alias("source_id"), F.concat(F.lit("event:"), target.cast("string")).alias("target_id"),
+            F.lit(kind).alias("transformation_type"), F.lit(None).cast("string").alias("details"), F.col("ts"), F.lit(0).alias("seq"))
+
+    step = DEEP_CHAINS * DEEP_SKIP
+    load = edges(ids, e, e, "load").withColumn("source_id", F.concat(F.lit("raw:"), F.substring("source_id", 7, 20)))
+    return (edges(ids, e - DEEP_CHAINS, e, "next", e >= DEEP_CHAINS)
+            .unionByName(edges(ids, e - step, e, "skip", (e % DEEP_SKIP_EVERY == 0) & (e >= step)))
+            .unionByName(edges(ends, F.col("last"), F.col("first"), "loop")).unionByName(load))
+
+
 # --- fixed values: CDC operation per event type (FIXTURES.md C) -------------
 CDC_CREATE_TYPE = "signup"
 CDC_DELETE_TYPE = "error"

@@ -5,6 +5,7 @@ import json
 import random
 from collections import deque
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -86,6 +87,35 @@ def test_upstream_matches_brute_force_on_cyclic_graphs(spark, seed):
     assert got == want
 
 
+@pytest.mark.parametrize("jumps,plain", [(4_000_000, 4), (40, 1)])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_doubling_matches_brute_force(spark, monkeypatch, seed, jumps, plain):
+    """Random cyclic graphs with chains; 40 rows of jumps: most are thinned away and single steps must mend it."""
+    monkeypatch.setattr(lineage, "JUMP_ROWS", jumps)
+    monkeypatch.setattr(lineage, "LEAST_JUMPS", 1)
+    monkeypatch.setattr(lineage, "PLAIN_ROUNDS", plain)
+    monkeypatch.setattr(lineage, "PLAIN_ROUNDS_LARGE", plain)
+    rnd = random.Random(seed)
+    pairs = {(f"n{i + 1}", f"n{i}") for i in range(60)} | {(f"n{rnd.randrange(61)}", f"n{rnd.randrange(61)}") for _ in range(12)}
+    pairs |= {(f"n{i}", f"m{i}") for i in range(5)} | {("n60", "n30")}
+    edges = lineage.latest_edges(edge_log(spark, [(s, t, "x", {}) for s, t in sorted(pairs)]))
+    got = {(r["target"], r["source_id"], r["target_id"], r["depth"])
+           for r in lineage.upstream_lineage(edges, spark.createDataFrame([("n0",), ("m4",), ("n30",)], "node string")).collect()}
+    assert got == {(t, s, x, d) for t in ("n0", "m4", "n30") for s, x, d in brute_upstream(pairs, t)}
+
+
+@pytest.mark.parametrize("ring", [False, True])
+def test_rounds_grow_with_the_logarithm_of_the_depth(spark, ring):
+    n = 10_000
+    chain = spark.range(n).selectExpr("concat('n', id + 1) AS source_id", "concat('n', id) AS target_id")
+    if ring:
+        chain = chain.union(spark.createDataFrame([("n0", f"n{n}")], chain.schema))
+    rounds = []
+    reach = lineage._closure(chain, spark.createDataFrame([("n0",)], "root string"), True, lambda: rounds.append(1))
+    assert len(rounds) < 20
+    assert reach.count() == n + ring and reach.where("substr(node, 2) <> depth").isEmpty()
+
+
 def test_cdc_fold_batch(spark):
     schema = "key long, op string, ts timestamp_ntz, seq long, after struct<v:string>"
     rows = [(1, "c", T, 1, ("a",)), (1, "u", T - dt.timedelta(1), 2, ("b",)),  # the clock stepped back: seq decides
