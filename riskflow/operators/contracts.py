@@ -18,7 +18,12 @@ Scale notes
 - Observed schemas from payload rows first reduce the rows to one per
   (topic, version, shape) with map-side partial aggregation, so a topic with a
   third of all rows ships one row per shape and map task; the level walk
-  then runs on that table only.
+  then runs on that table only. Where payload objects are keyed by data (a map
+  from user ids, say), there are as many shapes as rows: such topics are found by
+  a distinct-count sketch of their shapes and walked level by level instead. On the
+  way a HyperLogLog sketch of the child keys of each path tells names from data,
+  and keys that are data become one step ``*`` before their values are
+  reduced to shapes. Both ways fold the same paths.
 - Per-version work (fingerprints, version pairs) groups by (topic, version):
   the group size is the schema width, bounded by the schema, not by the data.
 """
@@ -129,21 +134,77 @@ def payload_shapes(payloads: DataFrame, topic_col="topic", version_col="version"
             .agg(F.count(F.lit(1)).alias("n_rows"), F.expr("any_value(v)").alias("sample")))
 
 
+MAX_KEYS = 64  # child keys of a path that are taken for names, whatever objects hold them
+FOLD_RATIO = 4  # data keys are at least so many times as many as an object holds on average
+MAX_SHAPES = 1000  # shapes of a (topic, version, path) up to which rows are reduced to shapes
+ANY_KEY = "*"  # the path step of keys that are data; a key of that name in a payload is %2A
+
+
+def _to_shapes(rows: DataFrame) -> DataFrame:
+    """Objects ``v`` with ``n_rows``: one row per shape of the other columns."""
+    keys = [c for c in rows.columns if c not in ("v", "n_rows")]
+    return (rows.groupBy(*keys, F.expr("schema_of_variant(v)").alias("shape"))
+            .agg(F.sum("n_rows").alias("n_rows"), F.expr("any_value(v)").alias("v")).drop("shape"))
+
+
+def _reduced(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """``rows`` reduced to shapes where a path has few, and whether that was all of them."""
+    keys = [c for c in rows.columns if c not in ("v", "n_rows")]
+    shapes = rows.groupBy(*keys).agg(F.approx_count_distinct(F.expr("schema_of_variant(v)")).alias("shapes"))
+    many = shapes.where(F.col("shapes") > MAX_SHAPES).select(*keys).checkpoint()
+    if many.isEmpty():
+        return _to_shapes(rows), True
+    many = many.select(*[F.col(c).alias(f"_{c}") for c in keys])
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return _to_shapes(rows.join(many, same, "left_anti")).unionByName(rows.join(many, same, "left_semi").select(*rows.columns)), False
+
+
+def _keyed_by_data(members: DataFrame, max_keys: int) -> DataFrame:
+    """The paths ``(t, ver, above)`` whose objects are keyed by data: many keys, of which an object holds few."""
+    stats = members.groupBy(F.col("topic").alias("t"), F.col("version").alias("ver"), F.col("parent").alias("above")).agg(
+        F.hll_sketch_estimate(F.hll_sketch_agg("_name")).alias("keys"), F.sum("n_rows").alias("total"),
+        F.sum(F.when(F.col("pos") == 0, F.col("n_rows"))).alias("objects"))
+    return stats.where((F.col("keys") > max_keys) & (F.col("keys") * F.col("objects") > FOLD_RATIO * F.col("total"))).select(
+        "t", "ver", "above", F.lit(True).alias("_fold"))
+
+
 def observed_schema(payloads: DataFrame, topic_col="topic", version_col="version",
-                    payload_col="payload") -> DataFrame:
+                    payload_col="payload", max_keys: int = MAX_KEYS) -> DataFrame:
     """Schema observed in JSON payload rows.
 
     Output ``(topic, version, field_path, field_type, n_rows)``: the type is the
     merge of the leaf types seen (``schema_of_variant_agg``), ``n_rows`` the
-    number of payloads holding the path.
+    number of values seen at the path, which is the number of payloads holding it
+    unless a step is ``*``. Keys that are data (more than ``max_keys``, and an
+    object holds less than a quarter of them on average) are one step ``*``.
+    Unparsable payloads and such that are no objects give no rows.
     """
     checkpoint_root(payloads.sparkSession)
-    # one row per (topic, version, shape): the scan of all payloads runs only here
-    shapes = payload_shapes(payloads, topic_col, version_col, payload_col).checkpoint()
-    leaves = _walk(shapes.select("topic", "version", "n_rows", F.col("sample").alias("v")), _IS_OBJECT, False)
-    return (leaves.groupBy("topic", "version", "field_path")
-            .agg(F.expr("schema_of_variant_agg(v)").alias("field_type"),
-                 F.sum("n_rows").cast("long").alias("n_rows")))
+    rows = payloads.select(F.col(topic_col).alias("topic"), F.col(version_col).cast("int").alias("version"),
+                           F.expr(f"try_parse_json({payload_col})").alias("v"), F.lit(1).cast("long").alias("n_rows"))
+    level, small = _reduced(rows.where(F.expr(_IS_OBJECT)))
+    # the scan of all payloads runs only here
+    level = level.withColumn("field_path", F.lit(None).cast("string")).checkpoint()
+    leaves = None
+    while True:
+        members = level.sparkSession.sql(
+            "SELECT s.topic, s.version, s.field_path AS parent, s.n_rows, e.pos, e.key AS _name, e.value AS v "
+            "FROM {level} s, LATERAL variant_explode(s.v) e", level=level).checkpoint()
+        folded = _keyed_by_data(members, max_keys)
+        of = (F.col("topic").eqNullSafe(F.col("t")) & F.col("version").eqNullSafe(F.col("ver")) & F.col("parent").eqNullSafe(F.col("above")))
+        name = F.when(F.col("_name") == ANY_KEY, F.lit("%2A")).otherwise(_encoded(F.col("_name")))
+        step = F.concat_ws(".", "parent", F.when(F.col("_fold"), F.lit(ANY_KEY)).otherwise(name))
+        members = members.join(folded, of, "left").select("topic", "version", step.alias("field_path"), "n_rows", "v")
+        here = (members.where(f"NOT {_IS_OBJECT}").groupBy("topic", "version", "field_path")
+                .agg(F.expr("schema_of_variant_agg(v)").alias("field_type"), F.sum("n_rows").cast("long").alias("n_rows"))).checkpoint()
+        leaves = here if leaves is None else leaves.unionByName(here)
+        groups = members.where(F.expr(_IS_OBJECT))
+        level, small = (_to_shapes(groups), True) if small else _reduced(groups)
+        level = level.checkpoint()
+        if level.isEmpty():
+            return leaves
 
 
 def definitions_from_fields(fields: DataFrame) -> DataFrame:

@@ -411,6 +411,11 @@ def q_observed_schema(spark, sf_dir):
     return _observed(spark, sf_dir)
 
 
+def q_observed_schema_keyed(spark, sf_dir):
+    """Payloads with objects keyed by user and event ids: such keys are one path step."""
+    return contracts.observed_schema(fixtures.keyed_payloads(_events(spark, sf_dir)))
+
+
 def q_schema_fields(spark, sf_dir):
     return contracts.flatten_definitions(_catalog(spark, sf_dir)).drop("field_definition")
 
@@ -442,6 +447,7 @@ def q_schema_breaking_changes(spark, sf_dir):
 
 QUERIES.update({
     "observed_schema": q_observed_schema,
+    "observed_schema_keyed": q_observed_schema_keyed,
     "schema_fields": q_schema_fields,
     "schema_fingerprint": q_schema_fingerprint,
     "schema_register": q_schema_register,

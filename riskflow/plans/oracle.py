@@ -255,6 +255,21 @@ ORACLE.update({
 WITH RECURSIVE {PAYLOADS}, {OBSERVED}
 SELECT * FROM observed""",
 
+    # an object holds one key: keys are data where they are more than 64
+    "observed_schema_keyed": f"""
+WITH {PAYLOADS.split(", shaped AS")[0].replace("event_id, props", "event_id, user_id, props")}, valid AS (
+  SELECT p.*, CASE WHEN users > 64 THEN '*' ELSE 'u' || user_id END AS u, CASE WHEN events > 64 THEN '*' ELSE 'e' || event_id END AS e
+  FROM payloads p
+  JOIN (SELECT topic, version, count(DISTINCT user_id) AS users, count(DISTINCT event_id) AS events
+        FROM payloads WHERE event_id % 23 <> 0 GROUP BY 1, 2) USING (topic, version)
+  WHERE event_id % 23 <> 0
+)
+SELECT topic, version, field_path, field_type, count(*) AS n_rows FROM (
+  SELECT topic, version, unnest(['k', 'src.app', 'src.rev', 'by_user.' || u || '.n', 'by_user.' || u || '.kind', 'by_event.' || e]) AS field_path,
+         unnest(['BIGINT', 'STRING', 'BIGINT', 'BIGINT', 'STRING', 'BIGINT']) AS field_type
+  FROM valid)
+GROUP BY 1, 2, 3, 4""",
+
     "schema_fields": f"""
 WITH RECURSIVE {PAYLOADS}, {OBSERVED}
 SELECT topic, version, field_path, field_type FROM observed""",

@@ -141,6 +141,19 @@ def schema_payloads(events: DataFrame) -> DataFrame:
                          payload.alias("payload"))
 
 
+def keyed_payloads(events: DataFrame) -> DataFrame:
+    """``(topic, version, payload)``: payloads with objects keyed by data (user and event ids),
+    unparsable every 23rd event."""
+    k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
+    payload = F.to_json(F.struct(
+        k.alias("k"), F.struct(F.col("event_type").alias("app"), (k % 3).alias("rev")).alias("src"),
+        F.create_map(F.concat(F.lit("u"), F.col("user_id")), F.struct(k.alias("n"), F.col("event_type").alias("kind"))).alias("by_user"),
+        F.create_map(F.concat(F.lit("e"), F.col("event_id")), k).alias("by_event")))
+    broken = F.concat(F.lit('{"k": '), k.cast("string"))
+    return events.select(F.col("event_type").alias("topic"), schema_version().alias("version"),
+                         F.when(F.col("event_id") % MALFORMED_JSON_EVERY == 0, broken).otherwise(payload).alias("payload"))
+
+
 # --- fixed values: lineage graph over the star schema (FIXTURES.md C) -------
 SELF_EDGE_TIME = "2000-01-01 00:00:00"
 # supplier:k -> part:k (supply), part:k -> order:k (line), order:k -> customer:k

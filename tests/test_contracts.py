@@ -159,6 +159,33 @@ def test_observed_schema_and_definitions_round_trip(spark):
     assert back == {(v, p, t) for v, p, t, _ in obs}
 
 
+def test_keys_that_are_data_are_one_step(spark, monkeypatch):
+    rows = [("t", 1, json.dumps({"k": i, "by": {f"u{i}": {"n": i, "tags": {f"x{j}": True for j in range(i % 3)}}}, "*": 1, "w": {f"c{j}": j for j in range(80)}}))
+            for i in range(200)]
+    rows += [("few", 1, json.dumps({"by": {f"u{i % 5}": i}})) for i in range(50)] + [(None, None, '{"a": {"b": 1}}'), ("t", 1, "[1]"), ("t", 1, "{")]
+    df = spark.createDataFrame(rows, "topic string, version int, payload string")
+    got = {(r["topic"], r["version"], r["field_path"]): (r["field_type"], r["n_rows"]) for r in contracts.observed_schema(df).collect()}
+    assert got.pop((None, None, "a.b")) == ("BIGINT", 1)
+    assert {p: v for (t, _, p), v in got.items() if t == "few"} == {f"by.u{i}": ("BIGINT", 10) for i in range(5)}
+    want = {"k": ("BIGINT", 200), "by.*.n": ("BIGINT", 200), "by.*.tags.x0": ("BOOLEAN", 133), "by.*.tags.x1": ("BOOLEAN", 66), "%2A": ("BIGINT", 200)}
+    want |= {f"w.c{j}": ("BIGINT", 200) for j in range(80)}  # a wide object that is always the same: names
+    assert {p: v for (t, _, p), v in got.items() if t == "t"} == want
+    monkeypatch.setattr(contracts, "MAX_SHAPES", 20)  # the walk over rows folds the same paths
+    again = {(r["topic"], r["version"], r["field_path"]): (r["field_type"], r["n_rows"]) for r in contracts.observed_schema(df).collect()}
+    assert {k: v for k, v in again.items() if k[0] is not None} == got
+
+
+def test_a_million_keys_give_few_rows(spark, monkeypatch):
+    levels = []
+    plain = contracts._to_shapes
+    monkeypatch.setattr(contracts, "_to_shapes", lambda rows: levels.append(plain(rows)) or levels[-1])
+    df = spark.range(1_000_000).selectExpr(
+        "'t' AS topic", "1 AS version", """concat('{"k":', id % 7, ',"by":{"u', id, '":{"n":', id, ',"s":"x"}}}') AS payload""")
+    got = {r["field_path"]: (r["field_type"], r["n_rows"]) for r in contracts.observed_schema(df).collect()}
+    assert got == {"k": ("BIGINT", 1_000_000), "by.*.n": ("BIGINT", 1_000_000), "by.*.s": ("STRING", 1_000_000)}
+    assert levels[-2].count() <= 10  # the objects below by.*: one shape
+
+
 def test_observed_types_merge_and_void_is_not_a_change(spark):
     payloads = spark.createDataFrame([
         ("t", 1, '{"k": 1, "n": null}'), ("t", 1, '{"k": 1.5, "n": null}'),
