@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from riskflow.session import scratch_path
 
 
+#: Rows and bytes of the Arrow batches that tasks get while a table is written: whole texts can be long.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
 _written: list[list[str]] = []  # folders of the open ``passing_tables`` blocks
 
 
@@ -29,6 +32,19 @@ def passing_tables(spark: SparkSession):
             path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+@contextlib.contextmanager
+def bounded_batches(spark: SparkSession):
+    """Small Arrow batches for the jobs of the block; the session's own settings return after it."""
+    old = {k: spark.conf.get(k, None) for k in BATCH}
+    for k, v in BATCH.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def saved(df: DataFrame, name: str, parts: int | None = None, keep: bool = False) -> DataFrame:
     """``df`` written under spark.checkpoint.dir and read again.
 
@@ -41,7 +57,8 @@ def saved(df: DataFrame, name: str, parts: int | None = None, keep: bool = False
     path = scratch_path(spark, name)
     if _written and not keep:
         _written[-1].append(path)
-    (df if parts is None else df.coalesce(parts)).write.parquet(path)
+    with bounded_batches(spark):
+        (df if parts is None else df.coalesce(parts)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,6 +7,9 @@ A null text is an empty one.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -47,6 +50,18 @@ def text_chunks(col, max_bytes: int = 1 << 20):
         i = j
 
 
+def release() -> None:
+    """Give a worker's free memory back: a reused worker would keep its largest group's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no malloc_trim
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def in_slices(tab: pa.Table, rows: int = 20_000) -> pa.Table:
+    """The same table in batches of at most ``rows``, so that the JVM never holds a whole group's result as one."""
+    return pa.Table.from_batches(tab.to_batches(max_chunksize=rows), tab.schema)
+
+
 def space_table() -> np.ndarray:
     """True at the bytes that separate words: 0x20 and 0x09 to 0x0D."""
     t = np.zeros(256, bool)

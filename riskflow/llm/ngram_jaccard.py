@@ -55,6 +55,7 @@ PERCENT = 80
 HOT = 8
 SKETCH_LONGS, WIDE_LONGS, LARGE = 16, 128, 1500
 BAND = 1.7
+PER_BUCKET = 1 << 19  # blocks of a bucket, about: what one worker holds
 U64 = np.uint64
 
 
@@ -227,10 +228,11 @@ def _signatures(width: int):
                 sk = bit_sketches(d, h, len(n))
                 node = _text.fixed_binary(hi, lo)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, len(n)), pa.array(n), node,
+                    [batch.column("doc_id").slice(first, len(n)), batch.column("digest").slice(first, len(n)), pa.array(n), node,
                      pa.ListArray.from_arrays(np.arange(0, sk.size + 1, SKETCH_LONGS, dtype=np.int32), pa.array(sk.reshape(-1))),
                      wide_sketches(d, h, n)],
-                    ["doc_id", "n", "node", "sketch", "wide"])
+                    ["doc_id", "digest", "n", "node", "sketch", "wide"])
+        _text.release()
     return run
 
 
@@ -255,8 +257,8 @@ def _dealt_blocks(held):
 def _block_rows(width: int, n_buckets: int, largest: int, hold: int = 400_000):
     def run(batches):
         sh, tops = Shingler(width), band_tops(largest)
+        seen, held, size = set(), [], 0
         for batch in batches:
-            seen, held, size = set(), [], 0
             for _, buf, offs in _text.text_chunks(batch.column("text")):
                 d, h = sh.sets(buf, offs)
                 n, hi, lo = sh.nodes(d, h, len(offs) - 1)
@@ -277,8 +279,11 @@ def _block_rows(width: int, n_buckets: int, largest: int, hold: int = 400_000):
                 if size > hold:  # a task's memory holds this many keys, however large the batch
                     yield _dealt_blocks(held)
                     held, size = [], 0
-            if held:
-                yield _dealt_blocks(held)
+                if len(seen) > hold:
+                    seen = set()
+        if held:
+            yield _dealt_blocks(held)
+        _text.release()
     return run
 
 
@@ -338,7 +343,9 @@ def _meet(n_buckets: int):
             none = pa.array([], pa.int32())
             out.append([none, empty, empty, empty, none, none, none])
         names = ["bucket", "held", "a", "b", "tag", "times", "need"]
-        return pa.concat_tables([pa.Table.from_arrays(x, names) for x in out])
+        tab = pa.concat_tables([pa.Table.from_arrays(x, names) for x in out])
+        _text.release()
+        return _text.in_slices(tab)
     return run
 
 
@@ -358,6 +365,7 @@ def _leave_out(n_buckets: int):
         kept["key"] = (r["bucket"].astype(U64) << U64(40)) | r["key"]
         kept["hi"], kept["lo"] = r["hi"], r["lo"]
         to, raw = _dealt(kept, (_text.mix(kept["key"]) % U64(n_buckets)).astype(np.int32))
+        _text.release()
         return pa.Table.from_arrays([to, raw], ["bucket", "kept"])
     return run
 
@@ -369,9 +377,11 @@ def _lead(key, tab):
     cut = _text.bounds(r["key"])
     first = np.repeat(cut[:-1], np.diff(cut))
     before = np.maximum(np.arange(len(r)) - 1, first)
-    return pa.Table.from_arrays(
+    tab = pa.Table.from_arrays(
         [pa.array(r["key"].astype(np.int64))] + [_text.fixed_binary(r["hi"][i], r["lo"][i]) for i in (np.arange(len(r)), first, before)],
         ["block", "node", "lead", "prior"])
+    _text.release()
+    return _text.in_slices(tab)
 
 
 def _sets_of(width: int):
@@ -385,6 +395,7 @@ def _sets_of(width: int):
                     [batch.column("node").slice(first, len(n)), _text.fixed_binary(hi, lo),
                      pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(n))).astype(np.int32), pa.array(h.view(np.int64)))],
                     ["node", "found", "shingles"])
+        _text.release()
     return run
 
 
@@ -429,8 +440,9 @@ class Verifier:
         """The pairs of ``near`` that link."""
         need = near.select(F.col("a").alias("node"), F.col("rep_a").alias("rep")).unionByName(
             near.select(F.col("b").alias("node"), F.col("rep_b").alias("rep"))).distinct()
-        # the same plan at every size: texts are dealt once, and no id list is broadcast
-        texts = self.docs.join(need.hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
+        # the same plan at every size: texts are dealt once, and no id list is broadcast; the digest tells rows of one id apart
+        same = F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("digest") == F.col("rep.digest"))
+        texts = self.docs.join(need.hint("merge"), same).select("node", "text")
         sets = texts.mapInArrow(_sets_of(self.width), "node binary, found binary, shingles array<bigint>")
         sets = saved(sets.filter("node = found").select("node", "shingles").dropDuplicates(["node"]), "near-sets", self.parts)
         both = near.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
@@ -465,21 +477,22 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sig = saved(docs.mapInArrow(_signatures(width), "doc_id bigint, n bigint, node binary, sketch array<bigint>, wide array<bigint>"), "signatures")
+    docs = docs.withColumn("digest", F.xxhash64("text"))
+    sig = saved(docs.mapInArrow(_signatures(width), "doc_id bigint, digest bigint, n bigint, node binary, sketch array<bigint>, wide array<bigint>"), "signatures")
     total, largest, rows = sig.agg(F.sum("n"), F.max("n"), F.count("*")).first()
     parts = parts_for(rows)
     if not total:
         return sig.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
                           F.lit(None).cast("binary").alias("node"))
-    n_buckets = buckets(spark, total * 2 // 3)
-    sent = docs.mapInArrow(_block_rows(width, n_buckets, int(largest)), "bucket int, keys binary, owners binary, counts binary")
+    n_buckets = buckets(spark, total * 2 // 3, PER_BUCKET)
+    sent = docs.select("text").mapInArrow(_block_rows(width, n_buckets, int(largest)), "bucket int, keys binary, owners binary, counts binary")
     met = saved(sent.groupBy("bucket").applyInArrow(_meet(n_buckets), "bucket int, held binary, a binary, b binary, tag int, times int, need int"), "met")
     kept = met.filter("held IS NOT NULL").select("bucket", "held").groupBy("bucket").applyInArrow(
         _leave_out(n_buckets), "bucket int, kept binary")
     hot = saved(kept.groupBy("bucket").applyInArrow(_lead, "block bigint, node binary, lead binary, prior binary"), "hot-blocks", parts)
 
     nodes = saved(sig.filter("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")), "nodes", parts)
+        F.min(F.struct("doc_id", "digest")).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")), "nodes", parts)
     pairs = met.filter("a IS NOT NULL").groupBy("a", "b", "tag").agg(F.sum("times").alias("times"), F.max("need").alias("need"))
     pairs = pairs.filter("times >= need").select("a", "b")
     for other in ("lead", "prior"):
