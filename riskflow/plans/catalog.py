@@ -37,6 +37,7 @@ from riskflow.sinks.lake import persist_transactions_to_data_lake, with_event_da
 from riskflow.sources import fixtures
 from riskflow.sources.cdc import decode_change_events
 from riskflow.sources.kafka import decode_envelope, read_bronze
+from riskflow.streaming.late import late_rows, rocksdb_state
 from riskflow.streaming.replay import SENTINEL_ID, replay_stream, write_ordered_replay, write_replay, write_sentinel, write_slice
 from riskflow.streaming.runner import drain
 
@@ -135,6 +136,13 @@ def q_augment_self_profile(spark, sf_dir):
     return _utc_ts(augment_with_self_profile(parse_transactions(_records(spark, sf_dir))))
 
 
+def q_augment_hot_user(spark, sf_dir):
+    """A third of all rows on one user, and a profile that may not be broadcast: hot users only are salted."""
+    records = fixtures.kafka_records(fixtures.hot_user_events(_events(spark, sf_dir)))
+    profile = fixtures.user_profiles(sf_table(spark, sf_dir, "customer"))
+    return _utc_ts(prepare_transactions(records, PARAMS, profile=profile, default_category=UNKNOWN_CATEGORY, max_broadcast_bytes=0))
+
+
 # --- K1, K2, K4, P4, P11: outgoing messages --------------------------------
 
 def _risk_rows(spark, sf_dir):
@@ -173,6 +181,7 @@ QUERIES: dict[str, QueryFn] = {
     "distinct_users": q_distinct_users,
     "augment_user_profile": q_augment_user_profile,
     "augment_self_profile": q_augment_self_profile,
+    "augment_hot_user": q_augment_hot_user,
     "risk_alert_messages": q_risk_alert_messages,
     "lake_messages": q_lake_messages,
     "alert_text": q_alert_text,
@@ -239,23 +248,42 @@ def _risk_run(spark, base):
 LATE_EVERY = 37  # every 37th event arrives after all others
 
 
-def q_late_rows_stream(spark, sf_dir):
-    """Late data: every 37th event arrives in a second run, after the watermark
-    has reached the end of the others; rows whose window has closed are dropped."""
-    base = scratch_path(spark, "late-rows")
+def _late_arrivals(spark, sf_dir, base, run):
+    """Three runs over arriving files: every 37th event comes after the watermark has reached the end of the others, then a sentinel."""
     events = _events(spark, sf_dir)
     late = F.col("event_id") % LATE_EVERY == 0
     on_time = fixtures.kafka_records(events.where(~late), dirty=True)
     on_time.write.parquet(f"{base}/arrivals/a_on_time")
     with _sized(spark, f"{base}/arrivals"):
-        _risk_run(spark, base)
+        run(spark, base)
         fixtures.kafka_records(events.where(late), dirty=True).write.parquet(f"{base}/arrivals/b_late")
-        _risk_run(spark, base)
+        run(spark, base)
         write_sentinel(on_time, f"{base}/arrivals")
-        _risk_run(spark, base)
+        run(spark, base)
+
+
+def q_late_rows_stream(spark, sf_dir):
+    """Late data: every 37th event arrives in a second run, after the watermark
+    has reached the end of the others; rows whose window has closed are dropped."""
+    base = scratch_path(spark, "late-rows")
+    _late_arrivals(spark, sf_dir, base, _risk_run)
     return flatten_window(spark.read.parquet(f"{base}/out"), utc=True)
 
 
+def _late_run(spark, base):
+    tx = prepare_transactions(replay_stream(spark, f"{base}/arrivals/*"), PARAMS)
+    with rocksdb_state(spark):
+        drain(persist_transactions_to_data_lake(
+            late_rows(tx, PARAMS), output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt", available_now=True))
+
+
+def q_late_rows_side_stream(spark, sf_dir):
+    """The rows that ``late_rows_stream`` drops, from the same arrivals."""
+    base = scratch_path(spark, "late-side")
+    _late_arrivals(spark, sf_dir, base, _late_run)
+    return _utc_ts(_utc_ts(spark.read.parquet(f"{base}/out")), "watermark")
+
+
 def q_risk_update_stream(spark, sf_dir):
     """Update mode over several micro-batches: a group is sent whenever it
     changes; the last message of each (window, user) is the batch answer."""
@@ -353,6 +381,25 @@ def q_lake_messages_stream(spark, sf_dir):
     return _utc_ts(msgs.select("key", F.from_json("value", schema).alias("v")).select("key", "v.*"))
 
 
+def q_hot_user_flow(spark, sf_dir):
+    """The default flow on such rows: it finds the hot users in earlier records and salts them."""
+    base = scratch_path(spark, "hot-user-flow")
+    records = fixtures.kafka_records(fixtures.hot_user_events(_events(spark, sf_dir)))
+    glob = write_replay(records, f"{base}/replay", sentinel=False)
+    profile = fixtures.user_profiles(sf_table(spark, sf_dir, "customer"))
+    with _sized(spark, f"{base}/replay"):
+        flow = start_default_flow(
+            spark, f"{base}/ckpt", PARAMS, profile=profile, sink_format="parquet", sink_dir=f"{base}/sinks",
+            alerts_path=f"{base}/alerts", available_now=True, open_records=lambda: replay_stream(spark, glob),
+            open_history=lambda: spark.read.schema(records.schema).parquet(glob),
+            default_category=UNKNOWN_CATEGORY, max_broadcast_bytes=0)
+        for query in flow.queries.values():
+            drain(query)
+    schema = StructType(TRANSACTION_SCHEMA.fields + [StructField("risk_category", StringType())])
+    msgs = spark.read.parquet(f"{base}/sinks/lake")
+    return _utc_ts(msgs.select(F.from_json("value", schema).alias("v")).select("v.*"))
+
+
 def q_dedup_stream(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "dedup-stream", sentinel=False)
     tx = prepare_transactions(stream, PARAMS, dedup=True)
@@ -381,12 +428,14 @@ QUERIES.update({
     "high_risk_stream": q_high_risk_stream,
     "high_risk_incremental": q_high_risk_incremental,
     "late_rows_stream": q_late_rows_stream,
+    "late_rows_side_stream": q_late_rows_side_stream,
     "risk_update_stream": q_risk_update_stream,
     "risk_flow_fanout": q_risk_flow_fanout,
     "risk_messages_stream": q_risk_messages_stream,
     "alert_stream": q_alert_stream,
     "lake_roundtrip": q_lake_roundtrip,
     "lake_messages_stream": q_lake_messages_stream,
+    "hot_user_flow": q_hot_user_flow,
     "dedup_stream": q_dedup_stream,
     "bronze_ingest": q_bronze_ingest,
 })

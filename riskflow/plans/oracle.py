@@ -118,6 +118,14 @@ SELECT DISTINCT user_id FROM valid""",
 
     "augment_user_profile": f"""
 WITH {DIRTY}, {PARSED}, {VALID}, {PROFILE}
+SELECT v.user_id, v.transaction_id, v.amount, v."timestamp",
+       COALESCE(p.risk_category, 'UNKNOWN') AS risk_category
+FROM valid v LEFT JOIN profile p ON v.user_id = p.user_id""",
+
+    # the same on events of which every third belongs to user 1
+    "augment_hot_user": f"""
+WITH {DIRTY.replace("FROM events,", "FROM (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS user_id) FROM events),")},
+{PARSED}, {VALID}, {PROFILE}
 SELECT v.user_id, v.transaction_id, v.amount, v."timestamp",
        COALESCE(p.risk_category, 'UNKNOWN') AS risk_category
 FROM valid v LEFT JOIN profile p ON v.user_id = p.user_id""",
@@ -172,6 +180,19 @@ WITH {DIRTY}, late_parsed AS (
 ), {RISK_VALID}
 SELECT * FROM risk""",
 
+    "late_rows_side_stream": f"""
+WITH {DIRTY}, late_parsed AS (
+  SELECT event_id % 37 = 0 AS late, p.* FROM (
+    SELECT event_id, CASE WHEN NOT malformed THEN transaction_id END AS transaction_id,
+           CASE WHEN NOT malformed THEN user_id END AS user_id, CASE WHEN NOT malformed THEN amount END AS amount,
+           CASE WHEN NOT malformed THEN ts_utc END AS "timestamp" FROM dirty) p
+), mark AS (
+  SELECT MAX("timestamp") - INTERVAL 5 MINUTE AS watermark FROM late_parsed WHERE NOT late
+)
+SELECT transaction_id, user_id, amount, "timestamp", date_trunc('millisecond', watermark) AS watermark FROM late_parsed, mark
+WHERE amount >= 0 AND transaction_id IS NOT NULL AND user_id IS NOT NULL
+  AND late AND date_trunc('day', "timestamp") + INTERVAL 1 DAY <= watermark""",
+
     "risk_update_stream": ORACLE["alert_text"],
 
     "risk_flow_fanout": f"""
@@ -195,6 +216,8 @@ SELECT *, CAST("timestamp" AS DATE) AS event_date FROM valid""",
 
     "lake_messages_stream": ORACLE["lake_messages"],
 
+    "hot_user_flow": ORACLE["augment_hot_user"],
+
     "dedup_stream": ORACLE["dedup_transactions"],
 
     "bronze_ingest": f"""

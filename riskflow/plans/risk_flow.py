@@ -8,13 +8,14 @@ wires them to sinks as several streaming queries over one source definition
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from riskflow.config import RiskParams
-from riskflow.operators.enrich import augment_with_profile, augment_with_self_profile
+from riskflow.operators.enrich import DEFAULT_MAX_BROADCAST_BYTES, augment_with_profile, augment_with_self_profile
 from riskflow.operators.risk import detect_high_risk
 from riskflow.operators.validate import (
     dedup_transactions,
@@ -31,11 +32,14 @@ def prepare_transactions(records: DataFrame, params: RiskParams = RiskParams(),
                          default_category: str | None = None,
                          dedup: bool = False,
                          require_timestamp: bool = False,
-                         salt_buckets: int = 1) -> DataFrame:
+                         salt_buckets: int = 1,
+                         max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                         history: Callable[[], DataFrame] | None = None) -> DataFrame:
     """Connector rows -> parsed, watermarked, validated (and enriched) rows.
 
-    ``salt_buckets`` spreads a hot user of a profile too large to broadcast over
-    so many reducers (streams have no adaptive skew split).
+    Where the profile is too large to broadcast, hot users are spread over several
+    reducers: those of the batch itself, and for a stream those of ``history()``,
+    connector rows of earlier data as a batch. ``salt_buckets`` spreads all users.
     """
     decoded = decode_envelope(records)
     parsed = parse_transactions(decoded)
@@ -47,7 +51,12 @@ def prepare_transactions(records: DataFrame, params: RiskParams = RiskParams(),
     if dedup:
         tx = dedup_transactions(tx)
     if profile is not None:
-        tx = augment_with_profile(tx, profile, default_category=default_category, salt_buckets=salt_buckets)
+        earlier = None
+        if history is not None:
+            def earlier():
+                return validate_transactions(parse_transactions(decode_envelope(history())))
+        tx = augment_with_profile(tx, profile, default_category=default_category, salt_buckets=salt_buckets,
+                                  max_broadcast_bytes=max_broadcast_bytes, history=earlier)
     elif self_profile:
         tx = augment_with_self_profile(tx)
     return tx
@@ -112,19 +121,25 @@ def start_default_flow(spark, checkpoint_dir: str, params: RiskParams = RiskPara
                        max_offsets_per_trigger: int | None = None,
                        lake_topic: str = "transactions_lake", risk_topic: str | None = None,
                        alerts_path: str | None = None,
-                       open_records=None, sink_format: str = "kafka", sink_dir: str | None = None,
+                       open_records=None, open_history: Callable[[], DataFrame] | None = None,
+                       history_hours: float = 24,
+                       sink_format: str = "kafka", sink_dir: str | None = None,
                        available_now: bool = False,
-                       trigger_interval: str | None = None) -> RiskFlowHandles:
+                       trigger_interval: str | None = None, **prepare_kw) -> RiskFlowHandles:
     """The complete job with the default settings: Kafka transactions ->
     validated, enriched rows to the lake topic; high-risk windows to the alert
     sink (and to ``risk_topic`` when given). Each query checkpoints under
     ``checkpoint_dir``; ``open_records``/``sink_format``/``sink_dir`` replace the
     broker (tests, replays). Await with ``handles.await_any()``.
+
+    The users that the profile join salts are the hot ones of the topic's last
+    ``history_hours`` (or of ``open_history()``, connector rows as a batch), taken when
+    the flow starts; they are looked up only if the profile is too large to broadcast.
     """
     from riskflow.config import DEFAULT_BOOTSTRAP_SERVERS, DEFAULT_INPUT_TOPIC
     from riskflow.sinks.alerts import start_high_risk_alert_stream
     from riskflow.sinks.kafka import write_high_risk_transactions, write_lake_transactions_to_kafka
-    from riskflow.sources.kafka import kafka_source_options, open_kafka_stream
+    from riskflow.sources.kafka import kafka_history_options, kafka_source_options, open_kafka_batch, open_kafka_stream
 
     servers = bootstrap_servers or DEFAULT_BOOTSTRAP_SERVERS
     if open_records is None:
@@ -134,6 +149,10 @@ def start_default_flow(spark, checkpoint_dir: str, params: RiskParams = RiskPara
         def open_records():
             return open_kafka_stream(spark, opts)
 
+        if open_history is None:
+            def open_history():
+                return open_kafka_batch(spark, kafka_history_options(servers, input_topic or DEFAULT_INPUT_TOPIC, history_hours))
+
     def sink_kw(name):
         kw = {"bootstrap_servers": servers, "checkpoint_path": f"{checkpoint_dir}/{name}",
               "fmt": sink_format, "available_now": available_now,
@@ -148,7 +167,7 @@ def start_default_flow(spark, checkpoint_dir: str, params: RiskParams = RiskPara
             return write_high_risk_transactions(df, output_topic=risk_topic, **sink_kw("risk"))
 
     return start_risk_flow(
-        open_records, params, profile=profile,
+        open_records, params, profile=profile, history=open_history, **prepare_kw,
         lake_sink=lambda df: write_lake_transactions_to_kafka(df, output_topic=lake_topic, **sink_kw("lake")),
         risk_sink=risk_sink,
         alert_sink=lambda df: start_high_risk_alert_stream(

@@ -92,6 +92,16 @@ def kafka_records(events: DataFrame, dirty: bool = True) -> DataFrame:
     )
 
 
+# --- fixed values: a hot user (FIXTURES.md C) --------------------------------
+HOT_USER, HOT_EVERY = 1, 3
+# ---------------------------------------------------------------------------
+
+
+def hot_user_events(events: DataFrame) -> DataFrame:
+    """``events`` in which every third row belongs to one user."""
+    return events.withColumn("user_id", F.when(F.col("event_id") % HOT_EVERY == 0, F.lit(HOT_USER)).otherwise(F.col("user_id")).cast("bigint"))
+
+
 def user_profiles(customer: DataFrame) -> DataFrame:
     """Profile dimension from ``customer``: one row per customer in good
     standing (non-negative balance); the others have no profile, so their

@@ -8,6 +8,8 @@ tests and replays feed it from parquet files of that layout.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -39,6 +41,15 @@ def kafka_source_options(bootstrap_servers: str = DEFAULT_BOOTSTRAP_SERVERS,
     return opts
 
 
+def kafka_history_options(bootstrap_servers: str = DEFAULT_BOOTSTRAP_SERVERS, topic: str = DEFAULT_INPUT_TOPIC,
+                          hours: float = 24, now: float | None = None) -> dict[str, str]:
+    """Batch reader options for a topic's last ``hours`` (before ``now``, epoch seconds); a
+    partition without newer records gives none."""
+    start = int(((time.time() if now is None else now) - hours * 3600) * 1000)
+    return {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic, "startingTimestamp": str(start),
+            "startingOffsetsByTimestampStrategy": "latest", "endingOffsets": "latest"}
+
+
 KAFKA_PACKAGE_HINT = ("the Kafka source needs the Spark Kafka connector on the classpath, e.g. "
                       "--packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>")
 
@@ -49,8 +60,17 @@ class KafkaConnectorMissing(RuntimeError):
 
 def open_kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """Raw connector rows of a Kafka subscription (needs the Kafka connector)."""
+    return _open_kafka(spark.readStream, options)
+
+
+def open_kafka_batch(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """The same as a batch, from starting to ending offsets or times."""
+    return _open_kafka(spark.read, options)
+
+
+def _open_kafka(reader, options: dict[str, str]) -> DataFrame:
     try:
-        return spark.readStream.format("kafka").options(**options).load()
+        return reader.format("kafka").options(**options).load()
     except Exception as err:  # AnalysisException: DATA_SOURCE_NOT_FOUND
         text = str(err).lower()
         if "kafka" in text and ("failed to find data source" in text or "data_source_not_found" in text):

@@ -18,6 +18,7 @@ from riskflow.sinks.kafka import write_to_kafka
 from riskflow.sinks.lake import persist_transactions_to_data_lake
 from riskflow.sources import fixtures
 from riskflow.streaming.replay import replay_stream, write_ordered_replay, write_sentinel
+from riskflow.streaming.late import late_rows, rocksdb_state
 from riskflow.streaming.runner import await_any_termination, drain, dropped_by_watermark
 
 from conftest import SF_SMALL
@@ -83,6 +84,40 @@ def test_late_row_behind_watermark_is_dropped(spark, scratch):
     assert count == 1 and dropped == 1
 
 
+def _side_rows(spark, scratch, batches, restart=False):
+    """Transaction ids of the late rows, and the number that the aggregation drops from the same batches."""
+    params = RiskParams(window_duration="1 minute", watermark_duration="5 minutes", tx_count_threshold=0)
+    glob = write_batches(spark, scratch, [] if restart else batches)
+    for i in range(len(batches) if restart else 1):
+        if restart:
+            records(spark, batches[i]).write.parquet(f"{glob[:-2]}/r{i}")
+        with rocksdb_state(spark):
+            tx = prepare_transactions(replay_stream(spark, glob, max_files_per_trigger=1), params)
+            drain(persist_transactions_to_data_lake(late_rows(tx, params, slots=3), f"{scratch}/late", f"{scratch}/late-ck", available_now=True))
+    late = [r["transaction_id"] for r in spark.read.parquet(f"{scratch}/late").collect()]
+    q = (risk_from_records(replay_stream(spark, glob, max_files_per_trigger=1), params).writeStream.outputMode("update")
+         .format("noop").option("checkpointLocation", f"{scratch}/agg-ck").trigger(availableNow=True).start())
+    return sorted(late), dropped_by_watermark(drain(q))
+
+
+def test_late_rows_are_the_dropped_ones(spark, scratch):
+    # a batch's rows meet the watermark of the batch before, so e and f, j and l are not late
+    batches = [[("a", "u", 1, "00:00:50")], [("b", "u", 1, "00:10:00"), ("e", "v", 1, "00:00:10")],
+               [("c", "u", 1, "00:10:05"), ("f", "w", 1, "00:04:59"), ("n", "u", 1, None)],
+               [("d", "u", 1, "00:00:55"), ("g", "new", 1, "00:04:59.999"), ("h", "u", 1, "00:05:00"), ("x", None, 1, "00:00:01")],
+               [("i", "u", 1, "00:20:00")], [("j", "u", 1, "00:14:59"), ("l", "u", 1, "00:13:00")],
+               [("m", "u", 1, "00:14:59"), ("o", "u", 1, "00:15:00"), ("p", "u", 1, "00:13:00")]]
+    late, dropped = _side_rows(spark, scratch, batches)
+    assert late == ["d", "g", "m", "p"]
+    assert dropped == len(late)
+
+
+def test_late_rows_over_restarts(spark, scratch):
+    batches = [[("a", "u", 1, "00:00:50")], [("b", "u", 1, "00:10:00")], [("d", "u", 1, "00:00:55"), ("e", "v", 1, "00:09:00")]]
+    late, _ = _side_rows(spark, scratch, batches, restart=True)
+    assert late == ["d"]
+
+
 def test_row_before_watermark_moves_is_counted(spark, scratch):
     batches = [[("a", "u", 1, "00:00:50")], [("d", "u", 1, "00:00:55")], [("b", "u", 1, "00:10:00")]]
     count, dropped = _update_counts(spark, scratch, batches)
