@@ -9,14 +9,16 @@ exact distance (Dong et al., 2020). The number of parts that a query visits is
 calibrated on the sample: the least that finds ``TARGET`` of the sample's own
 nearest neighbours.
 
-Parts are dealt over chunks of ``CHUNK`` vectors, so that a part that holds a
-large share of the table is searched by many tasks. Each returns a query's
-nearest only: of each id its nearest row, so that repeated rows take no places.
-
-Nearness is Euclidean distance in doubles; ties go to the smaller id. Vectors
-that are null, zero, hold null or non-finite components or have another length
-than the table's usual one take no part; a query is never its own neighbour, and
-rows that repeat its id are not either.
+Parts and the queries that visit them are dealt over chunks of ``CHUNK`` vectors, so
+that a part that holds a large share of the table is searched by many tasks. Each
+returns a query's nearest only: of each id its nearest row, so that repeated rows
+take no places.
+
+Nearness is Euclidean distance in doubles, without overflow for any finite vectors;
+ties go to the smaller id. Vectors that are null, zero or hold null or non-finite
+components take no part; vectors of different lengths have no distance, so each
+length is searched on its own. A query is never its own neighbour, and rows that
+repeat its id are not either; a query id in several rows stands for its least vector.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ PARTS = 16
 TARGET = 0.94
 CHUNK = 4096
 NEAREST = 10
+SAFE = 2.0 ** 500  # squares of components up to this, and down to its inverse, are doubles
 
 
 def neighbour_graph(m: np.ndarray, k: int) -> np.ndarray:
@@ -165,6 +168,23 @@ def _route(shared, visits: int):
     return run
 
 
+def distances(rows: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distance of each row from ``b``; for very large or small differences by way of scaled ones."""
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        diff = rows - b
+        out = np.sqrt((diff ** 2).sum(axis=1))
+        most = np.abs(diff).max(axis=1, initial=0.0)
+        odd = (most > SAFE) | ((most < 1 / SAFE) & (most > 0))
+        if odd.any():
+            half = rows[odd] / 2 - b / 2  # a difference of two doubles may not be one
+            m = np.abs(half).max(axis=1)
+            tiny = m < 1e-300
+            half[tiny] *= 2.0 ** 200
+            m[tiny] *= 2.0 ** 200
+            out[odd] = 2 * m * np.sqrt(((half / m[:, None]) ** 2).sum(axis=1)) * np.where(tiny, 2.0 ** -200, 1.0)
+    return out
+
+
 def _search(k: int, block: int = 256):
     def run(key, queries, rows):
         qi, q = np.asarray(queries.column("vec_id")), matrix(queries.column("v"))
@@ -174,19 +194,25 @@ def _search(k: int, block: int = 256):
             by_id = np.argsort(ri, kind="stable")
             ri, r = ri[by_id], r[by_id]
             first = np.flatnonzero(np.concatenate([[True], ri[1:] != ri[:-1]]))
-            sq = (r ** 2).sum(axis=1)
-            # the squared form only picks candidates; this much it may be off
-            off = 1e-11 * (sq.max() + (q ** 2).sum(axis=1).max() + 1e-300)
+            most = max(np.abs(q).max(), np.abs(r).max())
+            plain = 1 / SAFE < most < SAFE
+            if plain:
+                sq = (r ** 2).sum(axis=1)
+                # the squared form only picks candidates; this much it may be off
+                off = 1e-11 * (sq.max() + (q ** 2).sum(axis=1).max() + 1e-300)
             for s in range(0, len(q), block):
                 b = q[s:s + block]
-                d = (b ** 2).sum(axis=1)[:, None] - 2 * b @ r.T + sq[None, :]
+                if plain:
+                    d = (b ** 2).sum(axis=1)[:, None] - 2 * b @ r.T + sq[None, :]
+                else:  # squares are no doubles: the distances themselves
+                    d, off = np.array([np.minimum(distances(r, x), np.finfo(float).max) for x in b]), 0.0
                 d[qi[s:s + block][:, None] == ri[None, :]] = np.inf
                 each = np.minimum.reduceat(d, first, axis=1)  # of every id, its nearest row
                 last = min(k, len(first)) - 1
                 reach = np.partition(each, last, axis=1)[:, last] + 2 * off
                 for i in range(len(b)):
                     near = np.flatnonzero((d[i] <= reach[i]) & np.isfinite(d[i]))
-                    score = np.sqrt(((r[near] - b[i]) ** 2).sum(axis=1))
+                    score = distances(r[near], b[i])
                     order = np.lexsort((score, ri[near]))
                     order = order[np.diff(ri[near[order]], prepend=ri[near[order[:1]]] - 1) != 0]  # the nearest row of each id
                     best = order[np.lexsort((ri[near[order]], score[order]))[:k]]
@@ -205,11 +231,21 @@ def nearest(vectors: DataFrame, is_query, k: int = NEAREST, parts: int = PARTS,
     An empty table gives no rows; a query has fewer than k where there are fewer others.
     """
     spark = vectors.sparkSession
-    rows = usable(vectors, id_col, column)
-    n = rows.count()
-    empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    if not n:
-        return empty
+    rows = usable(vectors, id_col, column, every_length=True)
+    found = spark.createDataFrame([], "query_id bigint, vec_id bigint, score double")
+    asked = rows.filter(is_query).groupBy(F.size("v").alias("size")).count()
+    sizes = rows.groupBy(F.size("v").alias("size")).count().join(asked.select("size"), "size").orderBy("size").collect()
+    for s in sizes:  # a row for each length of a query; mostly one
+        some = rows if len(sizes) == 1 and s["count"] == rows.count() else rows.filter(F.size("v") == s["size"])
+        found = found.unionByName(_nearest(some, s["count"], is_query, k, parts, target))
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))  # repeated rows of one id
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _nearest(rows: DataFrame, n: int, is_query, k: int, parts: int, target: float) -> DataFrame:
+    """(query_id, vec_id, score): candidates for the k nearest among ``n`` vectors of one length."""
+    spark = rows.sparkSession
     m = sample(rows, SAMPLE, 11)
     if len(m) < 64:
         m = matrix(rows.limit(64).toArrow().column("v"))
@@ -218,21 +254,24 @@ def nearest(vectors: DataFrame, is_query, k: int = NEAREST, parts: int = PARTS,
     schema = "vec_id bigint, part int, v array<double>"
     index = saved(rows.mapInArrow(_route(shared, 1), schema), "index")
     sizes = index.groupBy("part").count().collect()  # at most ``parts`` rows
-    chunks = F.create_map(*[F.lit(x) for s in sizes for x in (s["part"], -(-s["count"] // CHUNK))])
-    index = index.withColumn("chunk", F.pmod(F.xxhash64("vec_id", "v"), chunks[F.col("part")]).cast("int"))
     # where the parts visited may hold no more than k ids, each id counted in one of its parts, all parts are visited
     ids = index.groupBy("vec_id").agg(F.min("part").alias("part")).groupBy("part").count().collect()  # at most ``parts`` rows
     least = sorted([0] * (router.parts - len(ids)) + [s["count"] for s in ids])[:visits]
-    if sum(least) <= k or n <= CHUNK // 8:
+    if sum(least) <= k:
         visits = router.parts
-    queries = rows.filter(is_query).dropDuplicates(["vec_id"]).mapInArrow(_route(shared, visits), schema)
-    queries = queries.filter(chunks[F.col("part")].isNotNull()).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), (chunks[F.col("part")] - 1).cast("int"))))
-    found = queries.groupBy("part", "chunk").cogroup(index.groupBy("part", "chunk")).applyInArrow(
-        _search(k), "query_id bigint, vec_id bigint, score double")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))  # repeated rows of one id
-    return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    # a query id in several rows: its least vector, so that runs agree
+    queries = rows.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
+    queries = saved(queries.mapInArrow(_route(shared, visits), schema), "visits")
+    asked = {s["part"]: s["count"] for s in queries.groupBy("part").count().collect()}  # at most ``parts`` rows
+    number = lambda of: F.create_map(*[F.lit(x) for p in of for x in (p, -(-of[p] // CHUNK))])[F.col("part")]
+    both = {s["part"]: s["count"] for s in sizes if s["part"] in asked}
+    held, visiting = number(both), number({p: asked[p] for p in both})
+    dealt = lambda of: F.pmod(F.xxhash64("vec_id", "v"), of).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), (of - 1).cast("int")))
+    index = index.filter(held.isNotNull()).select("*", dealt(held).alias("chunk")).select("*", every(visiting).alias("visit"))
+    queries = queries.filter(held.isNotNull()).select("*", dealt(visiting).alias("visit")).select("*", every(held).alias("chunk"))
+    keys = ["part", "chunk", "visit"]
+    return queries.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInArrow(_search(k), "query_id bigint, vec_id bigint, score double")
 
 
 def op2_learned_partitions(spark, sf_dir: str) -> DataFrame:

@@ -182,3 +182,37 @@ def test_parts_are_balanced_and_cut_few_edges():
     assert np.bincount(part).max() - np.bincount(part).min() <= 1
     cut = (part[g] != part[:, None]).mean()
     assert cut < 0.5 * (1 - 1 / 8)
+
+
+@pytest.mark.parametrize("lengths", [(8,), (8, 3, 20)])
+def test_every_length_is_searched_and_extreme_vectors_have_distances(spark, monkeypatch, lengths):
+    monkeypatch.setattr(lp, "CHUNK", 60)  # queries are dealt over chunks as well
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(900):
+        size = lengths[i % 7 % len(lengths)]
+        scale = [1.0, 1e160, 1e-170, 3e307][i % 4] if lengths != (8,) else 1.0
+        rows.append((i, [float(x) for x in rng.uniform(-1, 1, size) * scale]))
+    rows += [(100, [0.5] * lengths[0]), (100, [0.25] * lengths[0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(5)
+    out = {}
+    for r in nearest(df, F.col("vec_id") % 10 == 0).collect():
+        out.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    again = sorted(tuple(r) for r in nearest(df.repartition(3), F.col("vec_id") % 10 == 0).collect())
+    assert again == sorted((q, *x) for q, xs in out.items() for x in xs)
+    queries = {i: min(v for j, v in rows if j == i) for i, _ in rows if i % 10 == 0}
+    assert set(out) == set(queries)
+    hits = 0
+    for q, v in queries.items():
+        best = {}
+        for i, w in rows:
+            if i != q and len(w) == len(v):
+                d = math.dist(v, w) if max(map(abs, v + w)) < 1e300 else 2 * math.hypot(*(a / 2 - b / 2 for a, b in zip(v, w)))
+                best[i] = min(d, best.get(i, math.inf))
+        want = sorted((d, i) for i, d in best.items())[:10]
+        got = sorted(out[q])
+        assert [n for n, _, _ in got] == list(range(1, len(want) + 1))
+        for _, i, score in got:
+            assert score == pytest.approx(best[i], rel=1e-12)
+        hits += len({i for _, i, _ in got} & {i for _, i in want})
+    assert hits >= 0.9 * 10 * len(queries)
