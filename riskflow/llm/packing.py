@@ -153,7 +153,7 @@ def _pieces(path: str, length: int):
                     crc = zlib.crc32(ids[at[k] + a:at[k] + a + z - last].astype("<u4").tobytes())
                     crcs[i] = zlib.crc32(end, crc) if last else crc
                 ids_of = batch.column("doc_id").slice(first, n).take(pa.array(doc))
-                yield pa.RecordBatch.from_arrays([ids_of, *map(pa.array, (piece, start, long, crcs))],
+                yield pa.RecordBatch.from_arrays([ids_of, pa.array(piece, pa.int32()), *map(pa.array, (start, long, crcs))],
                                                  ["doc_id", "piece", "start", "length", "ids_crc32"])
     return run
 
@@ -223,7 +223,7 @@ def _packed_once(rows: DataFrame, key: list[str], length: int, most: int, tasks:
 def document_pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every piece of every row of ``docs``."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_pieces(tokenizer, length), "doc_id bigint, piece bigint, start bigint, length bigint, ids_crc32 bigint")
+    return docs.mapInArrow(_pieces(tokenizer, length), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 def packed(pieces: DataFrame, length: int = LENGTH, most: int = OPEN) -> DataFrame:
