@@ -293,15 +293,12 @@ def latest_versions(catalog: DataFrame) -> DataFrame:
             .withColumn("next_version", F.col("latest_version") + 1))
 
 
-def register_versions(catalog: DataFrame, new: DataFrame,
-                      order_col: str | None = None) -> DataFrame:
-    """Append ``new`` (topic, version or NULL, definition) to ``catalog``.
+def number_versions(catalog: DataFrame, new: DataFrame, order_col: str | None = None) -> DataFrame:
+    """The rows of ``new`` (topic, version or NULL, definition) with their versions and the columns of ``catalog``.
 
     NULL versions are numbered after the topic's highest version in catalog and
     batch, in ``order_col`` order within the batch. A (topic, version) already
-    present, or repeated in the batch, refuses the whole batch. The result is a
-    new table: a second writer that starts from the same catalog is not seen, so
-    writers of one catalog must take turns.
+    present, or repeated in the batch, refuses the whole batch.
     """
     checkpoint_root(catalog.sparkSession)
     order = F.col(order_col) if order_col else F.monotonically_increasing_id()
@@ -325,7 +322,17 @@ def register_versions(catalog: DataFrame, new: DataFrame,
     extra = {c: F.lit(None).cast(catalog.schema[c].dataType) for c in cols if c not in numbered.columns}
     if "created_at" in cols and "created_at" not in numbered.columns:
         extra["created_at"] = F.current_timestamp()
-    return catalog.unionByName(numbered.withColumns(extra).select(*cols))
+    return numbered.withColumns(extra).select(*cols)
+
+
+def register_versions(catalog: DataFrame, new: DataFrame,
+                      order_col: str | None = None) -> DataFrame:
+    """``catalog`` with ``new`` appended (see ``number_versions``).
+
+    The result is a new table and knows of no other writer; ``registry.SchemaRegistry``
+    is the form for several writers of one catalog.
+    """
+    return catalog.unionByName(number_versions(catalog, new, order_col))
 
 
 def register_schema(catalog: DataFrame, topic: str, definition: dict | str,

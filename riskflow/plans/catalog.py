@@ -18,6 +18,7 @@ from pyspark.sql.types import DecimalType, LongType, StringType, StructField, St
 from riskflow.config import FIXTURE_PARAMS
 from riskflow.functions.columns import flatten_window, utc_wall_clock
 from riskflow.operators import cdc, contracts, lineage
+from riskflow.operators.registry import SchemaRegistry
 from riskflow.operators.storage_estimate import estimate_storage, parquet_data_bytes
 from riskflow.operators.enrich import augment_with_profile, augment_with_self_profile
 from riskflow.operators.messages import alert_messages, to_kafka_messages
@@ -485,6 +486,17 @@ def q_schema_register(spark, sf_dir):
         "topic", "version", "fingerprint", "n_fields", F.array_join("breaking", "\n").alias("breaking"))
 
 
+def q_schema_registry(spark, sf_dir):
+    """The same versions registered in a shared registry by two commits; its records."""
+    catalog = _catalog(spark, sf_dir).checkpoint()
+    registry = SchemaRegistry(spark, scratch_path(spark, "schema-registry"))
+    registry.register(catalog.where("version <= 2"))
+    registry.register(catalog.where("version > 2").select("topic", F.lit(None).cast("int").alias("version"), "definition",
+                                                          F.col("version").alias("place")), order_col="place")
+    return contracts.registration_records(registry.catalog()).select(
+        "topic", "version", "fingerprint", "n_fields", F.array_join("breaking", "\n").alias("breaking"))
+
+
 def q_schema_latest(spark, sf_dir):
     return contracts.latest_versions(_catalog(spark, sf_dir))
 
@@ -500,6 +512,7 @@ QUERIES.update({
     "schema_fields": q_schema_fields,
     "schema_fingerprint": q_schema_fingerprint,
     "schema_register": q_schema_register,
+    "schema_registry": q_schema_registry,
     "schema_latest": q_schema_latest,
     "schema_breaking_changes": q_schema_breaking_changes,
 })

@@ -350,6 +350,8 @@ SELECT topic, version, fingerprint, n_fields, COALESCE(breaking, '') AS breaking
 FROM prints LEFT JOIN broken USING (topic, version)""",
 })
 
+ORACLE["schema_registry"] = ORACLE["schema_register"]
+
 EDGES = """edge_log AS (
   SELECT 'supplier:' || l_suppkey AS source_id, 'part:' || l_partkey AS target_id,
          'supply' AS transformation_type,

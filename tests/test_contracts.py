@@ -125,6 +125,47 @@ def test_register_versions(spark):
         contracts.register_versions(cat, spark.createDataFrame([("t", 9, "{}"), ("t", 9, "{}")], SCHEMA))
 
 
+def test_interleaved_writers_share_no_version_and_lose_none(spark, scratch, monkeypatch):
+    from riskflow.operators import registry as reg
+    from riskflow.sinks.commits import CommitLog
+
+    one, two = reg.SchemaRegistry(spark, f"{scratch}/reg"), reg.SchemaRegistry(spark, f"{scratch}/reg")
+    auto = lambda *topics: spark.createDataFrame([(t, None, '{"a":"int"}') for t in topics], SCHEMA)
+    one.register(auto("t"))
+    commit, first = CommitLog.commit, []
+
+    def after_the_other(self, number, text):  # the other writer commits between this one's reading and its commit
+        if not first:
+            first.append(1)
+            assert [(r["topic"], r["version"]) for r in two.register(auto("t")).collect()] == [("t", 2)]
+        commit(self, number, text)
+
+    with monkeypatch.context() as m:
+        m.setattr(CommitLog, "commit", after_the_other)
+        mine = one.register(auto("t", "t", "u"))
+    assert sorted((r["topic"], r["version"]) for r in mine.collect()) == [("t", 3), ("t", 4), ("u", 1)]
+    with pytest.raises(contracts.DuplicateVersionError):
+        two.register(spark.createDataFrame([("t", 4, "{}")], SCHEMA))
+    rows = one.catalog().collect()
+    assert sorted((r["topic"], r["version"]) for r in rows) == [("t", 1), ("t", 2), ("t", 3), ("t", 4), ("u", 1)]
+    assert all(r["created_at"] is not None for r in rows)
+
+
+def test_concurrent_writers_of_a_registry(spark, scratch, monkeypatch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from riskflow.operators import registry as reg
+
+    monkeypatch.setattr(reg, "MOST_FOLDERS", 3)
+    new = [spark.createDataFrame([("t", None, json.dumps({f"f{i}": "int"}))], SCHEMA) for i in range(6)]
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda df: reg.SchemaRegistry(spark, f"{scratch}/reg").register(df), new))
+    last = reg.SchemaRegistry(spark, f"{scratch}/reg")
+    rows = last.catalog().collect()
+    assert sorted(r["version"] for r in rows) == [1, 2, 3, 4, 5, 6] and len({r["definition"] for r in rows}) == 6
+    assert last.log.numbers() == list(range(6)) and len(last._state()[1]) <= 3
+
+
 def _shuffled(d, rnd):
     items = list(d.items())
     rnd.shuffle(items)
