@@ -39,6 +39,7 @@ from riskflow.sources import fixtures
 from riskflow.sources.cdc import decode_change_events
 from riskflow.sources.kafka import decode_envelope, read_bronze
 from riskflow.streaming.late import late_rows, rocksdb_state
+from riskflow.streaming.monitor import QueryMonitor
 from riskflow.streaming.replay import SENTINEL_ID, replay_stream, write_ordered_replay, write_replay, write_sentinel, write_slice
 from riskflow.streaming.runner import drain
 
@@ -336,6 +337,22 @@ def q_risk_flow_fanout(spark, sf_dir):
     return out
 
 
+def q_query_progress(spark, sf_dir):
+    """What the monitor's table says of the lake stream over three files, one a batch: batches and rows."""
+    base = scratch_path(spark, "query-progress")
+    glob = write_ordered_replay(_records(spark, sf_dir), f"{base}/replay", _slices(spark, sf_dir))
+    with QueryMonitor(spark, f"{base}/monitor") as monitor:
+        lake = prepare_transactions(replay_stream(spark, glob, max_files_per_trigger=1), PARAMS)
+        query = persist_transactions_to_data_lake(lake, output_path=f"{base}/lake", checkpoint_path=f"{base}/ckpt", available_now=True)
+        run_id = str(query.runId)
+        drain(query)
+    rows = monitor.table().where(F.col("run_id") == run_id)
+    return rows.agg(F.sum("input_rows").alias("input_rows"),
+                    F.count_if(F.col("event") == "started").alias("starts"), F.count_if(F.col("event") == "ended").alias("ends"),
+                    F.count_if(F.col("error").isNotNull()).alias("failures"),
+                    F.count_distinct(F.when(F.col("input_rows") > 0, F.col("batch_id"))).alias("batches"))
+
+
 def q_risk_messages_stream(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "risk-messages-stream")
     risk = risk_from_records(stream, PARAMS)
@@ -432,6 +449,7 @@ QUERIES.update({
     "late_rows_side_stream": q_late_rows_side_stream,
     "risk_update_stream": q_risk_update_stream,
     "risk_flow_fanout": q_risk_flow_fanout,
+    "query_progress": q_query_progress,
     "risk_messages_stream": q_risk_messages_stream,
     "alert_stream": q_alert_stream,
     "lake_roundtrip": q_lake_roundtrip,

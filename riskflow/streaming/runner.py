@@ -2,37 +2,32 @@
 
 from __future__ import annotations
 
-import time
-
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from riskflow.streaming.monitor import wait_for_end
+
 
-def await_any_termination(queries: list[StreamingQuery], timeout: float | None = None,
-                          poll_seconds: float = 0.5):
+def await_any_termination(queries: list[StreamingQuery], timeout: float | None = None):
     """Block until any of ``queries`` ends and return it; re-raise its failure, if any.
 
     Only the given queries count, not others of the session, and all of them
     are watched, so a failed lake writer is noticed while the alert stream
-    keeps running. On a failure the others are stopped. Returns None when
-    ``timeout`` seconds pass first.
+    keeps running. A listener wakes the waiter; nothing is polled. On a failure the
+    others are stopped. Returns None when ``timeout`` seconds pass first.
     """
-    end = None if timeout is None else time.monotonic() + timeout
-    while queries:
-        for q in queries:
-            if q.isActive:
-                continue
-            err = q.exception()
-            if err is not None:
-                for other in queries:
-                    if other.isActive:
-                        other.stop()
-                raise err
-            return q
-        left = poll_seconds if end is None else min(poll_seconds, end - time.monotonic())
-        if left <= 0:
-            return None
-        time.sleep(left)
-    return None
+    if not queries:
+        return None
+    ended = wait_for_end(SparkSession.active(), queries, timeout)
+    if ended is None:
+        return None
+    err = ended.exception()
+    if err is not None:
+        for other in queries:
+            if other.isActive:
+                other.stop()
+        raise err
+    return ended
 
 
 def drain(query: StreamingQuery) -> StreamingQuery:

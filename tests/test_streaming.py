@@ -213,6 +213,47 @@ def test_await_any_reraises_the_sinks_own_failure(spark, scratch):
     assert not idle.isActive  # the others are stopped
 
 
+def _idle_and_failing(spark, base):
+    glob = write_batches(spark, f"{base}/pair", [[("a", "u", 1, "00:00:10")]])
+    idle = replay_stream(spark, glob).writeStream.format("noop").option("checkpointLocation", f"{base}/ck-idle").start()
+    failing = replay_stream(spark, glob).writeStream.foreachBatch(boom).option("checkpointLocation", f"{base}/ck-failing").start()
+    return idle, failing
+
+
+def test_a_failure_wakes_the_waiter_without_polling(spark, scratch, monkeypatch):
+    from riskflow.streaming import monitor as mon
+
+    idle, failing = _idle_and_failing(spark, scratch)
+    checks = []
+    real = type(idle).isActive
+    monkeypatch.setattr(type(idle), "isActive", property(lambda self: checks.append(1) or real.fget(self)))
+    with pytest.raises(Exception, match="sink failed"):
+        await_any_termination([idle, failing], timeout=120)
+    assert len(checks) <= 8  # two a waking, and the stopping
+    assert mon.RECHECK_SECONDS >= 60
+
+
+def test_monitor_keeps_progress_and_failures(spark, scratch):
+    from riskflow.streaming.monitor import QueryMonitor
+
+    with QueryMonitor(spark, f"{scratch}/monitor") as monitor:
+        glob = write_batches(spark, scratch, [[("a", "u", 1, "00:00:10")], [("b", "u", 2, "00:10:20"), ("c", "v", 2, "00:20:00")],
+                                           [("e", "v", 2, "00:20:01")], [("d", "u", 1, "00:00:01")]])
+        stream = replay_stream(spark, glob, max_files_per_trigger=1)
+        good = persist_transactions_to_data_lake(risk_from_records(stream, RiskParams(tx_count_threshold=0)), f"{scratch}/o", f"{scratch}/c", available_now=True)
+        drain(good)
+        idle, failing = _idle_and_failing(spark, f"{scratch}/x")
+        with pytest.raises(Exception, match="sink failed"):
+            await_any_termination([idle, failing], timeout=120)
+    rows = monitor.table().collect()
+    mine = [r for r in rows if r["run_id"] == str(good.runId)]
+    assert sum(r["input_rows"] or 0 for r in mine) == 5 and [r["event"] for r in mine].count("ended") == 1
+    assert {r["batch_id"] for r in mine if r["input_rows"]} == {0, 1, 2, 3} and all(r["error"] is None for r in mine)
+    assert any(r["watermark"] for r in mine) and sum(r["dropped_rows"] or 0 for r in mine) == 1
+    assert ["sink failed" in r["error"] for r in rows if r["run_id"] == str(failing.runId) and r["event"] == "ended"] == [True]
+    assert [r["error"] for r in rows if r["run_id"] == str(idle.runId) and r["event"] == "ended"] == [None]
+
+
 def test_await_any_ignores_other_queries_of_the_session(spark, scratch):
     glob = write_batches(spark, scratch, [[("a", "u", 1, "00:00:10")]])
     ended = replay_stream(spark, glob).writeStream.foreachBatch(boom).option("checkpointLocation", f"{scratch}/ck0").start()
