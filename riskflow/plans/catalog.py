@@ -35,6 +35,7 @@ from riskflow.session import scratch_path, sf_table, state_partitions
 from riskflow.sinks.alerts import start_high_risk_alert_stream
 from riskflow.sinks.kafka import write_high_risk_transactions, write_lake_transactions_to_kafka
 from riskflow.sinks.lake import persist_transactions_to_data_lake, with_event_date
+from riskflow.sinks.unique_lake import read_unique_lake, start_unique_lake
 from riskflow.sources import fixtures
 from riskflow.sources.cdc import decode_change_events
 from riskflow.sources.kafka import decode_envelope, read_bronze
@@ -427,6 +428,25 @@ def q_dedup_stream(spark, sf_dir):
     return _utc_ts(spark.read.parquet(f"{base}/out"))
 
 
+REDELIVERED_EVERY = 11  # every 11th event comes again at the end
+
+
+def q_unique_lake_stream(spark, sf_dir):
+    """Redelivery long after the watermark: the lake takes every transaction once."""
+    base = scratch_path(spark, "unique-lake")
+    events = _events(spark, sf_dir)
+    fixtures.kafka_records(events).write.parquet(f"{base}/arrivals/a_first")
+
+    def run():
+        tx = prepare_transactions(replay_stream(spark, f"{base}/arrivals/*"), PARAMS)
+        drain(start_unique_lake(tx, f"{base}/lake", f"{base}/ckpt", available_now=True))
+
+    run()
+    fixtures.kafka_records(events.where(F.col("event_id") % REDELIVERED_EVERY == 0)).write.parquet(f"{base}/arrivals/b_again")
+    run()
+    return _utc_ts(read_unique_lake(spark, f"{base}/lake").drop("day"))
+
+
 def q_bronze_ingest(spark, sf_dir):
     base, stream = _replay(spark, sf_dir, "bronze-ingest", sentinel=False)
     with _sized(spark, base):
@@ -456,6 +476,7 @@ QUERIES.update({
     "lake_messages_stream": q_lake_messages_stream,
     "hot_user_flow": q_hot_user_flow,
     "dedup_stream": q_dedup_stream,
+    "unique_lake_stream": q_unique_lake_stream,
     "bronze_ingest": q_bronze_ingest,
 })
 

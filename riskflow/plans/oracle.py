@@ -225,6 +225,8 @@ SELECT *, CAST("timestamp" AS DATE) AS event_date FROM valid""",
 
     "dedup_stream": ORACLE["dedup_transactions"],
 
+    "unique_lake_stream": ORACLE["dedup_transactions"],
+
     "bronze_ingest": f"""
 WITH {DIRTY}
 SELECT event_type AS topic, CAST(src_user_id % 4 AS INTEGER) AS "partition",
