@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType, TimestampType
 
 from riskflow.config import FIXTURE_PARAMS
-from riskflow.functions.columns import flatten_window, utc_wall_clock
+from riskflow.functions.columns import as_utc_instant, flatten_window, utc_wall_clock
 from riskflow.operators import cdc, contracts, lineage
 from riskflow.operators.registry import SchemaRegistry
 from riskflow.operators.storage_estimate import estimate_storage, parquet_data_bytes
@@ -33,6 +33,7 @@ from riskflow.plans.risk_flow import prepare_transactions, risk_from_records, ri
 from riskflow.schemas import TRANSACTION_SCHEMA
 from riskflow.session import scratch_path, sf_table, state_partitions
 from riskflow.sinks.alerts import start_high_risk_alert_stream
+from riskflow.sinks.clustered_lake import ClusteredLake
 from riskflow.sinks.kafka import write_high_risk_transactions, write_lake_transactions_to_kafka
 from riskflow.sinks.lake import persist_transactions_to_data_lake, with_event_date
 from riskflow.sinks.unique_lake import read_unique_lake, start_unique_lake
@@ -387,6 +388,20 @@ def q_lake_roundtrip(spark, sf_dir):
     return _utc_ts(spark.read.parquet(f"{base}/lake"))
 
 
+def q_lake_clustered(spark, sf_dir):
+    """The validated stream in a lake of small files, compacted along a curve, and a
+    range of users and times read from the files that may hold it."""
+    base, stream = _replay(spark, sf_dir, "lake-clustered", sentinel=False)
+    lake = ClusteredLake(spark, f"{base}/lake", ["timestamp", "user_id"])
+    query = (prepare_transactions(stream, PARAMS).writeStream.option("checkpointLocation", f"{base}/ckpt")
+             .foreachBatch(lambda batch, n: lake.append(batch.repartition(16)) if n >= len(lake.log.numbers()) else None)
+             .trigger(availableNow=True).start())
+    drain(query)
+    lake.compact(target_rows=100_000)
+    day = lambda d: as_utc_instant(F.lit(f"2024-01-{d} 00:00:00").cast("timestamp_ntz"))
+    return _utc_ts(lake.read(timestamp=(day("08"), day("15")), user_id=("1", "3")))
+
+
 def q_lake_messages_stream(spark, sf_dir):
     """Validated stream joined with the static profile, sent to the lake topic."""
     base, stream = _replay(spark, sf_dir, "lake-messages-stream", sentinel=False)
@@ -473,6 +488,7 @@ QUERIES.update({
     "risk_messages_stream": q_risk_messages_stream,
     "alert_stream": q_alert_stream,
     "lake_roundtrip": q_lake_roundtrip,
+    "lake_clustered": q_lake_clustered,
     "lake_messages_stream": q_lake_messages_stream,
     "hot_user_flow": q_hot_user_flow,
     "dedup_stream": q_dedup_stream,

@@ -227,6 +227,10 @@ SELECT *, CAST("timestamp" AS DATE) AS event_date FROM valid""",
 
     "unique_lake_stream": ORACLE["dedup_transactions"],
 
+    "lake_clustered": f"""
+WITH {DIRTY}, {PARSED}, {VALID}
+SELECT * FROM valid WHERE "timestamp" BETWEEN TIMESTAMP '2024-01-08' AND TIMESTAMP '2024-01-15' AND user_id BETWEEN '1' AND '3'""",
+
     "bronze_ingest": f"""
 WITH {DIRTY}
 SELECT event_type AS topic, CAST(src_user_id % 4 AS INTEGER) AS "partition",
