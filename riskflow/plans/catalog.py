@@ -42,7 +42,7 @@ from riskflow.sources.cdc import decode_change_events
 from riskflow.sources.kafka import decode_envelope, read_bronze
 from riskflow.streaming.late import late_rows, rocksdb_state
 from riskflow.streaming.monitor import QueryMonitor
-from riskflow.streaming.replay import SENTINEL_ID, replay_stream, write_ordered_replay, write_replay, write_sentinel, write_slice
+from riskflow.streaming.replay import SENTINEL_ID, replay_stream, write_replay, write_sentinel, write_slice
 from riskflow.streaming.runner import drain
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -288,16 +288,26 @@ def q_late_rows_side_stream(spark, sf_dir):
     return _utc_ts(_utc_ts(spark.read.parquet(f"{base}/out")), "watermark")
 
 
+def _by_slices(spark, sf_dir, path, run):
+    """``run()`` after each of three event-time slices has arrived under ``path``; a slice is a micro-batch."""
+    records, bounds = _records(spark, sf_dir), _slices(spark, sf_dir)
+    with state_partitions(spark, parquet_data_bytes(spark, f"{sf_dir}/events.parquet")):
+        for i in range(len(bounds) - 1):
+            write_slice(records, path, bounds, i)
+            run()
+
+
 def q_risk_update_stream(spark, sf_dir):
     """Update mode over several micro-batches: a group is sent whenever it
     changes; the last message of each (window, user) is the batch answer."""
     base = scratch_path(spark, "risk-update")
-    glob = write_ordered_replay(_records(spark, sf_dir), f"{base}/replay", _slices(spark, sf_dir))
-    stream = replay_stream(spark, glob, max_files_per_trigger=1)
-    with _sized(spark, f"{base}/replay"):
+
+    def run():
         drain(start_high_risk_alert_stream(
-            risk_from_records(stream, PARAMS), checkpoint_path=f"{base}/ckpt", alerts_path=f"{base}/alerts",
-            output_mode="update", log_limit=0, available_now=True))
+            risk_from_records(replay_stream(spark, f"{base}/replay/*"), PARAMS), checkpoint_path=f"{base}/ckpt",
+            alerts_path=f"{base}/alerts", output_mode="update", log_limit=0, available_now=True))
+
+    _by_slices(spark, sf_dir, f"{base}/replay", run)
     alerts = spark.read.schema(ALERT_TABLE_SCHEMA).parquet(f"{base}/alerts")
     last = alerts.groupBy("window", "user_id").agg(F.max_by("alert_text", "batch_id").alias("alert_text"))
     return flatten_window(last, utc=True)
@@ -340,15 +350,19 @@ def q_risk_flow_fanout(spark, sf_dir):
 
 
 def q_query_progress(spark, sf_dir):
-    """What the monitor's table says of the lake stream over three files, one a batch: batches and rows."""
+    """What the monitor's table says of the lake stream over three arrivals, a run each: batches and rows."""
     base = scratch_path(spark, "query-progress")
-    glob = write_ordered_replay(_records(spark, sf_dir), f"{base}/replay", _slices(spark, sf_dir))
-    with QueryMonitor(spark, f"{base}/monitor") as monitor:
-        lake = prepare_transactions(replay_stream(spark, glob, max_files_per_trigger=1), PARAMS)
+    ids = []
+
+    def run():
+        lake = prepare_transactions(replay_stream(spark, f"{base}/replay/*"), PARAMS)
         query = persist_transactions_to_data_lake(lake, output_path=f"{base}/lake", checkpoint_path=f"{base}/ckpt", available_now=True)
-        run_id = str(query.runId)
+        ids.append(str(query.id))
         drain(query)
-    rows = monitor.table().where(F.col("run_id") == run_id)
+
+    with QueryMonitor(spark, f"{base}/monitor") as monitor:
+        _by_slices(spark, sf_dir, f"{base}/replay", run)
+    rows = monitor.table().where(F.col("id").isin(ids))
     return rows.agg(F.sum("input_rows").alias("input_rows"),
                     F.count_if(F.col("event") == "started").alias("starts"), F.count_if(F.col("event") == "ended").alias("ends"),
                     F.count_if(F.col("error").isNotNull()).alias("failures"),

@@ -193,10 +193,10 @@ SELECT transaction_id, user_id, amount, "timestamp", date_trunc('millisecond', w
 WHERE amount >= 0 AND transaction_id IS NOT NULL AND user_id IS NOT NULL
   AND late AND date_trunc('day', "timestamp") + INTERVAL 1 DAY <= watermark""",
 
-    # three event-time slices of equal length, each a batch
+    # three event-time slices of equal length, each a run of one batch
     "query_progress": f"""
 WITH {DIRTY}
-SELECT COUNT(*) AS input_rows, 1 AS starts, 1 AS ends, 0 AS failures, 3 AS batches FROM dirty""",
+SELECT COUNT(*) AS input_rows, 3 AS starts, 3 AS ends, 0 AS failures, 3 AS batches FROM dirty""",
 
     "risk_update_stream": ORACLE["alert_text"],
 

@@ -57,15 +57,18 @@ def write_ordered_replay(records: DataFrame, path: str, bounds: list[str],
     them in event-time order (tests of multi-batch replays and late data).
 
     The first and last slices are open-ended, so every row is replayed; rows
-    without a time go to the first slice. Returns the glob to stream from.
+    without a time go to the first slice. Each slice is one file, written by one
+    task, so this is for small replays: large ones write a slice with
+    ``write_slice`` and run the stream before the next. Returns the glob to stream from.
     """
     for i in range(len(bounds) - 1):
-        write_slice(records, path, bounds, i, time_col)
+        write_slice(records, path, bounds, i, time_col, files=1)
     return f"{path}/*"
 
 
-def write_slice(records: DataFrame, path: str, bounds: list[str], i: int, time_col: str = "timestamp") -> None:
-    """Write slice ``i`` of ``write_ordered_replay``."""
+def write_slice(records: DataFrame, path: str, bounds: list[str], i: int, time_col: str = "timestamp",
+                files: int | None = None) -> None:
+    """Write slice ``i`` of ``write_ordered_replay``, in as many files as there are partitions or in ``files``."""
     t, last = F.col(time_col), len(bounds) - 2
     cond = F.lit(True)
     if i > 0:
@@ -74,7 +77,8 @@ def write_slice(records: DataFrame, path: str, bounds: list[str], i: int, time_c
         cond = cond & (t < as_utc_instant(F.lit(bounds[i + 1]).cast("timestamp_ntz")))
     if i == 0:
         cond = cond | t.isNull()
-    records.where(cond).coalesce(1).write.mode("overwrite").parquet(f"{path}/slice_{i:05d}")
+    rows = records.where(cond)
+    (rows if files is None else rows.coalesce(files)).write.mode("overwrite").parquet(f"{path}/slice_{i:05d}")
 
 
 def replay_stream(spark: SparkSession, glob: str,
