@@ -201,7 +201,7 @@ class Identifier:
         return h / np.maximum(n, 1)[:, None], n, letters
 
 
-def _groups(texts, most=1 << 20):
+def _groups(texts, most=1 << 18):
     """Runs of texts of about ``most`` characters."""
     start = size = 0
     for i, t in enumerate(texts):
@@ -236,6 +236,7 @@ def _predict(shared):
                      pa.array([model["langs"][i] if k else "und" for i, k in zip(best.tolist(), known.tolist())], pa.string()),
                      pa.array(np.where(known, score, 0.0)), pa.array(np.where(known, bits, 0.0)), pa.array(n.astype(np.int64))],
                     ["doc_id", "lang_pred", "score", "bits", "symbols"])
+        _text.release()
     return run
 
 
