@@ -4,32 +4,43 @@ An edge log has rows ``(source_id, target_id, transformation_type, details,
 ts, seq)``; recording the same source -> target again supersedes the earlier
 row (latest by ``(ts, seq)``).
 
-Closure runs for many start nodes at once. It begins as a breadth-first walk:
-each round joins the frontier with the edges (shuffle on the node id), removes
-what each start node has already reached and stops when the frontier is empty.
-Real graphs mostly end there. Where the frontier is still not empty after a few
-rounds the graph is deep, and the walk goes on by path doubling: a table of jumps
-of 1, 2, 4, ... hops is joined with itself to the next power, and every power
-takes the nodes reached so far that much further, so rounds grow with the
-logarithm of the depth. Jumps of nodes with very many are thinned by a hash, so
+Closure runs for many start nodes at once, on the edges' ends alone: what an
+edge carries is read in a second pass over the log, for the edges of reached
+nodes only. It begins as a breadth-first walk: each round joins the frontier with
+the ends (a frontier of few rows is broadcast, so that nothing else is
+shuffled), removes what each start node has already reached and stops when the
+frontier is empty. Real graphs mostly end there.
+
+Where the frontier is still not empty after a few rounds the graph is deep. Then
+it is contracted first, while it has many edges: each round drops nodes of which
+no two are neighbours and whose edges in and out can be replaced by no more
+edges from each node before to each node after, as long as the way through. On
+chains and trees a round drops a share of all nodes, so all rounds together handle
+a few times the edges. What is left, the core, is walked by path doubling: a
+table of jumps of 1, 2, 4, ... edges is joined with itself to the next power, and
+every power takes the nodes reached so far that much further, so rounds grow with
+the logarithm of the depth. Jumps of nodes with very many are thinned by a hash, so
 that a table of jumps has a bounded number of rows for each node. A last phase
 follows single edges from every row that it improves until none is left: it
 finds nothing where jumps were complete, and makes the result exact where they
-were thinned. A cycle needs no special case: no shortest path is longer than
-the number of nodes, where doubling ends. (Cycles are not condensed to one
+were thinned. Dropped nodes come back round by round, each as far as the nearest of
+the nodes before it. A cycle needs no special case: no shortest path is longer
+than the number of nodes, where doubling ends. (Cycles are not condensed to one
 node, because depths are distances inside of them as well.)
 
-Every round is cut from the plan with a reliable ``checkpoint()`` into
-``spark.checkpoint.dir`` so the plan does not grow with the rounds and a lost
-executor recomputes one round at most.
+Every round is written to a folder of its own under ``spark.checkpoint.dir`` and
+read back, so the plan does not grow with the rounds, a lost executor recomputes one
+round at most, and the planner knows each table's size.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.session import checkpoint_root
+from riskflow.session import scratch_path
 
 EDGE_COLUMNS = ("source_id", "target_id", "transformation_type", "details", "ts")
 
@@ -72,23 +83,31 @@ def latest_edges(edge_log: DataFrame) -> DataFrame:
 JUMP_ROWS, LEAST_JUMPS = 4_000_000, 8
 #: Rounds of the plain walk before doubling: few while complete tables of jumps are cheap.
 PLAIN_ROUNDS, PLAIN_ROUNDS_LARGE = 4, 32
+#: Edges of a deep graph that are doubled without contraction.
+CORE_ROWS = 20_000
+#: Rows of a frontier, of dropped nodes or of reached nodes that are broadcast.
+BROADCAST_ROWS = 250_000
 
 
-def _hops(edges: DataFrame, upstream: bool) -> DataFrame:
-    """``(node, next)`` without dead ends.
+def _kept(rows: DataFrame) -> DataFrame:
+    """``rows`` written once under the shared checkpoint folder and read back."""
+    path = scratch_path(rows.sparkSession, "lineage")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
-    Nodes with no edge onward (e.g. pure sources upstream) add no output row of
-    their own (their edges into reached nodes are still listed) and would
-    otherwise dominate the visited set.
-    """
-    near, far = ("target_id", "source_id") if upstream else ("source_id", "target_id")
-    hops = edges.select(F.col(near).alias("node"), F.col(far).alias("next")).where("node <> next").distinct()
-    onward = edges.select(F.col(near).alias("next")).distinct()
-    return hops.join(onward, "next", "left_semi").select("node", "next")
+
+def _sized(rows: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
 
 
-def _least(reach: DataFrame) -> DataFrame:
-    return reach.groupBy("root", "node").agg(F.min("depth").alias("depth"))
+def _least(reach: DataFrame, *keys: str) -> DataFrame:
+    keys = keys or ("root", "node")
+    (value,) = set(reach.columns) - set(keys)
+    return reach.groupBy(*keys).agg(F.min(value).alias(value))
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
 
 
 def _thinned(jumps: DataFrame, rows: int, nodes: int) -> DataFrame:
@@ -98,23 +117,34 @@ def _thinned(jumps: DataFrame, rows: int, nodes: int) -> DataFrame:
     most = max(LEAST_JUMPS, JUMP_ROWS // nodes)
     degree = jumps.groupBy("node").agg(F.count("*").alias("n"))
     chance = F.shiftrightunsigned(F.xxhash64("node", "next"), 11) / float(1 << 53)
-    return jumps.join(degree, "node").where(chance * F.col("n") < most).select("node", "next").checkpoint()
+    return _kept(jumps.join(degree, "node").where(chance * F.col("n") < most).select("node", "next", "length"))
+
+
+def _further(reach: DataFrame, jumps: DataFrame) -> DataFrame:
+    return reach.join(jumps, "node").select("root", F.col("next").alias("node"), (F.col("depth") + F.col("length")).alias("depth"))
+
+
+def _improved(rows: DataFrame, reach: DataFrame, hops: DataFrame) -> DataFrame:
+    """What one edge more from ``rows`` adds to ``reach``: new nodes and lesser depths."""
+    known = reach.withColumnRenamed("depth", "known")
+    step = _least(_further(rows, hops)).join(known, ["root", "node"], "left")
+    return _kept(step.where("known IS NULL OR depth < known").drop("known"))
 
 
 def _doubled(reach: DataFrame, hops: DataFrame, rows: int, on_round) -> DataFrame:
-    """``reach`` (root, node, depth) taken along jumps of 1, 2, 4, ... hops."""
+    """``reach`` (root, node, depth) taken along jumps of 1, 2, 4, ... edges, until an edge more adds nothing."""
     nodes = hops.select("node").distinct().count()
-    jumps, length = hops, 1
+    jumps, edges = hops, 1
     while rows:
         on_round()
         jumps = _thinned(jumps, rows, nodes)
-        further = reach.join(jumps, "node").select("root", F.col("next").alias("node"), (F.col("depth") + length).alias("depth"))
-        reach = _least(reach.unionByName(further)).checkpoint()
-        length *= 2
-        if length >= nodes:
+        reach = _kept(_least(reach.unionByName(_further(reach, jumps))))
+        edges *= 2
+        if edges >= nodes or _improved(reach, reach, hops).isEmpty():
             break
-        second = jumps.select(F.col("node").alias("next"), F.col("next").alias("end"))
-        jumps = jumps.join(second, "next").select("node", F.col("end").alias("next")).where("node <> next").distinct().checkpoint()
+        second = jumps.select(F.col("node").alias("next"), F.col("next").alias("end"), F.col("length").alias("more"))
+        jumps = jumps.join(second, "next").select("node", F.col("end").alias("next"), (F.col("length") + F.col("more")).alias("length"))
+        jumps = _kept(_least(jumps.where("node <> next"), "node", "next"))
         rows = jumps.count()
     return reach
 
@@ -124,40 +154,106 @@ def _relaxed(reach: DataFrame, hops: DataFrame, on_round) -> DataFrame:
     frontier = reach
     while True:
         on_round()
-        step = _least(frontier.join(hops, "node").select("root", F.col("next").alias("node"), (F.col("depth") + 1).alias("depth")))
-        known = reach.withColumnRenamed("depth", "known")
-        frontier = step.join(known, ["root", "node"], "left").where("known IS NULL OR depth < known").drop("known").checkpoint()
+        frontier = _improved(frontier, reach, hops)
         if frontier.isEmpty():
             return reach
-        reach = _least(reach.unionByName(frontier)).checkpoint()
+        reach = _kept(_least(reach.unionByName(frontier)))
+
+
+def _droppable(hops: DataFrame, roots: DataFrame, seed: int) -> DataFrame:
+    """``(node)``: no root, first by a hash among its neighbours, and with no more ways through it than edges."""
+    node, after = (F.xxhash64(F.lit(seed), c) for c in ("node", "next"))
+    ends = (hops.select("node", F.lit(1).alias("n_out"), F.lit(0).alias("n_in"), (node > after).alias("first"))
+            .unionByName(hops.select(F.col("next").alias("node"), F.lit(0).alias("n_out"), F.lit(1).alias("n_in"), (after > node).alias("first"))))
+    degree = ends.groupBy("node").agg(F.sum("n_out").alias("n_out"), F.sum("n_in").alias("n_in"), F.min("first").alias("first"))
+    return degree.where("first AND n_out * n_in <= n_out + n_in").select("node").join(roots.select("node"), "node", "left_anti")
+
+
+def _contracted(hops: DataFrame, rows: int, roots: DataFrame, on_round) -> tuple[DataFrame, int, list[DataFrame]]:
+    """The core of ``hops``, its rows, and the edges into the nodes that each round dropped."""
+    dropped_edges = []
+    while rows > CORE_ROWS:
+        on_round()
+        dropped = _kept(_droppable(hops, roots, len(dropped_edges)))
+        n = dropped.count()
+        if n * 20 < rows:  # dense: hardly a node can go without more edges than before
+            break
+        dropped = _sized(dropped.withColumn("gone", F.lit(True)), n)
+        marked = _kept(hops.join(dropped.withColumnRenamed("gone", "from_gone"), "node", "left")
+                       .join(dropped.select(F.col("node").alias("next"), F.col("gone").alias("to_gone")), "next", "left"))
+        into, onward = marked.where("to_gone").select("node", "next", "length"), marked.where("from_gone")
+        through = into.join(onward.select(F.col("node").alias("next"), F.col("next").alias("end"), F.col("length").alias("more")), "next")
+        through = through.select("node", F.col("end").alias("next"), (F.col("length") + F.col("more")).alias("length")).where("node <> next")
+        rest = marked.where("from_gone IS NULL AND to_gone IS NULL").select("node", "next", "length")
+        hops = _kept(_least(rest.unionByName(through), "node", "next"))
+        rows = hops.count()
+        dropped_edges.append(into)
+    return hops, rows, dropped_edges
+
+
+def _hash_seed(names: DataFrame) -> int:
+    """The first seed of the hash that makes ids under which no two of the names have the same id."""
+    seed = 0
+    while not names.groupBy(F.xxhash64(F.lit(seed), "name").alias("id")).count().where("count > 1").isEmpty():
+        seed += 1
+    return seed
+
+
+def _deep_closure(ends: DataFrame, roots: DataFrame, on_round) -> DataFrame:
+    """``(root, node, depth)`` by contraction, doubling in the core, and dropped nodes put back."""
+    names = _kept(ends.where("node IS NOT NULL").select(F.col("node").alias("name")).distinct())  # no dead ends
+    seed = _hash_seed(names)
+
+    def number(column):
+        return F.xxhash64(F.lit(seed), column)
+
+    onward = ends.where("node <> next").join(names.withColumnRenamed("name", "next"), "next", "left_semi")
+    hops = _kept(onward.select(number("node").alias("node"), number("next").alias("next"), F.lit(1).alias("length")))
+    n_roots = roots.count()
+    start = names.join(_sized(roots.withColumnRenamed("root", "name"), n_roots), "name")
+    start = _kept(start.select(number("name").alias("node"), F.col("name").alias("root")))
+    core, rows, dropped_edges = _contracted(hops, hops.count(), start, on_round)
+    reach = start.select(F.col("node").alias("root"), "node", F.lit(0).alias("depth"))
+    parts = [_relaxed(_doubled(reach, core, rows, on_round), core, on_round)]
+    for into in reversed(dropped_edges):
+        on_round()
+        parts.append(_kept(_least(_further(_union(parts), into))))
+    reach = _union(parts).where("root <> node").withColumnRenamed("root", "root_id")
+    reach = reach.join(_sized(start.select(F.col("node").alias("root_id"), "root"), n_roots), "root_id")
+    reach = reach.join(names.select(number("name").alias("node"), "name"), "node").select("root", F.col("name").alias("node"), "depth")
+    return _kept(reach.unionByName(roots.select("root", F.col("root").alias("node"), F.lit(0).alias("depth"))))
 
 
 def _closure(edges: DataFrame, roots: DataFrame, upstream: bool, on_round=lambda: None) -> DataFrame:
     """``(root, node, depth)`` for every node reachable from each root that can
     lead further (has an edge onward), plus the roots themselves; ``depth`` is
-    the shortest distance. ``on_round`` is called once a round."""
-    checkpoint_root(edges.sparkSession)
-    hops = _hops(edges, upstream).checkpoint()  # reused every round
-    rows = hops.count()
-    plain = PLAIN_ROUNDS if rows <= JUMP_ROWS else PLAIN_ROUNDS_LARGE
-    frontier = roots.select("root", F.col("root").alias("node")).distinct().checkpoint()
-    reach = frontier.withColumn("depth", F.lit(0))
-    for depth in range(1, plain + 1):
+    the shortest distance. ``on_round`` is called once a round.
+
+    Nodes with no edge onward (e.g. pure sources upstream) add no output row of
+    their own (their edges into reached nodes are still listed) and would
+    otherwise dominate the visited set.
+    """
+    near, far = ("target_id", "source_id") if upstream else ("source_id", "target_id")
+    ends = _kept(edges.select(F.col(near).alias("node"), F.col(far).alias("next")).distinct())  # read every round
+    plain = PLAIN_ROUNDS if ends.count() <= JUMP_ROWS else PLAIN_ROUNDS_LARGE
+    roots = _kept(roots.select("root").distinct())
+    frontier = roots.select("root", F.col("root").alias("node"))
+    parts = [frontier.withColumn("depth", F.lit(0))]
+    for depth in range(plain + 1):
+        matched = _kept(_sized(frontier, frontier.count()).join(ends, "node").select("root", "node", "next"))
+        if depth:
+            parts.append(_kept(matched.select("root", "node").distinct().withColumn("depth", F.lit(depth))))
+        if depth == plain:
+            return _union(parts) if matched.isEmpty() else _deep_closure(ends, roots, on_round)
         on_round()
-        frontier = (frontier.join(hops, "node").select("root", F.col("next").alias("node")).distinct()
-                    .join(reach, ["root", "node"], "left_anti").checkpoint())
+        step = matched.where("node <> next").select("root", F.col("next").alias("node")).distinct()
+        frontier = _kept(step.join(_union(parts), ["root", "node"], "left_anti"))
         if frontier.isEmpty():
-            return reach
-        reach = reach.unionByName(frontier.withColumn("depth", F.lit(depth)))
-    return _relaxed(_doubled(reach.checkpoint(), hops, rows, on_round), hops, on_round)
+            return _union(parts)
 
 
 def _lineage(edges: DataFrame, targets: DataFrame, upstream: bool) -> DataFrame:
     roots = targets.select(F.col(targets.columns[0]).alias("root"))
-    checkpoint_root(edges.sparkSession)
-    # Read twice (hop table, final join): materialise once instead of
-    # re-running the edge log's aggregation.
-    edges = edges.checkpoint()
     reach = _closure(edges, roots, upstream)
     key = "target_id" if upstream else "source_id"
     return (reach.join(edges, reach["node"] == edges[key])

@@ -116,6 +116,44 @@ def test_rounds_grow_with_the_logarithm_of_the_depth(spark, ring):
     assert reach.count() == n + ring and reach.where("substr(node, 2) <> depth").isEmpty()
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_contraction_matches_brute_force(spark, monkeypatch, seed):
+    """Chains, rings, shortcuts, hubs and dead ends with two roots that are no nodes: contracted to nothing, then put back."""
+    monkeypatch.setattr(lineage, "CORE_ROWS", 0)
+    monkeypatch.setattr(lineage, "PLAIN_ROUNDS", 1)
+    rnd = random.Random(seed)
+    pairs = {(f"n{i + 1}", f"n{i}") for i in range(60)} | {(f"n{rnd.randrange(61)}", f"n{rnd.randrange(61)}") for _ in range(12)}
+    pairs |= {(f"n{i}", f"m{i}") for i in range(5)} | {("n60", "n30")} | {(f"r{(i + 1) % 40}", f"r{i}") for i in range(40)}
+    pairs |= {(f"r{i}", f"r{i - 7}") for i in (9, 20, 31)} | {(f"raw{i}", f"r{i}") for i in range(40)} | {(f"raw{i}", "n20") for i in range(30)}
+    pairs |= {("n5", "n5"), ("raw1", "raw1")}
+    edges = lineage.latest_edges(edge_log(spark, [(s, t, "x", {}) for s, t in sorted(pairs)]))
+    targets = ["n0", "m4", "n30", "r11", "raw1", "raw2", "missing"]
+    got = [(r["target"], r["source_id"], r["target_id"], r["depth"])
+           for r in lineage.upstream_lineage(edges, spark.createDataFrame([(t,) for t in targets], "node string")).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {(t, s, x, d) for t in targets for s, x, d in brute_upstream(pairs, t)}
+
+
+def test_large_deep_graphs_are_contracted_before_doubling(spark, monkeypatch):
+    """Rings with skips: no table of jumps is as large as the graph, and every depth is right."""
+    monkeypatch.setattr(lineage, "CORE_ROWS", 500)
+    doubled, doubling = [], lineage._doubled
+    monkeypatch.setattr(lineage, "_doubled", lambda reach, hops, rows, *more: doubled.append(rows) or doubling(reach, hops, rows, *more))
+    n = 6000
+    pairs = {(f"a{(i + 1) % n}", f"a{i}") for i in range(n)} | {(f"a{i + 7}", f"a{i}") for i in range(0, n - 7, 97)}
+    chain = spark.createDataFrame(sorted(pairs), "source_id string, target_id string")
+    reach = lineage._closure(chain, spark.createDataFrame([("a40",)], "root string"), True)
+    assert {(r["node"], r["depth"]) for r in reach.collect()} == {(t, d) for _, t, d in brute_upstream(pairs, "a40")}
+    assert len(doubled) == 1 and doubled[0] <= 500
+
+
+def test_ids_of_nodes_never_clash(spark, monkeypatch):
+    """The hash of the first seed gives every name the same id: another seed is taken."""
+    real, calls = F.xxhash64, []
+    monkeypatch.setattr(lineage.F, "xxhash64", lambda *columns: F.lit(7) if calls.append(columns) or len(calls) == 1 else real(*columns))
+    assert lineage._hash_seed(spark.createDataFrame([("a",), ("b",)], "name string")) == 1
+
+
 def test_cdc_fold_batch(spark):
     schema = "key long, op string, ts timestamp_ntz, seq long, after struct<v:string>"
     rows = [(1, "c", T, 1, ("a",)), (1, "u", T - dt.timedelta(1), 2, ("b",)),  # the clock stepped back: seq decides
