@@ -256,6 +256,9 @@ def _lineage(edges: DataFrame, targets: DataFrame, upstream: bool) -> DataFrame:
     roots = targets.select(F.col(targets.columns[0]).alias("root"))
     reach = _closure(edges, roots, upstream)
     key = "target_id" if upstream else "source_id"
+    if reach.count() <= BROADCAST_ROWS:
+        # a condition, since it goes below the log's aggregation by its ends: only edges of reached nodes are shuffled
+        edges = edges.where(F.col(key).isin(F.broadcast(reach.select("node").distinct())))
     return (reach.join(edges, reach["node"] == edges[key])
             .select(F.col("root").alias("target" if upstream else "origin"),
                     "source_id", "target_id", "depth",

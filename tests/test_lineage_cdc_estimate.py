@@ -154,6 +154,17 @@ def test_ids_of_nodes_never_clash(spark, monkeypatch):
     assert lineage._hash_seed(spark.createDataFrame([("a",), ("b",)], "name string")) == 1
 
 
+@pytest.mark.parametrize("upstream", [False])
+def test_only_edges_of_reached_nodes_are_shuffled_whole(spark, upstream):
+    """The log's payload is aggregated for edges of reached nodes alone: the others are left out below the shuffle."""
+    log = edge_log(spark, [(f"s{i}", f"t{i % 50}", "x", {"i": i}) for i in range(200)])
+    walk = lineage.upstream_lineage if upstream else lineage.downstream_lineage
+    rows = walk(lineage.latest_edges(log), spark.createDataFrame([("t7" if upstream else "s7",)], "node string"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("max_by") < plan.rindex("LeftSemi")  # printed top down: the condition is below the aggregation
+    assert {r["source_id"] for r in rows.collect()} == ({"s7", "s57", "s107", "s157"} if upstream else {"s7"})
+
+
 def test_cdc_fold_batch(spark):
     schema = "key long, op string, ts timestamp_ntz, seq long, after struct<v:string>"
     rows = [(1, "c", T, 1, ("a",)), (1, "u", T - dt.timedelta(1), 2, ("b",)),  # the clock stepped back: seq decides
