@@ -154,7 +154,7 @@ def test_ids_of_nodes_never_clash(spark, monkeypatch):
     assert lineage._hash_seed(spark.createDataFrame([("a",), ("b",)], "name string")) == 1
 
 
-@pytest.mark.parametrize("upstream", [False])
+@pytest.mark.parametrize("upstream", [True, False])
 def test_only_edges_of_reached_nodes_are_shuffled_whole(spark, upstream):
     """The log's payload is aggregated for edges of reached nodes alone: the others are left out below the shuffle."""
     log = edge_log(spark, [(f"s{i}", f"t{i % 50}", "x", {"i": i}) for i in range(200)])
